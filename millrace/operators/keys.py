@@ -25,14 +25,6 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     return best.unionByName(df.filter(open_rows))
 
 
-def latest_per_key_anti(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """The same as an anti self join; quadratic in the size of a key's group."""
-    rival = df.select(*[F.col(c).alias(f"_r_{c}") for c in [*keys, order]])
-    condition = [F.col(k) == F.col(f"_r_{k}") for k in keys]
-    condition.append(F.col(f"_r_{order}") > F.col(order))
-    return df.join(rival, condition, "left_anti")
-
-
 def top_n_per_group(
     df: DataFrame, group: Sequence[str], order_by: Sequence[Column | str], n: int, rank: str = "rank"
 ) -> DataFrame:

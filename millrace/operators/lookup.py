@@ -147,6 +147,29 @@ def override_join(
     return joined.withColumn(out, F.coalesce("_override", default)).drop("_override")
 
 
+def override_by_parent(
+    children: DataFrame, overrides: DataFrame, parent: Sequence[str], columns: Sequence[str]
+) -> DataFrame:
+    """Overrides that name only the parent: they replace all of its children.
+
+    A join by parent alone repeats every override once per child. The repetition is
+    returned as ``copies`` instead of as rows, so no parent turns into all its pairs.
+    ``columns`` exist on both sides.
+    """
+    keys = list(parent)
+    per_parent = children.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
+    replaced = (
+        overrides.groupBy(*keys, *columns)
+        .agg(F.count(F.lit(1)).alias("_same"))
+        .join(per_parent, keys)
+        .withColumn("copies", F.col("copies") * F.col("_same"))
+        .drop("_same")
+    )
+    own = children.join(overrides.select(*keys).distinct(), keys, "left_anti")
+    kept = own.groupBy(*keys, *columns).agg(F.count(F.lit(1)).alias("copies"))
+    return replaced.select(*kept.columns).unionByName(kept)
+
+
 def anti_null_aware(df: DataFrame, column: str, listed: DataFrame, listed_column: str) -> DataFrame:
     """SQL ``NOT IN``: one null in a non-empty list removes every row."""
     # One aggregate row: is the list empty, does it hold a null.
