@@ -1 +1,227 @@
-"""Queries."""
+"""Sources, sinks and load patterns."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from millrace.catalog import query
+from millrace.catalog import mapping as m
+from millrace.functions import document
+from millrace.operators import rows
+from millrace.session import ensure_checkpoint_dir
+from millrace.sources import load, outbox, schemas
+
+
+def _scratch(t, name: str) -> str:
+    """A new folder under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@query("extract_table", "SELECT s_suppkey, s_name, s_nationkey FROM supplier")
+def extract_table(t):
+    return load.extract_filtered(t.supplier, ["s_suppkey", "s_name", "s_nationkey"], None)
+
+
+@query(
+    "extract_filtered",
+    """SELECT o_orderkey, o_custkey, o_orderpriority FROM orders
+    WHERE o_orderstatus = 'F' AND o_orderpriority <> '5-LOW'""",
+)
+def extract_filtered(t):
+    keep = (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") != "5-LOW")
+    return load.extract_filtered(t.orders, ["o_orderkey", "o_custkey", "o_orderpriority"], keep)
+
+
+@query(
+    "extract_lookback",
+    "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate > TIMESTAMP '2001-08-01' - INTERVAL 1 MONTH",
+)
+def extract_lookback(t):
+    return load.extract_lookback(t.orders, "o_orderdate", m.ORDERS_AS_OF).select("o_orderkey", "o_orderdate")
+
+
+@query(
+    "extract_latest_n",
+    """SELECT event_id, ts, user_id FROM events WHERE ts > TIMESTAMP '2024-01-30' - INTERVAL 1 MONTH
+    ORDER BY ts DESC, event_id DESC LIMIT 500""",
+)
+def extract_latest_n(t):
+    newest = load.extract_latest_n(t.events, "ts", m.EVENTS_AS_OF, 500, "event_id")
+    return newest.select("event_id", "ts", "user_id")
+
+
+@query("truncate_load", "SELECT c_custkey, c_name, upper(c_mktsegment) AS segment FROM customer")
+def truncate_load(t):
+    """Two loads of one table; readers see the second."""
+    root = _scratch(t, "load")
+    schema = schemas.schema_of({"c_custkey": "bigint", "c_name": "varchar(64)", "segment": "varchar(16)"})
+    base = t.customer.select("c_custkey", "c_name", F.col("c_mktsegment").alias("segment"))
+    load.truncate_load(base, root, schema)
+    again = load.read_current(t.spark, root, schema).withColumn("segment", F.upper("segment"))
+    load.truncate_load(again, root, schema)
+    return load.read_current(t.spark, root, schema)
+
+
+@query(
+    "merge_bucketed",
+    """WITH t AS (SELECT p_partkey, p_name, p_size FROM part),
+    s AS (SELECT s_suppkey AS p_partkey, s_name AS p_name, s_nationkey AS p_size FROM supplier)
+    SELECT p_partkey, coalesce(s.p_name, t.p_name) AS p_name, coalesce(t.p_size, s.p_size) AS p_size
+    FROM t FULL JOIN s USING (p_partkey)""",
+)
+def merge_bucketed(t):
+    """Upsert that rewrites only the hash buckets its keys fall in."""
+    path = _scratch(t, "bucketed")
+    target = t.part.select("p_partkey", "p_name", "p_size")
+    source = t.supplier.select(
+        F.col("s_suppkey").alias("p_partkey"), F.col("s_name").alias("p_name"), F.col("s_nationkey").alias("p_size")
+    )
+    load.write_bucketed(target, path, ["p_partkey"], 16)
+    load.merge_bucketed(t.spark, path, target.schema, source, ["p_partkey"], 16, update=["p_name"])
+    return t.spark.read.schema(target.schema).parquet(path).select("p_partkey", "p_name", "p_size")
+
+
+@query(
+    "select_cast",
+    """SELECT s_suppkey, s_name, CAST(s_acctbal < 0 AS INTEGER) AS s_lead_flag,
+    CAST(s_nationkey AS BIGINT) AS s_nationkey FROM supplier""",
+)
+def select_cast(t):
+    flagged = t.supplier.withColumn("s_lead_flag", F.col("s_acctbal") < 0)
+    return rows.select_cast(
+        flagged, {"s_suppkey": None, "s_name": None, "s_lead_flag": "int", "s_nationkey": "bigint"}
+    )
+
+
+@query(
+    "type_map_load",
+    """SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, o_custkey, o_orderstatus,
+    CAST(CAST(o_totalprice AS DECIMAL(12,1)) AS VARCHAR) AS total, o_orderdate FROM orders""",
+)
+def type_map_load(t):
+    declared = schemas.schema_of(
+        {
+            "o_orderkey": "int(11)",
+            "o_custkey": "bigint(11) unsigned",
+            "o_orderstatus": "char(255)",
+            "o_totalprice": "decimal(12,1)",
+            "o_orderdate": "datetime",
+        }
+    )
+    typed = schemas.cast_to(t.orders, declared)
+    return typed.withColumn("total", F.col("o_totalprice").cast("string")).drop("o_totalprice")
+
+
+@query(
+    "bit_to_int",
+    "SELECT l_orderkey, l_linenumber, CAST(l_returnflag = 'R' AS INTEGER) AS is_write FROM lineitem",
+)
+def bit_to_int(t):
+    return t.lineitem.select("l_orderkey", "l_linenumber", (F.col("l_returnflag") == "R").cast("int").alias("is_write"))
+
+
+@query(
+    "evolve_schema",
+    """SELECT n_nationkey, n_name, CAST(NULL AS INTEGER) AS origin_id, CAST(NULL AS BIGINT) AS origin_parent_id
+    FROM nation UNION ALL SELECT r_regionkey, r_name, r_regionkey, NULL FROM region""",
+)
+def evolve_schema(t):
+    """A column added twice stays one column; rows with it can then be appended."""
+    base = t.nation.select("n_nationkey", "n_name")
+    evolved = rows.evolve_schema(base, {"origin_id": "int", "origin_parent_id": "bigint"})
+    evolved = rows.evolve_schema(evolved, {"origin_id": "int"})
+    more = t.region.select(
+        F.col("r_regionkey").alias("n_nationkey"), F.col("r_name").alias("n_name"), F.col("r_regionkey").alias("origin_id")
+    )
+    return evolved.unionByName(more, allowMissingColumns=True)
+
+
+_DOMAIN = """WITH c AS (SELECT c_custkey, coalesce(nullif(c_nationkey, 7), 99999) AS sort, c_acctbal, c_mktsegment
+  FROM customer), checked AS (SELECT *, concat_ws(',', CASE WHEN NOT c_acctbal >= 0 THEN 'balance' END,
+  CASE WHEN NOT c_mktsegment IN ('BUILDING', 'MACHINERY', 'FURNITURE') THEN 'segment' END) AS reasons FROM c)"""
+
+
+def _checked(t):
+    source = t.customer.select(
+        "c_custkey", F.nullif(F.col("c_nationkey"), F.lit(7)).alias("sort"), "c_acctbal", "c_mktsegment"
+    )
+    rules = {
+        "balance": F.col("c_acctbal") >= 0,
+        "segment": F.col("c_mktsegment").isin("BUILDING", "MACHINERY", "FURNITURE"),
+    }
+    return rows.check_domain(source, rules, {"sort": 99999})
+
+
+@query("check_domain", _DOMAIN + " SELECT c_custkey, sort FROM checked WHERE reasons = ''")
+def check_domain(t):
+    return _checked(t)[0].select("c_custkey", "sort")
+
+
+@query("check_domain_rejects", _DOMAIN + " SELECT c_custkey, sort, reasons FROM checked WHERE reasons <> ''")
+def check_domain_rejects(t):
+    return _checked(t)[1].select("c_custkey", "sort", "reasons")
+
+
+@query(
+    "export_documents",
+    """SELECT CAST(to_json({'key': s_suppkey, 'document': CAST(to_json({'name': s_name, 'nation': s_nationkey})
+    AS VARCHAR)}) AS VARCHAR) AS value, 'provider' AS entity FROM supplier""",
+)
+def export_documents(t):
+    path = _scratch(t, "outbox")
+    body = document(F.struct(F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation")))
+    docs = t.supplier.select("s_suppkey", body.alias("body"))
+    outbox.export_documents(docs, "s_suppkey", "body", path, "provider")
+    return t.spark.read.schema("value string, entity string").text(path)
+
+
+
+
+def responses(t):
+    """One response per order: a JSON body with one entry per line, messages partly missing."""
+    entry = F.struct(
+        F.when(F.col("l_returnflag") == "A", 0).otherwise(1).alias("isSuccess"),
+        F.when(F.col("l_linestatus") == "F", F.concat(F.lit("m"), "l_suppkey")).alias("subMsg"),
+        F.concat(F.lit("P"), "l_partkey").alias("code"),
+    )
+    from millrace.operators.nesting import nested_collect
+
+    order = ["l_linenumber", "l_partkey", "l_suppkey"]
+    lines = nested_collect(t.lineitem, ["l_orderkey"], order, F.struct(entry.alias("e"), "l_returnflag"), "v")
+    worst = F.array_max(F.transform("v", lambda x: x["l_returnflag"]))
+    body = F.to_json(F.struct(F.transform("v", lambda x: x["e"]).alias("data")))
+    return lines.select(
+        F.col("l_orderkey").alias("id"),
+        F.when(worst == "N", 500).otherwise(200).alias("status_code"),
+        body.alias("response_body"),
+    )
+
+
+@query(
+    "parse_responses",
+    """SELECT l_orderkey AS id, CASE WHEN max(l_returnflag) OVER (PARTITION BY l_orderkey) = 'N' THEN 500 ELSE 200 END
+      AS status_code, CASE WHEN l_returnflag = 'A' THEN 0 ELSE 1 END AS is_success,
+    CASE WHEN l_linestatus = 'F' THEN 'm' || l_suppkey END AS error_msg, 'P' || l_partkey AS entity_code
+    FROM lineitem""",
+)
+def parse_responses(t):
+    return outbox.parse_responses(responses(t))
+
+
+@query(
+    "load_registry",
+    """SELECT c_custkey AS s_manager_id, c_name AS s_account, CAST(c_nationkey = 3 AS INTEGER) AS s_lead_flag
+    FROM customer WHERE c_acctbal >= 0""",
+)
+def load_registry(t):
+    """The declared load of the account table: filter, casts, no credential column."""
+    source = t.customer.select(
+        F.col("c_custkey").alias("s_manager_id"),
+        F.col("c_name").alias("s_account"),
+        F.lit("never carried").alias("s_password"),
+        F.when(F.col("c_acctbal") >= 0, 1).otherwise(0).alias("s_activate_flag"),
+        (F.col("c_nationkey") == 3).alias("s_lead_flag"),
+    )
+    return load.LOADS["manager"].extract(source).drop("s_activate_flag")

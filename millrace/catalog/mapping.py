@@ -140,7 +140,9 @@ VIEWS["position"] = """
 SELECT CAST(p_size AS BIGINT) AS s_talent_position_id, 'Position ' || p_size AS s_position,
        CASE WHEN p_size > 40 THEN NULL WHEN p_size > 30 THEN '' ELSE min(p_brand) END AS s_en_position,
        CASE WHEN p_size > 10 THEN p_size END AS sort,
-       CASE WHEN p_size = 13 THEN 1 ELSE 0 END AS is_delete
+       CASE WHEN p_size = 13 THEN 1 ELSE 0 END AS is_delete,
+       CASE WHEN p_size > 5 THEN TIMESTAMP '2020-01-01' + to_days(p_size) END AS gmt_create,
+       CASE WHEN p_size > 25 THEN TIMESTAMP '2021-01-01' + to_days(p_size) END AS gmt_modified
 FROM part GROUP BY p_size"""
 
 
@@ -155,6 +157,8 @@ def position(t) -> DataFrame:
             F.when(size > 40, None).when(size > 30, F.lit("")).otherwise(F.col("brand")).alias("s_en_position"),
             F.when(size > 10, size).alias("sort"),
             F.when(size == 13, 1).otherwise(0).alias("is_delete"),
+            F.when(size > 5, days_after("2020-01-01", "p_size")).alias("gmt_create"),
+            F.when(size > 25, days_after("2021-01-01", "p_size")).alias("gmt_modified"),
         )
     )
 

@@ -54,8 +54,8 @@ def regex_first_number(t):
 
 @query(
     "text_first_number",
-    """SELECT doc_id, TRY_CAST(nullif(regexp_extract(text, '([0-9]+\\.?[0-9]*)', 1), '') AS DOUBLE) AS first_number
-    FROM documents""",
+    """SELECT doc_id, TRY_CAST(nullif(regexp_extract(translate(text, '０１２３４５６７８９', '0123456789'),
+    '([0-9]+\\.?[0-9]*)', 1), '') AS DOUBLE) AS first_number FROM documents""",
 )
 def text_first_number(t):
     """First number of every whole text."""

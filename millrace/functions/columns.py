@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 # Text patterns of the source system.
 DIGITS = r"^[0-9]+$"
 FIRST_NUMBER = r"(\d+\.?\d*)"
+FULL_WIDTH_DIGITS = "０１２３４５６７８９"
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DATE_FORMAT = "yyyy-MM-dd"
 
@@ -32,8 +33,9 @@ def digits_to_long(column: str | Column) -> Column:
 
 
 def first_number(column: str | Column) -> Column:
-    """First decimal number found in a text, null if there is none."""
-    found = F.regexp_extract(_col(column), FIRST_NUMBER, 1)
+    """First decimal number found in a text (full-width digits count), null if there is none."""
+    text = F.translate(_col(column), FULL_WIDTH_DIGITS, "0123456789")
+    found = F.regexp_extract(text, FIRST_NUMBER, 1)
     return F.nullif(found, F.lit("")).try_cast("double")
 
 

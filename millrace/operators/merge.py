@@ -16,6 +16,7 @@ from millrace.functions import differs
 from millrace.operators.lookup import fan_out, missing_from
 from millrace.operators.numbering import number_rows
 from millrace.operators.skew import any_null, null_spread
+from millrace.session import cut_lineage
 
 
 def _typed(df: DataFrame, like: DataFrame) -> DataFrame:
@@ -106,6 +107,29 @@ def insert_numbered(
     return target.unionByName(_typed(numbered, target))
 
 
+def upsert_numbered(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    update: Sequence[str],
+    id_column: str = "id",
+    ids_in: DataFrame | None = None,
+) -> DataFrame:
+    """``merge_upsert`` that gives the new rows surrogate ids after the maximum of
+    ``ids_in`` (default: the target)."""
+    merged = merge_upsert(target, source.drop(id_column), keys, update)
+    return fill_ids(merged, target if ids_in is None else ids_in, keys, id_column)
+
+
+def fill_ids(merged: DataFrame, target: DataFrame, keys: Sequence[str], id_column: str) -> DataFrame:
+    """Number the rows of a merge that came without an id, in key order."""
+    merged = cut_lineage(merged)
+    known = merged.filter(F.col(id_column).isNotNull())
+    new = merged.filter(F.col(id_column).isNull())
+    numbered = number_rows(new, list(keys), id_column, after=(target, id_column))
+    return known.unionByName(_typed(numbered, merged))
+
+
 def _matched(target: DataFrame, source: DataFrame, keys: Sequence[str], extra: Sequence[str] = ()):
     side = source.select(*[F.col(c).alias(f"_s_{c}") for c in [*keys, *extra]])
     side = side.distinct() if not extra else side

@@ -68,6 +68,20 @@ def _collect_whole(shaped: DataFrame, keys: list[str], out: str, max_items: int)
     )
 
 
+def attach_parts(heads: DataFrame, keys: Sequence[str], lists: dict[str, DataFrame]) -> DataFrame:
+    """Heads with several collected lists, one row per part (``part`` 1 always exists).
+
+    Lists with fewer parts than another are empty in the later ones.
+    """
+    on = [*keys, "part"]
+    numbered = None
+    for parts in lists.values():
+        numbered = parts if numbered is None else numbered.join(parts, on, "full_outer")
+    joined = heads.join(numbered, list(keys), "left")
+    out = joined.withColumn("part", F.coalesce("part", F.lit(1).cast("long")))
+    return out.withColumns({name: F.coalesce(name, F.array()) for name in lists})
+
+
 def numbered_items(items: str | Column, field: str = "idx", max_items: int = MAX_ITEMS) -> Column:
     """Items with their 1-based place in the parent as first field (``part`` in scope)."""
     start = (F.col("part") - 1) * max_items
