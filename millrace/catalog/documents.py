@@ -1 +1,532 @@
-"""Queries."""
+"""Nested documents."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from millrace.catalog import query
+from millrace.catalog import mapping as m
+from millrace.catalog.mapping import VIEWS, ctes
+from millrace.plans import documents as plan
+
+AS_OF = "2001-11-01 00:00:00"
+PAST = "TIMESTAMP '2001-11-01' - INTERVAL {}"
+
+
+def _text(expr: str) -> str:
+    return f"CAST(to_json({expr}) AS VARCHAR)"
+
+
+# --- master tables ------------------------------------------------------------
+
+VIEWS["d_product"] = """
+SELECT p_partkey AS id, 'D' || p_partkey AS design_no, p_name AS name,
+  CASE WHEN p_size > 40 THEN '' ELSE 'M' || p_partkey END AS code, p_type AS type_id, p_brand AS unit_id,
+  CASE WHEN p_size > 25 THEN p_brand END AS min_package_unit_id, p_size AS first_id, p_partkey // 7 AS supplier_id,
+  TIMESTAMP '2020-01-01' + to_days(p_size) AS create_date, p_retailprice < 990 AS active,
+  nullif(p_type, 'PROMO') AS composition, CASE WHEN p_size > 10 THEN p_size || '.5g' WHEN p_size > 5 THEN 'abc' END
+  AS weight, CAST(p_retailprice AS DECIMAL(18,2)) AS price, nullif(p_name, 'red bolt') AS memo, last AS write_date
+FROM part LEFT JOIN (SELECT l_partkey, max(l_shipdate) AS last FROM lineitem GROUP BY l_partkey)
+  ON l_partkey = p_partkey"""
+
+
+def _product(t):
+    last = t.lineitem.groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.max("l_shipdate").alias("write_date"))
+    size = F.col("p_size")
+    return t.part.join(last, "p_partkey", "left").select(
+        F.col("p_partkey").alias("id"),
+        F.concat(F.lit("D"), "p_partkey").alias("design_no"),
+        F.col("p_name").alias("name"),
+        F.when(size > 40, F.lit("")).otherwise(F.concat(F.lit("M"), "p_partkey")).alias("code"),
+        F.col("p_type").alias("type_id"),
+        F.col("p_brand").alias("unit_id"),
+        F.when(size > 25, F.col("p_brand")).alias("min_package_unit_id"),
+        size.alias("first_id"),
+        F.expr("p_partkey div 7").alias("supplier_id"),
+        m.days_after("2020-01-01", "p_size").alias("create_date"),
+        (F.col("p_retailprice") < 990).alias("active"),
+        F.nullif(F.col("p_type"), F.lit("PROMO")).alias("composition"),
+        F.when(size > 10, F.concat(size, F.lit(".5g"))).when(size > 5, F.lit("abc")).alias("weight"),
+        m.money("p_retailprice").alias("price"),
+        F.nullif(F.col("p_name"), F.lit("red bolt")).alias("memo"),
+        "write_date",
+    )
+
+
+VIEWS["d_types"] = """
+SELECT p_type AS id, CASE WHEN p_type IN ('SMALL', 'MEDIUM', 'PROMO') THEN 'B' WHEN p_type <> 'ECONOMY' THEN 'F'
+  ELSE 'O' END AS code FROM part GROUP BY p_type"""
+VIEWS["d_units"] = "SELECT p_brand AS id, 'u' || p_brand AS name FROM part WHERE p_brand <> 'Brand#7' GROUP BY p_brand"
+VIEWS["d_partners"] = "SELECT s_suppkey AS id, 'S' || s_suppkey AS code, s_name AS name, s_acctbal > 0 AS active FROM supplier"
+VIEWS["d_colours"] = "SELECT n_nationkey AS id, n_name AS name, 'c' || n_nationkey AS code FROM nation"
+VIEWS["d_sizes"] = """
+SELECT l_linenumber AS id, 'S' || l_linenumber AS name, 10 - l_linenumber AS sequence,
+  CASE WHEN l_linenumber > 2 THEN 'adult' END AS category FROM lineitem GROUP BY l_linenumber"""
+
+
+def _masters(t):
+    kind = F.col("p_type")
+    number = F.col("l_linenumber")
+    return {
+        "types": t.part.select("p_type").distinct().select(
+            kind.alias("id"),
+            F.when(kind.isin("SMALL", "MEDIUM", "PROMO"), "B").when(kind != "ECONOMY", "F").otherwise("O").alias("code"),
+        ),
+        "units": t.part.filter(F.col("p_brand") != "Brand#7").select("p_brand").distinct().select(
+            F.col("p_brand").alias("id"), F.concat(F.lit("u"), "p_brand").alias("name")
+        ),
+        "partners": t.supplier.select(
+            F.col("s_suppkey").alias("id"), F.concat(F.lit("S"), "s_suppkey").alias("code"),
+            F.col("s_name").alias("name"), (F.col("s_acctbal") > 0).alias("active"),
+        ),
+        "colours": t.nation.select(
+            F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"),
+            F.concat(F.lit("c"), "n_nationkey").alias("code"),
+        ),
+        "sizes": t.lineitem.select("l_linenumber").distinct().select(
+            number.alias("id"),
+            F.concat(F.lit("S"), number).alias("name"),
+            (F.lit(10) - number).alias("sequence"),
+            F.when(number > 2, F.lit("adult")).alias("category"),
+        ),
+    }
+
+
+def _colour_of(column: str = "l_suppkey"):
+    return (F.col(column) % 30).alias("color_id")
+
+
+# --- C13 ----------------------------------------------------------------------
+
+
+@query(
+    "doc_material",
+    ctes("d_product", "d_types", "d_units", "d_partners", "d_colours")
+    + f""", heads AS (SELECT p.*, t.code AS t_code, u.name AS u_name, s.code AS s_code, s.name AS s_name
+      FROM d_product p JOIN d_types t ON t.id = p.type_id JOIN d_units u ON u.id = p.unit_id
+      LEFT JOIN d_partners s ON s.id = p.supplier_id WHERE p.write_date > {PAST.format('6 MONTH')}),
+    rows AS (SELECT l_partkey AS id, 'm' || l_linenumber AS model, c.code, c.name FROM lineitem
+      JOIN d_colours c ON c.id = l_suppkey % 30),
+    models AS (SELECT id, list({{'model': model, 'orderId': n}} ORDER BY n) AS models FROM (SELECT id, model,
+      row_number() OVER (PARTITION BY id ORDER BY model) AS n FROM (SELECT DISTINCT id, model FROM rows)) GROUP BY id),
+    shades AS (SELECT id, list({{'colorCode': code, 'colorName': name, 'orderId': n}} ORDER BY n) AS shades
+      FROM (SELECT id, code, name, row_number() OVER (PARTITION BY id ORDER BY code) AS n
+        FROM (SELECT id, code, min(name) AS name FROM rows GROUP BY id, code)) GROUP BY id)
+    SELECT h.id AS key, CAST(1 AS BIGINT) AS part, CAST(to_json({{'code': coalesce(nullif(h.code, ''), h.name), 'name': h.name,
+      'createTime': strftime(create_date, '%Y-%m-%d %H:%M:%S'), 'mateType': CASE WHEN t_code = 'B' THEN '1' ELSE '2' END,
+      'state': CASE WHEN active THEN '1' ELSE '0' END, 'categoryCode': 'FC' || first_id,
+      'categoryName': 'Cat ' || first_id, 'unit': u_name, 'element': composition, 'providerCode': s_code,
+      'providerName': s_name, 'modelList': coalesce(models, []), 'colorList': coalesce(shades, [])}}) AS VARCHAR) AS document
+    FROM heads h LEFT JOIN models ON models.id = h.id LEFT JOIN shades ON shades.id = h.id""",
+)
+def doc_material(t):
+    tables = _masters(t)
+    categories = t.part.select(F.col("p_size").alias("id")).distinct().select(
+        "id", F.concat(F.lit("FC"), "id").alias("full_code"), F.concat(F.lit("Cat "), "id").alias("name")
+    )
+    details = t.lineitem.select(
+        F.col("l_partkey").alias("material_id"), F.concat(F.lit("m"), "l_linenumber").alias("name"), _colour_of()
+    )
+    return plan.material_documents(
+        _product(t), tables["types"], tables["units"], categories, tables["partners"], details, tables["colours"],
+        AS_OF, "6 months",
+    )
+
+
+# --- C14 ----------------------------------------------------------------------
+
+
+@query(
+    "doc_item",
+    ctes("d_product", "d_units", "d_partners", "d_colours", "d_sizes")
+    + f""", heads AS (SELECT p.*, u.name AS u_name, s.name AS brand FROM d_product p JOIN d_units u ON u.id = p.unit_id
+      LEFT JOIN d_partners s ON s.id = p.supplier_id WHERE p.active AND p.write_date > {PAST.format('6 MONTH')}),
+    shades AS (SELECT id, list({{'colorCode': code, 'colorName': name, 'orderId': n, 'state': 1}} ORDER BY n) AS shades
+      FROM (SELECT x.id, c.code, c.name, row_number() OVER (PARTITION BY x.id ORDER BY c.id) AS n
+        FROM (SELECT DISTINCT l_partkey AS id, l_suppkey % 30 AS color_id FROM lineitem WHERE l_returnflag <> 'N') x
+        JOIN d_colours c ON c.id = x.color_id) GROUP BY id),
+    fits AS (SELECT id, first(category ORDER BY n) AS category,
+      list({{'sizeCode': name, 'sizeName': name, 'orderId': n, 'state': 1}} ORDER BY n) AS fits
+      FROM (SELECT x.id, s.name, s.category, row_number() OVER (PARTITION BY x.id ORDER BY s.sequence, s.id) AS n
+        FROM (SELECT DISTINCT l_partkey AS id, l_linenumber AS size_id FROM lineitem WHERE l_returnflag <> 'R') x
+        JOIN d_sizes s ON s.id = x.size_id) GROUP BY id)
+    SELECT h.id AS key, CAST(1 AS BIGINT) AS part, CAST(to_json({{'code': design_no, 'name': h.name, 'sizeCode': '',
+      'sizeName': coalesce(category, ''), 'unit': u_name, 'brand': brand, 'creater': '', 'createDate': '', 'sex': '/',
+      'customerItem': design_no, 'state': 1, 'remark': memo, 'colorList': shades, 'sizeList': fits}}) AS VARCHAR)
+      AS document
+    FROM heads h JOIN shades ON shades.id = h.id JOIN fits ON fits.id = h.id""",
+)
+def doc_item(t):
+    tables = _masters(t)
+    colours = t.lineitem.filter(F.col("l_returnflag") != "N").select(F.col("l_partkey").alias("product_id"), _colour_of())
+    sizes = t.lineitem.filter(F.col("l_returnflag") != "R").select(
+        F.col("l_partkey").alias("product_id"), F.col("l_linenumber").alias("size_id")
+    )
+    masters = {"brand": (tables["partners"], "supplier_id", {"brand": "name"})}
+    return plan.item_documents(
+        _product(t), masters, tables["units"], colours.distinct(), sizes.distinct(), tables["colours"],
+        tables["sizes"], AS_OF, "6 months",
+    )
+
+
+# --- C15 ----------------------------------------------------------------------
+
+VIEWS["b_bom"] = """
+SELECT l_orderkey * 100000 + l_partkey AS id, l_orderkey AS product_id, l_partkey AS material_id,
+  CAST(sum(l_quantity) AS INTEGER) AS quantity, min(l_returnflag) AS memo, min(l_linenumber) AS parts_id,
+  CASE min(l_returnflag) WHEN 'A' THEN 'M2' WHEN 'N' THEN 'M4' END AS supplier_type_id, min(l_linenumber) AS sequence,
+  CASE WHEN min(l_linestatus) = 'F' THEN '' ELSE 'V' || min(l_linenumber) END AS common_spec,
+  min(l_suppkey) % 30 AS common_color, max(l_tax) < 0.08 AS active
+FROM lineitem GROUP BY l_orderkey, l_partkey"""
+
+VIEWS["b_rows"] = """
+SELECT b.*, b.id AS bom_id, t.code AS type_code, p.type_id, p.code AS m_code, p.name AS m_name, p.composition, p.weight,
+  p.price, 'D' || b.product_id AS design_no, u.name AS mate_unit, coalesce(nullif(k.name, ''), u.name) AS unit,
+  s.code AS provider_code, s.name AS provider_name,
+  CASE supplier_type_id WHEN 'M2' THEN 3 WHEN 'M4' THEN 2 ELSE 1 END AS source, 'part ' || (parts_id) AS part_name
+FROM b_bom b JOIN orders o ON o.o_orderkey = b.product_id AND o.o_orderstatus <> 'P'
+JOIN d_product p ON p.id = b.material_id JOIN d_types t ON t.id = p.type_id AND t.code IN ('B', 'F')
+LEFT JOIN d_units u ON u.id = p.unit_id LEFT JOIN d_units k ON k.id = p.min_package_unit_id
+LEFT JOIN d_partners s ON s.id = p.supplier_id
+WHERE b.active QUALIFY row_number() OVER (PARTITION BY b.product_id ORDER BY p.type_id, b.sequence, b.id) <= 30"""
+
+VIEWS["b_sizes"] = """
+SELECT r.bom_id, x.size_id AS sid, z.sequence, z.name, coalesce(g.value, r.common_spec) AS spec, r.quantity
+FROM b_rows r JOIN (SELECT DISTINCT l_orderkey, l_linenumber AS size_id FROM lineitem) x ON x.l_orderkey = r.product_id
+LEFT JOIN (SELECT l_orderkey * 100000 + l_partkey AS bom_id, l_linenumber AS size_id, 'V' || (l_linenumber % 7 + 1)
+  AS value FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL) g ON g.bom_id = r.bom_id AND g.size_id = x.size_id
+JOIN d_sizes z ON z.id = x.size_id"""
+
+VIEWS["b_colours"] = """
+SELECT r.bom_id, r.material_id, b.id AS cid, c.id AS mid, b.name AS b_name, b.code AS b_code, c.name AS c_name,
+  c.code AS c_code FROM b_rows r
+JOIN (SELECT DISTINCT l_orderkey, l_suppkey % 30 AS color_id FROM lineitem) x ON x.l_orderkey = r.product_id
+LEFT JOIN (SELECT l_orderkey * 100000 + l_partkey AS bom_id, l_suppkey % 30 AS color_id, min(l_linenumber) AS value
+  FROM lineitem WHERE l_returnflag = 'A' GROUP BY ALL) g ON g.bom_id = r.bom_id AND g.color_id = x.color_id
+JOIN d_colours b ON b.id = x.color_id JOIN d_colours c ON c.id = coalesce(g.value, r.common_color)"""
+
+VIEWS["b_prices"] = """
+SELECT c.bom_id, c.cid, c.c_code, c.c_name, first(d.price ORDER BY d.price, d.spec) AS price,
+  first(d.spec ORDER BY d.price, d.spec) AS spec
+FROM b_colours c JOIN (SELECT l_partkey, l_suppkey % 30 AS color_id, 'V' || l_linenumber AS spec,
+    min(CAST(l_extendedprice AS DECIMAL(18,2))) AS price FROM lineitem GROUP BY ALL) d
+  ON d.l_partkey = c.material_id AND d.color_id = c.mid
+WHERE EXISTS (SELECT 1 FROM b_sizes s WHERE s.bom_id = c.bom_id AND s.spec = d.spec)
+GROUP BY c.bom_id, c.cid, c.c_code, c.c_name"""
+
+VIEWS["b_lists"] = """
+SELECT r.*, coalesce(model, '') AS model, coalesce(fits, []) AS fits, coalesce(prices, []) AS prices,
+  coalesce(fprices, []) AS fprices, CAST(regexp_extract(weight, '([0-9]+\\.?[0-9]*)', 1) AS VARCHAR) AS wtext
+FROM b_rows r
+LEFT JOIN (SELECT bom_id, list({'sizeCode': name, 'sizeName': name, 'model': spec, 'qty': CAST(quantity AS VARCHAR)}
+    ORDER BY sequence, sid) AS fits, first(spec ORDER BY sequence, sid) FILTER (WHERE spec <> '') AS model
+  FROM b_sizes GROUP BY bom_id) s ON s.bom_id = r.bom_id
+LEFT JOIN (SELECT bom_id, list({'colorCode': c_code, 'colorName': c_name, 'model': spec,
+    'price': CAST(price AS VARCHAR)} ORDER BY cid) AS prices, list({'colorCode': c_code, 'colorName': c_name,
+    'model': spec, 'price': CAST(price AS DOUBLE)} ORDER BY cid) AS fprices
+  FROM b_prices GROUP BY bom_id) p ON p.bom_id = r.bom_id"""
+
+_BOM_VIEWS = (
+    "d_product", "d_types", "d_units", "d_partners", "d_colours", "d_sizes", "b_bom", "b_rows", "b_sizes", "b_colours",
+    "b_prices", "b_lists",
+)
+
+_COMMON = """'mateCode': m_code, 'mateName': m_name, 'mateUnit': mate_unit, 'mateSource': source, 'unit': unit,
+  'providerCode': provider_code, 'providerName': provider_name, 'price': {}, 'element': composition, 'model': model,
+  'weight': TRY_CAST(nullif(wtext, '') AS DOUBLE), 'wastRate': 0, 'part': part_name, 'remarks': memo"""
+
+
+def _bom_sql(shade: str, price: str, own: str, prices: str, head: str, field: str, gate: str) -> str:
+    fields = _COMMON.format(price) + ", " + own + f", 'mateSizeList': fits, 'mateColorPriceList': {prices}"
+    return (
+        ctes(*_BOM_VIEWS)
+        + f""", shades AS (SELECT l.bom_id, list({shade} ORDER BY c.cid) AS shades FROM b_lists l
+          JOIN b_colours c ON c.bom_id = l.bom_id GROUP BY l.bom_id),
+        entries AS (SELECT product_id, type_code, type_id, sequence, l.bom_id, {{{fields}}} AS entry FROM b_lists l
+          LEFT JOIN shades s ON s.bom_id = l.bom_id),
+        docs AS (SELECT product_id, coalesce(list(entry ORDER BY type_id, sequence, bom_id)
+            FILTER (WHERE type_code = 'B'), []) AS fabrics, coalesce(list(entry ORDER BY type_id, sequence, bom_id)
+            FILTER (WHERE type_code = 'F'), []) AS accessories FROM entries GROUP BY product_id)
+        SELECT product_id AS key, CAST(1 AS BIGINT) AS part, CAST(to_json({{'{field}': {head}, 'fabricBOMList': fabrics,
+          'accessBOMList': accessories}}) AS VARCHAR) AS document FROM docs WHERE {gate}"""
+    )
+
+
+def _bom_materials(t, form: str):
+    tables = _masters(t)
+    product = t.orders.select(
+        F.col("o_orderkey").alias("id"), F.concat(F.lit("D"), "o_orderkey").alias("design_no"),
+        (F.col("o_orderstatus") != "P").alias("active"),
+    )
+    first = F.min("l_returnflag")
+    line = F.min("l_linenumber")
+    bom = (
+        t.lineitem.groupBy(F.col("l_orderkey").alias("product_id"), F.col("l_partkey").alias("material_id"))
+        .agg(
+            F.sum("l_quantity").cast("int").alias("quantity"),
+            first.alias("memo"),
+            line.alias("parts_id"),
+            F.when(first == "A", "M2").when(first == "N", "M4").alias("supplier_type_id"),
+            line.alias("sequence"),
+            F.when(F.min("l_linestatus") == "F", F.lit("")).otherwise(F.concat(F.lit("V"), line)).alias("common_spec"),
+            (F.min("l_suppkey") % 30).alias("common_color"),
+            (F.max("l_tax") < 0.08).alias("active"),
+        )
+        .withColumn("id", F.col("product_id") * 100000 + F.col("material_id"))
+    )
+    bom_id = (F.col("l_orderkey") * 100000 + F.col("l_partkey")).alias("parent_id")
+    size_id = F.col("l_linenumber").alias("size_id")
+    product_id = F.col("l_orderkey").alias("product_id")
+    returned = t.lineitem.filter(F.col("l_returnflag") == "R")
+    accepted = t.lineitem.filter(F.col("l_returnflag") == "A")
+    size_overrides = returned.select(
+        bom_id, size_id, F.concat(F.lit("V"), F.col("l_linenumber") % 7 + 1).alias("value")
+    ).distinct()
+    colour_overrides = accepted.groupBy(bom_id, _colour_of()).agg(F.min("l_linenumber").alias("value"))
+    details = t.lineitem.select(
+        F.col("l_partkey").alias("material_id"), _colour_of(), F.concat(F.lit("V"), "l_linenumber").alias("name"),
+        m.money("l_extendedprice").alias("price"),
+    )
+    sources = t.lineitem.select("l_returnflag").distinct().select(
+        F.when(F.col("l_returnflag") == "A", "M2").when(F.col("l_returnflag") == "N", "M4").otherwise("M9").alias("id")
+    )
+    part_names = tables["sizes"].select("id", F.concat(F.lit("part "), "id").alias("name"))
+    return plan.bom_materials(
+        bom, product, _product(t), tables["types"], tables["units"], tables["partners"],
+        sources.withColumn("code", F.col("id")), part_names,
+        t.lineitem.select(product_id, size_id).distinct(),
+        t.lineitem.select(product_id, _colour_of()).distinct(),
+        size_overrides, colour_overrides, tables["sizes"], tables["colours"], details, form=form,
+    )
+
+
+_ITEM_SHADE = (
+    "{'itemColorCode': b_code, 'itemColorName': b_name, 'colorCode': c_code, 'colorName': c_name, 'mateSizeList': fits}"
+)
+_ORDER_SHADE = """{'orderColorCode': b_code, 'orderColorName': b_name, 'colorCode': c_code, 'colorName': c_name,
+  'model': model, 'price': CAST(price AS DOUBLE), 'wastRate': 0, 'sizeQty': 0, 'remark': ''}"""
+
+
+@query(
+    "doc_bom",
+    _bom_sql(
+        _ITEM_SHADE, "CAST(price AS VARCHAR)", "'mate5ource': 1, 'colorList': coalesce(shades, [])", "prices",
+        "'D' || product_id", "itemCode", "len(fabrics) > 0 AND len(accessories) > 0",
+    ),
+)
+def doc_bom(t):
+    """Item form: both lists must be filled."""
+    heads = t.orders.select(
+        F.col("o_orderkey").alias("product_id"), F.col("o_orderkey").alias("key"),
+        F.concat(F.lit("D"), "o_orderkey").alias("head"),
+    )
+    return plan.bom_documents(_bom_materials(t, "item"), heads, "itemCode", require_all=True)
+
+
+@query(
+    "doc_order_bom",
+    _bom_sql(
+        _ORDER_SHADE, "CAST(price AS DOUBLE)", "'termType': 1, 'mateColorList': coalesce(shades, [])", "fprices",
+        "'K' || product_id || '_D' || product_id", "orderNo", "len(fabrics) > 0 OR len(accessories) > 0",
+    ),
+)
+def doc_order_bom(t):
+    """Order form: either list is enough."""
+    number = F.concat(F.lit("K"), "o_orderkey", F.lit("_D"), "o_orderkey")
+    heads = t.orders.select(
+        F.col("o_orderkey").alias("product_id"), F.col("o_orderkey").alias("key"), number.alias("head")
+    )
+    return plan.bom_documents(_bom_materials(t, "order"), heads, "orderNo", require_all=False)
+
+
+# --- C16 ----------------------------------------------------------------------
+
+
+@query(
+    "doc_order",
+    ctes("d_colours", "d_sizes")
+    + f""", lines AS (SELECT l_orderkey * 100000 + l_partkey AS line_id, l_orderkey, l_partkey, max(l_shipdate) AS last,
+      min(l_shipdate) AS plan_date FROM lineitem GROUP BY l_orderkey, l_partkey
+      HAVING max(l_shipdate) > {PAST.format('1 YEAR')}),
+    items AS (SELECT line_id, list({{'colorErpId': n, 'colorCode': c_code, 'colorName': c_name,
+        'deliveryDate': strftime(l_shipdate, '%Y-%m-%d'), 'po': po, 'qty': qty, 'sizeCode': s_name, 'sizeName': s_name,
+        'outBarCode': ''}} ORDER BY cid, sid, l_shipdate, po, qty) AS items
+      FROM (SELECT l_orderkey * 100000 + l_partkey AS line_id, c.id AS cid, c.code AS c_code, c.name AS c_name,
+        s.id AS sid, s.name AS s_name, l_shipdate, 'B' || l_linestatus AS po, CAST(l_quantity AS INTEGER) AS qty,
+        dense_rank() OVER (PARTITION BY l_orderkey, l_partkey ORDER BY c.id) AS n
+        FROM lineitem JOIN d_colours c ON c.id = l_suppkey % 30 JOIN d_sizes s ON s.id = l_linenumber) GROUP BY line_id)
+    SELECT l.line_id AS key, CAST(1 AS BIGINT) AS part, CAST(to_json({{'billNo': 'K' || o_orderkey || '_D' || l_partkey,
+      'customerCode': 'C' || c_custkey, 'customerName': c_name, 'depotDeliveryDate': strftime(plan_date, '%Y-%m-%d'),
+      'createTime': strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), 'creater': n_name, 'state': 1,
+      'itemCode': 'D' || l_partkey, 'itemList': items, 'fillDate': strftime(o_orderdate, '%Y-%m-%d')}}) AS VARCHAR) AS document
+    FROM lines l JOIN orders ON o_orderkey = l_orderkey AND o_orderstatus <> 'P'
+    JOIN customer ON c_custkey = o_custkey AND c_acctbal > 0 JOIN items i ON i.line_id = l.line_id
+    LEFT JOIN nation ON n_nationkey = o_custkey % 30""",
+)
+def doc_order(t):
+    tables = _masters(t)
+    line_id = F.col("l_orderkey") * 100000 + F.col("l_partkey")
+    orders = t.orders.select(
+        F.col("o_orderkey").alias("id"), F.concat(F.lit("K"), "o_orderkey").alias("contract_no"),
+        F.col("o_custkey").alias("partner_id"), F.col("o_orderdate").alias("create_date"),
+        (F.col("o_custkey") % 30).alias("create_uid"), (F.col("o_orderstatus") != "P").alias("active"),
+    )
+    lines = t.lineitem.groupBy("l_orderkey", "l_partkey").agg(F.max("l_shipdate").alias("write_date")).select(
+        line_id.alias("id"), F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"), "write_date"
+    )
+    batches = t.lineitem.select(line_id.alias("line_id"), F.col("l_shipdate").alias("plan_date"))
+    quantities = t.lineitem.select(
+        line_id.alias("line_id"), _colour_of(), F.col("l_linenumber").alias("size_id"),
+        F.col("l_quantity").cast("int").alias("value"), F.col("l_shipdate").alias("batch_date"),
+        F.concat(F.lit("B"), "l_linestatus").alias("batch_name"),
+    )
+    product = t.part.select(F.col("p_partkey").alias("id"), F.concat(F.lit("D"), "p_partkey").alias("design_no"))
+    partners = t.customer.select(
+        F.col("c_custkey").alias("id"), F.concat(F.lit("C"), "c_custkey").alias("code"), F.col("c_name").alias("name"),
+        (F.col("c_acctbal") > 0).alias("active"),
+    )
+    users = t.nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("login"))
+    heads = plan.order_heads(orders, lines, batches, quantities, product, partners, users, AS_OF, "1 year")
+    return plan.order_documents(heads, quantities, tables["colours"], tables["sizes"])
+
+
+# --- C17 ----------------------------------------------------------------------
+
+
+@query(
+    "doc_purchase",
+    ctes("d_product", "d_units", "d_colours")
+    + f""", heads AS (SELECT o.*, s_suppkey AS sold FROM orders o JOIN (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem) x
+        ON x.l_orderkey = o_orderkey JOIN supplier s ON s_suppkey = x.l_suppkey
+      WHERE o_orderstatus <> 'P' AND o_orderdate > {PAST.format('2 YEAR')}),
+    bought AS (SELECT l_orderkey, l_suppkey, list({{'idx': n, 'mateCode': code, 'mateName': name, 'mateUnit': unit,
+        'qty': qty, 'colorCode': c_code, 'colorName': c_name, 'model': model, 'weight': weight, 'currPrice': price,
+        'currAmount': amount}} ORDER BY n) AS items
+      FROM (SELECT l_orderkey, l_suppkey, p.code, p.name, u.name AS unit, c.code AS c_code, c.name AS c_name,
+          'm' || l_linenumber AS model, CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS qty,
+          TRY_CAST(nullif(regexp_extract(p.weight, '([0-9]+\\.?[0-9]*)', 1), '') AS DOUBLE) AS weight,
+          l_extendedprice AS price, l_discount AS amount, row_number() OVER (PARTITION BY l_orderkey, l_suppkey
+            ORDER BY l_linenumber, l_partkey, qty, l_extendedprice, l_discount) AS n
+        FROM lineitem JOIN d_product p ON p.id = l_partkey JOIN d_units u ON u.id = p.unit_id
+        JOIN d_colours c ON c.id = l_partkey % 30 WHERE l_returnflag <> 'R') GROUP BY l_orderkey, l_suppkey)
+    SELECT h.o_orderkey AS order_id, h.sold AS sale_order_line, CAST(1 AS BIGINT) AS part, CAST(to_json({{
+      'billNo': 'P' || h.o_orderkey || '_' || c_name || '_D' || h.sold,
+      'mateType': CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 2 END, 'fillDate': strftime(o_orderdate, '%Y-%m-%d'),
+      'providerCode': 'S' || b.s_suppkey, 'providerName': b.s_name,
+      'deliveryDate': strftime(o_orderdate + INTERVAL 30 DAY, '%Y-%m-%d'), 'orderBillNO': c_name || '_D' || h.sold,
+      'deliveryType': '', 'taxRate': CASE o_orderpriority WHEN '1-URGENT' THEN '13' ELSE '0.0' END, 'currency': n_name,
+      'exchangeRate': '7', 'creater': r_name, 'checkTime': strftime(o_orderdate, '%Y-%m-%d'),
+      'linkTel': 'T' || b.s_suppkey, 'state': 1, 'wmsPurListList': items}}) AS VARCHAR) AS document
+    FROM heads h JOIN bought ON l_orderkey = h.o_orderkey AND l_suppkey = h.sold
+    JOIN customer ON c_custkey = h.sold JOIN part ON p_partkey = h.sold
+    JOIN supplier b ON b.s_suppkey = h.o_custkey // 20 JOIN nation ON n_nationkey = h.o_custkey % 30
+    LEFT JOIN region ON r_regionkey = h.o_custkey % 7""",
+)
+def doc_purchase(t):
+    tables = _masters(t)
+    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+    purchases = t.orders.select(
+        F.col("o_orderkey").alias("id"),
+        F.concat(F.lit("P"), "o_orderkey").alias("name"),
+        F.when(status == "F", "B").otherwise("F").alias("type"),
+        F.col("o_orderdate").alias("create_date"),
+        (F.col("o_orderdate") + F.expr("interval 30 days")).alias("delivery_date"),
+        F.when(priority == "1-URGENT", 13).when(priority == "5-LOW", 0).alias("tax_rate"),
+        F.lit(7).alias("currency_rate"),
+        F.expr("o_custkey div 20").alias("supplier_id"),
+        (F.col("o_custkey") % 30).alias("currency_id"),
+        (F.col("o_custkey") % 7).alias("create_uid"),
+        F.lit(True).alias("active"),
+        F.when(status == "P", "draft").otherwise("audit").alias("state"),
+        F.col("o_orderdate").alias("write_date"),
+    )
+    purchase_lines = t.lineitem.select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_suppkey").alias("sale_order_line"),
+        F.col("l_partkey").alias("material_material_id"),
+        (F.col("l_partkey") % 30).alias("material_color_id"),
+        F.concat(F.lit("m"), "l_linenumber").alias("material_name"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+        F.col("l_extendedprice").alias("price"),
+        F.col("l_discount").alias("total_price"),
+        F.col("l_linenumber").alias("sequence"),
+        F.col("l_partkey").alias("id"),
+        (F.col("l_returnflag") != "R").alias("active"),
+    )
+    orders = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("contract_no"))
+    lines = t.supplier.select(
+        F.col("s_suppkey").alias("id"), F.col("s_suppkey").alias("order_id"), F.col("s_suppkey").alias("product_id")
+    )
+    partners = tables["partners"].withColumn("phone", F.concat(F.lit("T"), "id"))
+    currencies = t.nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
+    users = t.region.select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("login"))
+    return plan.purchase_documents(
+        purchases, purchase_lines, orders, lines, _product(t), partners, currencies, users, _product(t),
+        tables["units"], tables["colours"], AS_OF, "2 years",
+    )
+
+
+# --- C18 ----------------------------------------------------------------------
+
+VIEWS["d_people"] = """
+SELECT c_custkey AS id, 'C' || c_custkey AS code, c_name AS name, left(c_name, 4) AS short_name,
+  nullif(c_mktsegment, 'BUILDING') AS memo, 'T' || c_nationkey AS phone, 'A' || c_custkey AS address,
+  'R' || c_nationkey AS represent, c_nationkey > 12 AS customer, c_mktsegment = 'BUILDING' AS brand,
+  c_acctbal < 0 AS supplier_material, nullif(c_nationkey, 3) < 5 AS supplier_processing, c_acctbal > 9000
+  AS supplier_service, TIMESTAMP '2001-10-10' + to_days(c_nationkey) AS write_date FROM customer"""
+
+
+def _people(t):
+    key, nation = F.col("c_custkey"), F.col("c_nationkey")
+    return t.customer.select(
+        key.alias("id"),
+        F.concat(F.lit("C"), key).alias("code"),
+        F.col("c_name").alias("name"),
+        F.left("c_name", F.lit(4)).alias("short_name"),
+        F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")).alias("memo"),
+        F.concat(F.lit("T"), nation).alias("phone"),
+        F.concat(F.lit("A"), key).alias("address"),
+        F.concat(F.lit("R"), nation).alias("represent"),
+        (nation > 12).alias("customer"),
+        (F.col("c_mktsegment") == "BUILDING").alias("brand"),
+        (F.col("c_acctbal") < 0).alias("supplier_material"),
+        (F.nullif(nation, F.lit(3)) < 5).alias("supplier_processing"),
+        (F.col("c_acctbal") > 9000).alias("supplier_service"),
+        m.days_after("2001-10-10", "c_nationkey").alias("write_date"),
+    )
+
+
+def _partner_sql(fields: str, keep: str) -> str:
+    return (
+        ctes("d_people")
+        + f""" SELECT CAST((n - 1) // 500 AS BIGINT) AS chunk, CAST(to_json(list({{{fields}}} ORDER BY n)) AS VARCHAR)
+        AS document FROM (SELECT *, row_number() OVER (ORDER BY id) AS n FROM d_people
+          WHERE ({keep}) AND write_date > {PAST.format('15 DAY')}) GROUP BY 1"""
+    )
+
+
+_CUSTOMER = "'code': code, 'name': name, 'shortName': short_name{}, 'remark': memo, 'linkTel': phone, 'linkAdress': address"
+
+
+@query("doc_customer", _partner_sql(_CUSTOMER.format(""), "customer OR brand"))
+def doc_customer(t):
+    return plan.partner_documents(_people(t), ("customer", "brand"), plan.customer_entry(), AS_OF, "15 days")
+
+
+@query("doc_factory", _partner_sql(_CUSTOMER.format(", 'headquarters': ''"), "supplier_processing"))
+def doc_factory(t):
+    entry = plan.customer_entry(headquarters=True)
+    return plan.partner_documents(_people(t), ("supplier_processing",), entry, AS_OF, "15 days")
+
+
+@query(
+    "doc_provider",
+    _partner_sql(
+        "'providerType': CASE WHEN supplier_material THEN '3' ELSE '4' END, 'code': code, 'name': name, "
+        "'shortName': short_name, 'linkAdress': address, 'linkTel': phone, 'linkName': represent, 'remark': memo",
+        "supplier_material OR supplier_processing OR supplier_service",
+    ),
+)
+def doc_provider(t):
+    roles = ("supplier_material", "supplier_processing", "supplier_service")
+    return plan.partner_documents(_people(t), roles, plan.provider_entry(), AS_OF, "15 days")
