@@ -320,7 +320,7 @@ def doc_bom(t):
         F.col("o_orderkey").alias("product_id"), F.col("o_orderkey").alias("key"),
         F.concat(F.lit("D"), "o_orderkey").alias("head"),
     )
-    return plan.bom_documents(_bom_materials(t, "item"), heads, "itemCode", require_all=True)
+    return plan.bom_documents(*_bom_materials(t, "item"), heads, "itemCode", require_all=True)
 
 
 @query(
@@ -336,7 +336,7 @@ def doc_order_bom(t):
     heads = t.orders.select(
         F.col("o_orderkey").alias("product_id"), F.col("o_orderkey").alias("key"), number.alias("head")
     )
-    return plan.bom_documents(_bom_materials(t, "order"), heads, "orderNo", require_all=False)
+    return plan.bom_documents(*_bom_materials(t, "order"), heads, "orderNo", require_all=False)
 
 
 # --- C16 ----------------------------------------------------------------------
@@ -472,7 +472,7 @@ VIEWS["d_people"] = """
 SELECT c_custkey AS id, 'C' || c_custkey AS code, c_name AS name, left(c_name, 4) AS short_name,
   nullif(c_mktsegment, 'BUILDING') AS memo, 'T' || c_nationkey AS phone, 'A' || c_custkey AS address,
   'R' || c_nationkey AS represent, c_nationkey > 12 AS customer, c_mktsegment = 'BUILDING' AS brand,
-  c_acctbal < 0 AS supplier_material, nullif(c_nationkey, 3) < 5 AS supplier_processing, c_acctbal > 9000
+  c_acctbal < 0 AS supplier_material, nullif(c_nationkey, 9) < 12 AS supplier_processing, c_acctbal > 9000
   AS supplier_service, TIMESTAMP '2001-10-10' + to_days(c_nationkey) AS write_date FROM customer"""
 
 
@@ -490,7 +490,7 @@ def _people(t):
         (nation > 12).alias("customer"),
         (F.col("c_mktsegment") == "BUILDING").alias("brand"),
         (F.col("c_acctbal") < 0).alias("supplier_material"),
-        (F.nullif(nation, F.lit(3)) < 5).alias("supplier_processing"),
+        (F.nullif(nation, F.lit(9)) < 12).alias("supplier_processing"),
         (F.col("c_acctbal") > 9000).alias("supplier_service"),
         m.days_after("2001-10-10", "c_nationkey").alias("write_date"),
     )

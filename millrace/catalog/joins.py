@@ -278,10 +278,11 @@ def latest_per_key_nulls(t):
 
 @query(
     "cross_join",
-    "SELECT n_nationkey, r_name FROM nation CROSS JOIN region",
+    "SELECT s_suppkey, r_name FROM supplier CROSS JOIN region",
 )
 def cross_join(t):
-    return lookup.fan_out(t.nation.select("n_nationkey"), t.region, "r_name", "r_name")
+    """Every supplier with every region; the constant side is read once as an array."""
+    return lookup.fan_out(t.supplier.select("s_suppkey"), t.region, "r_name", "r_name")
 
 
 @query(

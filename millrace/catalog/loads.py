@@ -124,16 +124,16 @@ def bit_to_int(t):
 
 @query(
     "evolve_schema",
-    """SELECT n_nationkey, n_name, CAST(NULL AS INTEGER) AS origin_id, CAST(NULL AS BIGINT) AS origin_parent_id
-    FROM nation UNION ALL SELECT r_regionkey, r_name, r_regionkey, NULL FROM region""",
+    """SELECT c_custkey, c_name, CAST(NULL AS INTEGER) AS origin_id, CAST(NULL AS BIGINT) AS origin_parent_id
+    FROM customer UNION ALL SELECT s_suppkey, s_name, s_nationkey, NULL FROM supplier""",
 )
 def evolve_schema(t):
     """A column added twice stays one column; rows with it can then be appended."""
-    base = t.nation.select("n_nationkey", "n_name")
+    base = t.customer.select("c_custkey", "c_name")
     evolved = rows.evolve_schema(base, {"origin_id": "int", "origin_parent_id": "bigint"})
     evolved = rows.evolve_schema(evolved, {"origin_id": "int"})
-    more = t.region.select(
-        F.col("r_regionkey").alias("n_nationkey"), F.col("r_name").alias("n_name"), F.col("r_regionkey").alias("origin_id")
+    more = t.supplier.select(
+        F.col("s_suppkey").alias("c_custkey"), F.col("s_name").alias("c_name"), F.col("s_nationkey").alias("origin_id")
     )
     return evolved.unionByName(more, allowMissingColumns=True)
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from millrace.operators.skew import null_spread, row_hash
+from millrace.operators.skew import key_side, null_spread, row_hash, spread_zero
 
 #: Upper bound of a constant set that is fanned out over entities.
 MAX_CONSTANTS = 10_000
@@ -38,7 +38,7 @@ def lookup(
     left = fact.withColumn("_spread", null_spread(fact, keys)) if how == "left" else fact
     condition = [F.col(f) == F.col(f"_d_{d}") for f, d in on.items()]
     if how == "left":
-        side = side.withColumn("_zero", F.lit(0))
+        side = side.withColumn("_zero", spread_zero([f"_d_{d}" for d in on.values()]))
         condition.append(F.col("_spread") == F.col("_zero"))
     if salt > 1:
         left = left.withColumn("_salt", F.pmod(row_hash(fact, keys), F.lit(salt)).cast("int"))
@@ -187,11 +187,11 @@ def anti_null_aware(df: DataFrame, column: str, listed: DataFrame, listed_column
 
 def missing_from(df: DataFrame, other: DataFrame, on: Mapping[str, str]) -> DataFrame:
     """``NOT EXISTS``: rows without a partner; a null key counts as missing."""
-    side = other.select(*[F.col(c).alias(f"_o_{c}") for c in on.values()]).distinct()
+    side = key_side(other, list(on.values()), "_o_")
     left = df.withColumn("_spread", null_spread(df, list(on)))
     condition = [F.col(a) == F.col(f"_o_{b}") for a, b in on.items()]
     condition.append(F.col("_spread") == F.col("_zero"))
-    return left.join(side.withColumn("_zero", F.lit(0)), condition, "left_anti").select(*df.columns)
+    return left.join(side, condition, "left_anti").select(*df.columns)
 
 
 def present_in(df: DataFrame, other: DataFrame, on: Mapping[str, str]) -> DataFrame:

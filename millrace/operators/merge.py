@@ -15,7 +15,7 @@ from pyspark.sql import Window
 from millrace.functions import differs
 from millrace.operators.lookup import fan_out, missing_from
 from millrace.operators.numbering import number_rows
-from millrace.operators.skew import any_null, null_spread
+from millrace.operators.skew import any_null, key_side, null_spread, spread_zero
 from millrace.session import cut_lineage
 
 
@@ -131,9 +131,12 @@ def fill_ids(merged: DataFrame, target: DataFrame, keys: Sequence[str], id_colum
 
 
 def _matched(target: DataFrame, source: DataFrame, keys: Sequence[str], extra: Sequence[str] = ()):
-    side = source.select(*[F.col(c).alias(f"_s_{c}") for c in [*keys, *extra]])
-    side = side.distinct() if not extra else side
-    side = side.withColumn("_in", F.lit(True)).withColumn("_zero", F.lit(0))
+    if extra:
+        columns = [F.col(c).alias(f"_s_{c}") for c in [*keys, *extra]]
+        side = source.select(*columns, spread_zero(keys).alias("_zero"))
+    else:
+        side = key_side(source, keys, "_s_")
+    side = side.withColumn("_in", F.lit(True))
     condition = [F.col(k) == F.col(f"_s_{k}") for k in keys]
     condition.append(F.col("_spread") == F.col("_zero"))
     return target.withColumn("_spread", null_spread(target, keys)).join(side, condition, "left")
@@ -289,7 +292,7 @@ def backfill_parent(
 ) -> DataFrame:
     """Set the parent's surrogate id from its natural key; unresolved rows keep theirs."""
     ids = df.filter(F.col(natural).isNotNull()).select(
-        F.col(natural).alias("_natural"), F.col(id_column).alias("_parent"), F.lit(0).alias("_zero")
+        F.col(natural).alias("_natural"), F.col(id_column).alias("_parent"), spread_zero([natural]).alias("_zero")
     )
     joined = df.withColumn("_spread", null_spread(df, [natural_parent])).join(
         ids,

@@ -51,21 +51,23 @@ def nested_collect(
 
 
 def _in_order() -> Column:
-    pairs = F.array_sort(F.collect_list(F.struct("_ord", "_item")))
-    return F.transform(pairs, lambda p: p["_item"])
+    return F.sort_array(F.collect_list(F.struct("_ord", "_item"))).getField("_item")
 
 
 def _collect_whole(shaped: DataFrame, keys: list[str], out: str, max_items: int) -> DataFrame:
-    """One shuffle; an array that still exceeds ``max_items`` is sliced into its parts."""
-    whole = shaped.groupBy(*keys).agg(_in_order().alias("_all"))
+    """One shuffle; an array that still exceeds ``max_items`` is sliced into its parts.
+
+    Rows move to their parent before they are collected: arrays built ahead of the
+    shuffle would not be smaller than the rows, and cost a sort of the input.
+    """
+    whole = shaped.repartition(*keys).groupBy(*keys).agg(_in_order().alias("_all"))
     last = F.ceil(F.size("_all") / F.lit(max_items)).cast("int")
     numbered = whole.withColumn("_part", F.explode(F.sequence(F.lit(1), last)))
     first = (F.col("_part") - 1) * max_items + 1
-    return numbered.select(
-        *keys,
-        F.col("_part").cast("long").alias("part"),
-        F.slice("_all", first, F.lit(max_items)).alias(out),
+    piece = F.when(F.size("_all") <= max_items, F.col("_all")).otherwise(
+        F.slice("_all", first, F.lit(max_items))
     )
+    return numbered.select(*keys, F.col("_part").cast("long").alias("part"), piece.alias(out))
 
 
 def attach_parts(heads: DataFrame, keys: Sequence[str], lists: dict[str, DataFrame]) -> DataFrame:
@@ -116,12 +118,9 @@ def string_agg(
     df: DataFrame, keys: Sequence[str], value: str, order_by: Sequence[Column], out: str, separator: str = ""
 ) -> DataFrame:
     """Values joined in order, for groups already bounded (a top n)."""
-    ordered = F.array_sort(
-        F.collect_list(F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order_by)], F.col(value).alias("v")))
-    )
-    return df.groupBy(*keys).agg(
-        F.array_join(F.transform(ordered, lambda p: p["v"]), separator).alias(out)
-    )
+    entry = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order_by)], F.col(value).alias("v"))
+    ordered = F.sort_array(F.collect_list(entry)).getField("v")
+    return df.groupBy(*keys).agg(F.array_join(ordered, separator).alias(out))
 
 
 def split_collect(
@@ -162,7 +161,7 @@ def json_chunks(
     numbered = number_rows(shaped, order_by, "_n")
     chunk = F.floor((F.col("_n") - 1) / chunk_rows).cast("long")
     entry = F.struct(F.col("_n"), F.col("_item"))
-    items = F.transform(F.array_sort(F.collect_list(entry)), lambda p: p["_item"])
+    items = F.sort_array(F.collect_list(entry)).getField("_item")
     return (
         numbered.withColumn("chunk", chunk)
         .groupBy("chunk")

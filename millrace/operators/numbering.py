@@ -41,8 +41,8 @@ def number_rows(
     """
     ranged = _ranged(df, order_by, partitions)
     sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_rows"))
-    # One row per range: bounded by the number of partitions.
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range, so this single group is bounded by the number of partitions.
+    before = Window.partitionBy(F.lit(0)).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
         F.col("_pid").alias("_start_pid"),
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),

@@ -39,6 +39,25 @@ def null_spread(df: DataFrame, keys: Sequence[str]) -> Column:
     return F.when(any_null(keys), bucket).otherwise(F.lit(0))
 
 
+def spread_zero(keys: Sequence[str]) -> Column:
+    """What the dimension side of a spread join meets ``null_spread`` with: 0 for a key.
+
+    Computed rather than a literal: a literal would be folded out of the join keys,
+    and the null rows would meet in one task again.
+    """
+    return F.when(any_null(keys), F.lit(-1)).otherwise(F.lit(0))
+
+
+def key_side(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
+    """Distinct keys as the other side of a spread join, with ``_zero`` to meet the spread.
+
+    The distinct and the join share one hash partitioning; the distinct combines
+    map-side, which flattens a hot key.
+    """
+    names = [F.col(k).alias(f"{prefix}{k}") for k in keys]
+    return df.select(*names, spread_zero(keys).alias("_zero")).distinct()
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """Keys that hold about ``hot_rows`` rows or more, or None if there are none.
 
@@ -51,5 +70,6 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
         rows = rows.sample(fraction=fraction, seed=17)
     enough = max(2.0, hot_rows * fraction * 0.5) if fraction < 1.0 else hot_rows
     found = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= enough)
-    found = cut_lineage(found.drop("_n"))
-    return None if found.isEmpty() else found
+    found = found.drop("_n")
+    # Both branches of a caller must see the same keys, so found keys are pinned.
+    return None if found.isEmpty() else cut_lineage(found)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.skew import null_spread
+from millrace.operators.skew import null_spread, spread_zero
 from millrace.session import cut_lineage
 
 
@@ -48,7 +48,7 @@ def tree_paths(
             F.col("names").alias("a_names"),
             F.col("ids").alias("a_ids"),
             F.col("reached").alias("a_reached"),
-            F.lit(0).alias("_zero"),
+            spread_zero(["node"]).alias("_zero"),
         )
         joined = state.withColumn("_spread", null_spread(state, ["up"])).join(
             above, (F.col("up") == F.col("a_node")) & (F.col("_spread") == F.col("_zero")), "left"
@@ -130,7 +130,7 @@ def children_of(df: DataFrame, node, parent: str = "parent_id") -> DataFrame:
 
 def _with_parent(df: DataFrame, id_column: str, parent: str, deleted: str) -> DataFrame:
     above = df.select(
-        F.col(id_column).alias("_p_id"), F.col(deleted).alias("_p_deleted"), F.lit(0).alias("_zero")
+        F.col(id_column).alias("_p_id"), F.col(deleted).alias("_p_deleted"), spread_zero([id_column]).alias("_zero")
     )
     return df.withColumn("_spread", null_spread(df, [parent])).join(
         above, (F.col(parent) == F.col("_p_id")) & (F.col("_spread") == F.col("_zero")), "left"

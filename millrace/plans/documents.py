@@ -17,6 +17,7 @@ from millrace.functions import (
 )
 from millrace.operators import keys, nesting, numbering
 from millrace.operators.lookup import lookup
+from millrace.session import cut_lineage
 
 # Codes and limits of the exchange format.
 FABRIC, ACCESSORY = "B", "F"
@@ -253,26 +254,27 @@ def bom_materials(
     details: DataFrame,
     form: str = "item",
     cap: int | None = BOM_ROWS,
-) -> DataFrame:
-    """(product_id, type_code, ordering columns, material object) per BOM row and part.
+) -> tuple[DataFrame, DataFrame]:
+    """(BOM rows, material objects with product_id, type_code and ordering columns).
 
     ``form`` is "item" or "order": the two consumers name and type some fields differently.
+    Rows, sizes and colours feed several lists each, so they are written once.
     """
     rows = bom_rows(bom, product, material, types, cap)
     rows = lookup(rows, units, {"unit_id": "id"}, {"mate_unit": "name"})
     rows = lookup(rows, units, {"min_package_unit_id": "id"}, {"pack_unit": "name"})
     rows = lookup(rows, partners, {"supplier_id": "id"}, {"provider_code": "code", "provider_name": "name"})
     rows = lookup(rows, supplier_types, {"supplier_type_id": "id"}, {"source_code": "code"})
-    rows = lookup(rows, part_names, {"parts_id": "id"}, {"part_name": "name"})
+    rows = cut_lineage(lookup(rows, part_names, {"parts_id": "id"}, {"part_name": "name"}))
 
-    size_rows = bom_sizes(rows, product_sizes, size_overrides, sizes)
-    colour_rows = bom_colours(rows, product_colours, colour_overrides, colours)
+    size_rows = cut_lineage(bom_sizes(rows, product_sizes, size_overrides, sizes))
+    colour_rows = cut_lineage(bom_colours(rows, product_colours, colour_overrides, colours))
     price_rows = bom_prices(colour_rows, size_rows, details)
     size_rank = F.struct("s_sequence", "sid")
     first_spec = size_rows.filter(F.col("spec") != "").groupBy("bom_id").agg(
         F.min_by("spec", size_rank).alias("model")
     )
-    rows = rows.join(first_spec, "bom_id", "left")
+    headed = rows.join(first_spec, "bom_id", "left")
 
     size_list = nesting.nested_collect(
         size_rows, ["bom_id"], ["s_sequence", "sid"], F.struct("s_name", "spec"), "size_list"
@@ -281,10 +283,11 @@ def bom_materials(
         colour_rows, ["bom_id"], ["cid"], F.struct("b_code", "b_name", "c_code", "c_name"), "colour_list"
     )
     price_list = nesting.nested_collect(
-        price_rows, ["bom_id"], ["cid"], F.struct("c_code", "c_name", "spec", "price"), "price_list"
+        price_rows, ["bom_id"], ["cid"], F.struct("c_code", "c_name", "spec", "price"), "price_list",
+        sizes=colour_rows,
     )
     lists = {"size_list": size_list, "colour_list": colour_list, "price_list": price_list}
-    full = nesting.attach_parts(rows, ["bom_id"], lists)
+    full = nesting.attach_parts(headed, ["bom_id"], lists)
 
     is_item = form == "item"
 
@@ -336,27 +339,29 @@ def bom_materials(
     )
     own = dict(mate5ource=one, colorList=shades) if is_item else dict(termType=one, mateColorList=shades)
     entry = _item(**common, **own, mateSizeList=fits, mateColorPriceList=offers)
-    return full.select(
-        "product_id", "design_no", "type_code", "type_id", "sequence", "bom_id",
-        F.col("part").alias("piece"), entry.alias("entry"),
+    materials = full.select(
+        "product_id", "type_code", "type_id", "sequence", "bom_id", F.col("part").alias("piece"), entry.alias("entry")
     )
+    return rows, materials
 
 
-def bom_documents(materials: DataFrame, heads: DataFrame, head_field: str, require_all: bool) -> DataFrame:
+def bom_documents(
+    rows: DataFrame, materials: DataFrame, heads: DataFrame, head_field: str, require_all: bool
+) -> DataFrame:
     """BOM documents of the heads (product_id, key, head text): fabrics and accessories apart.
 
-    ``require_all`` asks for both lists, otherwise one is enough.
+    ``require_all`` asks for both lists, otherwise one is enough. The gate looks at
+    the product's rows, not at one part of its document.
     """
+    kinds = F.collect_set("type_code")
+    passed = rows.groupBy("product_id").agg(F.size(kinds).alias("kinds"))
+    passed = passed.filter(F.col("kinds") == (2 if require_all else F.col("kinds"))).select("product_id")
     order = ["type_id", "sequence", "bom_id", "piece"]
-    kinds = {"fabrics": FABRIC, "accessories": ACCESSORY}
-    lists = nesting.split_collect(materials, ["product_id"], "type_code", kinds, order, F.col("entry"))
-    # The gate looks at the product, not at one part of it.
-    has = lists.groupBy("product_id").agg(
-        F.max(F.size("fabrics")).alias("n_f"), F.max(F.size("accessories")).alias("n_a")
-    )
-    test = (F.col("n_f") > 0) & (F.col("n_a") > 0) if require_all else (F.col("n_f") > 0) | (F.col("n_a") > 0)
-    passed = lists.join(has.filter(test).select("product_id"), "product_id", "left_semi")
-    docs = heads.join(passed, "product_id")
+    lists = nesting.split_collect(
+        materials.join(passed, "product_id", "left_semi"), ["product_id"], "type_code",
+        {"fabrics": FABRIC, "accessories": ACCESSORY}, order, F.col("entry"), sizes=rows,
+    )
+    docs = heads.join(lists, "product_id")
     body = F.struct(
         F.col("head").alias(head_field),
         F.col("fabrics").alias("fabricBOMList"),

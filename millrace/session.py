@@ -31,6 +31,7 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, **conf: str) ->
         SparkSession.builder.master(f"local[{cores}]")
         .appName("millrace")
         .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for key, value in conf.items():
