@@ -32,30 +32,47 @@ def lookup(
     over tasks. ``salt`` above 1 also spreads every key over that many tasks, for a
     fact known to have hot keys; the dimension is then repeated ``salt`` times.
     """
+    joined, helpers = _attach(fact, dim, on, columns, how, salt)
+    return joined.drop(*helpers)
+
+
+def _attach(
+    fact: DataFrame,
+    dim: DataFrame,
+    on: Mapping[str, str],
+    columns: Mapping[str, str],
+    how: str,
+    salt: int = 1,
+    tag: str = "",
+) -> tuple[DataFrame, list[str]]:
+    """The joined rows and the names of the helper columns to drop."""
     keys = list(on)
-    wanted = {d: None for d in [*on.values(), *columns.values()]}
-    side = dim.select(*[F.col(c).alias(f"_d_{c}") for c in wanted])
-    left = fact.withColumn("_spread", null_spread(fact, keys)) if how == "left" else fact
-    condition = [F.col(f) == F.col(f"_d_{d}") for f, d in on.items()]
+    key_names = {d: f"_k{tag}_{d}" for d in on.values()}
+    side = dim.select(
+        *[F.col(d).alias(k) for d, k in key_names.items()],
+        *[F.col(d).alias(out) for out, d in columns.items()],
+    )
+    condition = [F.col(f) == F.col(key_names[d]) for f, d in on.items()]
     if how == "left":
-        side = side.withColumn("_zero", spread_zero([f"_d_{d}" for d in on.values()]))
-        condition.append(F.col("_spread") == F.col("_zero"))
+        condition.append(null_spread(fact, keys) == spread_zero(list(key_names.values())))
+    helpers = list(key_names.values())
     if salt > 1:
-        left = left.withColumn("_salt", F.pmod(row_hash(fact, keys), F.lit(salt)).cast("int"))
-        side = side.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-        condition.append(F.col("_salt") == F.col("_copy"))
-    joined = left.join(side, condition, how)
-    added = [F.col(f"_d_{d}").alias(out) for out, d in columns.items()]
-    return joined.select(*fact.columns, *added)
+        copy = f"_copy{tag}"
+        side = side.withColumn(copy, F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        condition.append(F.pmod(row_hash(fact, keys), F.lit(salt)).cast("int") == F.col(copy))
+        helpers.append(copy)
+    return fact.join(side, condition, how), helpers
 
 
 def role_lookup(
     fact: DataFrame, dim: DataFrame, dim_key: str, roles: Mapping[str, Mapping[str, str]]
 ) -> DataFrame:
     """One dimension joined once per role: ``roles`` maps a key column to its outputs."""
-    for key, columns in roles.items():
-        fact = lookup(fact, dim, {key: dim_key}, columns)
-    return fact
+    helpers: list[str] = []
+    for i, (key, columns) in enumerate(roles.items()):
+        fact, more = _attach(fact, dim, {key: dim_key}, columns, "left", tag=str(i))
+        helpers += more
+    return fact.drop(*helpers)
 
 
 def role_lookup_folded(
@@ -188,10 +205,9 @@ def anti_null_aware(df: DataFrame, column: str, listed: DataFrame, listed_column
 def missing_from(df: DataFrame, other: DataFrame, on: Mapping[str, str]) -> DataFrame:
     """``NOT EXISTS``: rows without a partner; a null key counts as missing."""
     side = key_side(other, list(on.values()), "_o_")
-    left = df.withColumn("_spread", null_spread(df, list(on)))
     condition = [F.col(a) == F.col(f"_o_{b}") for a, b in on.items()]
-    condition.append(F.col("_spread") == F.col("_zero"))
-    return left.join(side, condition, "left_anti").select(*df.columns)
+    condition.append(null_spread(df, list(on)) == F.col("_zero"))
+    return df.join(side, condition, "left_anti")
 
 
 def present_in(df: DataFrame, other: DataFrame, on: Mapping[str, str]) -> DataFrame:

@@ -131,15 +131,19 @@ def fill_ids(merged: DataFrame, target: DataFrame, keys: Sequence[str], id_colum
 
 
 def _matched(target: DataFrame, source: DataFrame, keys: Sequence[str], extra: Sequence[str] = ()):
+    """Target rows with ``_in`` set where the source has the key, and its ``extra`` columns.
+
+    Without extra columns a repeated source key is harmless; with them it fails.
+    """
+    left = target.withColumn("_spread", null_spread(target, keys))
     if extra:
-        columns = [F.col(c).alias(f"_s_{c}") for c in [*keys, *extra]]
-        side = source.select(*columns, spread_zero(keys).alias("_zero"))
+        side = _source_side(source.select(*keys, *extra), keys).withColumnRenamed("_s__in", "_in")
+        meet = "_s__spread"
     else:
-        side = key_side(source, keys, "_s_")
-    side = side.withColumn("_in", F.lit(True))
+        side = key_side(source, keys, "_s_").withColumn("_in", F.lit(True))
+        meet = "_zero"
     condition = [F.col(k) == F.col(f"_s_{k}") for k in keys]
-    condition.append(F.col("_spread") == F.col("_zero"))
-    return target.withColumn("_spread", null_spread(target, keys)).join(side, condition, "left")
+    return left.join(side, [*condition, F.col("_spread") == F.col(meet)], "left")
 
 
 def archive_missing(

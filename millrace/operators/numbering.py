@@ -67,10 +67,15 @@ def number_in_group(
     order_by: Sequence[str],
     out: str,
     hot_rows: int = HOT_ROWS,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
-    """1..n inside each group. Groups too large for one task are cut into ranges."""
+    """1..n inside each group. Groups too large for one task are cut into ranges.
+
+    ``sizes`` is a cheaper table with at least as many rows per group, to look for
+    large groups in.
+    """
     plain = F.row_number().over(Window.partitionBy(*group).orderBy(*order_by)).cast("long")
-    hot = hot_keys(df, group, hot_rows)
+    hot = hot_keys(df if sizes is None else sizes, group, hot_rows)
     if hot is None:
         return df.withColumn(out, plain)
     cold = df.join(hot, list(group), "left_anti").withColumn(out, plain)

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 from millrace.session import cut_lineage
 
-#: Buckets that rows with a null key are spread over.
-NULL_BUCKETS = 256
 #: A group above this many rows is not handled by one task.
 HOT_ROWS = 1_000_000
 
@@ -30,13 +28,12 @@ def row_hash(df: DataFrame, keys: Sequence[str]) -> Column:
 
 
 def null_spread(df: DataFrame, keys: Sequence[str]) -> Column:
-    """0 for a complete key; for an incomplete one a bucket taken from the row.
+    """0 for a complete key; for an incomplete one a hash of the row.
 
     As an extra equality column it leaves every match alone (a null key never
-    matches) and keeps the null rows from meeting in a single task.
+    matches) and sends the null rows to all tasks instead of a single one.
     """
-    bucket = F.pmod(row_hash(df, keys), F.lit(NULL_BUCKETS)).cast("int")
-    return F.when(any_null(keys), bucket).otherwise(F.lit(0))
+    return F.when(any_null(keys), row_hash(df, keys)).otherwise(F.lit(0).cast("long"))
 
 
 def spread_zero(keys: Sequence[str]) -> Column:
@@ -45,7 +42,7 @@ def spread_zero(keys: Sequence[str]) -> Column:
     Computed rather than a literal: a literal would be folded out of the join keys,
     and the null rows would meet in one task again.
     """
-    return F.when(any_null(keys), F.lit(-1)).otherwise(F.lit(0))
+    return F.when(any_null(keys), F.lit(-1)).otherwise(F.lit(0)).cast("long")
 
 
 def key_side(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:

@@ -59,7 +59,8 @@ def material_documents(
     heads = _inner(heads, _named(units, "u", "name"), "unit_id", "u")
     heads = _inner(heads, _named(categories, "c", "full_code", "name"), "first_id", "c")
     supplier = {"supplier_code": "code", "supplier_name": "name"}
-    heads = lookup(heads, partners, {"supplier_id": "id"}, supplier)
+    # The changed rows select their details and head the documents: written once.
+    heads = cut_lineage(lookup(heads, partners, {"supplier_id": "id"}, supplier))
 
     rows = details.select(F.col("material_id").alias("id"), F.col("name").alias("model"), "color_id")
     rows = rows.join(heads.select("id"), "id", "left_semi")
@@ -117,6 +118,7 @@ def item_documents(
     heads = _inner(heads, _named(units, "u", "name"), "unit_id", "u")
     for table, key, columns in masters.values():
         heads = lookup(heads, table, {key: "id"}, columns)
+    heads = cut_lineage(heads)
 
     ids = heads.select(F.col("id").alias("product_id"))
     shades = _inner(
@@ -398,10 +400,12 @@ def order_heads(
     heads = heads.join(customers, "partner_id")
     heads = heads.join(product.select(F.col("id").alias("product_id"), "design_no"), "product_id")
     heads = lookup(heads, users, {"create_uid": "id"}, {"creater": "login"})
-    first = batches.groupBy("line_id").agg(F.min("plan_date").alias("plan_date"))
-    heads = heads.join(first, "line_id", "left")
     heads = heads.join(quantities.select("line_id").distinct(), "line_id", "left_semi")
-    return heads.withColumn("bill_no", F.concat_ws("_", "contract_no", "design_no"))
+    heads = cut_lineage(heads.withColumn("bill_no", F.concat_ws("_", "contract_no", "design_no")))
+    # Only the changed lines' batches are grouped.
+    own = batches.join(heads.select("line_id"), "line_id", "left_semi")
+    first = own.groupBy("line_id").agg(F.min("plan_date").alias("plan_date"))
+    return heads.join(first, "line_id", "left")
 
 
 def order_documents(heads: DataFrame, quantities: DataFrame, colours: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -411,7 +415,7 @@ def order_documents(heads: DataFrame, quantities: DataFrame, colours: DataFrame,
     rows = _inner(rows, _named(colours, "c", "name", "code"), "color_id", "c")
     rows = _inner(rows, _named(sizes, "s", "name"), "size_id", "s")
     runs = rows.select("line_id", "cid").distinct()
-    runs = numbering.number_in_group(runs, ["line_id"], ["cid"], "colour_no")
+    runs = numbering.number_in_group(runs, ["line_id"], ["cid"], "colour_no", sizes=quantities)
     rows = rows.join(runs, ["line_id", "cid"])
     item = _item(
         colorErpId="colour_no",
@@ -469,7 +473,8 @@ def purchase_documents(
         "delivery_date", "tax_rate", "currency_rate", "supplier_id", "currency_id", "create_uid",
     )
     # A purchase meets a sale order line once, however many materials it buys for it.
-    pairs = purchase_lines.select("order_id", "sale_order_line").distinct()
+    changed = purchase_lines.join(heads.select("order_id"), "order_id", "left_semi")
+    pairs = changed.select("order_id", "sale_order_line").distinct()
     heads = heads.join(pairs, "order_id")
     sold = lines.select(
         F.col("id").alias("sale_order_line"), F.col("order_id").alias("sale_order"), "product_id"
@@ -479,7 +484,7 @@ def purchase_documents(
     heads = heads.join(product.select(F.col("id").alias("product_id"), "design_no"), "product_id")
     heads = _inner(heads, _named(partners, "b", "code", "name", "phone"), "supplier_id", "b")
     heads = _inner(heads, _named(currencies, "h", "name"), "currency_id", "h")
-    heads = lookup(heads, users, {"create_uid": "id"}, {"creater": "login"})
+    heads = cut_lineage(lookup(heads, users, {"create_uid": "id"}, {"creater": "login"}))
 
     pair = ["order_id", "sale_order_line"]
     bought = purchase_lines.filter(F.col("active")).withColumnRenamed("price", "line_price")

@@ -130,7 +130,10 @@ def merge_bucketed(
 ) -> int:
     """Upsert into a bucketed table; only the buckets the source touches are rewritten.
 
-    Returns the number of rewritten buckets.
+    The merged rows are complete in the checkpoint folder before any bucket is
+    replaced, and merging the same source again gives the same table. Readers that
+    must not see the swap of single buckets use ``truncate_load``. Returns the number
+    of rewritten buckets.
     """
     tagged = source.withColumn("bucket", _bucket(keys, buckets))
     # At most ``buckets`` numbers come back.
