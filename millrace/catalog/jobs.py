@@ -13,6 +13,8 @@ from millrace.catalog.mapping import VIEWS, ctes
 from millrace.operators import merge
 from millrace.plans import audit, erp, materials, org, punches, yarn
 from millrace.session import ensure_checkpoint_dir
+from millrace.sources.load import read_current
+from millrace.sources.schemas import TABLES
 from millrace.streaming.changes import poll_changes as poll
 from millrace.streaming.changes import poll_changes_stream as poll_stream
 
@@ -1152,18 +1154,15 @@ def poll_changes(t):
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
 )
 def poll_changes_stream(t):
-    """The whole change table read as a stream of files, repeated events dropped."""
+    """The whole change table read as a stream of its files.
+
+    The delay spans the table, so no event counts as late. The glob lets the table be
+    one file or a folder of files.
+    """
     root = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/poll-{uuid.uuid4().hex}"
     changes = _poll_columns(t.events)
-    # Five files by time, and one that repeats the last of them.
-    spans = F.floor(F.dayofmonth("ts") / 6).cast("int")
-    changes.withColumn("span", spans).repartition("span").write.partitionBy("span").parquet(f"{root}/changes")
-    t.spark.read.parquet(f"{root}/changes/span=5").write.parquet(f"{root}/changes/span=6")
     poll_stream(
-        t.spark, f"{root}/changes", "user_id long, event_id long, event_type string, ts timestamp_ntz, span int",
-        f"{root}/target", changes.schema, f"{root}/progress", ["user_id"], "ts", "event_id", delay="40 days",
-        files_per_trigger=2,
+        t.spark, f"{t.folder}/events.parquet*", TABLES["events"], f"{root}/target", changes.schema, f"{root}/progress",
+        ["user_id"], "ts", "event_id", delay="40 days", files_per_trigger=1000,
     )
-    from millrace.sources.load import read_current
-
     return read_current(t.spark, f"{root}/target", changes.schema)

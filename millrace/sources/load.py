@@ -214,3 +214,8 @@ LOADS = {
         "s_manager", keep="s_activate_flag = 1", drop=("s_password",), casts={"s_lead_flag": "int"}
     ),
 }
+
+
+def refresh(name: str, source: DataFrame, root: str, as_of: str | None = None) -> str:
+    """Run the declared load ``name``: extract from ``source`` and replace ``root/name``."""
+    return truncate_load(LOADS[name].extract(source, as_of), f"{root}/{name}")
