@@ -10,7 +10,8 @@ from millrace.catalog.mapping import ctes
 from millrace.functions import document
 from millrace.operators import keys, nesting, numbering
 
-MAX_ITEMS = nesting.MAX_ITEMS
+#: Part a child falls in, as SQL over a window.
+_PART = "CAST((row_number() OVER ({}) - 1) // " + str(nesting.MAX_ITEMS) + " + 1 AS BIGINT)"
 
 
 @query(
@@ -67,9 +68,9 @@ def ordered_string_agg(t):
 
 @query(
     "distinct_list_agg",
-    """SELECT l_orderkey, CAST(1 AS BIGINT) AS part,
-    '[' || string_agg(CAST(k AS VARCHAR), ',' ORDER BY k) || ']' AS supp_list
-    FROM (SELECT DISTINCT l_orderkey, l_suppkey AS k FROM lineitem) GROUP BY l_orderkey""",
+    f"""SELECT l_orderkey, part, '[' || string_agg(CAST(k AS VARCHAR), ',' ORDER BY k) || ']' AS supp_list
+    FROM (SELECT *, {_PART.format('PARTITION BY l_orderkey ORDER BY k')} AS part
+      FROM (SELECT DISTINCT l_orderkey, l_suppkey AS k FROM lineitem)) GROUP BY l_orderkey, part""",
 )
 def distinct_list_agg(t):
     return nesting.distinct_list(t.lineitem, ["l_orderkey"], "l_suppkey", "supp_list")
@@ -123,9 +124,10 @@ def max_sequence(t):
 
 @query(
     "ordered_distinct_list",
-    """SELECT o_custkey, CAST(1 AS BIGINT) AS part, CAST(to_json(list({'idx': n, 'item': o_orderpriority} ORDER BY n))
-    AS VARCHAR) AS models FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority) AS n
-      FROM (SELECT DISTINCT o_custkey, o_orderpriority FROM orders)) GROUP BY o_custkey""",
+    f"""SELECT o_custkey, part, CAST(to_json(list({{'idx': n, 'item': o_orderpriority}} ORDER BY n)) AS VARCHAR) AS models
+    FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority) AS n,
+      {_PART.format('PARTITION BY o_custkey ORDER BY o_orderpriority')} AS part
+      FROM (SELECT DISTINCT o_custkey, o_orderpriority FROM orders)) GROUP BY o_custkey, part""",
 )
 def ordered_distinct_list(t):
     lists = nesting.ordered_values(t.orders, ["o_custkey"], "o_orderpriority", "v")
@@ -134,10 +136,11 @@ def ordered_distinct_list(t):
 
 @query(
     "nested_collect",
-    """SELECT l_orderkey, CAST(1 AS BIGINT) AS part, CAST(to_json(list({'line': l_linenumber, 'part': l_partkey,
-    'qty': CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR)}
+    f"""SELECT l_orderkey, part, CAST(to_json(list({{'line': l_linenumber, 'part': l_partkey,
+    'qty': CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR)}}
     ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity)) AS VARCHAR) AS lines
-    FROM lineitem GROUP BY l_orderkey""",
+    FROM (SELECT *, {_PART.format('PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity')}
+      AS part FROM lineitem) GROUP BY l_orderkey, part""",
 )
 def nested_collect(t):
     item = F.struct(
@@ -150,12 +153,13 @@ def nested_collect(t):
     return nested.select("l_orderkey", "part", document(F.col("v")).alias("lines"))
 
 
-_SPLIT = """SELECT l_orderkey, CAST(1 AS BIGINT) AS part,
+_SPLIT = f"""SELECT l_orderkey, part,
 coalesce(CAST(to_json(list(l_partkey ORDER BY l_partkey, l_linenumber) FILTER (WHERE l_returnflag = 'A')) AS VARCHAR),
   '[]') AS fabric,
 coalesce(CAST(to_json(list(l_partkey ORDER BY l_partkey, l_linenumber) FILTER (WHERE l_returnflag = 'R')) AS VARCHAR),
   '[]') AS accessory
-FROM lineitem WHERE l_returnflag IN ('A', 'R') GROUP BY l_orderkey"""
+FROM (SELECT *, {_PART.format('PARTITION BY l_orderkey ORDER BY l_partkey, l_linenumber, l_returnflag')} AS part
+  FROM lineitem WHERE l_returnflag IN ('A', 'R')) GROUP BY l_orderkey, part"""
 
 
 def _split(t):

@@ -57,7 +57,7 @@ def main() -> int:
     args.add_argument("names", nargs="*")
     opts = args.parse_args()
     spark = local_session()
-    folder = f"/root/testdata/sf{opts.sf}"
+    folder = opts.sf if "/" in opts.sf else f"/root/testdata/sf{opts.sf}"
     con = duck(folder)
     queries, oracles = entry.queries(), entry.oracle_sql()
     bad = 0
