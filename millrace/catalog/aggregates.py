@@ -226,11 +226,8 @@ def nearest_first(t):
     (PARTITION BY l_orderkey ORDER BY l_suppkey) AS colour_no FROM lineitem""",
 )
 def group_sequence(t):
-    """Number of the run a row falls in: distinct runs are numbered, then joined back."""
-    runs = t.lineitem.select("l_orderkey", "l_suppkey").distinct()
-    numbered = numbering.number_in_group(runs, ["l_orderkey"], ["l_suppkey"], "colour_no", sizes=t.lineitem)
     lines = t.lineitem.select("l_orderkey", "l_suppkey", "l_partkey", "l_linenumber")
-    return lines.join(numbered, ["l_orderkey", "l_suppkey"])
+    return numbering.number_runs(lines, ["l_orderkey"], ["l_suppkey"], "colour_no", sizes=t.lineitem)
 
 
 @query(

@@ -214,7 +214,7 @@ def anti_join_left_null(t):
 
 
 _BUSY = """SELECT c_custkey, code FROM (SELECT c_custkey, nullif(c_nationkey, 3) AS code FROM customer)
-WHERE code NOT IN (SELECT {} FROM supplier WHERE s_acctbal > 8000)"""
+WHERE code NOT IN (SELECT {} FROM supplier WHERE s_acctbal > 9900)"""
 
 
 def _coded(t):
@@ -223,7 +223,7 @@ def _coded(t):
 
 @query("not_in_list", _BUSY.format("s_nationkey"))
 def not_in_list(t):
-    listed = t.supplier.filter(F.col("s_acctbal") > 8000)
+    listed = t.supplier.filter(F.col("s_acctbal") > 9900)
     return lookup.anti_null_aware(_coded(t), "code", listed, "s_nationkey")
 
 

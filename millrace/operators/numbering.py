@@ -83,6 +83,30 @@ def number_in_group(
     return cold.select(*df.columns, out).unionByName(_number_ranges(large, group, order_by, out))
 
 
+def number_runs(
+    df: DataFrame,
+    group: Sequence[str],
+    run: Sequence[str],
+    out: str,
+    hot_rows: int = HOT_ROWS,
+    sizes: DataFrame | None = None,
+) -> DataFrame:
+    """Number of the run (distinct ``run`` value, in order) a row falls in, per group.
+
+    In groups too large for one task the distinct runs are numbered and joined back.
+    """
+    rank = F.dense_rank().over(Window.partitionBy(*group).orderBy(*run)).cast("long")
+    hot = hot_keys(df if sizes is None else sizes, group, hot_rows)
+    if hot is None:
+        return df.withColumn(out, rank)
+    cold = df.join(hot, list(group), "left_anti").withColumn(out, rank)
+    large = df.join(hot, list(group), "left_semi")
+    runs = large.select(*group, *run).distinct()
+    numbered = number_in_group(runs, group, run, out, hot_rows)
+    joined = large.join(numbered, [*group, *run])
+    return cold.select(*df.columns, out).unionByName(joined.select(*df.columns, out))
+
+
 def _number_ranges(
     df: DataFrame, group: Sequence[str], order_by: Sequence[str], out: str
 ) -> DataFrame:

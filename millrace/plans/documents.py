@@ -414,9 +414,7 @@ def order_documents(heads: DataFrame, quantities: DataFrame, colours: DataFrame,
     rows = rows.withColumn("cid", F.col("color_id")).withColumn("sid", F.col("size_id"))
     rows = _inner(rows, _named(colours, "c", "name", "code"), "color_id", "c")
     rows = _inner(rows, _named(sizes, "s", "name"), "size_id", "s")
-    runs = rows.select("line_id", "cid").distinct()
-    runs = numbering.number_in_group(runs, ["line_id"], ["cid"], "colour_no", sizes=quantities)
-    rows = rows.join(runs, ["line_id", "cid"])
+    rows = numbering.number_runs(rows, ["line_id"], ["cid"], "colour_no", sizes=quantities)
     item = _item(
         colorErpId="colour_no",
         colorCode="c_code",

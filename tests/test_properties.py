@@ -72,6 +72,12 @@ def test_hot_group_is_numbered_the_same(frame):
     assert rows(plain) == rows(ranged)
 
 
+def test_hot_runs_are_numbered_the_same(frame):
+    data = frame("g int, o int, v int", *hot_rows(frame))
+    plain = numbering.number_runs(data, ["g"], ["v"], "n", hot_rows=10_000_000)
+    assert rows(plain) == rows(numbering.number_runs(data, ["g"], ["v"], "n", hot_rows=50))
+
+
 @pytest.mark.parametrize("max_items", [7, 50, 1000])
 def test_parts_hold_every_child_in_order(frame, max_items):
     data = hot_rows(frame)
