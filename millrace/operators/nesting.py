@@ -44,10 +44,14 @@ def nested_collect(
     if hot is None:
         return _collect_whole(shaped, keys, out, max_items)
     cold = _collect_whole(shaped.join(hot, keys, "left_anti"), keys, out, max_items)
-    numbered = _number_ranges(shaped.join(hot, keys, "left_semi"), keys, ["_ord"], "_n")
+    return cold.unionByName(_collect_hot(shaped.join(hot, keys, "left_semi"), keys, out, max_items))
+
+
+def _collect_hot(shaped: DataFrame, keys: list[str], out: str, max_items: int) -> DataFrame:
+    """Groups numbered in ranges and collected part by part."""
+    numbered = _number_ranges(shaped, keys, ["_ord"], "_n")
     part = (F.floor((F.col("_n") - 1) / max_items) + 1).cast("long")
-    parts = numbered.withColumn("part", part).groupBy(*keys, "part").agg(_in_order().alias(out))
-    return cold.unionByName(parts)
+    return numbered.withColumn("part", part).groupBy(*keys, "part").agg(_in_order().alias(out))
 
 
 def _in_order() -> Column:
@@ -84,6 +88,54 @@ def attach_parts(heads: DataFrame, keys: Sequence[str], lists: dict[str, DataFra
     return out.withColumns({name: F.coalesce(name, F.array()) for name in lists})
 
 
+def collect_lists(
+    heads: DataFrame,
+    keys: Sequence[str],
+    lists: dict[str, tuple[DataFrame, Sequence[str], Column]],
+    hot: DataFrame | None,
+    max_items: int = MAX_ITEMS,
+) -> DataFrame:
+    """``nested_collect`` of several child tables, attached to their heads, by part.
+
+    ``lists`` maps an output column to (children, order, item); ``hot`` holds the keys
+    known to have too many children in any of them. All other lists are joined whole
+    by key, on the partitioning they were collected in, and cut into parts at the end.
+    """
+    on = list(keys)
+    shaped = {
+        name: rows.select(*on, F.struct(*order).alias("_ord"), item.alias("_item"))
+        for name, (rows, order, item) in lists.items()
+    }
+    out = heads if hot is None else heads.join(hot, on, "left_anti")
+    for name, rows in shaped.items():
+        cold = rows if hot is None else rows.join(hot, on, "left_anti")
+        whole = cold.repartition(*on).groupBy(*on).agg(_in_order().alias(name))
+        out = out.join(whole, on, "left")
+    out = _cut_parts(out, list(lists), max_items)
+    if hot is None:
+        return out
+    parts = {
+        name: _collect_hot(rows.join(hot, on, "left_semi"), on, name, max_items) for name, rows in shaped.items()
+    }
+    large = attach_parts(heads.join(hot, on, "left_semi"), on, parts)
+    return out.unionByName(large.select(*out.columns))
+
+
+def _cut_parts(df: DataFrame, names: list[str], max_items: int) -> DataFrame:
+    """One row per part of the longest list; a shorter list is empty in the later ones."""
+    filled = df.withColumns({n: F.coalesce(n, F.array()) for n in names})
+    longest = F.greatest(*[F.size(n) for n in names], F.lit(1))
+    parts = F.sequence(F.lit(1).cast("long"), F.ceil(longest / F.lit(max_items)).cast("long"))
+    numbered = filled.withColumn("part", F.explode(parts))
+    first = ((F.col("part") - 1) * max_items + 1).cast("int")
+    return numbered.withColumns(
+        {
+            n: F.when(longest <= max_items, F.col(n)).otherwise(F.slice(n, first, F.lit(max_items)))
+            for n in names
+        }
+    )
+
+
 def numbered_items(items: str | Column, field: str = "idx", max_items: int = MAX_ITEMS) -> Column:
     """Items with their 1-based place in the parent as first field (``part`` in scope)."""
     start = (F.col("part") - 1) * max_items

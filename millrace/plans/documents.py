@@ -17,6 +17,7 @@ from millrace.functions import (
 )
 from millrace.operators import keys, nesting, numbering
 from millrace.operators.lookup import lookup
+from millrace.operators.skew import hot_keys
 from millrace.session import cut_lineage
 
 # Codes and limits of the exchange format.
@@ -256,6 +257,7 @@ def bom_materials(
     details: DataFrame,
     form: str = "item",
     cap: int | None = BOM_ROWS,
+    max_items: int = nesting.MAX_ITEMS,
 ) -> tuple[DataFrame, DataFrame]:
     """(BOM rows, material objects with product_id, type_code and ordering columns).
 
@@ -278,18 +280,15 @@ def bom_materials(
     )
     headed = rows.join(first_spec, "bom_id", "left")
 
-    size_list = nesting.nested_collect(
-        size_rows, ["bom_id"], ["s_sequence", "sid"], F.struct("s_name", "spec"), "size_list"
-    )
-    colour_list = nesting.nested_collect(
-        colour_rows, ["bom_id"], ["cid"], F.struct("b_code", "b_name", "c_code", "c_name"), "colour_list"
-    )
-    price_list = nesting.nested_collect(
-        price_rows, ["bom_id"], ["cid"], F.struct("c_code", "c_name", "spec", "price"), "price_list",
-        sizes=colour_rows,
-    )
-    lists = {"size_list": size_list, "colour_list": colour_list, "price_list": price_list}
-    full = nesting.attach_parts(headed, ["bom_id"], lists)
+    lists = {
+        "size_list": (size_rows, ["s_sequence", "sid"], F.struct("s_name", "spec")),
+        "colour_list": (colour_rows, ["cid"], F.struct("b_code", "b_name", "c_code", "c_name")),
+        "price_list": (price_rows, ["cid"], F.struct("c_code", "c_name", "spec", "price")),
+    }
+    # A row has at most one price per colour, so sizes and colours tell which are large.
+    members = size_rows.select("bom_id").unionByName(colour_rows.select("bom_id"))
+    hot = hot_keys(members, ["bom_id"], max_items)
+    full = nesting.collect_lists(headed, ["bom_id"], lists, hot, max_items)
 
     is_item = form == "item"
 
@@ -306,6 +305,9 @@ def bom_materials(
         lambda p: _item(colorCode=p["c_code"], colorName=p["c_name"], model=p["spec"], price=amount(p["price"])),
     )
     zero, one = F.lit(0), F.lit(1)
+    # Computed once per row: every colour repeats the sizes.
+    full = full.withColumn("fits", fits)
+    fits = F.col("fits")
     if is_item:
         shades = F.transform(
             "colour_list",

@@ -96,6 +96,24 @@ def test_parts_hold_every_child_in_order(frame, max_items):
     assert sorted(map(tuple, blind.collect())) == sorted(map(tuple, parts))
 
 
+@pytest.mark.parametrize("max_items", [7, 1000])
+def test_several_lists_share_their_parts(frame, max_items):
+    data = hot_rows(frame)
+    many = frame("g int, o int, v int", *data)
+    few = many.filter("o < 100")
+    heads = frame("g int, name string", *[(g, f"h{g}") for g in range(25)])
+    lists = {"a": (many, ["o"], F.col("o")), "b": (few, ["o"], F.col("v"))}
+    hot = frame("g int", (0,)) if max_items == 7 else None
+    with_hot = nesting.collect_lists(heads, ["g"], lists, hot, max_items)
+    without = nesting.collect_lists(heads, ["g"], lists, None, max_items)
+    key = lambda r: (r.g, r.part)
+    assert sorted(with_hot.collect(), key=key) == sorted(without.select(*with_hot.columns).collect(), key=key)
+    got = sorted(without.filter("g = 0").collect(), key=key)
+    assert [x for r in got for x in r.a] == [o for g, o, _ in data if g == 0]
+    assert [x for r in got for x in r.b] == [v for g, o, v in data if g == 0 and o < 100]
+    assert without.select("g").distinct().count() == 25
+
+
 def test_single_part_fails_rather_than_cuts(frame):
     df = frame("g int, v int", *[(1, i) for i in range(10)])
     whole = nesting.single_part(nesting.distinct_list(df, ["g"], "v", "l"))
