@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as entry
 from check_oracle import compare, duck
+from millrace import catalog
 
 FOLDER = f"/root/testdata/sf{os.environ.get('MILLRACE_SF', '0.001')}"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, catalog.ORACLES
 
 
 @pytest.fixture(scope="module")
