@@ -44,3 +44,10 @@ def op7(spark, folder):
     from millrace.llm.language import op7_language
 
     return op7_language(table(spark, folder, "documents"))
+
+
+@query("op9_quality")
+def op9(spark, folder):
+    from millrace.llm.quality import op9_quality
+
+    return op9_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
