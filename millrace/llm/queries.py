@@ -51,3 +51,10 @@ def op9(spark, folder):
     from millrace.llm.quality import op9_quality
 
     return op9_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op10_simhash")
+def op10(spark, folder):
+    from millrace.llm.simhash import op10_simhash
+
+    return op10_simhash(table(spark, folder, "documents"))
