@@ -58,10 +58,8 @@ def runs(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
 
 def with_columns(df: DataFrame, **kinds: str) -> T.StructType:
     """The schema of ``df`` followed by new columns, given as name and DDL type."""
-    schema = T.StructType(list(df.schema.fields))
-    for name, kind in kinds.items():
-        schema = schema.add(name, kind)
-    return schema
+    added = T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in kinds.items()))
+    return T.StructType([*df.schema.fields, *added.fields])
 
 
 def appended(batch: pa.RecordBatch, **columns) -> pa.RecordBatch:

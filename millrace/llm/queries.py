@@ -58,3 +58,10 @@ def op10(spark, folder):
     from millrace.llm.simhash import op10_simhash
 
     return op10_simhash(table(spark, folder, "documents"))
+
+
+@query("op1_sharding")
+def op1(spark, folder):
+    from millrace.llm.sharding import op1_shards
+
+    return op1_shards(table(spark, folder, "documents"))
