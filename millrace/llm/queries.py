@@ -65,3 +65,10 @@ def op1(spark, folder):
     from millrace.llm.sharding import op1_shards
 
     return op1_shards(table(spark, folder, "documents"))
+
+
+@query("op4_bpe")
+def op4(spark, folder):
+    from millrace.llm.bpe import op4_bpe
+
+    return op4_bpe(table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"))
