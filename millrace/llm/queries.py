@@ -72,3 +72,10 @@ def op4(spark, folder):
     from millrace.llm.bpe import op4_bpe
 
     return op4_bpe(table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+@query("op3_decontaminate")
+def op3(spark, folder):
+    from millrace.llm.decontaminate import op3_decontaminate
+
+    return op3_decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
