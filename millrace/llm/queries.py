@@ -79,3 +79,10 @@ def op3(spark, folder):
     from millrace.llm.decontaminate import op3_decontaminate
 
     return op3_decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op8_pii")
+def op8(spark, folder):
+    from millrace.llm.pii import op8_pii
+
+    return op8_pii(table(spark, folder, "documents"))
