@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.session import configure
@@ -78,3 +79,12 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         found.append(name)
     return found
+
+
+#: Rows up to which one side of a join is broadcast; such rows have a few fixed-size columns, so this is under 64 MB.
+BROADCAST_ROWS = 1 << 19
+
+
+def small(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df`` marked for broadcast if it has few rows (``rows`` of them, or counted now); beyond, the join is shuffled."""
+    return F.broadcast(df) if (df.count() if rows is None else rows) <= BROADCAST_ROWS else df

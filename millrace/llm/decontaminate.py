@@ -13,15 +13,13 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.batches import fresh
+from millrace.llm.batches import fresh, small
 from millrace.session import cut_lineage
 
 #: Template words per window, and the share of an item's windows that a document must hold.
 WORDS, SHARE = 5, 0.8
 #: A window with fewer plain words says nothing about its item and is left out on the item's side.
 PLAIN = 2
-#: Rows up to which a side of a join is broadcast (24 bytes each); beyond, the join is shuffled.
-BROADCAST_ROWS = 1 << 19
 
 NUMBER, NAME, UNIT = "\ue000", "\ue001", "\ue002"
 MARKS = f"[{NUMBER}-{UNIT}]"
@@ -65,10 +63,6 @@ def _templated(df: DataFrame, keys: list[str], text: str, size: int) -> DataFram
     return rows.select(*keys, "words", windows(F.col("words"), size).alias("hashes"))
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
 def _items(benchmark: DataFrame, item_id: str, text: str, size: int) -> DataFrame:
     """Rows (item, at, hash, n): every window an item is searched by, ``n`` of them.
 
@@ -120,9 +114,9 @@ def contaminated(
     rows = df.select(*[F.col(k).alias(c) for k, c in zip(keys, codes, strict=True)], F.col(text).alias("t"))
     rows = rows.withColumn("doc", F.xxhash64(*codes, "t"))
     found = _templated(rows, ["doc"], "t", size).select("doc", F.explode_outer("hashes").alias("hash"))
-    pairs = cut_lineage(found.join(_small(signs, n_items), "hash").select("doc", "item").distinct())
+    pairs = cut_lineage(found.join(small(signs, n_items), "hash").select("doc", "item").distinct())
     wanted = pairs.select("doc").distinct()
-    chosen = rows.join(_small(wanted, pairs.count()), "doc", "left_semi").dropDuplicates(["doc"])
+    chosen = rows.join(small(wanted, pairs.count()), "doc", "left_semi").dropDuplicates(["doc"])
     chosen = cut_lineage(chosen.select("doc", *codes, marked(F.col("t")).alias("marked")))
     hits = _aligned(chosen, pairs, items, benchmark, item_id, item_text, n_items, size)
     whole = hits.groupBy("doc", "item").agg(
@@ -145,7 +139,7 @@ def _aligned(chosen, pairs, items, benchmark, item_id, item_text, n_items, size)
     """Rows (doc, item, at, n, slots): windows of candidate pairs on alignments with consistent placeholders."""
     words = chosen.select("doc", F.split(template(F.col("marked")), " ").alias("words"))
     spots = words.select("doc", F.posexplode_outer(windows(F.col("words"), size)).alias("pos", "hash"))
-    hits = spots.join(pairs, "doc").join(_small(items, n_items), ["item", "hash"])
+    hits = spots.join(pairs, "doc").join(small(items, n_items), ["item", "hash"])
     hits = cut_lineage(hits.select("doc", "item", "pos", "at", "n", (F.col("pos") - F.col("at")).alias("shift")))
 
     def values(df: DataFrame, key: str, words: Column) -> DataFrame:
@@ -173,7 +167,7 @@ def drop_contaminated(df: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id
     bad = contaminated(rows, benchmark, [doc_id, own], text).select(F.col(doc_id).alias("bad_id"), F.col(own).alias("bad_hash")).distinct()
     bad = cut_lineage(bad)
     same = F.col(doc_id).eqNullSafe(F.col("bad_id")) & (F.col(own) == F.col("bad_hash"))
-    return rows.join(_small(bad, bad.count()), same, "left_anti").drop(own)
+    return rows.join(small(bad, bad.count()), same, "left_anti").drop(own)
 
 
 def op3_decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:

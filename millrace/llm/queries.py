@@ -86,3 +86,10 @@ def op8(spark, folder):
     from millrace.llm.pii import op8_pii
 
     return op8_pii(table(spark, folder, "documents"))
+
+
+@query("op2_embeddings")
+def op2(spark, folder):
+    from millrace.llm.embedding_dups import op2_embeddings
+
+    return op2_embeddings(table(spark, folder, "embeddings"))
