@@ -93,3 +93,10 @@ def op2(spark, folder):
     from millrace.llm.embedding_dups import op2_embeddings
 
     return op2_embeddings(table(spark, folder, "embeddings"))
+
+
+@query("op5_suffix_dedup")
+def op5(spark, folder):
+    from millrace.llm.suffix_dedup import op5_suffix_dedup
+
+    return op5_suffix_dedup(table(spark, folder, "documents"))
