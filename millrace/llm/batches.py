@@ -49,7 +49,7 @@ def runs(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
     """Consecutive items as slices of about ``limit`` in total; a larger item stands alone."""
     first, held = 0, 0
     for i, size in enumerate(sizes.tolist()):
-        if held and held + size > limit:
+        if i > first and held + size > limit:
             yield first, i
             first, held = i, 0
         held += size

@@ -34,11 +34,11 @@ UNITS = (
 def marked(text: Column) -> Column:
     """The words of a text in lower case, one blank apart; a mark stands before each number, name and unit.
 
-    A number is a run of digits with points or commas inside; a name is a capitalised word that does
-    not open a sentence (a letter or comma and a blank stand before it); a unit follows a number.
+    A number is a run of digits with points or commas inside; a name is a capitalised word, not
+    one in capitals, that does not open a sentence (a letter or comma and a blank stand before it); a unit follows a number.
     """
     text = F.regexp_replace(text, r"\p{N}+(?:[.,]\p{N}+)*", f" {NUMBER}$0 ")
-    text = F.regexp_replace(text, rf"\p{{Lu}}(?<=[\p{{L}}\p{{M}},;:] .)[\p{{L}}\p{{M}}]*", f"{NAME}$0")
+    text = F.regexp_replace(text, rf"\p{{Lu}}(?<=[\p{{L}}\p{{M}},;:] .)\p{{Ll}}[\p{{L}}\p{{M}}]*", f"{NAME}$0")
     text = F.regexp_replace(text, rf"({NUMBER}[\p{{N}}.,]+ {{1,2}})((?:{UNITS})(?!\p{{L}}))", f"$1{UNIT}$2 ")
     kept = rf"\p{{L}}\p{{M}}\p{{N}}{NUMBER}-{UNIT}%€£°"
     text = F.regexp_replace(F.lower(text), rf"(?:[^{kept}.,]|(?<!\p{{N}})[.,]|[.,](?!\p{{N}})|(?<!{UNIT})[%€£°])+", " ")

@@ -31,9 +31,9 @@ from millrace.session import cut_lineage
 #: Bytes of an anchor.
 ANCHOR = 32
 #: Text bytes searched for anchors at once, runs combined before they are sent, and text bytes per bucket of runs, about.
-CHUNK, HELD, BUCKET = 1 << 21, 1 << 20, 1 << 24
+CHUNK, HELD, BUCKET = 1 << 20, 1 << 19, 1 << 24
 #: Bytes of stretches sorted at once.
-SORTED = 1 << 21
+SORTED = 1 << 20
 #: Place bits in the key that finds the least hash; a chunk is shorter.
 PLACE = np.uint64((1 << 24) - 1)
 MIXERS = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
