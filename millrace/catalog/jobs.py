@@ -13,7 +13,7 @@ from millrace.catalog.mapping import VIEWS, ctes
 from millrace.operators import merge
 from millrace.plans import audit, erp, materials, org, punches, yarn
 from millrace.session import ensure_checkpoint_dir
-from millrace.sources.load import read_current
+from millrace.sources.load import read_versions
 from millrace.sources.schemas import TABLES
 from millrace.streaming.changes import poll_changes as poll
 from millrace.streaming.changes import poll_changes_stream as poll_stream
@@ -1154,15 +1154,11 @@ def poll_changes(t):
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
 )
 def poll_changes_stream(t):
-    """The whole change table read as a stream of its files.
-
-    The delay spans the table, so no event counts as late. The glob lets the table be
-    one file or a folder of files.
-    """
+    """The whole change table read as a stream of its files, which the glob lets be one or many."""
     root = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/poll-{uuid.uuid4().hex}"
     changes = _poll_columns(t.events)
     poll_stream(
         t.spark, f"{t.folder}/events.parquet*", TABLES["events"], f"{root}/target", changes.schema, f"{root}/progress",
-        ["user_id"], "ts", "event_id", delay="40 days", files_per_trigger=1000,
+        ["user_id"], "ts", "event_id", files_per_trigger=1000,
     )
-    return read_current(t.spark, f"{root}/target", changes.schema)
+    return read_versions(t.spark, f"{root}/target", changes.schema)

@@ -167,14 +167,18 @@ def check_domain_rejects(t):
 @query(
     "export_documents",
     """SELECT CAST(to_json({'key': s_suppkey, 'document': CAST(to_json({'name': s_name, 'nation': s_nationkey})
-    AS VARCHAR)}) AS VARCHAR) AS value, 'provider' AS entity FROM supplier""",
+    AS VARCHAR)}) AS VARCHAR) AS value, 'provider' AS entity, CASE WHEN s_nationkey < 12 THEN 'r1' ELSE 'r2' END AS run
+    FROM supplier""",
 )
 def export_documents(t):
+    """Two runs, the second one repeated: all documents are there, each once."""
     path = _scratch(t, "outbox")
     body = document(F.struct(F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation")))
-    docs = t.supplier.select("s_suppkey", body.alias("body"))
-    outbox.export_documents(docs, "s_suppkey", "body", path, "provider")
-    return t.spark.read.schema("value string, entity string").text(path)
+    docs = t.supplier.select("s_suppkey", "s_nationkey", body.alias("body"))
+    first, second = docs.filter("s_nationkey < 12"), docs.filter("s_nationkey >= 12")
+    for run, part in (("r1", first), ("r2", second), ("r2", second)):
+        outbox.export_documents(part, "s_suppkey", "body", path, "provider", run)
+    return t.spark.read.schema("value string, entity string, run string").text(path)
 
 
 

@@ -69,13 +69,15 @@ def merge_composite_key(t):
     "upsert_on_conflict",
     """WITH t AS (SELECT user_id, event_type, max(value) AS value, 'old' AS origin FROM events
       WHERE ts < TIMESTAMP '2024-01-10' AND event_type <> 'view' GROUP BY ALL),
-    s AS (SELECT user_id, event_type, arg_max(value, event_id) AS value FROM events
-      WHERE ts >= TIMESTAMP '2024-01-10' GROUP BY ALL)
+    b AS (SELECT CASE WHEN event_id % 7 <> 0 THEN user_id END AS user_id, event_type, value, event_id FROM events
+      WHERE ts >= TIMESTAMP '2024-01-10'),
+    s AS (SELECT user_id, event_type, arg_max(value, event_id) AS value FROM b WHERE user_id IS NOT NULL GROUP BY ALL)
     SELECT user_id, event_type, coalesce(s.value, t.value) AS value, coalesce(t.origin, 'new') AS origin
-    FROM t FULL JOIN s USING (user_id, event_type)""",
+    FROM t FULL JOIN s USING (user_id, event_type)
+    UNION ALL SELECT user_id, event_type, value, 'new' FROM b WHERE user_id IS NULL""",
 )
 def upsert_on_conflict(t):
-    """A batch that repeats keys: the newest row per key is merged."""
+    """A batch that repeats keys: the newest row per key is merged, rows without a key are all inserted."""
     keys = ["user_id", "event_type"]
     early = F.col("ts") < m.ntz("2024-01-10")
     old = (
@@ -84,7 +86,8 @@ def upsert_on_conflict(t):
         .agg(F.max("value").alias("value"))
         .withColumn("origin", F.lit("old"))
     )
-    batch = t.events.filter(~early).select(*keys, "event_id", "value", F.lit("new").alias("origin"))
+    known = F.when(F.col("event_id") % 7 != 0, F.col("user_id")).alias("user_id")
+    batch = t.events.filter(~early).select(known, "event_type", "event_id", "value", F.lit("new").alias("origin"))
     return merge.merge_upsert_last(old, batch, keys, [F.desc("event_id")], update=["value"])
 
 

@@ -83,10 +83,18 @@ def merge_upsert_last(
     order_by: Sequence[Column],
     update: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Upsert of a batch that may repeat a key: the first row in ``order_by`` wins."""
+    """Upsert of a batch that may repeat a key: the first row in ``order_by`` wins.
+
+    Rows with a null in their key conflict with nothing, not even with each other: all are inserted.
+    """
+    return merge_upsert(target, first_per_key(source, keys, order_by), keys, update)
+
+
+def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
+    """The first row of every complete key (limited per group ahead of the shuffle), and all rows without one."""
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_by))
-    one = source.withColumn("_rn", rank).filter(F.col("_rn") == 1).drop("_rn")
-    return merge_upsert(target, one, keys, update)
+    keyed = df.filter(~any_null(keys)).withColumn("_rn", rank).filter(F.col("_rn") == 1).drop("_rn")
+    return keyed.unionByName(df.filter(any_null(keys)))
 
 
 def insert_missing(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 RESPONSE = "struct<data:array<struct<isSuccess:int,subMsg:string,code:string>>>"
 
 
-def export_documents(df: DataFrame, key: str, document: str, path: str, entity: str) -> None:
-    """Append documents as JSON lines ``{"key":..,"document":..}`` under one folder per entity."""
+def export_documents(df: DataFrame, key: str, document: str, path: str, entity: str, run: str) -> None:
+    """Append documents as JSON lines ``{"key":..,"document":..}`` under one folder per entity and run.
+
+    Other runs' documents stay. A run that is repeated under its own name replaces what it
+    wrote before, so a retry adds nothing.
+    """
     line = F.to_json(F.struct(F.col(key).alias("key"), F.col(document).alias("document")))
-    df.select(line.alias("value")).write.mode("overwrite").text(f"{path}/entity={entity}")
+    df.select(line.alias("value")).write.mode("overwrite").text(f"{path}/entity={entity}/run={run}")
 
 
 def parse_responses(df: DataFrame, body: str = "response_body") -> DataFrame:

@@ -7,19 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window
 
 from millrace.functions import newer_than
-from millrace.operators.merge import merge_upsert
-from millrace.sources.load import read_current, truncate_load
+from millrace.operators.merge import first_per_key, merge_upsert
+from millrace.operators.skew import any_null
+from millrace.sources.load import merge_versions
 
 
 def newest_per_key(changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The last change of every key (limited per group ahead of the shuffle)."""
-    rank = F.row_number().over(
-        Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])
-    )
-    return changes.withColumn("_rn", rank).filter(F.col("_rn") == 1).drop("_rn")
+    """The last change of every key; rows without a complete key are no one's change and all stay."""
+    return first_per_key(changes, keys, [F.desc(c) for c in order])
 
 
 def poll_changes(
@@ -46,35 +43,32 @@ def poll_changes_stream(
     keys: Sequence[str],
     stamp: str,
     event_id: str,
-    delay: str = "1 day",
+    buckets: int = 64,
     files_per_trigger: int | None = None,
 ) -> None:
-    """Merge an append-only change folder into a snapshot table, as far as it has grown.
+    """Merge an append-only change folder into a bucketed table, as far as it has grown.
 
-    Repeated events inside ``delay`` are dropped. Every micro-batch is one load of
-    the target; as the merge is keyed and keeps the newer row, a batch that runs
-    again after a failure gives the same target.
+    There is no watermark: however late a change comes, it competes with what the target has, and
+    the newer one stays. A micro-batch rewrites the buckets its keys fall in. The merge is keyed, and
+    rows without a key by ``event_id``, so repeated events and repeated batches give the same target.
     """
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    events = (
-        reader.parquet(source)
-        .withColumn("_at", F.col(stamp).cast("timestamp"))
-        .withWatermark("_at", delay)
-        .dropDuplicatesWithinWatermark([event_id])
-        .drop("_at")
-    )
+    by = F.when(any_null(keys), F.xxhash64(event_id)).otherwise(F.xxhash64(*keys))
+    bucket = F.pmod(by, F.lit(buckets)).cast("int")
+
+    def newest(rows: DataFrame) -> DataFrame:
+        keyed = newest_per_key(rows.filter(~any_null(keys)), keys, [stamp, event_id])
+        return keyed.unionByName(rows.filter(any_null(keys)).dropDuplicates([event_id]))
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
-        session = batch.sparkSession
-        target = read_current(session, target_root, target_schema)
-        # Old state competes with the batch, so a late event never wins over a newer row.
-        rows = batch.select(*target.columns).unionByName(target)
-        truncate_load(newest_per_key(rows, keys, [stamp, event_id]), target_root, target_schema)
+        rows = batch.select(*[f.name for f in target_schema.fields])
+        merge_versions(batch.sparkSession, target_root, target_schema, rows, bucket, newest)
 
     query = (
-        events.writeStream.foreachBatch(merge)
+        reader.parquet(source)
+        .writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from conftest import rows
 from millrace import session
 from millrace.sources import load, outbox, schemas
+from millrace.operators.merge import merge_upsert_last
 from millrace.streaming.changes import newest_per_key, poll_changes_stream
 
 SCHEMA = T.StructType().add("id", T.IntegerType()).add("v", T.StringType())
@@ -77,33 +78,70 @@ def test_declared_loads(frame):
 
 
 def test_outbox(spark, frame, tmp_path):
-    outbox.export_documents(frame("k int, d string", (1, '{"a":1}')), "k", "d", str(tmp_path / "o"), "item")
-    got = spark.read.text(str(tmp_path / "o"))
-    assert rows(got) == [('{"key":1,"document":"{\\"a\\":1}"}', "item")]
+    path = str(tmp_path / "o")
+    for run, key in (("a", 1), ("b", 2), ("b", 2)):
+        outbox.export_documents(frame("k int, d string", (key, '{"a":1}')), "k", "d", path, "item", run)
+    got = rows(spark.read.text(path), "value", "entity", "run")
+    assert got == [(f'{{"key":{k},"document":"{{\\"a\\":1}}"}}', "item", r) for k, r in ((1, "a"), (2, "b"))]
+
+
+def test_loads_keep_their_last_versions(spark, frame, tmp_path):
+    root, schema = str(tmp_path / "t"), T.StructType.fromDDL("id int")
+    for i in range(4):
+        load.truncate_load(frame("id int", (i,)), root, schema)
+    assert rows(load.read_current(spark, root, schema)) == [(3,)]
+    assert sorted(p.name for p in (tmp_path / "t").glob("load_*")) == ["load_000003", "load_000004"]
+
+
+DDL = "user_id int, event_id int, v string, ts timestamp_ntz"
+START = dt.datetime(2024, 1, 1)
+
+
+def _poll(spark, tmp_path, *parts, **args):
+    """Each part as files of its own, polled one after the other."""
+    source, root = str(tmp_path / "changes"), str(tmp_path / "t")
+    for part in parts:
+        spark.createDataFrame(part, DDL).coalesce(1).write.mode("append").parquet(source)
+        poll_changes_stream(
+            spark, source, DDL, root, T.StructType.fromDDL(DDL), str(tmp_path / "c"), ["user_id"], "ts", "event_id", **args
+        )
+    return load.read_versions(spark, root, T.StructType.fromDDL(DDL))
 
 
 def test_stream_equals_batch(spark, tmp_path):
-    source = str(tmp_path / "changes")
-    start = dt.datetime(2024, 1, 1)
-    ddl = "user_id int, event_id int, v string, ts timestamp_ntz"
-    events = [(i % 7, i, f"v{i}", start + dt.timedelta(hours=i * 7 % 100)) for i in range(100)]
-    for part in range(4):
-        chunk = events[part * 25 : part * 25 + 30]  # five rows arrive twice
-        spark.createDataFrame(chunk, ddl).coalesce(1).write.mode("append").parquet(source)
-    schema = T.StructType.fromDDL(ddl)
-    args = dict(delay="30 days", files_per_trigger=1)
-    root, progress = str(tmp_path / "t"), str(tmp_path / "c")
-    poll_changes_stream(spark, source, ddl, root, schema, progress, ["user_id"], "ts", "event_id", **args)
-    batch = newest_per_key(spark.createDataFrame(events, ddl), ["user_id"], ["ts", "event_id"])
-    assert rows(load.read_current(spark, root, schema)) == rows(batch)
+    events = [(i % 7, i, f"v{i}", START + dt.timedelta(hours=i * 7 % 100)) for i in range(100)]
+    parts = [events[k * 25 : k * 25 + 30] for k in range(4)]  # five rows arrive twice
+    batch = newest_per_key(spark.createDataFrame(events, DDL), ["user_id"], ["ts", "event_id"])
+    assert rows(_poll(spark, tmp_path, *parts, files_per_trigger=1, buckets=4)) == rows(batch)
     # A late, older event must not win; a newer one must.
-    late = [(1, 500, "late", start - dt.timedelta(days=1)), (2, 501, "new", start + dt.timedelta(days=20))]
-    spark.createDataFrame(late, ddl).coalesce(1).write.mode("append").parquet(source)
-    poll_changes_stream(spark, source, ddl, root, schema, progress, ["user_id"], "ts", "event_id", **args)
-    got = {r.user_id: r.v for r in load.read_current(spark, root, schema).collect()}
+    late = [(1, 500, "late", START - dt.timedelta(days=1)), (2, 501, "new", START + dt.timedelta(days=20))]
+    got = {r.user_id: r.v for r in _poll(spark, tmp_path, late, buckets=4).collect()}
     assert got[2] == "new" and got[1] != "late"
 
 
+def test_stream_loses_no_row(spark, tmp_path):
+    early, late = START, START + dt.timedelta(days=300)
+    first = [(1, 1, "a", late), (None, 2, "b", late), (None, 3, "c", late)]
+    second = [(9, 4, "only row, very late", early), (None, 3, "c", late), (None, 5, "d", early)]
+    got = rows(_poll(spark, tmp_path, first, second, first), "user_id", "event_id")
+    assert got == [(None, 2), (None, 3), (None, 5), (1, 1), (9, 4)]
+    assert len(list((tmp_path / "t" / "manifest").glob("[0-9]*"))) == 2
+
+
+def test_empty_batches_write_nothing(spark, tmp_path):
+    _poll(spark, tmp_path, [(1, 1, "a", START)])
+    before = sorted(p.name for p in (tmp_path / "t").rglob("*"))
+    _poll(spark, tmp_path, [])
+    assert sorted(p.name for p in (tmp_path / "t").rglob("*")) == before
+
+
+def test_null_keys_do_not_conflict(spark):
+    target = spark.createDataFrame([(1, "old"), (None, "kept")], "k int, v string")
+    batch = spark.createDataFrame([(None, "x", 1), (None, "y", 2), (1, "z", 1), (1, "w", 2)], "k int, v string, n int")
+    merged = merge_upsert_last(target, batch, ["k"], [F.desc("n")])
+    assert rows(merged, "k", "v") == [(None, "kept"), (None, "x"), (None, "y"), (1, "w")]
+
+
 def test_checkpoint_dir_comes_from_the_session(spark):
     assert session.ensure_checkpoint_dir(spark)
     df = session.cut_lineage(spark.range(3))
