@@ -8,6 +8,7 @@ from millrace.catalog import query
 from millrace.catalog import mapping as m
 from millrace.catalog.mapping import VIEWS, ctes
 from millrace.plans import documents as plan
+from millrace.session import cut_lineage
 
 AS_OF = "2001-11-01 00:00:00"
 PAST = "TIMESTAMP '2001-11-01' - INTERVAL {}"
@@ -188,7 +189,7 @@ FROM b_bom b JOIN orders o ON o.o_orderkey = b.product_id AND o.o_orderstatus <>
 JOIN d_product p ON p.id = b.material_id JOIN d_types t ON t.id = p.type_id AND t.code IN ('B', 'F')
 LEFT JOIN d_units u ON u.id = p.unit_id LEFT JOIN d_units k ON k.id = p.min_package_unit_id
 LEFT JOIN d_partners s ON s.id = p.supplier_id
-WHERE b.active QUALIFY row_number() OVER (PARTITION BY b.product_id ORDER BY p.type_id, b.sequence, b.id) <= 30"""
+WHERE b.active"""
 
 VIEWS["b_sizes"] = """
 SELECT r.bom_id, x.size_id AS sid, z.sequence, z.name, coalesce(g.value, r.common_spec) AS spec, r.quantity
@@ -236,7 +237,7 @@ _COMMON = """'mateCode': m_code, 'mateName': m_name, 'mateUnit': mate_unit, 'mat
   'weight': TRY_CAST(nullif(wtext, '') AS DOUBLE), 'wastRate': 0, 'part': part_name, 'remarks': memo"""
 
 
-def _bom_sql(shade: str, price: str, own: str, prices: str, head: str, field: str, gate: str) -> str:
+def _bom_sql(shade: str, price: str, own: str, prices: str, head: str, field: str, gate: str, heads: str) -> str:
     fields = _COMMON.format(price) + ", " + own + f", 'mateSizeList': fits, 'mateColorPriceList': {prices}"
     return (
         ctes(*_BOM_VIEWS)
@@ -247,17 +248,21 @@ def _bom_sql(shade: str, price: str, own: str, prices: str, head: str, field: st
         docs AS (SELECT product_id, coalesce(list(entry ORDER BY type_id, sequence, bom_id)
             FILTER (WHERE type_code = 'B'), []) AS fabrics, coalesce(list(entry ORDER BY type_id, sequence, bom_id)
             FILTER (WHERE type_code = 'F'), []) AS accessories FROM entries GROUP BY product_id)
-        SELECT product_id AS key, CAST(1 AS BIGINT) AS part, CAST(to_json({{'{field}': {head}, 'fabricBOMList': fabrics,
-          'accessBOMList': accessories}}) AS VARCHAR) AS document FROM docs WHERE {gate}"""
+        SELECT key, CAST(1 AS BIGINT) AS part, CAST(to_json({{'{field}': {head}, 'fabricBOMList': fabrics,
+          'accessBOMList': accessories}}) AS VARCHAR) AS document FROM docs JOIN ({heads}) USING (product_id) WHERE {gate}"""
     )
 
 
-def _bom_materials(t, form: str):
-    tables = _masters(t)
-    product = t.orders.select(
+def _bom_product(t):
+    return t.orders.select(
         F.col("o_orderkey").alias("id"), F.concat(F.lit("D"), "o_orderkey").alias("design_no"),
-        (F.col("o_orderstatus") != "P").alias("active"),
+        (F.col("o_orderstatus") != "P").alias("active"), F.col("o_orderdate").alias("write_date"),
     )
+
+
+def _bom_materials(t, form: str, heads):
+    tables = _masters(t)
+    product = _bom_product(t).drop("write_date")
     first = F.min("l_returnflag")
     line = F.min("l_linenumber")
     bom = (
@@ -296,7 +301,7 @@ def _bom_materials(t, form: str):
         sources.withColumn("code", F.col("id")), part_names,
         t.lineitem.select(product_id, size_id).distinct(),
         t.lineitem.select(product_id, _colour_of()).distinct(),
-        size_overrides, colour_overrides, tables["sizes"], tables["colours"], details, form=form,
+        size_overrides, colour_overrides, tables["sizes"], tables["colours"], details, form=form, wanted=heads,
     )
 
 
@@ -312,15 +317,18 @@ _ORDER_SHADE = """{'orderColorCode': b_code, 'orderColorName': b_name, 'colorCod
     _bom_sql(
         _ITEM_SHADE, "CAST(price AS VARCHAR)", "'mate5ource': 1, 'colorList': coalesce(shades, [])", "prices",
         "'D' || product_id", "itemCode", "len(fabrics) > 0 AND len(accessories) > 0",
+        f"""SELECT o_orderkey AS product_id, o_orderkey AS key FROM orders
+          WHERE o_orderstatus <> 'P' AND o_orderdate > {PAST.format('1 YEAR')}
+          AND o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag <> 'N')""",
     ),
 )
 def doc_bom(t):
-    """Item form: both lists must be filled."""
-    heads = t.orders.select(
-        F.col("o_orderkey").alias("product_id"), F.col("o_orderkey").alias("key"),
-        F.concat(F.lit("D"), "o_orderkey").alias("head"),
-    )
-    return plan.bom_documents(*_bom_materials(t, "item"), heads, "itemCode", require_all=True)
+    """Item form, for changed products with colours and sizes: both lists must be filled."""
+    colours = t.lineitem.filter(F.col("l_returnflag") != "N").select(F.col("l_orderkey").alias("product_id"))
+    sizes = t.lineitem.select(F.col("l_orderkey").alias("product_id"))
+    heads = cut_lineage(plan.item_heads(_bom_product(t), colours, sizes, AS_OF, "1 year"))
+    named = heads.select("product_id", F.col("product_id").alias("key"), F.col("design_no").alias("head"))
+    return plan.bom_documents(*_bom_materials(t, "item", heads), named, "itemCode", require_all=True)
 
 
 @query(
@@ -328,15 +336,17 @@ def doc_bom(t):
     _bom_sql(
         _ORDER_SHADE, "CAST(price AS DOUBLE)", "'termType': 1, 'mateColorList': coalesce(shades, [])", "fprices",
         "'K' || product_id || '_D' || product_id", "orderNo", "len(fabrics) > 0 OR len(accessories) > 0",
+        f"""SELECT l_orderkey AS product_id, l_orderkey * 100000 + l_partkey AS key FROM lineitem
+          JOIN orders ON o_orderkey = l_orderkey AND o_orderstatus <> 'P'
+          JOIN customer ON c_custkey = o_custkey AND c_acctbal > 0
+          GROUP BY l_orderkey, l_partkey HAVING max(l_shipdate) > {PAST.format('1 YEAR')}""",
     ),
 )
 def doc_order_bom(t):
-    """Order form: either list is enough."""
-    number = F.concat(F.lit("K"), "o_orderkey", F.lit("_D"), "o_orderkey")
-    heads = t.orders.select(
-        F.col("o_orderkey").alias("product_id"), F.col("o_orderkey").alias("key"), number.alias("head")
-    )
-    return plan.bom_documents(*_bom_materials(t, "order"), heads, "orderNo", require_all=False)
+    """Order form, for the changed order lines: either list is enough."""
+    heads = _order_heads(t, F.col("l_orderkey"), _bom_product(t).select("id", "design_no"))
+    named = heads.select("product_id", F.col("line_id").alias("key"), F.col("bill_no").alias("head"))
+    return plan.bom_documents(*_bom_materials(t, "order", heads), named, "orderNo", require_all=False)
 
 
 # --- C16 ----------------------------------------------------------------------
@@ -365,6 +375,21 @@ def doc_order_bom(t):
 )
 def doc_order(t):
     tables = _masters(t)
+    product = t.part.select(F.col("p_partkey").alias("id"), F.concat(F.lit("D"), "p_partkey").alias("design_no"))
+    heads = _order_heads(t, F.col("l_partkey"), product)
+    return plan.order_documents(heads, _order_quantities(t), tables["colours"], tables["sizes"])
+
+
+def _order_quantities(t):
+    return t.lineitem.select(
+        (F.col("l_orderkey") * 100000 + F.col("l_partkey")).alias("line_id"), _colour_of(),
+        F.col("l_linenumber").alias("size_id"), F.col("l_quantity").cast("int").alias("value"),
+        F.col("l_shipdate").alias("batch_date"), F.concat(F.lit("B"), "l_linestatus").alias("batch_name"),
+    )
+
+
+def _order_heads(t, made, product):
+    """Changed order lines; ``made`` is the product a line is for."""
     line_id = F.col("l_orderkey") * 100000 + F.col("l_partkey")
     orders = t.orders.select(
         F.col("o_orderkey").alias("id"), F.concat(F.lit("K"), "o_orderkey").alias("contract_no"),
@@ -372,22 +397,16 @@ def doc_order(t):
         (F.col("o_custkey") % 30).alias("create_uid"), (F.col("o_orderstatus") != "P").alias("active"),
     )
     lines = t.lineitem.groupBy("l_orderkey", "l_partkey").agg(F.max("l_shipdate").alias("write_date")).select(
-        line_id.alias("id"), F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"), "write_date"
+        line_id.alias("id"), F.col("l_orderkey").alias("order_id"), made.alias("product_id"), "write_date"
     )
     batches = t.lineitem.select(line_id.alias("line_id"), F.col("l_shipdate").alias("plan_date"))
-    quantities = t.lineitem.select(
-        line_id.alias("line_id"), _colour_of(), F.col("l_linenumber").alias("size_id"),
-        F.col("l_quantity").cast("int").alias("value"), F.col("l_shipdate").alias("batch_date"),
-        F.concat(F.lit("B"), "l_linestatus").alias("batch_name"),
-    )
-    product = t.part.select(F.col("p_partkey").alias("id"), F.concat(F.lit("D"), "p_partkey").alias("design_no"))
     partners = t.customer.select(
         F.col("c_custkey").alias("id"), F.concat(F.lit("C"), "c_custkey").alias("code"), F.col("c_name").alias("name"),
         (F.col("c_acctbal") > 0).alias("active"),
     )
     users = t.nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("login"))
-    heads = plan.order_heads(orders, lines, batches, quantities, product, partners, users, AS_OF, "1 year")
-    return plan.order_documents(heads, quantities, tables["colours"], tables["sizes"])
+    quantities = _order_quantities(t)
+    return plan.order_heads(orders, lines, batches, quantities, product, partners, users, AS_OF, "1 year")
 
 
 # --- C17 ----------------------------------------------------------------------

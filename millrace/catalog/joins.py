@@ -397,23 +397,26 @@ def geo_code_resolution(t):
 @query(
     "lookup_limit_one",
     """WITH wanted AS (SELECT l_orderkey, l_partkey, list(DISTINCT l_linenumber) AS specs FROM lineitem GROUP BY ALL),
-    offers AS (SELECT l_partkey AS k, l_linenumber AS spec, min(CAST(l_extendedprice AS DECIMAL(18,2))) AS price
-      FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL)
+    offers AS (SELECT l_partkey AS k, l_linenumber AS spec, min(CASE WHEN l_linestatus = 'F' AND l_linenumber <> 2
+      THEN CAST(l_extendedprice AS DECIMAL(18,2)) END) AS price FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL)
     SELECT l_orderkey, l_partkey, CAST(first(price ORDER BY price, spec) AS VARCHAR) AS price,
       first(spec ORDER BY price, spec) AS spec
     FROM wanted JOIN offers ON k = l_partkey AND list_contains(specs, spec) GROUP BY l_orderkey, l_partkey""",
 )
 def lookup_limit_one(t):
-    """Cheapest offer of a part in any of the specs the order lists."""
+    """Cheapest offer of a part in any of the specs the order lists; one without a price only if there is no other."""
+    priced = (F.col("l_linestatus") == "F") & (F.col("l_linenumber") != 2)
     offers = (
         t.lineitem.filter(F.col("l_returnflag") == "R")
         .groupBy("l_partkey", F.col("l_linenumber").alias("spec"))
-        .agg(F.min(m.money("l_extendedprice")).alias("price"))
+        .agg(F.min(F.when(priced, m.money("l_extendedprice"))).alias("price"))
     )
     # Listed specs as rows: an equality join instead of a test per pair.
     wanted = t.lineitem.select("l_orderkey", "l_partkey", F.col("l_linenumber").alias("spec")).distinct()
     hits = wanted.join(offers, ["l_partkey", "spec"])
-    best = hits.groupBy("l_orderkey", "l_partkey").agg(F.min(F.struct("price", "spec")).alias("b"))
+    best = hits.groupBy("l_orderkey", "l_partkey").agg(
+        F.min(F.struct(F.col("price").isNull(), "price", "spec")).alias("b")
+    )
     return best.select(
         "l_orderkey", "l_partkey", F.col("b.price").cast("string").alias("price"), F.col("b.spec").alias("spec")
     )

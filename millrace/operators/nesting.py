@@ -94,12 +94,15 @@ def collect_lists(
     lists: dict[str, tuple[DataFrame, Sequence[str], Column]],
     hot: DataFrame | None,
     max_items: int = MAX_ITEMS,
+    whole: str | None = None,
 ) -> DataFrame:
     """``nested_collect`` of several child tables, attached to their heads, by part.
 
     ``lists`` maps an output column to (children, order, item); ``hot`` holds the keys
     known to have too many children in any of them. All other lists are joined whole
     by key, on the partitioning they were collected in, and cut into parts at the end.
+    The list named ``whole`` also comes uncut in every part, as ``<name>_whole``: for what
+    must be combined with all of it, and hence must fit one cell.
     """
     on = list(keys)
     shaped = {
@@ -109,8 +112,10 @@ def collect_lists(
     out = heads if hot is None else heads.join(hot, on, "left_anti")
     for name, rows in shaped.items():
         cold = rows if hot is None else rows.join(hot, on, "left_anti")
-        whole = cold.repartition(*on).groupBy(*on).agg(_in_order().alias(name))
-        out = out.join(whole, on, "left")
+        gathered = cold.repartition(*on).groupBy(*on).agg(_in_order().alias(name))
+        out = out.join(gathered, on, "left")
+    if whole is not None:
+        out = out.withColumn(f"{whole}_whole", F.coalesce(whole, F.array()))
     out = _cut_parts(out, list(lists), max_items)
     if hot is None:
         return out
@@ -118,6 +123,10 @@ def collect_lists(
         name: _collect_hot(rows.join(hot, on, "left_semi"), on, name, max_items) for name, rows in shaped.items()
     }
     large = attach_parts(heads.join(hot, on, "left_semi"), on, parts)
+    if whole is not None:
+        name = f"{whole}_whole"
+        uncut = shaped[whole].join(hot, on, "left_semi").groupBy(*on).agg(_in_order().alias(name))
+        large = large.join(uncut, on, "left").withColumn(name, F.coalesce(name, F.array()))
     return out.unionByName(large.select(*out.columns))
 
 

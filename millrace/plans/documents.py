@@ -22,9 +22,11 @@ from millrace.session import cut_lineage
 
 # Codes and limits of the exchange format.
 FABRIC, ACCESSORY = "B", "F"
-BOM_ROWS = 30
 SOURCES = {"M1": 1, "M2": 3, "M3": 2, "M4": 2}
 
+#: Entries (colours x sizes) one material of a bill may repeat in one cell.
+CELL_ITEMS = 1_000_000
+
 
 def _named(df: DataFrame, prefix: str, *columns: str) -> DataFrame:
     """(prefix_id, prefix_<column>...) of a small master table."""
@@ -178,10 +180,10 @@ def item_documents(
 # --- bills of materials -------------------------------------------------------
 
 
-def bom_rows(bom: DataFrame, product: DataFrame, material: DataFrame, types: DataFrame, cap: int | None = BOM_ROWS):
+def bom_rows(bom: DataFrame, product: DataFrame, material: DataFrame, types: DataFrame, cap: int | None = None):
     """Active fabric and accessory rows per product, ordered by type, sequence, id.
 
-    ``cap`` is the number of rows a product's report lists.
+    ``cap`` limits the rows per product; only a report that lists so many asks for it.
     """
     live = product.filter(F.col("active")).select(F.col("id").alias("product_id"), "design_no")
     rows = bom.filter(F.col("active")).join(live, "product_id")
@@ -235,7 +237,9 @@ def bom_prices(colours: DataFrame, sizes: DataFrame, details: DataFrame) -> Data
         offers, ["material_id", "mid"]
     )
     hits = hits.join(wanted, ["bom_id", "spec"], "left_semi")
-    best = hits.groupBy("bom_id", "cid", "c_name", "c_code").agg(F.min(F.struct("price", "spec")).alias("b"))
+    best = hits.groupBy("bom_id", "cid", "c_name", "c_code").agg(
+        F.min(F.struct(F.col("price").isNull(), "price", "spec")).alias("b")  # without a price last
+    )
     return best.select("bom_id", "cid", "c_name", "c_code", F.col("b.price").alias("price"), F.col("b.spec").alias("spec"))
 
 
@@ -256,14 +260,21 @@ def bom_materials(
     colours: DataFrame,
     details: DataFrame,
     form: str = "item",
-    cap: int | None = BOM_ROWS,
+    cap: int | None = None,
     max_items: int = nesting.MAX_ITEMS,
-) -> tuple[DataFrame, DataFrame]:
-    """(BOM rows, material objects with product_id, type_code and ordering columns).
-
+    wanted: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(BOM rows, material objects with product_id, type_code and ordering columns, and what to
+    measure the products by: as many rows as objects).
+
+    ``wanted`` (product_id) restricts the work to these products before anything is expanded. A
+    colour carries all sizes in whichever part it stands; a row whose colours and sizes do not fit
+    one cell fails by name.
     ``form`` is "item" or "order": the two consumers name and type some fields differently.
     Rows, sizes and colours feed several lists each, so they are written once.
     """
+    if wanted is not None:
+        bom = bom.join(wanted.select("product_id").distinct(), "product_id", "left_semi")
     rows = bom_rows(bom, product, material, types, cap)
     rows = lookup(rows, units, {"unit_id": "id"}, {"mate_unit": "name"})
     rows = lookup(rows, units, {"min_package_unit_id": "id"}, {"pack_unit": "name"})
@@ -288,9 +299,8 @@ def bom_materials(
     # A row has at most one price per colour, so sizes and colours tell which are large.
     members = size_rows.select("bom_id").unionByName(colour_rows.select("bom_id"))
     hot = hot_keys(members, ["bom_id"], max_items)
-    full = nesting.collect_lists(headed, ["bom_id"], lists, hot, max_items)
-
     is_item = form == "item"
+    full = nesting.collect_lists(headed, ["bom_id"], lists, hot, max_items, "size_list" if is_item else None)
 
     def amount(c: Column) -> Column:
         return c.cast("string") if is_item else c.cast("double")
@@ -305,15 +315,18 @@ def bom_materials(
         lambda p: _item(colorCode=p["c_code"], colorName=p["c_name"], model=p["spec"], price=amount(p["price"])),
     )
     zero, one = F.lit(0), F.lit(1)
-    # Computed once per row: every colour repeats the sizes.
-    full = full.withColumn("fits", fits)
-    fits = F.col("fits")
     if is_item:
+        # Computed once per row: every colour repeats the sizes.
+        every = F.transform(
+            "size_list_whole",
+            lambda s: _item(sizeCode=s["s_name"], sizeName=s["s_name"], model=s["spec"], qty=quantity),
+        )
+        full = full.withColumn("every", _fitting("bom_id", "colour_list", "size_list_whole", every))
         shades = F.transform(
             "colour_list",
             lambda c: _item(
                 itemColorCode=c["b_code"], itemColorName=c["b_name"], colorCode=c["c_code"],
-                colorName=c["c_name"], mateSizeList=fits,
+                colorName=c["c_name"], mateSizeList=F.col("every"),
             ),
         )
     else:
@@ -346,11 +359,18 @@ def bom_materials(
     materials = full.select(
         "product_id", "type_code", "type_id", "sequence", "bom_id", F.col("part").alias("piece"), entry.alias("entry")
     )
-    return rows, materials
+    return rows, materials, rows if hot is None else materials
+
+
+def _fitting(key: str, outer: str, inner: str, value: Column) -> Column:
+    """``value`` where ``outer`` times ``inner`` entries fit one cell; else the job fails and names the key."""
+    size = F.size(outer).cast("long") * F.size(inner)
+    message = F.concat(F.lit(f"{key} "), F.col(key).cast("string"), F.lit(": too many entries for one cell"))
+    return F.when(size > CELL_ITEMS, F.raise_error(message)).otherwise(value)
 
 
 def bom_documents(
-    rows: DataFrame, materials: DataFrame, heads: DataFrame, head_field: str, require_all: bool
+    rows: DataFrame, materials: DataFrame, sizes: DataFrame, heads: DataFrame, head_field: str, require_all: bool
 ) -> DataFrame:
     """BOM documents of the heads (product_id, key, head text): fabrics and accessories apart.
 
@@ -363,7 +383,7 @@ def bom_documents(
     order = ["type_id", "sequence", "bom_id", "piece"]
     lists = nesting.split_collect(
         materials.join(passed, "product_id", "left_semi"), ["product_id"], "type_code",
-        {"fabrics": FABRIC, "accessories": ACCESSORY}, order, F.col("entry"), sizes=rows,
+        {"fabrics": FABRIC, "accessories": ACCESSORY}, order, F.col("entry"), sizes=sizes,
     )
     docs = heads.join(lists, "product_id")
     body = F.struct(
@@ -374,6 +394,15 @@ def bom_documents(
     return docs.select("key", "part", document(body).alias("document"))
 
 
+def item_heads(
+    product: DataFrame, product_colours: DataFrame, product_sizes: DataFrame, as_of: str, interval: str
+) -> DataFrame:
+    """(product_id, design_no) of the changed active products that have colours and sizes."""
+    changed = product.filter(F.col("active") & newer_than("write_date", as_of, interval))
+    heads = changed.select(F.col("id").alias("product_id"), "design_no")
+    return heads.join(product_colours, "product_id", "left_semi").join(product_sizes, "product_id", "left_semi")
+
+
 # --- orders -------------------------------------------------------------------
 
 

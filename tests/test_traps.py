@@ -121,9 +121,9 @@ def bom_docs(frame, form, require_all):
     import json
 
     tables, _ = bom_fixture(frame)
-    listed, entries = documents.bom_materials(**tables, form=form)
+    listed = documents.bom_materials(**tables, form=form)
     heads = tables["product"].select(F.col("id").alias("product_id"), F.col("id").alias("key"), F.col("design_no").alias("head"))
-    docs = documents.bom_documents(listed, entries, heads, "itemCode", require_all)
+    docs = documents.bom_documents(*listed, heads, "itemCode", require_all)
     return {r.key: json.loads(r.document) for r in docs.collect()}
 
 
@@ -143,6 +143,56 @@ def test_t8_a13_a14_bill_of_materials(frame):
     assert zipper["mateColorPriceList"] == []
 
 
+@pytest.mark.parametrize("form", ["item", "order"])
+@pytest.mark.parametrize("hot", [True, False])
+def test_every_colour_keeps_all_sizes(frame, monkeypatch, form, hot):
+    """Parts of two entries, by the hot and by the cold path, add up to the unsplit bill."""
+    tables, _ = bom_fixture(frame)
+    tables["product_sizes"] = frame("product_id long, size_id int", *[(p, s) for p in (100, 101) for s in range(1, 6)])
+    tables["product_colours"] = frame("product_id long, color_id int", *[(p, c) for p in (100, 101) for c in range(20, 25)])
+    tables["sizes"] = frame("id int, name string, sequence int", *[(s, f"S{s}", s) for s in range(1, 6)])
+    tables["colours"] = frame("id int, name string, code string", (7, "raw", "W"), (8, "navy", "N"), *[(c, f"c{c}", f"C{c}") for c in range(20, 25)])
+    found = [frame("bom_id long", (1,), (3,))] if hot else [None]
+    monkeypatch.setattr(documents, "hot_keys", lambda *a: found[0])
+
+    def lists(max_items):
+        _, materials, _ = documents.bom_materials(**tables, form=form, max_items=max_items)
+        out = {}
+        for r in sorted(materials.select("bom_id", "piece", "entry").collect(), key=lambda r: (r.bom_id, r.piece)):
+            entry = r.entry.asDict(True)
+            name = "colorList" if form == "item" else "mateColorList"
+            held = out.setdefault(r.bom_id, {"shades": [], "fits": [], "offers": []})
+            held["shades"] += entry[name]
+            held["fits"] += entry["mateSizeList"]
+            held["offers"] += entry["mateColorPriceList"]
+        return out
+
+    small = lists(2)
+    assert small == lists(1000)
+    if form == "item":
+        assert all([s["sizeCode"] for s in c["mateSizeList"]] == ["S1", "S2", "S3", "S4", "S5"] for c in small[1]["shades"])
+
+
+def test_a_bill_too_large_for_a_cell_is_named(frame, monkeypatch):
+    tables, _ = bom_fixture(frame)
+    monkeypatch.setattr(documents, "CELL_ITEMS", 3)
+    with pytest.raises(Exception, match="bom_id [12]: too many entries"):
+        documents.bom_materials(**tables, form="item")[1].collect()
+
+
+def test_bills_only_of_wanted_products(frame):
+    tables, _ = bom_fixture(frame)
+    wanted = frame("product_id long", (101,), (101,))
+    assert {r.product_id for r in documents.bom_materials(**tables, wanted=wanted)[1].collect()} == {101}
+
+
+def test_an_offer_without_price_comes_last(frame):
+    colours = frame("bom_id long, material_id long, cid int, mid int, c_name string, c_code string", (1, 10, 5, 7, "raw", "W"), (2, 11, 5, 7, "raw", "W"))
+    sizes = frame("bom_id long, spec string", (1, "V1"), (1, "V2"), (2, "V1"))
+    details = frame("material_id long, color_id int, name string, price decimal(8,2)", (10, 7, "V1", None), (10, 7, "V2", D(5)), (11, 7, "V1", None))
+    assert rows(documents.bom_prices(colours, sizes, details), "bom_id", "price", "spec") == [(1, D("5.00"), "V2"), (2, None, "V1")]
+
+
 def test_order_form_needs_either_list(frame):
     docs = bom_docs(frame, "order", False)
     assert set(docs) == {100, 101}
