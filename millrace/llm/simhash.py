@@ -30,7 +30,7 @@ WIDTH = 64
 #: Leading bits that name a bucket.
 BUCKET_BITS = 16
 #: Variants compared at once, and shingles counted at once.
-VARIANTS, SHINGLES = 1 << 21, 1 << 15
+VARIANTS, SHINGLES = 1 << 19, 1 << 15
 
 
 def _balls(bits: int, radius: int) -> list[np.ndarray]:
