@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from millrace.functions import differs
-from millrace.operators.lookup import fan_out, missing_from
+from millrace.operators.lookup import fan_out, missing_from, present_in
 from millrace.operators.numbering import number_rows
 from millrace.operators.skew import any_null, key_side, null_spread, spread_zero
 from millrace.session import cut_lineage
@@ -125,17 +125,24 @@ def upsert_numbered(
 ) -> DataFrame:
     """``merge_upsert`` that gives the new rows surrogate ids after the maximum of
     ``ids_in`` (default: the target)."""
-    merged = merge_upsert(target, source.drop(id_column), keys, update)
-    return fill_ids(merged, target if ids_in is None else ids_in, keys, id_column)
+    known = set(update) - {id_column}
+    return merge_upsert(target, give_ids(source, target, keys, id_column, ids_in), keys, sorted(known))
 
 
-def fill_ids(merged: DataFrame, target: DataFrame, keys: Sequence[str], id_column: str) -> DataFrame:
-    """Number the rows of a merge that came without an id, in key order."""
-    merged = cut_lineage(merged)
-    known = merged.filter(F.col(id_column).isNotNull())
-    new = merged.filter(F.col(id_column).isNull())
-    numbered = number_rows(new, list(keys), id_column, after=(target, id_column))
-    return known.unionByName(_typed(numbered, merged))
+def give_ids(
+    source: DataFrame, target: DataFrame, keys: Sequence[str], id_column: str = "id", ids_in: DataFrame | None = None
+) -> DataFrame:
+    """``source`` with ids, after the maximum of ``ids_in`` (default: the target), for the rows the target lacks.
+
+    Rows the target has come without an id; a merge keeps the target's. Only the new rows are
+    ordered and written to be numbered, however large the target is.
+    """
+    on = {k: k for k in keys}
+    plain = source.drop(id_column)
+    ids_in = target if ids_in is None else ids_in
+    new = number_rows(missing_from(plain, target, on), list(keys), id_column, after=(ids_in, id_column))
+    known = present_in(plain, target, on).withColumn(id_column, F.lit(None).cast(new.schema[id_column].dataType))
+    return known.unionByName(new)
 
 
 def _matched(target: DataFrame, source: DataFrame, keys: Sequence[str], extra: Sequence[str] = ()):

@@ -17,14 +17,17 @@ def _partition_count(df: DataFrame) -> int:
 
 
 def _ranged(df: DataFrame, order: Sequence[str], partitions: int | None) -> DataFrame:
-    """``df`` range-partitioned by ``order`` with its partition number as data.
+    """``df`` in order: range-partitioned, sorted, each row with its range ``_pid`` and place ``_at`` in it.
 
-    The partition number is only true for one run of the range sampler, so the
-    rows are checkpointed with it before anything is counted.
+    Range and place are only true for one run of the range sampler, so the rows are
+    checkpointed with them before anything is counted.
     """
     n = partitions or _partition_count(df)
-    ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
-    return cut_lineage(ranged)
+    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # The id counts rows inside a partition in its lower 33 bits.
+    placed = cut_lineage(ranged.withColumn("_row", F.monotonically_increasing_id()))
+    at = F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.select(*df.columns, F.shiftright("_row", 33).cast("int").alias("_pid"), (at + 1).alias("_at"))
 
 
 def number_rows(
@@ -37,7 +40,8 @@ def number_rows(
     """Number all rows 1..n in ``order_by`` order (a unique key), after a maximum.
 
     ``after`` is (table, id column): numbering goes on after its maximum, or starts
-    at 1 when it is empty. No task sees more than one range of the rows.
+    at 1 when it is empty. ``partitions`` is the number of ranges, by default that of shuffle
+    partitions: one shuffle, after which no row moves again.
     """
     ranged = _ranged(df, order_by, partitions)
     sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_rows"))
@@ -47,15 +51,12 @@ def number_rows(
         F.col("_pid").alias("_start_pid"),
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
     )
-    local = F.row_number().over(Window.partitionBy("_pid").orderBy(*order_by))
     first = F.col("_start")
     if after is not None:
         table, column = after
         first = first + table.agg(F.coalesce(F.max(column), F.lit(0))).scalar()
-    numbered = ranged.withColumn("_local", local).join(
-        F.broadcast(starts), F.col("_pid") == F.col("_start_pid")
-    )
-    number = (F.col("_local") + first).cast("long")
+    numbered = ranged.join(F.broadcast(starts), F.col("_pid") == F.col("_start_pid"))
+    number = (F.col("_at") + first).cast("long")
     return numbered.withColumn(out, number).select(
         *[c for c in df.columns if c != out], out
     )
@@ -111,15 +112,16 @@ def _number_ranges(
     df: DataFrame, group: Sequence[str], order_by: Sequence[str], out: str
 ) -> DataFrame:
     ranged = _ranged(df, [*group, *order_by], None)
-    # Pieces of one group: at most one per range.
-    pieces = ranged.groupBy(*group, "_pid").agg(F.count(F.lit(1)).alias("_rows"))
+    # Pieces of one group: at most one per range. All pieces: at most one per range and per large group.
+    pieces = ranged.groupBy(*group, "_pid").agg(F.count(F.lit(1)).alias("_rows"), F.min("_at").alias("_first"))
     before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     starts = pieces.withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-    local = F.row_number().over(Window.partitionBy(*group, "_pid").orderBy(*order_by))
-    joined = ranged.withColumn("_local", local).join(starts.drop("_rows"), [*group, "_pid"])
-    return joined.withColumn(out, (F.col("_local") + F.col("_start")).cast("long")).select(
-        *df.columns, out
-    )
+    names = {g: f"_g_{g}" for g in group}
+    starts = starts.select("_pid", "_first", "_start", *[F.col(g).alias(n) for g, n in names.items()]).withColumnRenamed("_pid", "_p")
+    same = [F.col(g).eqNullSafe(F.col(n)) for g, n in names.items()]
+    joined = ranged.join(starts, [F.col("_pid") == F.col("_p"), *same])
+    number = F.col("_at") - F.col("_first") + 1 + F.col("_start")
+    return joined.withColumn(out, number.cast("long")).select(*df.columns, out)
 
 
 def allocate_codes(

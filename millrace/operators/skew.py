@@ -12,6 +12,13 @@ from millrace.session import cut_lineage
 
 #: A group above this many rows is not handled by one task.
 HOT_ROWS = 1_000_000
+#: Rows up to which one side of a join is broadcast; beyond, the join is shuffled.
+BROADCAST_ROWS = 1 << 17
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast if it has few rows; they are counted for it."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
 def any_null(keys: Sequence[str]) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.skew import null_spread, spread_zero
+from millrace.operators.skew import null_spread, small, spread_zero
 from millrace.session import cut_lineage
 
 
@@ -18,6 +18,11 @@ def _rounds(state: DataFrame) -> int:
     return max(1, state.count()).bit_length() + 1
 
 
+def _above(df: DataFrame) -> DataFrame:
+    """Rows as others look up at them."""
+    return df.select(*[F.col(c).alias(f"a_{c}") for c in ("node", "up", "names", "ids", "reached")])
+
+
 def tree_paths(
     df: DataFrame,
     id_column: str = "id",
@@ -37,49 +42,50 @@ def tree_paths(
         F.col(name).alias("names"),
         F.concat(F.col(id_column).cast("string"), F.lit("/")).alias("ids"),
         F.lit(True).alias("reached"),
+        # A root names itself, any other row nobody.
+        F.when(F.col(parent).isNull(), F.col(id_column)).alias("root"),
     )
+    root_type = state.schema["root"].dataType
     state = cut_lineage(state)
-    for _ in range(_rounds(state)):
-        if state.filter(F.col("up").isNotNull() & F.col("reached")).isEmpty():
+    rounds = _rounds(state)
+    roots = cut_lineage(state.filter(F.col("up").isNull()))
+    # Finished rows are set aside: they are looked up, but not joined or written again. In a wide
+    # tree most rows soon point at a root; these are joined with the roots alone.
+    done, active = roots, state.filter(F.col("up").isNotNull())
+    top = small(_above(roots))
+    for _ in range(rounds):
+        if active.isEmpty():
             break
-        above = state.select(
-            F.col("node").alias("a_node"),
-            F.col("up").alias("a_up"),
-            F.col("names").alias("a_names"),
-            F.col("ids").alias("a_ids"),
-            F.col("reached").alias("a_reached"),
-            spread_zero(["node"]).alias("_zero"),
-        )
-        joined = state.withColumn("_spread", null_spread(state, ["up"])).join(
-            above, (F.col("up") == F.col("a_node")) & (F.col("_spread") == F.col("_zero")), "left"
-        )
-        at_root = F.col("up").isNull()
-        step = joined.select(
-            "node",
-            F.col("a_up").alias("up"),
-            F.when(at_root, F.col("names"))
-            .otherwise(F.concat("a_names", F.lit(separator), "names"))
-            .alias("names"),
-            F.when(at_root, F.col("ids")).otherwise(F.concat("a_ids", "ids")).alias("ids"),
-            F.when(at_root, F.col("reached"))
-            .otherwise(F.col("reached") & F.coalesce("a_reached", F.lit(False)))
-            .alias("reached"),
-        )
+        under_root = active.join(top, F.col("up") == F.col("a_node"))
+        others = active.join(top, F.col("up") == F.col("a_node"), "left_anti")
+        above = _above(active.unionByName(done.filter(F.col("root").isNull())))
+        spread = others.withColumn("_spread", null_spread(others, ["up"]))
+        moved = spread.join(
+            above.withColumn("_zero", spread_zero(["a_node"])),
+            (F.col("up") == F.col("a_node")) & (F.col("_spread") == F.col("_zero")), "left",
+        ).drop("_spread", "_zero")
+        both = under_root.unionByName(moved)
+        reached = F.coalesce("a_reached", F.lit(False))
+        ids = F.concat("a_ids", "ids")
         # A lost chain needs no further joins, and a cycle must not grow its text.
-        lost = ~F.col("reached") | F.col("ids").rlike(r"^([^/]+)/(.*/)?\1/")
-        step = step.select(
+        lost = ~reached | ids.rlike(r"^([^/]+)/(.*/)?\1/")
+        step = both.select(
             "node",
-            F.when(lost, None).otherwise(F.col("up")).alias("up"),
-            F.when(lost, None).otherwise(F.col("names")).alias("names"),
-            F.when(lost, None).otherwise(F.col("ids")).alias("ids"),
+            F.when(~lost, F.col("a_up")).alias("up"),
+            F.when(~lost, F.concat("a_names", F.lit(separator), "names")).alias("names"),
+            F.when(~lost, ids).alias("ids"),
             (~lost).alias("reached"),
+            F.lit(None).cast(root_type).alias("root"),
         )
-        state = cut_lineage(step)
-    done = F.col("reached") & F.col("up").isNull()
+        step = cut_lineage(step)
+        open_rows = F.col("up").isNotNull() & F.col("reached")
+        done, active = done.unionByName(step.filter(~open_rows)), step.filter(open_rows)
+    state = done.unionByName(active)
+    finished = F.col("reached") & F.col("up").isNull()
     paths = state.select(
         F.col("node").alias("_node"),
-        F.when(done, F.col("names")).alias(name_path),
-        F.when(done, F.col("ids")).alias(id_path),
+        F.when(finished, F.col("names")).alias(name_path),
+        F.when(finished, F.col("ids")).alias(id_path),
     )
     kept = df.drop(name_path, id_path)
     return kept.join(paths, kept[id_column] == paths["_node"], "left").drop("_node")
@@ -91,24 +97,30 @@ def inherit_from_ancestor(
     """Fill a null ``column`` with the value of the nearest ancestor that has one."""
     state = cut_lineage(
         df.select(
-            F.col(id_column).alias("node"), F.col(parent).alias("up"), F.col(column).alias("value")
+            F.col(id_column).alias("node"), F.col(parent).alias("up"), F.col(column).alias("value"),
+            F.col(parent).isNull().alias("root"),
         )
     )
+    rounds = _rounds(state)
     open_rows = F.col("value").isNull() & F.col("up").isNotNull()
-    for _ in range(_rounds(state)):
-        pending = state.filter(open_rows)
+    done, pending = state.filter(~open_rows), state.filter(open_rows)
+
+    def above(df: DataFrame) -> DataFrame:
+        return df.select(F.col("node").alias("a_node"), F.col("up").alias("a_up"), F.col("value").alias("a_value"))
+
+    # As in tree_paths: settled rows stay aside, and rows under a root meet the roots alone.
+    roots = small(above(cut_lineage(state.filter("root"))))
+    for _ in range(rounds):
         if pending.isEmpty():
             break
-        above = state.select(
-            F.col("node").alias("a_node"),
-            F.col("up").alias("a_up"),
-            F.col("value").alias("a_value"),
-        )
+        under_root = pending.join(roots, F.col("up") == F.col("a_node"))
+        others = pending.join(roots, F.col("up") == F.col("a_node"), "left_anti")
+        inner = above(pending.unionByName(done.filter("not root")))
         # Between a row and its pointer no row has a value, so the first hit is the nearest.
-        moved = pending.join(above, F.col("up") == F.col("a_node"), "left").select(
-            "node", F.col("a_up").alias("up"), F.col("a_value").alias("value")
-        )
-        state = cut_lineage(state.filter(~open_rows).unionByName(moved))
+        moved = under_root.unionByName(others.join(inner, F.col("up") == F.col("a_node"), "left"))
+        moved = cut_lineage(moved.select("node", F.col("a_up").alias("up"), F.col("a_value").alias("value"), F.lit(False).alias("root")))
+        done, pending = done.unionByName(moved.filter(~open_rows)), moved.filter(open_rows)
+    state = done.unionByName(pending)
     found = state.select(F.col("node").alias("_node"), F.col("value").alias("_value"))
     joined = df.join(found, F.col(id_column) == F.col("_node"), "left")
     return joined.withColumn(column, F.coalesce(column, "_value")).select(*df.columns)

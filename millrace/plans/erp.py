@@ -48,11 +48,11 @@ def departments(target: DataFrame, depart: DataFrame, company: Column, as_of: Co
         F.col("dd_parent_id").alias("origin_parent_id"),
         company.alias("company_id"),
     )
+    source = merge.give_ids(source, target, ["origin_id"])
     merged = merge.reconcile(
         target, source, ["origin_id"], ["name", "origin_parent_id"], stamp=("write_date", as_of)
     )
-    numbered = merge.fill_ids(merged, target, ["origin_id"], "id")
-    linked = merge.backfill_parent(numbered)
+    linked = merge.backfill_parent(merged)
     named = linked.select(
         "id", "parent_id", json_field("name", "zh_CN").alias("name")
     )
@@ -75,8 +75,8 @@ def jobs(target: DataFrame, position: DataFrame, company: Column) -> DataFrame:
         code_map("is_delete", {1: False, 0: True}).alias("active"),
         company.alias("company_id"),
     )
-    merged = merge.reconcile(target, source, ["origin_id"], ["name"])
-    return merge.fill_ids(merged, target, ["origin_id"], "id")
+    source = merge.give_ids(source, target, ["origin_id"])
+    return merge.reconcile(target, source, ["origin_id"], ["name"])
 
 
 def employees(

@@ -179,3 +179,45 @@ def test_tree_walks_agree_with_a_plain_walk(frame, seed):
     got = {r.id: r.parent_path for r in tree.tree_paths(df).collect()}
     assert got == {i: ("/".join(map(str, chain(i))) + "/" if chain(i) else None) for i in parent}
     assert {r.id: r.code for r in tree.inherit_from_ancestor(df).collect()} == {i: nearest(i) for i in parent}
+
+
+def test_a_wide_tree_meets_its_root_without_a_shuffle(frame, spark):
+    """One root, 100,000 children: they are joined with a broadcast root, so no task gathers them."""
+    root = spark.createDataFrame([(0, None, "top", "R")], "id long, parent_id long, name string, code string")
+    wide = spark.range(1, 100_001).selectExpr("id", "0L as parent_id", "concat('n', id) as name", "cast(null as string) as code")
+    deep = spark.range(100_001, 100_051).selectExpr("id", "id - 100000 as parent_id", "'d' as name", "cast(null as string) as code")
+    df = root.unionByName(wide).unionByName(deep)
+    plans = []
+    cut = tree.cut_lineage
+
+    def watched(part):
+        plans.append(part._jdf.queryExecution().executedPlan().toString())
+        return cut(part)
+
+    tree.cut_lineage = watched
+    try:
+        paths = {r.id: r.parent_path for r in tree.tree_paths(df).select("id", "parent_path").collect()}
+        codes = tree.inherit_from_ancestor(df).filter("code = 'R'").count()
+    finally:
+        tree.cut_lineage = cut
+    assert paths[0] == "0/" and paths[77] == "0/77/" and paths[100_050] == "0/50/100050/"
+    assert codes == 100_051
+    assert any("BroadcastHashJoin" in p for p in plans)
+
+
+def test_numbering_moves_rows_once(spark, monkeypatch):
+    df = spark.range(0, 1000).selectExpr("id * 7919 % 1000 as k", "id")
+    numbered = numbering.number_rows(df, ["k"], "n", partitions=5)
+    assert {r.k: r.n for r in numbered.collect()} == {k: k + 1 for k in range(1000)}
+    plan = numbered._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window [row_number" not in plan and "Window [sum" in plan
+
+
+def test_only_new_rows_are_numbered(spark):
+    target = spark.createDataFrame([(1, "a", "x"), (5, "b", "y")], "id long, k string, v string")
+    source = spark.createDataFrame([("b", "z"), ("c", "n"), (None, "m")], "k string, v string")
+    merged = merge.upsert_numbered(target, source, ["k"], ["v"])
+    got = {r.k: (r.id, r.v) for r in merged.collect()}
+    assert got["a"] == (1, "x") and got["b"] == (5, "z") and {got["c"], got[None]} == {(6, "m"), (7, "n")}
+    again = merge.upsert_numbered(merged.dropna(subset=["k"]), source.dropna(), ["k"], ["v"])
+    assert {r.k: r.id for r in again.collect()} == {"a": 1, "b": 5, "c": got["c"][0]}
