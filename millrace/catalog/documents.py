@@ -232,6 +232,7 @@ _BOM_VIEWS = (
     "b_prices", "b_lists",
 )
 
+# Keys of the exchange format.
 _COMMON = """'mateCode': m_code, 'mateName': m_name, 'mateUnit': mate_unit, 'mateSource': source, 'unit': unit,
   'providerCode': provider_code, 'providerName': provider_name, 'price': {}, 'element': composition, 'model': model,
   'weight': TRY_CAST(nullif(wtext, '') AS DOUBLE), 'wastRate': 0, 'part': part_name, 'remarks': memo"""

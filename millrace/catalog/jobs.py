@@ -209,6 +209,7 @@ def _empty(t, ddl: str):
     return t.spark.createDataFrame([], ddl)
 
 
+# Target columns of a post and their constants.
 _POSTS = f"""SELECT s_talent_position_id + 10000 AS id, s_position AS name,
   coalesce(nullif(s_en_position, ''), s_position) AS code, coalesce(sort, 0) AS sort, 0 AS status, '' AS remark,
   '' AS creator, coalesce(gmt_create, {NOW_SQL}) AS create_time, '' AS updater,
@@ -465,7 +466,12 @@ def erp_employees(t):
       TRY_CAST(nullif(parts[3], '') AS BIGINT) AS p3 FROM ids)
     SELECT s_supplier_id AS origin_id, s_supplier_name AS name, s_email AS email, 'Asia/Shanghai' AS tz,
       (SELECT r_regionkey FROM region WHERE r_name = 'EUROPE') AS supplier_type,
-      r.r_regionkey + 100 AS country_id, a.n_nationkey + 200 AS state_id, b.n_name AS city, true AS active, 'draft' AS status
+      r.r_regionkey + 100 AS country_id, a.n_nationkey + 200 AS state_id, b.n_name AS city, true AS active, 'draft' AS status,
+      's_supplier_num' || s_supplier_id AS customer_code, s_supplier_name AS complete_name,
+      's_supplier_short_name' || s_supplier_id AS customer_short_name, 's_address' || s_supplier_id AS street,
+      's_total_person' || s_supplier_id AS employee_number, 's_workshop_person' || s_supplier_id AS production_staff,
+      's_technical_person' || s_supplier_id AS technical_staff, s_email AS email_normalized,
+      's_remark' || s_supplier_id AS comment, CASE WHEN s_supplier_id % 4 <> 0 THEN CAST(s_supplier_id AS INTEGER) END AS score
     FROM split LEFT JOIN region r ON r_regionkey = p1 LEFT JOIN nation a ON a.n_nationkey = p2
     LEFT JOIN nation b ON b.n_nationkey = p3
     WHERE is_delete = 0 AND s_email IS NOT NULL AND s_supplier_id NOT IN (SELECT n_nationkey FROM nation)""",
@@ -475,12 +481,17 @@ def erp_partners(t):
     countries = t.region.select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"))
     areas = t.nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
     kind = t.region.filter(F.col("r_name") == "EUROPE").select("r_regionkey").scalar()
+    places = m.place_text(t)
+    plain = sorted({c for c in erp.PARTNER_COLUMNS.values() if c not in places.columns})
+    supplier = places.withColumns({c: F.concat(F.lit(c), "s_supplier_id") for c in plain})
+    score = F.when(F.col("s_supplier_id") % 4 != 0, F.col("s_supplier_id").cast("string")).otherwise(F.lit("n/a"))
     rows = erp.partners(
-        known, m.place_text(t), countries, areas,
+        known, supplier.withColumn("s_score", score), countries, areas,
         countries.withColumn("id", F.col("id") + 100), areas.withColumn("id", F.col("id") + 200), kind,
     )
     return rows.select(
-        "origin_id", "name", "email", "tz", "supplier_type", "country_id", "state_id", "city", "active", "status"
+        "origin_id", "name", "email", "tz", "supplier_type", "country_id", "state_id", "city", "active", "status",
+        *[c for c in erp.PARTNER_COLUMNS if c not in ("name", "email")], "score",
     )
 
 
@@ -645,7 +656,10 @@ def _yarn_library(t):
         F.concat(F.lit("C"), F.expr("id div 20")).alias("code"),
         F.col("id").alias("yarn_type"),
     )
-    return yarn.library(_yarn_old(t), _yarn_store(t), _yarn_tree(t), entries, colours)
+    store = _yarn_store(t)
+    roles = {k: v for k, v in yarn.ROLES.items() if k in store.columns}
+    fields = {k: yarn.DICTIONARIES[k] for k in ("yarn_type", "quality_of_yarn", "spinning_method", "special_fiber", "yarn_count_unit")}
+    return yarn.library(_yarn_old(t), store, _yarn_tree(t), entries, colours, roles, fields)
 
 
 _YARN = ("yarn_tree", "yarn_entries", "yarn_store", "yarn_coded", "yarn_colours", "yarn_library")
@@ -656,6 +670,60 @@ def yarn_library(t):
     return _yarn_library(t)
 
 
+def _role_key(k: int) -> str:
+    """Tree key of role ``k``: differs from role to role and misses some."""
+    return f"(p_partkey // {k + 2} + {k}) % 60"
+
+
+VIEWS["yarn_dictionaries"] = (
+    "SELECT h.code AS dict_code, least_size * 20 + h.k AS id, 'N' || (least_size // 2) AS code, mnemonic_code, "
+    "'N' || (least_size // 2) AS name FROM (SELECT min(p_size) AS least_size, CASE WHEN p_size <= 5 THEN 'L' "
+    "ELSE 'C' || (p_size // 2) END AS mnemonic_code FROM part WHERE p_size < 40 GROUP BY 2), (VALUES "
+    + ", ".join(f"('{code}', {k})" for k, (code, _) in enumerate(yarn.DICTIONARIES.values(), start=1))
+    + ") h(code, k)"
+)
+
+_ROLE_OF = {out: (k, column) for k, (out, column) in enumerate(yarn.ROLES.values())}
+_CODED = {
+    **{out: f"r{k}.{column}" for out, (k, column) in _ROLE_OF.items() if not out.startswith("special_")},
+    "special_fiber": "coalesce(" + ", ".join(f"r{k}.{c}" for out, (k, c) in _ROLE_OF.items() if out.startswith("special_")) + ")",
+}
+
+
+@query(
+    "yarn_attributes",
+    ctes("yarn_tree", "yarn_dictionaries")
+    + " SELECT p_partkey AS s_yarn_store_id, r1.s_code AS color_of_yarn, "
+    + ", ".join(f"d{i}.id AS {field}" for i, field in enumerate(yarn.DICTIONARIES))
+    + " FROM part "
+    + " ".join(f"LEFT JOIN yarn_tree r{k} ON r{k}.s_tree_id = {_role_key(k)}" for k in range(len(yarn.ROLES)))
+    + " "
+    + " ".join(
+        f"LEFT JOIN (SELECT * FROM yarn_dictionaries WHERE dict_code = '{code}') d{i} ON d{i}.{column} = {_CODED[field]}"
+        for i, (field, (code, column)) in enumerate(yarn.DICTIONARIES.items())
+    ),
+)
+def yarn_attributes(t):
+    """All seventeen roles and all fourteen dictionaries of the library."""
+    store = t.part.select(
+        F.col("p_partkey").alias("s_yarn_store_id"),
+        *[F.expr(_role_key(k).replace("//", "div")).alias(key) for k, key in enumerate(yarn.ROLES)],
+    )
+    codes = list(dict.fromkeys(code for code, _ in yarn.DICTIONARIES.values()))
+    heads = F.array(*[F.struct(F.lit(c).alias("code"), F.lit(k).alias("k")) for k, c in enumerate(codes, start=1)])
+    listed = t.part.filter(F.col("p_size") < 40).groupBy(_yarn_code().alias("mnemonic_code")).agg(
+        F.min("p_size").alias("least")
+    )
+    name = F.concat(F.lit("N"), F.expr("least div 2"))
+    entries = listed.select("least", "mnemonic_code", F.explode(heads).alias("h")).select(
+        F.col("h.code").alias("dict_code"), (F.col("least") * 20 + F.col("h.k")).alias("id"), name.alias("code"),
+        "mnemonic_code", name.alias("name"),
+    )
+    coded = yarn.merge_special(yarn.resolve_roles(store, _yarn_tree(t)))
+    found = yarn.resolve_dictionaries(coded, entries)
+    return found.select("s_yarn_store_id", "color_of_yarn", *yarn.DICTIONARIES)
+
+
 VIEWS["yarn_parts"] = """
 SELECT row_number() OVER (ORDER BY l_orderkey, l_partkey) AS s_component_id, l_partkey AS s_yarn_store_id,
   l_orderkey % 55 AS s_tree_id, n AS s_ratio FROM (SELECT l_orderkey, l_partkey, CAST(sum(l_quantity) AS INTEGER) AS n

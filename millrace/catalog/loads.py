@@ -64,6 +64,27 @@ def truncate_load(t):
     return load.read_current(t.spark, root, schema)
 
 
+@query(
+    "refresh",
+    """SELECT CAST(event_id AS INTEGER) AS s_id, CAST(event_id * 2 AS INTEGER) AS id, CAST(user_id AS INTEGER) AS user_id,
+      CAST(NULL AS INTEGER) AS ext_id, 'T' || (user_id % 9) AS terminal_id, event_type AS check_type, ts AS check_time,
+      CAST(event_id AS VARCHAR) AS check_data, ts AS s_created_time,
+      CAST(event_type = 'click' AS SMALLINT) AS is_write
+    FROM events WHERE ts > TIMESTAMP '2024-01-30' - INTERVAL 1 MONTH""",
+)
+def refresh(t):
+    """The declared load of punch records, end to end: extract, look back, cast to the declared types, replace."""
+    root = _scratch(t, "refresh")
+    source = t.events.select(
+        F.col("event_id").alias("s_id"), (F.col("event_id") * 2).cast("string").alias("id"), "user_id",
+        F.lit(None).cast("string").alias("ext_id"), F.concat(F.lit("T"), F.col("user_id") % 9, F.lit("  ")).alias("terminal_id"),
+        F.col("event_type").alias("check_type"), F.col("ts").alias("check_time"), F.col("event_id").alias("check_data"),
+        F.col("ts").alias("s_created_time"), (F.col("event_type") == "click").alias("is_write"), F.lit("x").alias("other"),
+    )
+    load.refresh("punch_clock", source, root, m.EVENTS_AS_OF)
+    return load.read_current(t.spark, f"{root}/punch_clock", schemas.schema_of(load.DECLARED["punch_clock"]))
+
+
 @query(
     "merge_bucketed",
     """WITH t AS (SELECT p_partkey, p_name, p_size FROM part),

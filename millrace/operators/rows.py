@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,3 +51,10 @@ def select_cast(df: DataFrame, columns: Mapping[str, str | None]) -> DataFrame:
     return df.select(
         *[F.col(c) if kind is None else F.col(c).cast(kind).alias(c) for c, kind in columns.items()]
     )
+
+
+def require(df: DataFrame, columns: Iterable[str]) -> None:
+    """Fail by name when a declared column is missing: a renamed source column must not empty a target."""
+    missing = sorted(set(columns) - set(df.columns))
+    if missing:
+        raise ValueError(f"missing columns: {', '.join(missing)}")

@@ -20,7 +20,8 @@ from millrace.operators.lookup import lookup
 from millrace.operators.skew import hot_keys
 from millrace.session import cut_lineage
 
-# Codes and limits of the exchange format.
+# Codes of the exchange format. The keys of every document object below (the arguments
+# of ``_item``) are fixed by that format too, odd spellings included.
 FABRIC, ACCESSORY = "B", "F"
 SOURCES = {"M1": 1, "M2": 3, "M3": 2, "M4": 2}
 

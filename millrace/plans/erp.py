@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import bracket_ids, code_map, digits_to_long, json_field, localized
 from millrace.operators import merge, tree
 from millrace.operators.lookup import lookup, missing_from, resolve_places
+from millrace.operators.rows import require
 
 # Constants of mandatory target columns.
 TIME_ZONE = "Asia/Shanghai"
@@ -146,13 +149,17 @@ def partners(
     state_ids: DataFrame,
     supplier_type: Column,
     require_email: bool = True,
+    columns: Mapping[str, str] = PARTNER_COLUMNS,
+    score: str | None = "s_score",
 ) -> DataFrame:
     """Partner rows to insert: suppliers unknown to the target, with resolved places.
 
     ``countries`` and ``areas`` are (id, name) of the source, ``country_ids`` and
     ``state_ids`` are (id, name) of the target. Suppliers without email are left out
-    unless ``require_email`` is off.
+    unless ``require_email`` is off. ``columns`` (partner column to supplier column) and ``score`` are
+    taken over; one that the supplier table lacks is an error.
     """
+    require(supplier, [*columns.values(), *([score] if score else [])])
     live = supplier.filter(F.col("is_delete") == 0)
     if require_email:
         live = live.filter(F.col("s_email").isNotNull())
@@ -162,8 +169,8 @@ def partners(
     placed = lookup(placed, state_ids, {"place_2": "name"}, {"state_id": "id"})
     return placed.select(
         F.col("s_supplier_id").alias("origin_id"),
-        *[F.col(c).alias(out) for out, c in PARTNER_COLUMNS.items() if c in supplier.columns],
-        *[F.col(c).try_cast("int").alias("score") for c in supplier.columns if c == "s_score"],
+        *[F.col(c).alias(out) for out, c in columns.items()],
+        *([F.col(score).try_cast("int").alias("score")] if score else []),
         F.lit(TIME_ZONE).alias("tz"),
         supplier_type.alias("supplier_type"),
         "country_id",

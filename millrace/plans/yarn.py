@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import localized, value_map
 from millrace.operators import keys, lookup, merge, nesting, numbering
+from millrace.operators.rows import require
 
 # Key columns of the store and the tree column each one brings.
 ROLES = {
@@ -68,18 +69,17 @@ CODE_PREFIX = "SX"
 
 
 def resolve_roles(store: DataFrame, tree: DataFrame, roles: Mapping[str, tuple[str, str]] = ROLES) -> DataFrame:
-    """Tree codes and names of every role column the store has."""
-    present = {k: v for k, v in roles.items() if k in store.columns}
-    return lookup.role_lookup(store, tree, "s_tree_id", {k: {out: c} for k, (out, c) in present.items()})
+    """Tree codes and names of every role. A role column the store lacks is an error, not an empty result."""
+    require(store, roles)
+    return lookup.role_lookup(store, tree, "s_tree_id", {k: {out: c} for k, (out, c) in roles.items()})
 
 
 def resolve_dictionaries(
     rows: DataFrame, entries: DataFrame, fields: Mapping[str, tuple[str, str]] = DICTIONARIES
 ) -> DataFrame:
-    """Replace codes by dictionary ids. ``entries``: dict_code, id, code, mnemonic_code, name."""
+    """Replace codes by dictionary ids. ``entries``: dict_code, id, code, mnemonic_code, name. Every field must be there."""
+    require(rows, fields)
     for field, (dict_code, column) in fields.items():
-        if field not in rows.columns:
-            continue
         one = entries.filter(F.col("dict_code") == dict_code)
         code = value_map(column, FIBER_NAMES) if field == "special_fiber" else F.col(column)
         side = one.select(code.alias("_code"), F.col("id").alias("_id"))
@@ -88,22 +88,32 @@ def resolve_dictionaries(
     return rows
 
 
+def merge_special(coded: DataFrame) -> DataFrame:
+    """``special_fiber``: the one special fibre a yarn has, whatever its kind."""
+    kinds = [c for c in ("special_staple", "special_fancy", "special_blended") if c in coded.columns]
+    return coded.withColumn("special_fiber", F.coalesce(*kinds)).drop(*kinds) if kinds else coded
+
+
 def library(
-    target: DataFrame, store: DataFrame, tree: DataFrame, entries: DataFrame, colours: DataFrame
+    target: DataFrame,
+    store: DataFrame,
+    tree: DataFrame,
+    entries: DataFrame,
+    colours: DataFrame,
+    roles: Mapping[str, tuple[str, str]] = ROLES,
+    fields: Mapping[str, tuple[str, str]] = DICTIONARIES,
 ) -> DataFrame:
     """Library with the store's unknown yarns added under new ids.
 
+    ``roles`` and ``fields`` are what the store of this library has; all of them by default.
     ``colours``: id, code, yarn_type (an already resolved id): a colour code only
     means something within its yarn type.
     """
     new = lookup.missing_from(store, target, {"s_yarn_store_id": "origin_id"})
-    coded = resolve_roles(new, tree)
-    special = [c for c in ("special_staple", "special_fancy", "special_blended") if c in coded.columns]
-    if special:
-        coded = coded.withColumn("special_fiber", F.coalesce(*special)).drop(*special)
+    coded = merge_special(resolve_roles(new, tree, roles))
     filament = F.col("yarn_type") == FILAMENT
     coded = coded.withColumn("f_number", F.when(filament, F.col("s_yarn_count_unit_f")))
-    ids = resolve_dictionaries(coded, entries)
+    ids = resolve_dictionaries(coded, entries, fields)
     ids = lookup.lookup(ids, colours, {"color_of_yarn": "code", "yarn_type": "yarn_type"}, {"_colour": "id"})
     rows = ids.withColumns(
         {

@@ -33,6 +33,8 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, **conf: str) ->
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # A checkpoint goes once nothing refers to it; a cluster sets the same.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

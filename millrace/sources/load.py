@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 from millrace.functions import newer_than
 from millrace.operators.merge import merge_upsert
 from millrace.session import cut_lineage
-from millrace.sources.schemas import TABLES
+from millrace.operators.rows import require
+from millrace.sources.schemas import TABLES, cast_to, schema_of
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -302,6 +303,47 @@ LOADS = {
 }
 
 
-def refresh(name: str, source: DataFrame, root: str, as_of: str | None = None) -> str:
-    """Run the declared load ``name``: extract from ``source`` and replace ``root/name``."""
-    return truncate_load(LOADS[name].extract(source, as_of), f"{root}/{name}")
+# Columns and types of the small targets.
+DECLARED = {
+    "area": {
+        "id": "serial", "pid": "integer", "citycode": "varchar(4)", "adcode": "varchar(6)", "name": "varchar(100)",
+        "detail_name": "varchar(200)", "lng": "decimal(10,6)", "lat": "decimal(10,6)", "level": "varchar(10)",
+        "initials": "varchar(2)", "pinyin": "varchar(200)",
+    },
+    "country": {
+        "s_country_id": "serial", "s_name": "char(255)", "s_area_id": "integer", "s_country_code_id": "integer",
+        "s_zh_name": "char(255)", "s_dictionary_id": "integer", "is_delete": "integer",
+    },
+    "yarn_store_component": {
+        "s_component_id": "serial", "s_tree_id": "integer", "s_ratio": "integer", "is_delete": "integer",
+        "s_created_time": "timestamp", "s_yarn_store_id": "integer",
+    },
+    "yarn_price": {
+        "s_yarn_price_id": "serial", "s_inquiry_date": "timestamp", "s_price": "numeric(10,2)",
+        "s_supplier": "varchar(255)", "s_manager_id": "integer", "s_maintenance_worker_id": "integer",
+        "s_yarn_store_id": "integer", "s_create_time": "timestamp", "s_update_time": "timestamp", "is_delete": "integer",
+    },
+    "punch_clock": {
+        "s_id": "serial", "id": "integer", "user_id": "integer", "ext_id": "integer", "terminal_id": "varchar(255)",
+        "check_type": "varchar(50)", "check_time": "timestamp", "check_data": "text", "s_created_time": "timestamp",
+        "is_write": "smallint",
+    },
+}
+
+
+def refresh(
+    name: str, source: DataFrame, root: str, as_of: str | None = None, declared: Mapping[str, str] | None = None
+) -> str:
+    """Run the declared load ``name``: extract from ``source`` and replace ``root/name``.
+
+    ``declared`` gives the target's columns and database types; ``DECLARED`` has the small targets, and a wide
+    table's come as a parameter, from its DDL. The table is written in exactly these columns and types, and a
+    source column that is missing fails the load by name. Without a declaration the extract is written as it is.
+    """
+    declared = DECLARED.get(name) if declared is None else declared
+    extracted = LOADS[name].extract(source, as_of)
+    if declared is None:
+        return truncate_load(extracted, f"{root}/{name}")
+    require(extracted, declared)
+    schema = schema_of(dict(declared))
+    return truncate_load(cast_to(extracted, schema), f"{root}/{name}", schema)

@@ -306,10 +306,13 @@ def test_t18_j21_places_and_missing_email(frame):
     countries = frame("id int, name string", (1, "CN"))
     areas = frame("id int, name string", (2, "FJ"), (3, "QZ"))
     args = (frame("origin_id int", (99,)), suppliers, countries, areas, frame("id int, name string", (10, "CN")), frame("id int, name string", (20, "FJ")), F.lit(1))
-    assert rows(erp.partners(*args), "origin_id", "country_id", "state_id", "city") == [
+    few = dict(columns={"name": "s_supplier_name", "email": "s_email"}, score=None)
+    with pytest.raises(ValueError, match="missing columns: s_address"):
+        erp.partners(*args)
+    assert rows(erp.partners(*args, **few), "origin_id", "country_id", "state_id", "city") == [
         (1, 10, 20, "QZ"), (2, 10, None, None), (3, None, None, None), (4, None, None, None),
     ]
-    assert erp.partners(*args, require_email=False).count() == 5
+    assert erp.partners(*args, require_email=False, **few).count() == 5
 
 
 def test_t19_c12_punches(frame):
