@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from millrace.catalog import query
+from millrace.catalog import ORACLES, QUERIES, query
 from millrace.catalog import loads
 from millrace.catalog import mapping as m
 from millrace.catalog.mapping import VIEWS, ctes
@@ -922,7 +922,8 @@ def materials_colours(t):
     "materials_fabric_variants",
     ctes("material_price", "unit", "fabric_old", "fabric_new")
     + f""" SELECT s_material_price_id AS origin_id, s_width AS name, s_new_material_num AS code,
-      s_development_price AS price, b.n_nationkey AS color_id, c.id AS material_id
+      s_development_price AS price, b.n_nationkey AS color_id, c.id AS material_id, s_remark AS memo,
+      gmt_create AS create_date, gmt_modified AS write_date
     FROM {_FABRIC_JOIN} JOIN nation b ON 'Brand#' || b.n_nationkey = a.s_color_name
     WHERE s_supplier_name IS NOT NULL AND s_width IS NOT NULL AND s_new_material_num NOT LIKE '-%'
     AND s_material_price_id NOT IN (SELECT s_suppkey FROM supplier) AND NOT EXISTS (SELECT 1 FROM material_price d
@@ -953,7 +954,7 @@ SELECT l_orderkey * 1000000 + l_partkey AS s_price_id, l_partkey AS s_material_i
     SELECT s_price_id AS origin_fl_id, CAST(substr(s_color, 2) AS INTEGER) AS color_id, s_standards AS name,
       s_bulk_price AS price, k.id AS material_id FROM accessory_price a JOIN known k ON k.origin_fl_id = a.s_material_id
     WHERE s_color IN ('c1', 'c2', 'c3') AND s_material_id IN (SELECT s_material_id FROM accessory_price
-      JOIN known ON origin_fl_id = s_material_id GROUP BY s_material_id, s_supplier_id HAVING count(*) = 1)
+      JOIN known ON origin_fl_id = s_material_id JOIN part p ON p.p_partkey = s_material_id AND p_size < 40 GROUP BY s_material_id, s_supplier_id HAVING count(*) = 1)
     AND NOT EXISTS (SELECT 1 FROM accessory_price b WHERE b.s_color = a.s_color
       AND b.s_material_id = a.s_material_id AND b.s_price_id > a.s_price_id)""",
 )
@@ -976,7 +977,8 @@ def materials_accessory_variants(t):
         F.col("r_regionkey").alias("id"),
         F.to_json(F.struct(F.concat(F.lit("c"), "r_regionkey").alias("zh_CN"))).alias("name"),
     )
-    rows = materials.accessory_variants(price, known, colours, _empty(t, "origin_fl_id long"))
+    listed = t.part.filter("p_size < 40").select(F.col("p_partkey").alias("s_material_id"))
+    rows = materials.accessory_variants(price, known, colours, _empty(t, "origin_fl_id long"), listed)
     return rows.withColumn("price", F.col("price").cast("string"))
 
 
@@ -1013,7 +1015,7 @@ FROM place_text p JOIN supplier ON s_suppkey = s_supplier_id JOIN nation ON n_na
       FROM supplier_named)
     SELECT s_supplier_id AS origin_id, coalesce(s_short, s_name) AS short_name, nm AS name, s_email AS email,
       CASE WHEN s_country_id IS NOT NULL THEN coalesce(r_name, '') || coalesce(a.n_name, '') || coalesce(b.n_name, '')
-      END AS description
+      END AS description, 'memo ' || s_supplier_id AS memo, true AS supplier_material
     FROM ids i LEFT JOIN region ON r_regionkey = TRY_CAST(nullif(parts[1], '') AS BIGINT)
     LEFT JOIN nation a ON a.n_nationkey = TRY_CAST(nullif(parts[2], '') AS BIGINT)
     LEFT JOIN nation b ON b.n_nationkey = TRY_CAST(nullif(parts[3], '') AS BIGINT)
@@ -1029,6 +1031,7 @@ def material_partners(t):
         {
             "s_supplier_name": F.when(F.col("n_regionkey") != 2, F.concat(F.lit("Group "), group)),
             "s_supplier_short_name": F.when(F.col("n_regionkey") > 0, F.concat(F.lit("G"), group)),
+            "s_remark": F.concat(F.lit("memo "), "s_supplier_id"),
         }
     )
     countries = t.region.select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"))
@@ -1040,7 +1043,7 @@ def material_partners(t):
 @query(
     "material_review_partners",
     """SELECT c_custkey AS origin_fl_id, '(' || c_name || ')' AS code, c_mktsegment AS short_name,
-    'Full ' || c_name AS name FROM customer WHERE c_nationkey > 2 AND c_acctbal >= 0 AND c_mktsegment <> 'BUILDING'
+    'Full ' || c_name AS name, 'at ' || c_nationkey AS address, true AS supplier_material FROM customer WHERE c_nationkey > 2 AND c_acctbal >= 0 AND c_mktsegment <> 'BUILDING'
     AND c_custkey NOT IN (SELECT s_suppkey FROM supplier)""",
 )
 def material_review_partners(t):
@@ -1051,6 +1054,7 @@ def material_review_partners(t):
         F.col("c_mktsegment").alias("s_company_name"),
         F.col("c_name").alias("s_company_num"),
         F.concat(F.lit("Full "), "c_name").alias("s_company_full_name"),
+        F.concat(F.lit("at "), "c_nationkey").alias("s_address"),
     )
     known = t.supplier.select(F.col("s_suppkey").alias("origin_fl_id"))
     return materials.review_partners(company, known, "BUILDING")
@@ -1109,6 +1113,53 @@ def material_banks(t):
     return materials.banks(transfer, _partners(t), known, currency, "default")
 
 
+# --- C10, C11: targets with their templates ------------------------------------
+
+# Natural key of every job's target.
+_TEMPLATED = {
+    "materials_accessories": "origin_fl_id", "materials_colours": "name", "materials_fabric_variants": "origin_id",
+    "materials_accessory_variants": "origin_fl_id", "materials_attribute_values": "code", "material_partners": "origin_id",
+    "material_review_partners": "origin_fl_id", "material_contacts": "origin_id", "material_banks": "origin_id",
+}
+
+
+def _register_templated(job: str, key: str) -> None:
+    """Two queries per job: its next target, and the templates that go with it."""
+    candidates, sql = QUERIES[job], ORACLES[job]
+    numbered = f"WITH c AS ({sql}), n AS (SELECT *, row_number() OVER (ORDER BY {key}) AS rn FROM c)"
+
+    def added(t):
+        found = candidates(t.spark, t.folder)
+        old = t.region.select(
+            (F.col("r_regionkey") + 10).cast("long").alias("id"), (F.col("r_regionkey") + 1).cast("long").alias("template_id")
+        )
+        target = old.unionByName(found.limit(0), allowMissingColumns=True)
+        templates = t.nation.select(F.col("n_nationkey").cast("long").alias("id"))
+        return materials.add_with_template(target, templates, found, [key])
+
+    rows = f"""{numbered} SELECT rn + (SELECT max(r_regionkey) + 10 FROM region) AS id,
+      rn + (SELECT max(n_nationkey) FROM nation) AS template_id, * EXCLUDE (rn) FROM n
+      UNION ALL BY NAME SELECT r_regionkey + 10 AS id, r_regionkey + 1 AS template_id FROM region"""
+    side = f"""{numbered} SELECT rn + (SELECT max(n_nationkey) FROM nation) AS id FROM n
+      UNION ALL SELECT n_nationkey FROM nation"""
+    query(f"{job}_added", rows)(lambda t: added(t)[0])
+    query(f"{job}_templates", side)(lambda t: added(t)[1])
+
+
+for _job, _key in _TEMPLATED.items():
+    _register_templated(_job, _key)
+
+
+@query(
+    "materials_fabric_templates",
+    ctes("material_price", "unit", "fabric_old", "fabric_new")
+    + """ SELECT n_nationkey AS id FROM nation UNION ALL
+    SELECT template_id FROM fabric_new WHERE id > (SELECT max(id) FROM fabric_old)""",
+)
+def materials_fabric_templates(t):
+    return _fabrics(t)[1]
+
+
 # --- C12 ----------------------------------------------------------------------
 
 

@@ -238,7 +238,9 @@ SELECT p_partkey AS s_material_price_id, p_name AS s_material_name, p_size AS s_
        CASE WHEN p_retailprice < 990 THEN 'S' || p_size END AS s_supplier_name,
        CASE WHEN p_size > 45 THEN '-' || p_partkey ELSE 'M' || p_partkey END AS s_new_material_num,
        CASE WHEN p_size <> 7 THEN p_size * 10 END AS s_width,
-       CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR) AS s_development_price
+       CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR) AS s_development_price,
+       CASE WHEN p_size > 3 THEN 'r' || p_size END AS s_remark, TIMESTAMP '2024-01-01' + INTERVAL (p_size) DAY AS gmt_create,
+       CASE WHEN p_size < 30 THEN TIMESTAMP '2024-02-01' + INTERVAL (p_size) DAY END AS gmt_modified
 FROM part"""
 
 
@@ -256,6 +258,9 @@ def material_price(t) -> DataFrame:
         .alias("s_new_material_num"),
         F.when(F.col("p_size") != 7, F.col("p_size") * 10).alias("s_width"),
         money("p_retailprice").cast("string").alias("s_development_price"),
+        F.when(F.col("p_size") > 3, F.concat(F.lit("r"), "p_size")).alias("s_remark"),
+        (ntz("2024-01-01") + F.make_dt_interval(F.col("p_size"))).alias("gmt_create"),
+        F.when(F.col("p_size") < 30, ntz("2024-02-01") + F.make_dt_interval(F.col("p_size"))).alias("gmt_modified"),
     )
 
 

@@ -14,8 +14,8 @@ from pyspark.sql import Window
 
 from millrace.operators.skew import key_side, null_spread, row_hash, spread_zero
 
-#: Upper bound of a constant set that is fanned out over entities.
-MAX_CONSTANTS = 10_000
+#: Join keys a constant set is copied to.
+FAN_KEYS = 32
 
 
 def lookup(
@@ -225,15 +225,14 @@ def scalar(df: DataFrame, column: str) -> Column:
 def fan_out(entities: DataFrame, constants: DataFrame, column: str, out: str) -> DataFrame:
     """Every entity with every value of a constant set.
 
-    The set is read once as a scalar array and exploded, so entities are not
-    shuffled. A set above ``MAX_CONSTANTS`` is refused: it is not a constant set.
+    Entities are spread over ``FAN_KEYS`` join keys and the set is given to each of them, so the join is an
+    ordinary one: Catalyst broadcasts a small set, and a large one meets the entities in as many tasks.
     """
-    values = constants.agg(
-        F.when(F.count(F.lit(1)) <= MAX_CONSTANTS, F.sort_array(F.collect_list(column)))
-        .otherwise(F.raise_error(F.lit("fan_out: the constant set is too large")))
-        .alias("v")
-    )
-    return entities.withColumn(out, F.explode(values.scalar()))
+    copies = F.explode(F.sequence(F.lit(0), F.lit(FAN_KEYS - 1)))
+    side = constants.select(F.col(column).alias("_value"), copies.alias("_copy"))
+    spread = F.pmod(F.xxhash64(*entities.columns), F.lit(FAN_KEYS)).cast("int")
+    joined = entities.withColumn("_key", spread).join(side, F.col("_key") == F.col("_copy"))
+    return joined.withColumn(out, F.col("_value")).drop("_key", "_copy", "_value")
 
 
 def resolve_places(

@@ -51,6 +51,17 @@ def add_fabrics(
     return merge.insert_with_sidecar(target, templates, new, key, "template_id")
 
 
+def add_with_template(
+    target: DataFrame, templates: DataFrame, candidates: DataFrame, key: list[str]
+) -> tuple[DataFrame, DataFrame]:
+    """Next (target, templates): every candidate under a new id, with a template row of its own.
+
+    The candidates are those of one of the jobs below, which leave out what the target has by its
+    natural key; a second run therefore has no candidates and adds neither rows nor templates.
+    """
+    return merge.insert_with_sidecar(target, templates, candidates, key, "template_id")
+
+
 def accessories(material: DataFrame, units: DataFrame, known: DataFrame) -> DataFrame:
     """The latest accessory of every name that the target lacks.
 
@@ -105,21 +116,24 @@ def fabric_variants(
         F.col("s_development_price").try_cast("decimal(18,2)").alias("price"),
         "color_id",
         "material_id",
+        F.col("s_remark").alias("memo"),
+        F.col("gmt_create").alias("create_date"),
+        F.col("gmt_modified").alias("write_date"),
     )
 
 
 def accessory_variants(
-    price: DataFrame, materials: DataFrame, colours: DataFrame, known: DataFrame
+    price: DataFrame, materials: DataFrame, colours: DataFrame, known: DataFrame, accessory: DataFrame
 ) -> DataFrame:
     """Latest price row per (material, colour) of materials that some supplier offers
     in exactly one price row.
 
-    ``materials``: id, origin_fl_id; the accessory itself must be known too.
+    ``materials``: id, origin_fl_id; the accessory itself (``accessory``: s_material_id) must be known too.
     """
     linked = materials.filter(F.col("origin_fl_id").isNotNull()).select(
         F.col("origin_fl_id").alias("s_material_id"), F.col("id").alias("material_id")
     )
-    offered = price.join(linked, "s_material_id", "left_semi")
+    offered = price.join(linked, "s_material_id", "left_semi").join(accessory, "s_material_id", "left_semi")
     single = keys.singleton_groups(offered, ["s_material_id", "s_supplier_id"])
     latest = keys.latest_per_key(price, ["s_color", "s_material_id"], "s_price_id")
     named = colours.select(json_field("name", "zh_CN").alias("s_color"), F.col("id").alias("color_id"))
@@ -168,6 +182,8 @@ def partners(supplier: DataFrame, countries: DataFrame, areas: DataFrame, known:
         F.col("_name").alias("name"),
         F.col("s_email").alias("email"),
         F.when(F.col("s_country_id").isNotNull(), places).alias("description"),
+        F.col("s_remark").alias("memo"),
+        F.lit(True).alias("supplier_material"),
     )
 
 
@@ -184,6 +200,8 @@ def review_partners(company: DataFrame, known: DataFrame, excluded: str, cap: in
         F.concat(F.lit("("), "s_company_num", F.lit(")")).alias("code"),
         F.coalesce("s_company_name", F.lit(PLACEHOLDER)).alias("short_name"),
         F.col("s_company_full_name").alias("name"),
+        F.col("s_address").alias("address"),
+        F.lit(True).alias("supplier_material"),
     )
 
 

@@ -231,9 +231,10 @@ def test_t12_leaf_flag_goes_both_ways(frame):
 def test_t13_second_run_adds_nothing(frame):
     price = frame(
         "s_material_price_id int, s_material_name string, s_weight int, s_fabric_composition string, s_color_name string, "
-        "s_unit string, s_supplier_name string, s_new_material_num string, s_width int, s_development_price string",
-        (1, "a", 1, "x", "red", "KG", "s", "m1", 5, "2.5"), (2, "a", 1, "x", "red", "KG", "s", "m2", 5, "abc"),
-        (3, "b", 1, None, "red", "KG", "s", "m3", 5, "1"), (4, "a", 1, "x", "blue", "KG", "s", "-m4", 5, "1"),
+        "s_unit string, s_supplier_name string, s_new_material_num string, s_width int, s_development_price string, "
+        "s_remark string, gmt_create timestamp_ntz, gmt_modified timestamp_ntz",
+        *[(*r, "m", T0, None) for r in ((1, "a", 1, "x", "red", "KG", "s", "m1", 5, "2.5"), (2, "a", 1, "x", "red", "KG", "s", "m2", 5, "abc"),
+        (3, "b", 1, None, "red", "KG", "s", "m3", 5, "1"), (4, "a", 1, "x", "blue", "KG", "s", "-m4", 5, "1"))],
     )
     units = frame("id int, code string", (1, "kg"))
     target = frame("id long, name string, weight_value int, composition string, unit_id int, type_id int, template_id long")
@@ -246,6 +247,11 @@ def test_t13_second_run_adds_nothing(frame):
     # The latest red row has no readable price; the blue one has a number that starts with a dash.
     assert rows(found, "origin_id", "price") == [(2, None)]
     assert materials.fabric_variants(price, once, colours, found).count() == 0
+    empty = found.limit(0).withColumn("id", F.lit(0).cast("long")).withColumn("template_id", F.lit(0).cast("long"))
+    first, sides = materials.add_with_template(empty, frame("id long", (40,)), found, ["origin_id"])
+    assert rows(first, "origin_id", "id", "template_id") == [(2, 1, 41)] and sides.count() == 2
+    again, more = materials.add_with_template(first, sides, materials.fabric_variants(price, once, colours, first), ["origin_id"])
+    assert again.count() == 1 and more.count() == 2
 
 
 def test_t14_late_contact_still_loads(frame):
