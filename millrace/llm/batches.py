@@ -14,7 +14,7 @@ from millrace.session import configure
 
 #: A text pass holds one Arrow batch at a time; a batch ends at this many bytes or rows.
 BATCH_CONF = {
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
     "spark.sql.execution.arrow.maxRecordsPerBatch": "32768",
 }
 

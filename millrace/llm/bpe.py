@@ -17,7 +17,7 @@ import codecs
 import hashlib
 import json
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from millrace.llm.batches import appended, fresh, text_of, with_columns
 
 #: Words whose tokens a worker remembers, and pairs of tokens known to stay apart or not.
-REMEMBERED, PAIRS = 300_000, 500_000
+REMEMBERED, PAIRS = 150_000, 150_000
 #: Characters of a text that are handled at once; a longer one is cut before white space.
 PIECE = 1 << 20
 #: Bytes of a word after which stable tokens are looked for.
@@ -43,14 +43,15 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-def sufficient_lookahead(merges: list[tuple[bytes, bytes]]) -> int:
+def sufficient_lookahead(merges: Iterable[tuple[bytes, bytes]]) -> int:
     """Bytes beyond which nothing changes a token any more.
 
     A change travels back from the end of the text over applications of merge rules, each of a
     later rule than the one before, and each no longer than the longest token. So rules times longest token
     suffice for any merge list whose rules only use what earlier rules made.
     """
-    return len(merges) * max((len(a) + len(b) for a, b in merges), default=1)
+    sizes = [len(a) + len(b) for a, b in merges]
+    return len(sizes) * max(sizes, default=1)
 
 
 class Vocabulary:
@@ -76,7 +77,6 @@ class Vocabulary:
         for rank, pair in enumerate(model["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             self.ranks[a, b] = rank
-        self.merges = [(self.raw(a), self.raw(b)) for a, b in self.ranks]
 
     def raw(self, token: str) -> bytes:
         """The bytes a token stands for, without the suffix."""
@@ -109,31 +109,38 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.lookahead = sufficient_lookahead(vocabulary.merges)
+        self.lookahead = sufficient_lookahead((vocabulary.raw(a), vocabulary.raw(b)) for a, b in vocabulary.ranks)
         self.alphabet = byte_alphabet()
         suffix, raw = vocabulary.suffix, vocabulary.raw
         #: Tokens by their bytes: those inside a word, and those that end one.
-        self.inner: dict[bytes, int] = {}
-        self.final: dict[bytes, int] = {}
+        inner: dict[bytes, int] = {}
+        final: dict[bytes, int] = {}
         for token, i in vocabulary.ids.items():
-            self.final[raw(token)] = i if not suffix or token.endswith(suffix) else self.final.get(raw(token), i)
+            if not suffix or token.endswith(suffix):
+                final[raw(token)] = i
             if not suffix or not token.endswith(suffix):
-                self.inner[raw(token)] = i
-        if suffix:
-            self.final = {raw(t): i for t, i in vocabulary.ids.items() if t.endswith(suffix)}
+                inner[raw(token)] = i
         # Only what encodes to itself can end a prefix.
-        self.inner = {b: i for b, i in self.inner.items() if self._merged(b, False) == [vocabulary.text_of_id[i]]}
-        self.final = {b: i for b, i in self.final.items() if self._merged(b, True) == [vocabulary.text_of_id[i]]}
-        self.longest = max(map(len, [*self.inner, *self.final]))
+        inner = {b: i for b, i in inner.items() if self._merged(b, False) == [vocabulary.text_of_id[i]]}
+        final = {b: i for b, i in final.items() if self._merged(b, True) == [vocabulary.text_of_id[i]]}
+        self.longest = max(map(len, [*inner, *final]))
         self.apart: dict[int, bool] = {}
         self.spines: dict[tuple[int, bool], list[tuple[str, int]]] = {}
         #: Where the rule that makes a token joins it.
-        self.cut = {a + b: len(a) for a, b in vocabulary.ranks}
+        whole = {t: t for t in vocabulary.ids}
+        self.cut = {whole.get(a + b, a + b): len(a) for a, b in vocabulary.ranks}
+        vocabulary.ids = {}  # from here on tokens are looked up by their bytes
         #: Every ending of a token, with the token it is, if any.
-        self.inner_endings = _endings(self.inner)
-        self.final_endings = _endings(self.final)
+        self.inner_endings = _endings(inner)
+        self.final_endings = _endings(final)
         self.remembered: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Empties what is remembered of words and pairs, so that an idle worker holds the vocabulary alone."""
+        self.remembered.clear()
+        self.apart.clear()
+        self.spines.clear()
+
     def _merged(self, data: bytes, ends: bool) -> list[str]:
         """The definition of the encoding: the earliest rule that applies anywhere is applied, from the left."""
         parts = [self.alphabet[b] for b in data]
@@ -338,27 +345,31 @@ class Decoder:
         return self.state.decode(b"", final=True)
 
 
-_loaded: dict[str, tuple[Encoder, Decoder, Decoder]] = {}
+_loaded: dict[str, Encoder] = {}
 
 
-def machines(path: str) -> tuple[Encoder, Decoder, Decoder]:
-    """Encoder, decoder as the library's, and plain decoder of a file, once per worker process."""
+def encoder_of(path: str) -> Encoder:
+    """The encoder of a file, once per worker process."""
     if path not in _loaded:
-        vocabulary = Vocabulary(path)
         _loaded.clear()
-        _loaded[path] = (Encoder(vocabulary), Decoder(vocabulary), Decoder(vocabulary, plain=True))
+        _loaded[path] = Encoder(Vocabulary(path))
     return _loaded[path]
 
 
+def decoder_of(path: str, plain: bool = False) -> Decoder:
+    return Decoder(encoder_of(path).vocabulary, plain)
+
+
 def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``df`` with ``ids``, the token ids of each whole text. Null and empty texts have none."""
     (name,) = fresh(df, "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = encoder_of(path)
         for batch in batches:
-            encoder = machines(path)[0]
             ids = [np.frombuffer(b"".join(encoder.text(t)), "<u4").astype(np.int32) for t in text_of(batch, text).to_pylist()]
             yield appended(batch, **{name: pa.array(ids, pa.list_(pa.int32()))})
+        encoder.forget()
 
     return df.mapInArrow(run, with_columns(df, **{name: "array<int>"}))
 
@@ -368,8 +379,8 @@ def decode(df: DataFrame, path: str, ids: str = "ids", plain: bool = True) -> Da
     (name,) = fresh(df, "decoded")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decoder = decoder_of(path, plain)
         for batch in batches:
-            decoder = machines(path)[2 if plain else 1]
             texts = []
             for row in batch.column(batch.schema.get_field_index(ids)).to_pylist():
                 decoder.begin()
@@ -389,7 +400,7 @@ def round_trip(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     names = fresh(df, "n_tokens", "ids_sha256", "decoded_sha256")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder, _ = machines(path)
+        encoder, decoder = encoder_of(path), decoder_of(path)
         for batch in batches:
             counts, ids_digests, text_digests = [], [], []
             for whole in text_of(batch, text).to_pylist():
@@ -405,6 +416,7 @@ def round_trip(df: DataFrame, path: str, text: str = "text") -> DataFrame:
                 text_digests.append(text_digest.hexdigest())
             columns = (pa.array(counts, pa.int64()), pa.array(ids_digests, pa.string()), pa.array(text_digests, pa.string()))
             yield appended(batch, **dict(zip(names, columns, strict=True)))
+        encoder.forget()
 
     return df.mapInArrow(run, with_columns(df, **dict(zip(names, ("long", "string", "string"), strict=True))))
 

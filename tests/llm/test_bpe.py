@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from millrace.llm import bpe
-from millrace.llm.bpe import decode, encode, machines, op4_bpe, sufficient_lookahead
+from millrace.llm.bpe import decode, decoder_of, encode, encoder_of, op4_bpe, sufficient_lookahead
 from millrace.llm.queries import tokenizer_path
 
 PATH = tokenizer_path("word_bpe_49k.json")
@@ -20,11 +20,11 @@ def library():
 
 
 def ids_of(text):
-    return np.frombuffer(b"".join(machines(PATH)[0].text(text)), "<u4").tolist()
+    return np.frombuffer(b"".join(encoder_of(PATH).text(text)), "<u4").tolist()
 
 
-def text_of(ids, machine=1):
-    decoder = machines(PATH)[machine]
+def text_of(ids, plain=False):
+    decoder = decoder_of(PATH, plain)
     decoder.begin()
     # Fed one id at a time: the state machine carries what is unfinished.
     return "".join(decoder.feed(np.array([i], "<u4").tobytes()) for i in ids) + decoder.end()
@@ -41,17 +41,17 @@ def test_library(library, parts):
 
 def test_long_words_leave_token_by_token(library):
     rng = np.random.default_rng(1)
-    encoder = machines(PATH)[0]
+    encoder = encoder_of(PATH)
     for word in ("".join(rng.choice(list("abcdeinorst"), 20_000)), "ab" * 9000, "a" * 7001, "!" * 5000 + "?"):
         stream = encoder.word(word.encode())
         assert list(stream) == library.encode(word, add_special_tokens=False).ids
 
 
 def test_neighbours_stay_apart_as_by_definition():
-    encoder = machines(PATH)[0]
+    encoder = encoder_of(PATH)
     names, raw = encoder.vocabulary.text_of_id, encoder.vocabulary.raw
     rng = np.random.default_rng(2)
-    inner, final = list(encoder.inner.values()), list(encoder.final.values())
+    inner, final = ([i for i in d.values() if i >= 0] for d in (encoder.inner_endings, encoder.final_endings))
     for k in range(3000):
         left, right = int(rng.choice(inner)), int(rng.choice(final if k % 2 else inner))
         a, b = names[left], names[right]
@@ -72,7 +72,7 @@ def test_lookahead_bounds_every_rule():
 
 
 def test_plain_round_trip():
-    assert text_of(ids_of("Hello wörld 漢字 ok"), 2) == "hello wörld 漢字 ok "
+    assert text_of(ids_of("Hello wörld 漢字 ok"), True) == "hello wörld 漢字 ok "
 
 
 def test_edges(sp, docs, no_docs, library):
