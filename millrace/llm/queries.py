@@ -88,7 +88,20 @@ def op8(spark, folder):
     return op8_pii(table(spark, folder, "documents"))
 
 
-@query("op2_embeddings")
+@query(
+    "op2_embeddings",
+    """WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND list_bool_and(list_transform(embedding,
+        lambda x: x IS NOT NULL AND isfinite(x))) AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+    links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+      AND len(a.e) = len(b.e) WHERE list_dot_product(a.e, b.e)
+        / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.98),
+    reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+    counts AS (SELECT a, count(*) AS n FROM links GROUP BY a), least AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+    SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(least(vec_id, m.b), vec_id) AS component_id,
+      coalesce(vec_id = least(vec_id, m.b), true) AS kept
+    FROM embeddings LEFT JOIN counts c ON c.a = vec_id LEFT JOIN least m ON m.a = vec_id""",
+)
 def op2(spark, folder):
     from millrace.llm.embedding_dups import op2_embeddings
 
