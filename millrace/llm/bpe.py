@@ -234,6 +234,11 @@ class Encoder:
             begun.append(a)
             if (i - first) % STRIDE == 0:
                 stable = self._stable(begun, first, i)
+                if stable == first and i - first > self.lookahead:
+                    # Further back than the lookahead nothing changes, agreed or not: the buffer has a bound.
+                    stable = i
+                    while i - stable < self.lookahead:
+                        stable = begun[stable - first]
                 if stable > first:
                     yield from self._chain(last, begun, first, stable)
                     before = last[stable - first]

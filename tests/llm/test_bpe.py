@@ -67,6 +67,37 @@ def test_long_texts_are_cut_before_white_space(library):
         bpe.PIECE = before
 
 
+@settings(max_examples=120, deadline=None)
+@given(data=st.data())
+def test_any_merge_list(data, tmp_path_factory):
+    """Random merge lists: the transducer gives what merging by rank gives, whatever is buffered."""
+    import json
+
+    letters = "abc"
+    tokens = list(letters)
+    merges = []
+    for _ in range(data.draw(st.integers(0, 9))):
+        a, b = data.draw(st.sampled_from(tokens)), data.draw(st.sampled_from(tokens))
+        if a + b not in tokens:
+            merges.append([a, b])
+            tokens.append(a + b)
+    spec = {
+        "added_tokens": [], "normalizer": None,
+        "pre_tokenizer": {"type": "Split", "pattern": {"Regex": "[a-z]+"}, "behavior": "Removed", "invert": True},
+        "model": {"end_of_word_suffix": None, "vocab": {t: i for i, t in enumerate(tokens)}, "merges": merges},
+    }
+    path = tmp_path_factory.mktemp("bpe") / "file.json"
+    path.write_text(json.dumps(spec))
+    encoder = bpe.Encoder(bpe.Vocabulary(str(path)))
+    before, bpe.STRIDE = bpe.STRIDE, 1
+    try:
+        for word in data.draw(st.lists(st.text(alphabet=letters, min_size=1, max_size=60), max_size=6)):
+            names = [encoder.vocabulary.text_of_id[i] for i in encoder.word(word.encode())]
+            assert names == encoder._merged(word.encode(), True)
+    finally:
+        bpe.STRIDE = before
+
+
 def test_lookahead_bounds_every_rule():
     assert sufficient_lookahead([(b"a", b"b"), (b"ab", b"c")]) == 6 and sufficient_lookahead([]) == 0
 
