@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.batches import small
+from millrace.llm.batches import appended, small, with_columns
 from millrace.llm.components import components, forest
 from millrace.session import cut_lineage
 
@@ -25,6 +25,7 @@ from millrace.session import cut_lineage
 SAMPLE = 4096
 #: Vectors per tile, about; leading axes that make cells.
 TILE, AXES = 2048, 2
+AXIS = tuple(f"c{k}" for k in range(AXES))
 #: Coordinates after which a pair may be dropped, and rows of a tile compared at once.
 STAGES, ROWS = (8, 16, 32), 512
 #: Cosines this near the threshold are computed anew from the vectors as given.
@@ -159,25 +160,8 @@ def _valid(vector: Column) -> Column:
     return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def near_vectors(df: DataFrame, least: float = 0.98, vec_id: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
-    """Rows (vec_id, n_links, component_id, kept), one per row of ``df``.
-
-    Vectors of equal label and length are linked if their cosine is at least ``least``. A vector
-    that is null, zero, or holds null or non-finite components, and one without label or id, has no links and
-    is its own component. Equal vectors are compared once and count as often as they occur; repeated
-    ids are rows of their own in ``n_links`` and one node in ``component_id``. Other columns are not
-    read; an empty table gives no rows.
-    """
-    spark = df.sparkSession
-    rows = df.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).alias("embedding"), F.col(label).alias("label"))
-    rows = rows.withColumn("key", F.when(_valid(F.col("embedding")) & F.col("label").isNotNull() & F.col("vec_id").isNotNull(), F.xxhash64("label", "embedding")))
-    usable = rows.filter(F.col("key").isNotNull())
-    once = usable.groupBy("label", "embedding", "key").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies"))
-    # Two different vectors of one hash are told apart by a second one.
-    once = cut_lineage(once.withColumn("key2", F.xxhash64(F.lit(1), "embedding", "label")))
-    sample = once.orderBy("key", "key2").limit(SAMPLE).select("embedding").collect()
-    axes = spark.sparkContext.broadcast(_axes([r.embedding for r in sample]))
-    width = float(np.sqrt(max(0.0, 2 - 2 * least))) * (1 + 1e-6)
+def _cells(once: DataFrame, axes, width: float) -> DataFrame:
+    """``once`` with the cell of every vector on the leading axes, cells as wide as links reach."""
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,43 +172,78 @@ def near_vectors(df: DataFrame, least: float = 0.98, vec_id: str = "vec_id", vec
                 at = np.flatnonzero(sizes == size)
                 own = vectors.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
                 turned = _turned(own.reshape(len(at), -1), axes.value)[:, :AXES]
-                found[at, : turned.shape[1]] = np.floor(turned / max(width, 1e-6)).astype(np.int32)
-            arrays = [*batch.columns, *(pa.array(found[:, k]) for k in range(AXES))]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, *(f"c{k}" for k in range(AXES))])
+                found[at, : turned.shape[1]] = np.floor(turned / width).astype(np.int32)
+            yield appended(batch, **{c: pa.array(found[:, k]) for k, c in enumerate(AXIS)})
 
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in once.schema.fields)
-    axis = [f"c{k}" for k in range(AXES)]
-    placed = once.mapInArrow(cells, kinds + "".join(f", {c} int" for c in axis))
+    placed = once.mapInArrow(cells, with_columns(once, **dict.fromkeys(AXIS, "int")))
     placed = cut_lineage(placed.withColumn("size", F.size("embedding")))
     # A group that fits a tile needs no cells.
-    groups = cut_lineage(placed.groupBy("label", "size").count().select("label", "size", (F.col("count") > TILE).alias("many")))
-    shared = placed.join(small(groups), ["label", "size"])
-    shared = shared.withColumns({c: F.when(F.col("many"), F.col(c)).otherwise(F.lit(0)) for c in axis})
-    where = ["label", "size", *axis]
-    counted = shared.groupBy(*where).agg(F.count(F.lit(1)).alias("n"), F.first("many").alias("many"))
+    groups = placed.groupBy("label", "size").agg((F.count(F.lit(1)) > TILE).alias("many"))
+    placed = placed.join(small(cut_lineage(groups)), ["label", "size"])
+    return placed.withColumns({c: F.when(F.col("many"), F.col(c)).otherwise(F.lit(0)) for c in AXIS})
+
+
+def _tile_pairs(counted: DataFrame) -> DataFrame:
+    """Rows (pair, tile, side): which tiles meet. One row per side; a tile that meets itself has one side.
+
+    ``counted`` has one row per cell with its number of tiles (``parts``); tiles of a cell meet those of the same
+    and of neighbouring cells.
+    """
+    where = ["label", "size", *AXIS]
+    tiles = counted.select(*where, "many", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    steps = [F.struct(*[F.lit(d).alias(c) for d, c in zip(step, AXIS, strict=True)]) for step in np.ndindex(*[3] * AXES)]
+    around = F.when(F.col("many"), F.array(*steps)).otherwise(F.array(steps[len(steps) // 2]))
+    near = tiles.select("label", "size", F.struct(*AXIS, "part").alias("other"), F.explode(around).alias("step"))
+    near = near.select("label", "size", "other", *[(F.col(f"other.{c}") + F.col(f"step.{c}") - 1).alias(c) for c in AXIS])
+    both = near.join(tiles.drop("many"), where).withColumn("one", F.struct(*AXIS, "part"))
+    both = both.withColumn("pair", F.xxhash64("label", "size", "one", "other"))
+
+    def side(pairs: DataFrame, tile: str, number: int) -> DataFrame:
+        columns = [F.col(f"{tile}.{c}").alias(c) for c in (*AXIS, "part")]
+        return pairs.select("pair", "label", "size", *columns, F.lit(number).cast("byte").alias("side"))
+
+    return side(both.filter("one <= other"), "one", 0).union(side(both.filter("one < other"), "other", 1))
+
+
+def near_vectors(
+    df: DataFrame, least: float = 0.98, vec_id: str = "vec_id", vector: str = "embedding", label: str = "label"
+) -> DataFrame:
+    """Rows (vec_id, n_links, component_id, kept), one per row of ``df``.
+
+    Vectors of equal label and length are linked if their cosine is at least ``least``. A vector
+    that is null, zero, or holds null or non-finite components, and one without label or id, has no links and
+    is its own component. Equal vectors are compared once and count as often as they occur; repeated
+    ids are rows of their own in ``n_links`` and one node in ``component_id``. Other columns are not
+    read; an empty table gives no rows.
+    """
+    rows = df.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).alias("embedding"), F.col(label).alias("label"))
+    usable = _valid(F.col("embedding")) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
+    # Two hashes tell a vector of a label apart from any other.
+    key2 = F.xxhash64(F.lit(1), "embedding", "label")
+    rows = rows.withColumn("key", F.when(usable, F.xxhash64("label", "embedding")))
+    once = rows.filter(F.col("key").isNotNull()).groupBy("label", "embedding", "key")
+    once = cut_lineage(once.agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies")).withColumn("key2", key2))
+
+    sample = once.orderBy("key", "key2").limit(SAMPLE).select("embedding").collect()
+    axes = df.sparkSession.sparkContext.broadcast(_axes([r.embedding for r in sample]))
+    reach = max(1e-6, float(np.sqrt(max(0.0, 2 - 2 * least))) * (1 + 1e-6))
+    placed = _cells(once, axes, reach)
+    where = ["label", "size", *AXIS]
+    counted = placed.groupBy(*where).agg(F.count(F.lit(1)).alias("n"), F.first("many").alias("many"))
     counted = cut_lineage(counted.withColumn("parts", F.ceil(F.col("n") / TILE).cast("int")))
-    parts = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    tiles = counted.select(*where, "many", parts.alias("part"))
-    steps = F.array(*[F.struct(*[F.lit(s).alias(c) for s, c in zip(step, axis, strict=True)]) for step in np.ndindex(*[3] * AXES)])
-    near = tiles.select(*where, "part", F.explode(F.when(F.col("many"), steps).otherwise(F.slice(steps, 3**AXES // 2 + 1, 1))).alias("s"))
-    near = near.select("label", "size", *[(F.col(c) + F.col(f"s.{c}") - 1).alias(c) for c in axis], *[F.col(c).alias(f"o{c}") for c in axis], F.col("part").alias("opart"))
-    both = near.join(tiles.drop("many"), where)
-    mine, other = F.struct(*axis, "part"), F.struct(*[f"o{c}" for c in axis], "opart")
-    ordered = both.filter(mine <= other).withColumn("pair", F.xxhash64("label", "size", *axis, "part", *[f"o{c}" for c in axis], "opart"))
-    first = ordered.select("pair", "label", "size", *axis, "part", F.lit(0).cast("byte").alias("side"))
-    second = ordered.filter(mine < other).select("pair", "label", "size", *[F.col(f"o{c}").alias(c) for c in axis], F.col("opart").alias("part"), F.lit(1).cast("byte").alias("side"))
-    member = cut_lineage(first.union(second))
-    vectors = shared.join(small(counted.select(*where, "parts")), where).withColumn("part", F.pmod(F.col("key2"), F.col("parts")).cast("int"))
+    member = cut_lineage(_tile_pairs(counted))
+    vectors = placed.join(small(counted.select(*where, "parts")), where)
+    vectors = vectors.withColumn("part", F.pmod(F.col("key2"), F.col("parts")).cast("int"))
     dealt = vectors.join(small(member), [*where, "part"]).select("pair", "side", "node", "key", "copies", "embedding")
     dealt = dealt.repartition("pair").sortWithinPartitions("pair")
     found = cut_lineage(dealt.mapInArrow(_compared(axes, least), "key long, links long, node long, root long"))
+
     counts = found.groupBy("key", "node").agg(F.sum("links").alias("links"))
-    grouped = components(found.select("node", "root"))
-    named = once.select("key", "key2", "node", "copies").join(counts, ["key", "node"], "left").join(grouped, "node", "left")
-    named = cut_lineage(named.select(
-        "key", "key2", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("component", "node").alias("c")
-    ))
-    out = rows.select("vec_id", "key", F.xxhash64(F.lit(1), "embedding", "label").alias("key2")).join(named, ["key", "key2"], "left")
+    named = once.select("key", "key2", "node", "copies").join(counts, ["key", "node"], "left")
+    named = named.join(components(found.select("node", "root")), "node", "left")
+    links_of = F.coalesce("links", F.lit(0)) + F.col("copies") - 1
+    named = cut_lineage(named.select("key", "key2", links_of.alias("n"), F.coalesce("component", "node").alias("c")))
+    out = rows.select("vec_id", "key", key2.alias("key2")).join(named, ["key", "key2"], "left")
     component = F.coalesce("c", "vec_id")
     return out.select(
         "vec_id",
