@@ -8,8 +8,6 @@ the item's: a question with new parameters replaces each value consistently, a c
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -162,18 +160,14 @@ def _aligned(chosen, pairs, items, benchmark, item_id, item_text, n_items, size)
 
 def drop_contaminated(df: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``df`` that hold no benchmark item."""
-    (own,) = fresh(df, "text_hash")
+    own, bad_id, bad_hash = fresh(df, "text_hash", "bad_id", "bad_hash")
     rows = df.withColumn(own, F.xxhash64(F.col(text)))
-    bad = contaminated(rows, benchmark, [doc_id, own], text).select(F.col(doc_id).alias("bad_id"), F.col(own).alias("bad_hash")).distinct()
-    bad = cut_lineage(bad)
-    same = F.col(doc_id).eqNullSafe(F.col("bad_id")) & (F.col(own) == F.col("bad_hash"))
+    bad = contaminated(rows, benchmark, [doc_id, own], text).select(F.col(doc_id).alias(bad_id), F.col(own).alias(bad_hash))
+    bad = cut_lineage(bad.distinct())
+    same = F.col(doc_id).eqNullSafe(F.col(bad_id)) & (F.col(own) == F.col(bad_hash))
     return rows.join(small(bad, bad.count()), same, "left_anti").drop(own)
 
 
 def op3_decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     return contaminated(documents, benchmark, ["doc_id"])
 
-
-def windows_needed(n: int, share: float = SHARE) -> int:
-    """Windows of an item with ``n`` that a holder must have."""
-    return math.ceil(n * share)

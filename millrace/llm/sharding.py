@@ -79,7 +79,7 @@ def uniform_shards(df: DataFrame, shards: int, seed: int = 7, block_rows: int =
     and null ones too; rows need no key. An empty table gives no rows. With fewer rows than shards
     some shards are empty. Taken column names make the new ones end in an underscore.
     """
-    shard, slot, block, place, before = fresh(df, "shard", "slot", "block", "place", "before")
+    shard, slot, block, place, before, own_shard, own_block = fresh(df, "shard", "slot", "block", "place", "before", "of_shard", "of_block")
     fixed = cut_lineage(df)
     counted = fixed.groupBy(F.spark_partition_id().alias("p")).count().collect()
     rows = [0] * (max((r.p for r in counted), default=-1) + 1)
@@ -109,12 +109,12 @@ def uniform_shards(df: DataFrame, shards: int, seed: int = 7, block_rows: int =
     dealt = fixed.mapInArrow(deal, with_columns(df, **{shard: "int", block: "long", place: "long"}))
     sizes = dealt.groupBy(shard, block).count()
     earlier = F.sum("count").over(Window.partitionBy(shard).orderBy(block).rowsBetween(Window.unboundedPreceding, -1))
-    starts = sizes.select(F.col(shard).alias("s_"), F.col(block).alias("b_"), F.coalesce(earlier, F.lit(0)).alias(before))
+    starts = sizes.select(F.col(shard).alias(own_shard), F.col(block).alias(own_block), F.coalesce(earlier, F.lit(0)).alias(before))
     starts = cut_lineage(starts)
     inside = F.row_number().over(Window.partitionBy(shard, block).orderBy(place)) - 1
     placed = dealt.withColumn(place, inside)
     # One row per block: a broadcast is left to the measured size of the table.
-    placed = placed.join(starts, (F.col(shard) == F.col("s_")) & (F.col(block) == F.col("b_")))
+    placed = placed.join(starts, (F.col(shard) == F.col(own_shard)) & (F.col(block) == F.col(own_block)))
     return placed.select(*df.columns, shard, (F.col(before) + F.col(place)).cast("long").alias(slot))
 
 

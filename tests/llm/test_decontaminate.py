@@ -1,9 +1,10 @@
+import math
 import re
 
 import pytest
 
 from millrace.llm import batches
-from millrace.llm.decontaminate import NAME, NUMBER, UNIT, contaminated, drop_contaminated, marked, op3_decontaminate, template, windows_needed
+from millrace.llm.decontaminate import NAME, NUMBER, UNIT, contaminated, drop_contaminated, marked, op3_decontaminate, template
 from pyspark.sql import functions as F
 
 ITEM = "Yesterday Alice bought 12 apples and Bob ate 3.5 kg of pears, then Alice sold 12 oranges for 40 euros at the market."
@@ -11,6 +12,10 @@ OTHER = "while the river was running slowly towards the distant hills nobody in
 BENCHMARK = [(1, ITEM), (2, OTHER)]
 
 
+def windows_needed(n):
+    return math.ceil(n * 0.8)
+
+
 def run(sp, texts, benchmark=BENCHMARK):
     docs = sp.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     items = sp.createDataFrame(benchmark, "item_id long, text string")

@@ -25,7 +25,7 @@ def test_matrix_adds_up():
 
 
 def test_sizes_slots_and_nothing_lost(sp):
-    df = sp.range(0, 1003).selectExpr("id", "id % 3 as shard").repartition(5)
+    df = sp.range(0, 1003).selectExpr("id", "id % 3 as shard", "id as of_shard", "id as block").repartition(5)
     rows = uniform_shards(df, 24, block_rows=16).collect()
     by = {}
     for r in rows:
