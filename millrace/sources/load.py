@@ -38,8 +38,8 @@ def extract_jdbc(
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", query)
     reader = reader.option("partitionColumn", partition_column).option("numPartitions", partitions)
     reader = reader.option("lowerBound", lower).option("upperBound", upper)
-    # tinyint(1) holds codes, not booleans; rows stream in fetches.
-    reader = reader.option("fetchsize", 10_000).options(**options)
+    # tinyint(1) holds codes, not booleans (a property of the MySQL driver); rows stream in fetches.
+    reader = reader.option("tinyInt1isBit", "false").option("fetchsize", 10_000).options(**options)
     return reader.load()
 
 
