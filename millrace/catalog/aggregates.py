@@ -297,15 +297,25 @@ def order_limit(t):
     return t.orders.select("o_orderkey", "o_orderdate").orderBy(F.desc("o_orderdate"), "o_orderkey").limit(50)
 
 
-@query(
-    "batch_cap",
-    """SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderkey NOT IN
-    (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R') ORDER BY o_orderkey LIMIT 200""",
-)
-def batch_cap(t):
-    """At most 200 open candidates a run, lowest key first; the next run takes the rest."""
+_CANDIDATES = """SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderkey NOT IN
+    (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')"""
+
+
+def _candidates(t):
     from millrace.operators.lookup import missing_from
 
     done = t.lineitem.filter(F.col("l_returnflag") == "R")
     urgent = t.orders.filter(F.col("o_orderpriority") == "1-URGENT").select("o_orderkey")
-    return missing_from(urgent, done, {"o_orderkey": "l_orderkey"}).orderBy("o_orderkey").limit(200)
+    return missing_from(urgent, done, {"o_orderkey": "l_orderkey"})
+
+
+@query("batch_whole", _CANDIDATES)
+def batch_whole(t):
+    """All open candidates in one run."""
+    return _candidates(t)
+
+
+@query("batch_cap", f"{_CANDIDATES} ORDER BY o_orderkey LIMIT 200")
+def batch_cap(t):
+    """At most 200 open candidates a run, lowest key first; the next run takes the rest."""
+    return _candidates(t).orderBy("o_orderkey").limit(200)
