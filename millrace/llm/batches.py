@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +63,19 @@ def with_columns(df: DataFrame, **kinds: str) -> T.StructType:
     return T.StructType([*df.schema.fields, *added.fields])
 
 
+def over_batches(df: DataFrame, run: Callable, schema: T.StructType | str) -> DataFrame:
+    """``df.mapInArrow``; what Arrow keeps for later goes back to the system after each partition.
+
+    Workers live on between stages, and what they keep counts against the executor's memory.
+    """
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(whole, schema)
+
+
 def appended(batch: pa.RecordBatch, **columns) -> pa.RecordBatch:
     """``batch`` followed by new columns."""
     arrays = [*batch.columns, *(c if isinstance(c, pa.Array) else pa.array(c) for c in columns.values())]

@@ -24,7 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from millrace.llm.batches import appended, fresh, text_of, with_columns
+from millrace.llm.batches import appended, fresh, over_batches, text_of, with_columns
 
 #: Words whose tokens a worker remembers, and pairs of tokens known to stay apart or not.
 REMEMBERED, PAIRS = 150_000, 150_000
@@ -376,7 +376,7 @@ def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
             yield appended(batch, **{name: pa.array(ids, pa.list_(pa.int32()))})
         encoder.forget()
 
-    return df.mapInArrow(run, with_columns(df, **{name: "array<int>"}))
+    return over_batches(df, run, with_columns(df, **{name: "array<int>"}))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", plain: bool = True) -> DataFrame:
@@ -392,7 +392,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", plain: bool = True) -> Da
                 texts.append(decoder.feed(np.array(row or [], "<u4").tobytes()) + decoder.end())
             yield appended(batch, **{name: pa.array(texts, pa.string())})
 
-    return df.mapInArrow(run, with_columns(df, **{name: "string"}))
+    return over_batches(df, run, with_columns(df, **{name: "string"}))
 
 
 def round_trip(df: DataFrame, path: str, text: str = "text") -> DataFrame:
@@ -423,7 +423,7 @@ def round_trip(df: DataFrame, path: str, text: str = "text") -> DataFrame:
             yield appended(batch, **dict(zip(names, columns, strict=True)))
         encoder.forget()
 
-    return df.mapInArrow(run, with_columns(df, **dict(zip(names, ("long", "string", "string"), strict=True))))
+    return over_batches(df, run, with_columns(df, **dict(zip(names, ("long", "string", "string"), strict=True))))
 
 
 def op4_bpe(documents: DataFrame, path: str) -> DataFrame:

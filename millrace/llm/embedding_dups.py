@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.batches import appended, small, with_columns
+from millrace.llm.batches import appended, over_batches, small, with_columns
 from millrace.llm.components import components, forest
 from millrace.session import cut_lineage
 
@@ -175,7 +175,7 @@ def _cells(once: DataFrame, axes, width: float) -> DataFrame:
                 found[at, : turned.shape[1]] = np.floor(turned / width).astype(np.int32)
             yield appended(batch, **{c: pa.array(found[:, k]) for k, c in enumerate(AXIS)})
 
-    placed = once.mapInArrow(cells, with_columns(once, **dict.fromkeys(AXIS, "int")))
+    placed = over_batches(once, cells, with_columns(once, **dict.fromkeys(AXIS, "int")))
     placed = cut_lineage(placed.withColumn("size", F.size("embedding")))
     # A group that fits a tile needs no cells.
     groups = placed.groupBy("label", "size").agg((F.count(F.lit(1)) > TILE).alias("many"))
@@ -236,7 +236,7 @@ def near_vectors(
     vectors = vectors.withColumn("part", F.pmod(F.col("key2"), F.col("parts")).cast("int"))
     dealt = vectors.join(small(member), [*where, "part"]).select("pair", "side", "node", "key", "copies", "embedding")
     dealt = dealt.repartition("pair").sortWithinPartitions("pair")
-    found = cut_lineage(dealt.mapInArrow(_compared(axes, least), "key long, links long, node long, root long"))
+    found = cut_lineage(over_batches(dealt, _compared(axes, least), "key long, links long, node long, root long"))
 
     counts = found.groupBy("key", "node").agg(F.sum("links").alias("links"))
     named = once.select("key", "key2", "node", "copies").join(counts, ["key", "node"], "left")

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.batches import appended, fresh, runs, text_of, with_columns
+from millrace.llm.batches import appended, fresh, over_batches, runs, text_of, with_columns
 
 #: n-gram lengths and the logarithm of the number of buckets; the model takes 8 bytes x languages x 2^BITS.
 ORDERS, BITS = (1, 2, 3), 15
@@ -117,7 +117,7 @@ def train(df: DataFrame, text: str, label: str) -> tuple[list[str], np.ndarray]:
     What comes to the driver is one count per label and bucket. Rows without a label or text are left out.
     """
     rows = df.select(F.col(label).cast("string").alias("label"), F.col(text).alias("text")).dropna()
-    counted = rows.mapInArrow(_count, "label string, bucket int, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n"))
+    counted = over_batches(rows, _count, "label string, bucket int, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n"))
     table = counted.toArrow()
     labels = sorted(set(table["label"].to_pylist()))
     place = {name: i for i, name in enumerate(labels)}
@@ -165,7 +165,7 @@ def identify(df: DataFrame, labels: list[str], logs: np.ndarray, text: str = "te
                     names[i], scores[i] = labels[b], 1 / o
             yield appended(batch, **{predicted: pa.array(names, pa.string()), score: pa.array(scores, pa.float64())})
 
-    return df.mapInArrow(predict, with_columns(df, **{predicted: "string", score: "double"}))
+    return over_batches(df, predict, with_columns(df, **{predicted: "string", score: "double"}))
 
 
 def held_out(doc_id: Column) -> Column:

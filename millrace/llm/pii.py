@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.batches import appended, fresh, text_of, with_columns
+from millrace.llm.batches import appended, fresh, over_batches, text_of, with_columns
 from millrace.llm.tagger import Tagger, bio_transitions
 
 KINDS = ("email", "ip", "card", "phone")
@@ -192,7 +192,7 @@ def fit(df: DataFrame, text: str = "text", sample: int = SAMPLE) -> Tagger | Non
 
     Windows with a base span come first; a quarter of the sample is kept for windows without one.
     """
-    parts = df.select(F.col(text).alias("text")).mapInArrow(_sampled, "part string").distinct()
+    parts = over_batches(df.select(F.col(text).alias("text")), _sampled, "part string").distinct()
     order = F.xxhash64(F.lit(SEED), "part")
     rows = parts.select("part", order.alias("o")).orderBy("o", "part").limit(4 * sample).collect()
     labelled = [(r.part, base_spans(r.part)[0]) for r in rows]
@@ -344,7 +344,7 @@ def find_pii(df: DataFrame, tagger: Tagger | None, text: str = "text") -> DataFr
             columns = {n: pa.array([listed(f[i]) for f in found], arrow) for i, n in enumerate((base_name, spans_name))}
             yield appended(batch, **columns)
 
-    return df.mapInArrow(run, with_columns(df, **{base_name: kind, spans_name: kind}))
+    return over_batches(df, run, with_columns(df, **{base_name: kind, spans_name: kind}))
 
 
 def redact(df: DataFrame, tagger: Tagger | None, text: str = "text") -> DataFrame:
@@ -360,7 +360,7 @@ def redact(df: DataFrame, tagger: Tagger | None, text: str = "text") -> DataFram
             values = [c if v else None for c, v in zip(clean, column.is_valid().to_pylist(), strict=True)]
             yield batch.set_column(at, batch.schema.field(at), pa.array(values, column.type))
 
-    return df.mapInArrow(run, df.schema)
+    return over_batches(df, run, df.schema)
 
 
 def op8_pii(documents: DataFrame) -> DataFrame:

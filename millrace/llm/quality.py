@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.batches import appended, bytes_of, fresh, runs, text_of, with_columns
+from millrace.llm.batches import appended, bytes_of, fresh, over_batches, runs, text_of, with_columns
 from millrace.session import cut_lineage
 
 #: n-gram lengths in bytes and the logarithm of the number of buckets for each.
@@ -134,7 +134,7 @@ def _weigher(ratio, text: str, weight: str):
 def weighted(df: DataFrame, ratio: np.ndarray, text: str = "text", weight: str = "log_weight") -> DataFrame:
     """``df`` with the log importance weight of each text; 0 for a null or empty text."""
     shared = df.sparkSession.sparkContext.broadcast(np.append(ratio, 0.0))
-    return df.mapInArrow(_weigher(shared, text, weight), with_columns(df, **{weight: "double"}))
+    return over_batches(df, _weigher(shared, text, weight), with_columns(df, **{weight: "double"}))
 
 
 def gumbel(*keys: Column) -> Column:
@@ -201,7 +201,7 @@ def fit(df: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Fitted:
     if not targets:
         return Fitted(np.zeros(BUCKETS), -(1 << 63))
     shared = spark.sparkContext.broadcast(targets)
-    counted = rows.mapInArrow(_counter(shared), "model int, bucket int, n long")
+    counted = over_batches(rows, _counter(shared), "model int, bucket int, n long")
     table = counted.groupBy("model", "bucket").agg(F.sum("n").alias("n")).toArrow()
     counts = np.full((2, BUCKETS), 0.5)
     counts[table["model"].to_numpy(), table["bucket"].to_numpy()] += table["n"].to_numpy()

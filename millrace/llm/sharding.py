@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.batches import appended, fresh, with_columns
+from millrace.llm.batches import appended, fresh, over_batches, with_columns
 from millrace.session import cut_lineage
 
 #: Counts the driver holds at most (8 bytes each): partitions x shards.
@@ -106,7 +106,7 @@ def uniform_shards(df: DataFrame, shards: int, seed: int = 7, block_rows: int =
             columns = {shard: pa.array(dealt_to[own], pa.int32()), block: pa.array(in_block[own]), place: pa.array(at[own])}
             yield appended(batch, **columns)
 
-    dealt = fixed.mapInArrow(deal, with_columns(df, **{shard: "int", block: "long", place: "long"}))
+    dealt = over_batches(fixed, deal, with_columns(df, **{shard: "int", block: "long", place: "long"}))
     sizes = dealt.groupBy(shard, block).count()
     earlier = F.sum("count").over(Window.partitionBy(shard).orderBy(block).rowsBetween(Window.unboundedPreceding, -1))
     starts = sizes.select(F.col(shard).alias(own_shard), F.col(block).alias(own_block), F.coalesce(earlier, F.lit(0)).alias(before))

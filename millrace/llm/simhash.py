@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.batches import bytes_of, fresh, runs, text_of
+from millrace.llm.batches import bytes_of, fresh, over_batches, runs, text_of
 from millrace.llm.components import components, forest
 from millrace.session import cut_lineage
 
@@ -77,7 +77,7 @@ def with_fingerprints(df: DataFrame, keys: list[str], text: str = "text", words:
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], values], names=[*batch.schema.names[:-1], "fingerprint"])
 
     rows = df.select(*keys, F.col(text).alias("text_"))
-    return rows.mapInArrow(compute, T.StructType([*rows.schema.fields[:-1], T.StructField("fingerprint", T.LongType())]))
+    return over_batches(rows, compute, T.StructType([*rows.schema.fields[:-1], T.StructField("fingerprint", T.LongType())]))
 
 
 def _links(near: int, radius: int):
@@ -190,7 +190,7 @@ def near_fingerprints(prints: DataFrame, radius: int = 4) -> DataFrame:
     buckets = F.explode(F.transform(F.array(*[F.lit(m) for m in touched]), lambda m: top.bitwiseXOR(m)))
     rows = prints.select(buckets.alias("bucket"), "fingerprint", "node")
     rows = rows.repartition("bucket").sortWithinPartitions("bucket")
-    return rows.mapInArrow(_links(near, radius), "a long, b long")
+    return over_batches(rows, _links(near, radius), "a long, b long")
 
 
 def simhash_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 4, radius: int = 4, seed: int = 42) -> DataFrame:

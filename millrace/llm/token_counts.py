@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.batches import appended, bytes_of, fresh, runs, text_of, with_columns
+from millrace.llm.batches import appended, bytes_of, fresh, over_batches, runs, text_of, with_columns
 
 #: The word mark of the vocabulary; a space becomes it, and one is put before a text.
 MARK = "▁"
@@ -121,7 +121,7 @@ def count_tokens(df: DataFrame, path: str, text: str = "text", limit: int = 4096
                 },
             )
 
-    return df.mapInArrow(encode, with_columns(df, **{n_bytes: "long", n_tokens: "long", over: "boolean"}))
+    return over_batches(df, encode, with_columns(df, **{n_bytes: "long", n_tokens: "long", over: "boolean"}))
 
 
 def op6_token_counts(spark, documents: DataFrame, path: str) -> DataFrame:
