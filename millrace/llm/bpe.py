@@ -17,6 +17,7 @@ import codecs
 import hashlib
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -70,6 +71,10 @@ class Vocabulary:
         if not {n["type"] for n in self.normalizers} <= known or len(splits) != 1 or not splits[0]["invert"]:
             raise ValueError(f"{path}: only {sorted(known)} and one inverted split are supported")
         self.words = regex.compile(splits[0]["pattern"]["Regex"])
+        # White space replaced by a blank stays outside of words that hold none: nothing to do.
+        needless = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
+        if r"[^\s" in self.words.pattern and self.words.search(" \t\n") is None:
+            self.normalizers = [n for n in self.normalizers if n != needless]
         self.replaced = [(regex.compile(n["pattern"]["Regex"]), n["content"]) for n in self.normalizers if n["type"] == "Replace"]
         self.text_of_id = {i: t for t, i in self.ids.items()} | {i: t for t, i in self.specials.items()}
         self.back = {c: b for b, c in byte_alphabet().items()}
@@ -202,8 +207,41 @@ class Encoder:
             self.apart[key] = known
         return known
 
-    def word(self, data: bytes) -> Iterator[int]:
-        """The tokens of one word, each as soon as it is stable."""
+    def word(self, data: bytes) -> Iterable[int]:
+        """The tokens of one word, each as soon as it is stable; of one that fits the buffer all at its end."""
+        return self._whole(data) if len(data) <= STRIDE else self._stream(data)
+
+    def _whole(self, data: bytes) -> list[int]:
+        """``_stream`` without emission on the way."""
+        known, apart, stay_apart = self.inner_endings.get, self.apart.get, self._stay_apart
+        last, begun, end = [-1], [0], len(data)
+        for i in range(1, end + 1):
+            if i == end:
+                known = self.final_endings.get
+            for a in range(i - 1, -1, -1):
+                found = known(data[a:i])
+                if found is None:
+                    a = -1
+                    break
+                if found >= 0:
+                    if not a:
+                        break
+                    left = last[a]
+                    if left >= 0:
+                        ok = apart(left << 20 | found)
+                        if stay_apart(left, found) if ok is None else ok:
+                            break
+            else:
+                a = -1
+            last.append(found if a >= 0 else -1)
+            begun.append(a)
+        if not end:
+            return []
+        if begun[end] < 0:
+            raise ValueError("the vocabulary lacks a byte")
+        return self._chain(last, begun, 0, end)
+
+    def _stream(self, data: bytes) -> Iterator[int]:
         endings, apart = self.inner_endings, self.apart
         # Position i of the buffer ends a prefix: its last token and where that began.
         last: list[int] = [-1]
@@ -279,7 +317,7 @@ class Encoder:
         return found[::-1]
 
     def _of_word(self, word: str) -> bytes:
-        found = np.fromiter(self.word(word.encode("utf-8", "surrogatepass")), "<u4").tobytes()
+        found = array("I", self.word(word.encode("utf-8", "surrogatepass"))).tobytes()
         if len(word) <= 64:
             if len(self.remembered) >= REMEMBERED:
                 self.remembered.clear()
