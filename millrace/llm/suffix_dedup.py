@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.batches import appended, bytes_of, fresh, runs, text_of, with_columns
+from millrace.llm.batches import appended, bytes_of, fresh, over_batches, runs, text_of, with_columns
 from millrace.llm.suffix_array import common_prefixes, suffix_array
 from millrace.session import cut_lineage
 
@@ -195,13 +195,14 @@ def _sorter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield found(values, settled)
 
 
-def _reader(length: int):
+def _reader(length: int, doc_name: str, hash_name: str, text_name: str, asked_name: str):
     """The stretches that runs cover, one row per asked run of a document."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, hashes, asked = (batch.column(i).to_pylist() for i in (0, 1, 3))
-            data, starts = bytes_of(text_of(batch))
+            names = (doc_name, hash_name, asked_name)
+            docs, hashes, asked = (batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names)
+            data, starts = bytes_of(text_of(batch, text_name))
             out = []
             for i, (doc, text_hash, wanted) in enumerate(zip(docs, hashes, asked, strict=True)):
                 text = data[starts[i] : starts[i + 1]]
@@ -348,24 +349,26 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", le
     if length < ANCHOR:
         raise ValueError(f"strings must have {ANCHOR} bytes at least")
     spark = df.sparkSession
-    doc, text_hash, runs_name, kept, removed = fresh(df, "doc", "hash", "runs", "kept", "removed")
+    doc, text_hash, runs_name, asked_name, kept, removed = fresh(df, "doc", "hash", "runs", "asked", "kept", "removed")
     rows = df.withColumns({doc: F.coalesce(F.col(doc_id).cast("long"), F.lit((1 << 63) - 1)), text_hash: F.xxhash64(F.col(text))})
     plain = rows.select(F.col(doc).alias("doc"), F.col(text_hash).alias("hash"), F.col(text).alias("text"))
     size = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET)
-    sent = plain.mapInArrow(_sender(length, buckets), "bucket int, settled boolean, value binary")
+    sent = over_batches(plain, _sender(length, buckets), "bucket int, settled boolean, value binary")
     sent = sent.repartition("bucket").sortWithinPartitions("bucket")
-    found = cut_lineage(sent.mapInArrow(_sorter, "doc long, hash long, run long, anchor long"))
-    asked = found.filter("anchor is not null").groupBy("doc", "hash").agg(F.collect_list(F.struct("anchor", "run")).alias("asked"))
-    read = plain.join(asked, ["doc", "hash"]).select("doc", "hash", "text", "asked")
-    stretches = read.mapInArrow(_reader(length), "anchor long, doc long, hash long, run long, covered binary")
+    found = cut_lineage(over_batches(sent, _sorter, "doc long, hash long, run long, anchor long"))
+    wanted = found.filter("anchor is not null").groupBy(F.col("doc").alias(doc), F.col("hash").alias(text_hash))
+    wanted = wanted.agg(F.collect_list(F.struct("anchor", "run")).alias(asked_name))
+    # All columns of both joins are the same, so the texts are shuffled once for the two.
+    read = rows.join(wanted, [doc, text_hash])
+    stretches = over_batches(read, _reader(length, doc, text_hash, text, asked_name), "anchor long, doc long, hash long, run long, covered binary")
     stretches = stretches.repartition("anchor").sortWithinPartitions("anchor", "doc", "hash", "run")
-    more = stretches.mapInArrow(_comparer(length), "doc long, hash long, run long")
+    more = over_batches(stretches, _comparer(length), "doc long, hash long, run long")
     gone = found.filter("anchor is null").select("doc", "hash", "run").union(more)
     gone = gone.groupBy(F.col("doc").alias(doc), F.col("hash").alias(text_hash)).agg(F.collect_list("run").alias(runs_name))
     joined = rows.join(gone, [doc, text_hash], "left").select(*df.columns, runs_name)
     out = with_columns(df, **{kept: "binary", removed: "array<struct<start:long,end:long>>"})
-    return joined.mapInArrow(_remover(length, text, [kept, removed], runs_name), out)
+    return over_batches(joined, _remover(length, text, [kept, removed], runs_name), out)
 
 
 def op5_suffix_dedup(documents: DataFrame) -> DataFrame:

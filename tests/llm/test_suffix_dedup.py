@@ -87,7 +87,7 @@ def test_pieces_and_flushes(monkeypatch):
     reading = pa.RecordBatch.from_arrays(
         [pa.array(list(asked)), pa.array(list(asked)), pa.array([docs[d] for d in asked]), pa.array(list(asked.values()), kind)], names=["doc", "hash", "text", "asked"]
     )
-    stretches = pa.Table.from_batches(list(suffix_dedup._reader(length)([reading]))).sort_by([("anchor", "ascending"), ("doc", "ascending"), ("run", "ascending")])
+    stretches = pa.Table.from_batches(list(suffix_dedup._reader(length, "doc", "hash", "text", "asked")([reading]))).sort_by([("anchor", "ascending"), ("doc", "ascending"), ("run", "ascending")])
     for b in suffix_dedup._comparer(length)(stretches.to_batches()):
         for r in b.to_pylist():
             gone.setdefault(r["doc"], []).append(r["run"])
