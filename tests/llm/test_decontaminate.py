@@ -94,3 +94,16 @@ def test_edges(sp, docs, no_docs, text_name):
     assert op3_decontaminate(no_docs, items).collect() == [] and op3_decontaminate(docs, items.filter("false")).collect() == []
     both = docs.withColumnRenamed("source", "n_found")
     assert contaminated(both, items, ["doc_id", "n_found"]).columns == ["doc_id", "n_found", "item_id", "n_windows", "n_found_", "n_slots"]
+
+
+FRUIT = "Tom has 5 apples. Sara has 3 pears. How many fruits do they have?"
+TRAIN = "The train left Boston at 9 and Alice met Peter in Denver after 12 hours on the road."
+
+
+def test_openers_are_names_too(sp):
+    texts = ["Bob has 7 apples. Mary has 4 pears. How many fruits do they have?", "Now: Bob has 7 apples, Mary has 4 pears, how many fruits do they have", "Bob has 7 apples."]
+    assert run(sp, texts, [(1, FRUIT)]) == {(0, 1), (1, 1)}
+
+
+def test_verbatim_in_any_case(sp):
+    assert run(sp, [TRAIN.lower(), f"so {TRAIN.upper()} end", TRAIN[:30].upper()], [(1, TRAIN)]) == {(0, 1), (1, 1)}
