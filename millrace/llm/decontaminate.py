@@ -5,7 +5,7 @@ numbers or names has the same template. Windows of template words are hash-joine
 that holds enough of an item's windows is a candidate, and its placeholders must map one to one to
 the item's: a question with new parameters replaces each value consistently, a chance match does not.
 A capitalised word that may open a sentence counts as a name and as a plain word. Copies in any case, and items
-of few plain words, are found by windows of their literal words.
+of few words or few plain ones, are found by windows of their literal words.
 """
 
 from __future__ import annotations
@@ -97,7 +97,8 @@ def _forms(df: DataFrame, keys: list[str], text: str) -> DataFrame:
 def _items(benchmark: DataFrame, item_id: str, text: str, size: int) -> DataFrame:
     """Rows (item, exact, at, hash, words, n): every window an item is searched by, ``n`` of them by template or exactly.
 
-    A window with openers has a template for each choice of what they count as.
+    A window with openers has a template for each choice of what they count as. The literal windows of an item of
+    fewer than ``size`` words have all its words.
     """
     texts = benchmark.select(F.col(item_id).alias("item"), F.col(text).alias("t")).dropna().distinct()
     forms = _forms(texts, ["item"], "t").filter(F.col("plain")[0] != "")
@@ -114,7 +115,6 @@ def _items(benchmark: DataFrame, item_id: str, text: str, size: int) -> DataFram
     found = found.filter((plain >= PLAIN) | (F.col("words") < size))
     by_template = found.select("item", F.lit(False).alias("exact"), "at", F.xxhash64("form").alias("hash"), "words")
     exactly = forms.select("item", F.posexplode(windows(F.col("literal"), size)).alias("at", "hash"), F.size("literal").alias("words"))
-    exactly = exactly.filter(F.col("words") >= size)
     both = by_template.union(exactly.select("item", F.lit(True), "at", "hash", "words")).distinct()
     counted = both.groupBy("item", "exact").agg(F.countDistinct("at").alias("n"))
     return cut_lineage(both.join(counted, ["item", "exact"]))
@@ -134,7 +134,7 @@ def contaminated(
 
     A document holds an item if at least ``share`` of the item's windows occur in it, either literally in any case, or
     by their templates, counted on alignments whose placeholders map one to one. Template windows without two plain words are left out; an item of fewer words than a window is
-    found only as a whole text. In a document's window all openers
+    found by its template only as a whole text, and literally anywhere. In a document's window all openers
     count as plain words or all as names. ``keys`` tell documents apart; rows with equal keys
     and texts are one document. A null key counts as a value. Null and empty texts hold nothing, null items and items
     without a word are not searched, and repeated items are searched once. Empty tables give no rows. Whole texts are read.

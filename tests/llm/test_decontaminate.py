@@ -107,3 +107,9 @@ def test_openers_are_names_too(sp):
 
 def test_verbatim_in_any_case(sp):
     assert run(sp, [TRAIN.lower(), f"so {TRAIN.upper()} end", TRAIN[:30].upper()], [(1, TRAIN)]) == {(0, 1), (1, 1)}
+
+
+def test_numbers_and_few_words_are_found_literally(sp):
+    items = [(1, "Compute 17 + 25 * 3 - 4 / 2 = 90"), (2, "What is 7 + 8?"), (3, "12")]
+    texts = [f"asked to {items[0][1]} today", "and then: what is 7 + 8? he said", "and then: what is 7 + 9? he said", "WHAT IS 6 + 1?"]
+    assert run(sp, texts, items) == {(0, 1), (1, 2), (3, 2)}
