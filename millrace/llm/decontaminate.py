@@ -133,7 +133,8 @@ def contaminated(
     """Rows (keys, item, n_windows, n_found, n_slots): documents that hold a benchmark item, as it is or re-parameterised.
 
     A document holds an item if at least ``share`` of the item's windows occur in it, either literally in any case, or
-    by their templates, counted on alignments whose placeholders map one to one. Template windows without two plain words are left out; an item of fewer words than a window is
+    by their templates, counted where placeholders map one to one: of each alignment the windows stay that agree with
+    its commonest mapping. Template windows without two plain words are left out; an item of fewer words than a window is
     found by its template only as a whole text, and literally anywhere. In a document's window all openers
     count as plain words or all as names. ``keys`` tell documents apart; rows with equal keys
     and texts are one document. A null key counts as a value. Null and empty texts hold nothing, null items and items
@@ -190,7 +191,7 @@ def _literal_hits(chosen, pairs, items, n_items, size, shorts) -> DataFrame:
 
 
 def _aligned(chosen, pairs, items, benchmark, item_id, item_text, n_items, size) -> DataFrame:
-    """Rows (doc, item, exact, at, n, slots): template windows of candidate pairs on alignments with consistent placeholders."""
+    """Rows (doc, item, exact, at, n, slots): template windows of candidate pairs whose placeholders agree with their alignment's."""
     words = chosen.select("doc", *[F.split(f(F.col("marked")), " ").alias(n) for n, f in (("plain", template), ("names", template_of_names))])
     forms = F.arrays_zip(windows(F.col("plain"), size).alias("p"), windows(F.col("names"), size).alias("n"))
     spots = words.select("doc", F.posexplode(forms).alias("pos", "form"))
@@ -211,11 +212,18 @@ def _aligned(chosen, pairs, items, benchmark, item_id, item_text, n_items, size)
     seen = values(chosen, "doc", F.split("marked", " ")).withColumnRenamed("word", "seen")
     slots = covered.join(own, ["item", "word_at"]).withColumn("seen_at", F.col("word_at") + F.col("shift"))
     slots = slots.join(seen.withColumnRenamed("word_at", "seen_at"), ["doc", "seen_at"])
-    slots = slots.groupBy("doc", "item", "shift").agg(
-        F.countDistinct("own").alias("owns"), F.countDistinct("seen").alias("seens"), F.countDistinct("own", "seen").alias("slots")
-    )
-    found = hits.join(slots, ["doc", "item", "shift"], "left").fillna(0, ["owns", "seens", "slots"])
-    found = found.filter((F.col("owns") == F.col("slots")) & (F.col("seens") == F.col("slots")))
+    alignment = ["doc", "item", "shift"]
+    mapped = slots.groupBy(*alignment, "own", "seen").agg(F.collect_set("word_at").alias("places"))
+    # Of ties the value that stays the same stands, then the one that comes first.
+    rank = [F.size("places").desc(), (F.col("own") == F.col("seen")).desc(), F.array_min("places")]
+    for side in ("own", "seen"):
+        mapped = mapped.withColumn(f"{side}_rank", F.row_number().over(Window.partitionBy(*alignment, side).orderBy(*rank)))
+    agrees = (F.col("own_rank") == 1) & (F.col("seen_rank") == 1)
+    mapped = mapped.select(*alignment, "places", agrees.alias("agrees"))
+    counted = mapped.groupBy(*alignment).agg(F.count_if("agrees").alias("slots"))
+    bad = mapped.filter("not agrees").select(*alignment, F.explode("places").alias("word_at"))
+    bad = bad.select(*alignment, F.explode(F.sequence(F.col("word_at") - size + 1, F.col("word_at"))).alias("at")).distinct()
+    found = hits.join(bad, [*alignment, "at"], "left_anti").join(counted, alignment, "left").fillna(0, ["slots"])
     return found.select("doc", "item", "exact", "at", "n", "slots")
 
 

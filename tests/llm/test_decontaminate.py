@@ -113,3 +113,12 @@ def test_numbers_and_few_words_are_found_literally(sp):
     items = [(1, "Compute 17 + 25 * 3 - 4 / 2 = 90"), (2, "What is 7 + 8?"), (3, "12")]
     texts = [f"asked to {items[0][1]} today", "and then: what is 7 + 8? he said", "and then: what is 7 + 9? he said", "WHAT IS 6 + 1?"]
     assert run(sp, texts, items) == {(0, 1), (1, 2), (3, 2)}
+
+
+def test_a_clash_costs_its_own_windows(sp):
+    plain = " ".join(f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60))
+    item = f"first 12 {plain} then 40 apples and 12 pears in the end of 12 days"
+    clash = item.replace("40", "9").replace("12", "9")
+    altered = item.replace("12", "77", 1)
+    apart = item.replace("12 pears", "5 pears").replace("12 days", "6 days")
+    assert run(sp, [item, clash, altered, apart], [(1, item)]) == {(0, 1), (1, 1), (2, 1), (3, 1)}
