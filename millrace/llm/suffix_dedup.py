@@ -9,6 +9,8 @@ equal places, and neighbouring strings share theirs, so an anchor stands for a r
    that cover equal bytes, all but the first repeat it in full.
 2. Where runs of one anchor cover different bytes, one of each kind is read again, and the suffix
    array of these stretches, with the common prefixes of neighbours, tells which of their strings are equal.
+   The strings of an anchor with very many such runs are dealt by their own hashes instead, and an aggregation
+   finds where each begins first, so that no task sorts all surroundings of one passage.
 3. What is to be removed is gathered by document.
 
 Each string belongs to one run, so nothing is found twice and nothing is missed.
@@ -24,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.batches import appended, bytes_of, fresh, over_batches, runs, text_of, with_columns
+from millrace.llm.batches import appended, bytes_of, fresh, over_batches, runs, small, text_of, with_columns
 from millrace.llm.suffix_array import common_prefixes, suffix_array
 from millrace.session import cut_lineage
 
@@ -34,6 +36,8 @@ ANCHOR = 32
 CHUNK, HELD, BUCKET = 1 << 20, 1 << 19, 1 << 24
 #: Bytes of stretches sorted at once.
 SORTED = 1 << 20
+#: Bytes of the stretches of one anchor, beyond which its strings are dealt by their hashes; and how often such a hash is spread.
+HOT, SPREAD = 1 << 18, 8
 #: Place bits in the key that finds the least hash; a chunk is shorter.
 PLACE = np.uint64((1 << 24) - 1)
 MIXERS = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
@@ -304,6 +308,35 @@ def _comparer(length: int):
     return compare
 
 
+def _strings(length: int):
+    """Every string of stretches: its hash in two halves, and its place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                _, doc, text_hash, place, covered = row
+                n = len(covered) - length + 1
+                raw = b"".join([xxhash.xxh3_128_digest(covered[j : j + length]) for j in range(n)])
+                halves = np.frombuffer(raw, "<i8").reshape(-1, 2)
+                where = np.arange(n) + (place >> 20)
+                arrays = [halves[:, 0], halves[:, 1], np.full(n, doc), np.full(n, text_hash), where]
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()) for a in arrays], names=["high", "low", "doc", "hash", "first"])
+
+    return run
+
+
+def _spread(stretches: DataFrame, length: int) -> DataFrame:
+    """Rows (doc, hash, run): strings of stretches that also begin earlier, compared by 128 bits of hash."""
+    strings = over_batches(stretches, _strings(length), "high long, low long, doc long, hash long, first long")
+    place = F.struct("doc", "hash", "first")
+    earliest = strings.groupBy("high", "low").agg(F.min(place).alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    copies = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))
+    earliest = earliest.select("high", "low", "least", copies.alias("copy"))
+    strings = strings.withColumn("copy", F.pmod(F.xxhash64("doc", "hash", "first"), F.lit(SPREAD)).cast("int"))
+    later = strings.join(earliest, ["high", "low", "copy"]).filter(place != F.col("least"))
+    return later.select("doc", "hash", F.shiftleft("first", 20).bitwiseOR(F.lit(1).cast("long")).alias("run"))
+
+
 def _remover(length: int, text: str, names: list[str], runs_name: str):
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -357,13 +390,23 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", le
     sent = over_batches(plain, _sender(length, buckets), "bucket int, settled boolean, value binary")
     sent = sent.repartition("bucket").sortWithinPartitions("bucket")
     found = cut_lineage(over_batches(sent, _sorter, "doc long, hash long, run long, anchor long"))
-    wanted = found.filter("anchor is not null").groupBy(F.col("doc").alias(doc), F.col("hash").alias(text_hash))
-    wanted = wanted.agg(F.collect_list(F.struct("anchor", "run")).alias(asked_name))
-    # All columns of both joins are the same, so the texts are shuffled once for the two.
-    read = rows.join(wanted, [doc, text_hash])
-    stretches = over_batches(read, _reader(length, doc, text_hash, text, asked_name), "anchor long, doc long, hash long, run long, covered binary")
+    asked = found.filter("anchor is not null")
+    covered = F.sum(F.col("run").bitwiseAND(F.lit(0xFFFFF)) + length - 1)
+    hot = cut_lineage(asked.groupBy("anchor").agg(covered.alias("size")).filter(F.col("size") > HOT).select("anchor"))
+    n_hot = hot.count()
+
+    def stretches_of(asked: DataFrame) -> DataFrame:
+        wanted = asked.groupBy(F.col("doc").alias(doc), F.col("hash").alias(text_hash))
+        wanted = wanted.agg(F.collect_list(F.struct("anchor", "run")).alias(asked_name))
+        # All columns of the joins are the same, so the texts are shuffled once for all.
+        read = rows.join(wanted, [doc, text_hash])
+        return over_batches(read, _reader(length, doc, text_hash, text, asked_name), "anchor long, doc long, hash long, run long, covered binary")
+
+    stretches = stretches_of(asked.join(small(hot, n_hot), "anchor", "left_anti") if n_hot else asked)
     stretches = stretches.repartition("anchor").sortWithinPartitions("anchor", "doc", "hash", "run")
     more = over_batches(stretches, _comparer(length), "doc long, hash long, run long")
+    if n_hot:
+        more = more.union(_spread(stretches_of(asked.join(small(hot, n_hot), "anchor", "left_semi")), length))
     gone = found.filter("anchor is null").select("doc", "hash", "run").union(more)
     gone = gone.groupBy(F.col("doc").alias(doc), F.col("hash").alias(text_hash)).agg(F.collect_list("run").alias(runs_name))
     joined = rows.join(gone, [doc, text_hash], "left").select(*df.columns, runs_name)

@@ -130,3 +130,16 @@ def test_corpus(sp, sample):
     want = {r.doc_id: (len(w[0]), len(w[1]), hashlib.sha256(w[0]).hexdigest()) for r, w in zip(rows, brute([r.text for r in rows], 100), strict=True)}
     got = {r.doc_id: (r.n_bytes - r.n_removed, r.n_spans, r.kept_sha256) for r in op5_suffix_dedup(documents).collect()}
     assert got == want
+
+
+@pytest.mark.parametrize("hot", [0, 3000])
+def test_hot_anchors_are_spread(sp, monkeypatch, hot):
+    """A passage in many documents, each with another text around it, is not gathered in one task."""
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    passage = "".join(chr(97 + i * i % 26) + str(i) for i in range(40))
+    docs = corpus(5) + [f"{i * 7919 % 1000:05d}{passage}{i * 104729 % 1000:05d}" for i in range(300)]
+    found = remove_repeats(sp.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(5))
+    monkeypatch.setattr(suffix_dedup, "_spread", None)
+    assert {r.doc_id: (bytes(r.kept), [tuple(s) for s in r.removed]) for r in found.collect()} == dict(enumerate(brute(docs, 100)))
+    with pytest.raises(TypeError):
+        remove_repeats(sp.createDataFrame(list(enumerate(docs)), "doc_id long, text string"))
