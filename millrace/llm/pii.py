@@ -3,9 +3,9 @@
 Four patterns with checks give the base spans, which always stand. The tagger is trained on a bounded
 sample of windows around digits and at signs, labelled by the base spans, and on variants of
 them that the patterns do not match (no plus sign, a spelt-out at sign). Texts are read through
-overlapping windows; the scores of all windows over a stretch are joined before one path is
-decoded for the whole stretch, so that no decision depends on where a window begins. A window without a digit or
-an at sign is outside of everything: every kind contains one.
+overlapping windows, all of them; the scores of all windows are joined before one path is decoded for the whole
+text, so that no decision depends on where a window begins. Characters that no best path can mark are found
+beforehand, and only the path between them is searched.
 """
 
 from __future__ import annotations
@@ -26,9 +26,12 @@ KINDS = ("email", "ip", "card", "phone")
 WIDTH, STRIDE = 96, 48
 #: Windows the tagger is trained on at most, and how.
 SAMPLE, ROUNDS, BATCH, RATE, HIDDEN, SEED = 1200, 10, 64, 0.02, 12, 11
-#: Windows scored at once, and stretch positions decoded at once.
+#: Windows scored at once, and positions decoded at once.
 SCORED, DECODED = 1024, 1 << 17
 
+#: How far a mark lies below outside where a path is known to be outside.
+NEVER_MARKED = 100
+
 # The base patterns. Possessive repeats and anchors find what the plain patterns
 # find, in time proportional to the text.
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
@@ -113,17 +116,12 @@ def codes_of(text: str) -> np.ndarray:
     return np.where(points < 128, ASCII[np.minimum(points, 127)], np.uint8(FOREIGN))
 
 
-def stretches(text: str, codes: np.ndarray) -> list[tuple[int, int]]:
-    """Runs of windows (first, last + 1) with a digit or at sign; window k covers WIDTH characters from k STRIDE."""
-    at = np.flatnonzero((codes == ASCII[ord("0")]) | (codes == ASCII[ord("@")]))
-    if not len(at):
-        return []
-    over = WIDTH // STRIDE
-    windows = np.unique(np.concatenate([np.maximum(at // STRIDE - k, 0) for k in range(over)]))
-    breaks = np.flatnonzero(np.diff(windows) > 1)
-    first = windows[np.concatenate([[0], breaks + 1])]
-    last = windows[np.concatenate([breaks, [len(windows) - 1]])]
-    return [(int(a), int(b) + 1) for a, b in zip(first, last, strict=True)]
+def windows_of(codes: np.ndarray) -> np.ndarray:
+    """All windows of a text (n, WIDTH), padded at its end; window k covers WIDTH characters from k STRIDE."""
+    n = -(-len(codes) // STRIDE)
+    blocks = np.full((n + 1, STRIDE), PADDING, np.uint8)
+    blocks.reshape(-1)[: len(codes)] = codes
+    return np.concatenate([blocks[:-1], blocks[1:]], axis=1)
 
 
 def _window(codes: np.ndarray, k: int) -> np.ndarray:
@@ -177,13 +175,12 @@ def _variants(text: str, spans: list[tuple[int, int, int]], rng: np.random.Gener
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every second window of the stretches, which together cover them, as ``part``."""
+    """Every second window with a digit or an at sign as ``part``."""
     for batch in batches:
         parts = []
         for text in text_of(batch).to_pylist():
             if TRIGGER.search(text):
-                for a, b in stretches(text, codes_of(text)):
-                    parts += [text[k * STRIDE : k * STRIDE + WIDTH] for k in range(a, b, WIDTH // STRIDE)]
+                parts += [p for k in range(0, len(text), WIDTH) if TRIGGER.search(p := text[k : k + WIDTH])]
         yield pa.RecordBatch.from_arrays([pa.array(parts, pa.string())], names=["part"])
 
 
@@ -209,57 +206,101 @@ def fit(df: DataFrame, text: str = "text", sample: int = SAMPLE) -> Tagger | Non
 
 
 def _joined(scores: np.ndarray, length: int) -> np.ndarray:
-    """The scores of a stretch from those of its windows, each weighted by the distance from its window's edge."""
+    """The scores of a text from those of its windows, each weighted by the distance from its window's edge."""
     weights = np.minimum(np.arange(1, WIDTH + 1), np.arange(WIDTH, 0, -1)).astype(np.float32)
-    total = np.zeros(((len(scores) - 1) * STRIDE + WIDTH, scores.shape[2]), np.float32)
-    weight = np.zeros(len(total), np.float32)
-    for k, each in enumerate(scores):
-        total[k * STRIDE : k * STRIDE + WIDTH] += each * weights[:, None]
-        weight[k * STRIDE : k * STRIDE + WIDTH] += weights
-    return (total / weight[:, None])[:length]
+    total = np.zeros((len(scores) + 1, STRIDE, scores.shape[2]), np.float32)
+    weight = np.zeros((len(scores) + 1, STRIDE, 1), np.float32)
+    total[:-1] += scores[:, :STRIDE] * weights[:STRIDE, None]
+    weight[:-1] += weights[:STRIDE, None]
+    total[1:] += scores[:, STRIDE:] * weights[STRIDE:, None]
+    weight[1:] += weights[STRIDE:, None]
+    return (total / weight).reshape(-1, scores.shape[2])[:length]
+
+
+def _slack(tagger: Tagger) -> float:
+    """What transitions and start can gain a path, at most, by marking one character instead of leaving it outside."""
+    trans = np.where(tagger.mask < 0, np.nan, tagger.p["trans"])
+    start = tagger.p["start"]
+    # An inside tag behind the character becomes the beginning of its kind.
+    begun = np.array([t - (t > 0 and t % 2 == 0) for t in range(len(start))])
+    here = max(float(np.nanmax(trans[:, 1:] - trans[:, :1])), float((start[1:] - start[0]).max()))
+    after = float(np.nanmax(trans[1:] - trans[0, begun]))
+    behind = float(np.nanmax(trans - trans[begun]))
+    return here + max(after, 0.0) + max(behind, 0.0)
+
+
+def _free(tagger: Tagger, slack: float, scores: np.ndarray) -> np.ndarray:
+    """Which characters a best path may mark; it leaves all others outside, whatever stands around them."""
+    behind = np.zeros(len(scores), np.float32)
+    behind[:-1] = np.maximum(scores[1:, 2::2] - scores[1:, 1::2], 0).max(axis=1)
+    return scores[:, 0] - scores[:, 1:].max(axis=1) <= slack + behind + 1e-3
 
 
 def _tagged(tagger: Tagger, texts: list[str]) -> list[list[tuple[int, int, int]]]:
     """What the tagger marks in each text."""
     found: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-    places, windows = [], []
-    for i, text in enumerate(texts):
-        if not TRIGGER.search(text):
-            continue
-        codes = codes_of(text)
-        for a, b in stretches(text, codes):
-            places.append((i, a, b, min(len(codes) - a * STRIDE, (b - a - 1) * STRIDE + WIDTH)))
-            windows += [_window(codes, k) for k in range(a, b)]
-        if len(windows) >= SCORED:
-            _decode(tagger, places, windows, found)
-            places, windows = [], []
-    _decode(tagger, places, windows, found)
+    slack = _slack(tagger)
+    pieces, places, windows, held = [], [], [], 0
+    for i, text in enumerate([*texts, None]):
+        if text:
+            codes = codes_of(text)
+            places.append((i, len(codes)))
+            windows.append(windows_of(codes))
+            held += len(windows[-1])
+        if windows and (text is None or held >= SCORED):
+            for j, scores in _scored(tagger, places, windows):
+                pieces += _pieces(tagger, slack, j, scores)
+            places, windows, held = [], [], 0
+            if sum(len(p[2]) for p in pieces) >= DECODED:
+                _decode(tagger, pieces, found)
+                pieces = []
+    _decode(tagger, pieces, found)
     return found
 
 
-def _decode(tagger: Tagger, places, windows, found) -> None:
-    if not windows:
-        return
-    scores = np.concatenate([tagger.emissions(np.stack(windows[i : i + SCORED])) for i in range(0, len(windows), SCORED)])
-    joined, at = [], 0
-    for _, a, b, length in places:
-        joined.append(_joined(scores[at : at + b - a], length))
-        at += b - a
-    order = sorted(range(len(places)), key=lambda j: places[j][3])
-    group: list[int] = []
-    for j in [*order, None]:
-        if group and (j is None or places[j][3] * (len(group) + 1) > DECODED or places[j][3] > 2 * places[group[0]][3]):
-            longest = max(places[g][3] for g in group)
-            padded = np.full((len(group), longest, scores.shape[2]), -100, np.float32)
+def _scored(tagger: Tagger, places, windows) -> Iterator[tuple[int, np.ndarray]]:
+    """The texts of some windows with their joined scores."""
+    each = np.concatenate(windows)
+    scores = np.concatenate([tagger.emissions(each[i : i + SCORED]) for i in range(0, len(each), SCORED)])
+    at = 0
+    for (i, length), own in zip(places, windows, strict=True):
+        yield i, _joined(scores[at : at + len(own)], length)
+        at += len(own)
+
+
+def _pieces(tagger: Tagger, slack: float, i: int, scores: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
+    """(text, first, scores) of the parts whose path is open, each with the outside characters at its ends."""
+    free = np.concatenate([[False], _free(tagger, slack, scores), [False]])
+    edges = np.flatnonzero(free[1:] != free[:-1])
+    out = []
+    for a, b in edges.reshape(-1, 2).tolist():
+        low, high = max(a - 1, 0), min(b + 1, len(scores))
+        part = scores[low:high].copy()
+        for k, edge in ((0, low < a), (-1, high > b)):
+            if edge:
+                part[k] = -NEVER_MARKED
+                part[k, 0] = 0
+        out.append((i, low, part))
+    return out
+
+
+def _decode(tagger: Tagger, pieces, found) -> None:
+    order = sorted(pieces, key=lambda p: len(p[2]))
+    group: list = []
+    for piece in [*order, None]:
+        if group and (piece is None or len(piece[2]) * (len(group) + 1) > DECODED or len(piece[2]) > 2 * len(group[0][2])):
+            longest = max(len(p[2]) for p in group)
+            padded = np.full((len(group), longest, group[0][2].shape[1]), -NEVER_MARKED, np.float32)
             padded[:, :, 0] = 0
-            for row, g in enumerate(group):
-                padded[row, : places[g][3]] = joined[g]
-            for g, path in zip(group, tagger.best_path(padded), strict=True):
-                i, a, _, length = places[g]
-                found[i] += _spans(path[:length], a * STRIDE)
+            for row, (_, _, part) in enumerate(group):
+                padded[row, : len(part)] = part
+            for (i, low, part), path in zip(group, tagger.best_path(padded), strict=True):
+                found[i] += _spans(path[: len(part)], low)
             group = []
-        if j is not None:
-            group.append(j)
+        if piece is not None:
+            group.append(piece)
+    for spans in found:
+        spans.sort()
 
 
 def _spans(path: np.ndarray, start: int) -> Iterator[tuple[int, int, int]]:

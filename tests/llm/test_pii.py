@@ -131,3 +131,20 @@ def test_edges(sp, docs, no_docs):
     assert all(r.text is None or r.text.endswith(" [EMAIL]") for r in clean) and sum(r.text is None for r in clean) == 1
     found = pii.find_pii(some, None).columns
     assert found[-2:] == ["base", "spans_"]
+
+
+def test_whole_texts_are_scored():
+    """Neighbours do not decide whether a window is read, and the path is that of all windows in one."""
+    model = Tagger(pii.SYMBOLS, 9, 4, bio_transitions(4), 5).narrowed()
+    model.p["out_bias"][1] = 1
+    rng = np.random.default_rng(6)
+    texts = ["", "a", "x" * 48, *("".join(rng.choice(list("abt @.1 do"), n)) for n in (95, 96, 97, 700)), "plain words at home dot org " * 9]
+    found = pii._tagged(model, texts)
+    for text, spans in zip(texts, found, strict=True):
+        if not text:
+            continue
+        codes = pii.codes_of(text)
+        scores = model.emissions(np.stack([pii._window(codes, k) for k in range(-(-len(codes) // pii.STRIDE))]))
+        path = model.best_path(pii._joined(scores, len(codes))[None])[0]
+        assert spans == list(pii._spans(path, 0))
+    assert found[-1]
