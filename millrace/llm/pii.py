@@ -1,7 +1,7 @@
 """Personal data: fixed patterns, and a character-level BiLSTM-CRF that adds what they miss.
 
 Four patterns with checks give the base spans, which always stand. The tagger is trained on a bounded
-sample of windows around digits and at signs, labelled by the base spans, and on variants of
+sample of windows of each kind and of none, labelled by the base spans, and on variants of
 them that the patterns do not match (no plus sign, a spelt-out at sign). Texts are read through
 overlapping windows, all of them; the scores of all windows are joined before one path is decoded for the whole
 text, so that no decision depends on where a window begins. Characters that no best path can mark are found
@@ -12,14 +12,17 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import zip_longest
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.batches import appended, fresh, over_batches, text_of, with_columns
 from millrace.llm.tagger import Tagger, bio_transitions
+from millrace.session import cut_lineage
 
 KINDS = ("email", "ip", "card", "phone")
 #: Characters per window, and between the beginnings of two.
@@ -174,31 +177,71 @@ def _variants(text: str, spans: list[tuple[int, int, int]], rng: np.random.Gener
     return "".join(out), moved
 
 
-def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every second window with a digit or an at sign as ``part``."""
-    for batch in batches:
-        parts = []
-        for text in text_of(batch).to_pylist():
-            if TRIGGER.search(text):
-                parts += [p for k in range(0, len(text), WIDTH) if TRIGGER.search(p := text[k : k + WIDTH])]
-        yield pa.RecordBatch.from_arrays([pa.array(parts, pa.string())], names=["part"])
+def _sampled(sample: int):
+    """Of each class the ``sample`` windows of least hash in a partition, (class, order, part, spans).
+
+    The class is a kind the window holds a span of, or beyond them whether it has a digit or an at sign at all. Windows are
+    labelled by the spans of the whole text, so that one cut by a window's border is labelled too.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least: list[dict] = [{} for _ in range(len(KINDS) + 2)]
+
+        def narrowed(k: int) -> None:
+            least[k] = dict(sorted(least[k].items())[:sample])
+
+        for batch in batches:
+            for text in text_of(batch).to_pylist():
+                spans = base_spans(text)[0]
+                for at in range(0, len(text), STRIDE):
+                    part = text[at : at + WIDTH]
+                    own = [(a - at, b - at, k) for a, b, k in spans if a < at + WIDTH and b > at] if spans else []
+                    order = xxhash.xxh64_intdigest(part.encode("utf-8", "surrogatepass"), SEED) >> 1
+                    for k in {k for _, _, k in own} or {len(KINDS) + (TRIGGER.search(part) is None)}:
+                        least[k][(order, part, str(own))] = own
+                        if len(least[k]) > 4 * sample:
+                            narrowed(k)
+        rows = []
+        for k in range(len(least)):
+            narrowed(k)
+            rows += [(k, order, part, [list(x) for x in own]) for (order, part, _), own in least[k].items()]
+        kinds = (pa.int32(), pa.int64(), pa.string(), pa.list_(pa.list_(pa.int32())))
+        if rows:
+            arrays = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["class", "o", "part", "spans"])
+
+    return run
 
 
 def fit(df: DataFrame, text: str = "text", sample: int = SAMPLE) -> Tagger | None:
-    """A tagger trained on at most ``sample`` different windows of the texts, in hash order; None without any window.
+    """A tagger trained on at most ``sample`` different windows of the texts, in hash order; None without any base span.
 
-    Windows with a base span come first; a quarter of the sample is kept for windows without one.
+    Each kind has an equal share of three quarters of the sample, which others take up where it has fewer
+    windows; a quarter is kept for windows without a base span, half of it for those with a digit or an at sign.
     """
-    parts = over_batches(df.select(F.col(text).alias("text")), _sampled, "part string").distinct()
-    order = F.xxhash64(F.lit(SEED), "part")
-    rows = parts.select("part", order.alias("o")).orderBy("o", "part").limit(4 * sample).collect()
-    labelled = [(r.part, base_spans(r.part)[0]) for r in rows]
-    some = [x for x in labelled if x[1]][: sample - sample // 4]
-    none = [x for x in labelled if not x[1]][: sample // 4]
+    parts = cut_lineage(over_batches(df.select(F.col(text).alias("text")), _sampled(sample), "class int, o long, part string, spans array<array<int>>"))
+    parts = parts.distinct()
+    wanted = sample - sample // 4
+    some, spare, none = {}, [], []
+    for k in range(len(KINDS) + 2):
+        rows = parts.filter(F.col("class") == k).orderBy("o", "part", "spans").limit(sample).collect()
+        cases = [(r.part, [tuple(x) for x in r.spans]) for r in rows]
+        if k < len(KINDS):
+            share = wanted // len(KINDS)
+            some.update({(t, str(x)): (t, x) for t, x in cases[:share]})
+            spare.append(cases[share:])
+        else:
+            none += cases[: sample // 8]
+    for cases in zip_longest(*spare):
+        for t, x in filter(None, cases):
+            if len(some) < wanted:
+                some.setdefault((t, str(x)), (t, x))
+    some = list(some.values())
     if not some:
         return None
     rng = np.random.default_rng(SEED)
-    cases = some + none + [_variants(*x, rng) for x in some[::3]]
+    whole = [(t, x) for t, x in some if all(0 <= a and b <= len(t) for a, b, _ in x)]
+    cases = some + none + [_variants(*x, rng) for x in whole[::3]]
     codes = np.stack([_window(codes_of(t), 0) for t, _ in cases])
     tags = np.stack([_tags(spans, 0, WIDTH) for _, spans in cases])
     tagger = Tagger(SYMBOLS, 2 * len(KINDS) + 1, HIDDEN, bio_transitions(len(KINDS)), SEED)

@@ -148,3 +148,10 @@ def test_whole_texts_are_scored():
         path = model.best_path(pii._joined(scores, len(codes))[None])[0]
         assert spans == list(pii._spans(path, 0))
     assert found[-1]
+
+
+def test_rare_spans_train_the_tagger(sp):
+    """One labelled window among thousands with digits is enough, also one across a window's border."""
+    rows = [(i, f"on day {i} it cost {i * 7} in all") for i in range(9000)] + [(9000, "w" * 90 + " jo@mail.example.org")]
+    docs = sp.createDataFrame(rows, "doc_id long, text string")
+    assert fit(docs, sample=200) is not None and fit(docs.filter("doc_id < 9000"), sample=200) is None
