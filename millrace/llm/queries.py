@@ -113,3 +113,25 @@ def op5(spark, folder):
     from millrace.llm.suffix_dedup import op5_suffix_dedup
 
     return op5_suffix_dedup(table(spark, folder, "documents"))
+
+
+@query(
+    "op11_fill_middle",
+    """WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+      regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units FROM documents),
+    d AS (SELECT *, len(units) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(units) + 1) AS x,
+      CAST('0x' || h[9:16] AS BIGINT) % (len(units) + 1) AS y, text = '' OR contains(text, '<P>') OR contains(text, '<S>')
+      OR contains(text, '<M>') OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 90 AS plain,
+      CAST('0x' || h[25:32] AS BIGINT) % 100 < 20 AS suffix_first FROM t),
+    c AS (SELECT *, array_to_string(units[1:least(x, y)], '') AS p, array_to_string(units[least(x, y) + 1:greatest(x, y)], '') AS m,
+      array_to_string(units[greatest(x, y) + 1:n], '') AS s FROM d)
+    SELECT doc_id, n, CASE WHEN plain THEN 'plain' WHEN suffix_first THEN 'spm' ELSE 'psm' END AS form,
+      CASE WHEN NOT plain THEN length(p) END AS prefix_chars, CASE WHEN NOT plain THEN length(m) END AS middle_chars,
+      sha256(CASE WHEN plain THEN text WHEN suffix_first THEN '<S>' || s || '<P>' || p || '<M>' || m
+        ELSE '<P>' || p || '<S>' || s || '<M>' || m END) AS output_sha256,
+      sha256(text) AS restored_sha256 FROM c""",
+)
+def op11(spark, folder):
+    from millrace.llm.fill_middle import op11_fill_middle
+
+    return op11_fill_middle(table(spark, folder, "documents"))
