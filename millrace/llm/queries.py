@@ -135,3 +135,10 @@ def op11(spark, folder):
     from millrace.llm.fill_middle import op11_fill_middle
 
     return op11_fill_middle(table(spark, folder, "documents"))
+
+
+@query("op12_whitening")
+def op12(spark, folder):
+    from millrace.llm.whitening import op12_whitening
+
+    return op12_whitening(table(spark, folder, "embeddings"))
