@@ -26,6 +26,9 @@ from millrace.session import cut_lineage
 SCALE = 256
 #: Components by default.
 COMPONENTS = 4
+#: Tasks the partitions' sums of one dimension meet in before they meet in one.
+MEETING = 32
+#: Steps that are taken for a long.
 WIDEST = float(1 << 62)
 
 
@@ -145,6 +148,9 @@ def _covariance(fit: DataFrame, n: int, mean: np.ndarray, matrix: np.ndarray | N
     size = len(mean) if matrix is None else matrix.shape[1]
     shared = fit.sparkSession.sparkContext.broadcast((mean, matrix))
     lines = over_batches(fit, _products(shared, len(mean)), "i int, row array<double>")
+    # First within some of the partitions, so that no task adds up the lines of all.
+    some = lines.withColumn("p", F.pmod(F.spark_partition_id(), F.lit(MEETING))).repartition("i", "p").select("i", "row")
+    lines = over_batches(some, _added, "i int, row array<double>")
     rows = over_batches(lines.repartition("i"), _added, "i int, row array<double>").collect()  # one line per dimension
     total = np.zeros((size, size))
     for r in rows:
