@@ -142,3 +142,10 @@ def op12(spark, folder):
     from millrace.llm.whitening import op12_whitening
 
     return op12_whitening(table(spark, folder, "embeddings"))
+
+
+@query("op13_fingerprints")
+def op13(spark, folder):
+    from millrace.llm.fingerprints import op13_fingerprints
+
+    return op13_fingerprints(table(spark, folder, "documents"))
