@@ -3,9 +3,10 @@
 Four patterns with checks give the base spans, which always stand. The tagger is trained on a bounded
 sample of windows of each kind and of none, labelled by the base spans, and on variants of
 them that the patterns do not match (no plus sign, a spelt-out at sign). Texts are read through
-overlapping windows, all of them; the scores of all windows are joined before one path is decoded for the whole
-text, so that no decision depends on where a window begins. Characters that no best path can mark are found
-beforehand, and only the path between them is searched.
+overlapping windows, all of them; every character has its scores from the window it lies deepest in, and one path is decoded
+for the whole text, so that no decision depends on how a batch was cut. A stretch that the best path marks must gain more by its
+scores than its transitions cost. Where no stretch can, which is seen from sums over the text, the path stays
+outside; only the path between such characters is searched.
 """
 
 from __future__ import annotations
@@ -25,10 +26,13 @@ from millrace.llm.tagger import Tagger, bio_transitions
 from millrace.session import cut_lineage
 
 KINDS = ("email", "ip", "card", "phone")
-#: Characters per window, and between the beginnings of two.
-WIDTH, STRIDE = 96, 48
+#: Characters of the parts that the tagger is trained on, and between the beginnings of two.
+PART, STEP = 96, 48
+#: Characters that a window decides on, and that it reads before and behind them besides.
+STRIDE, MARGIN = 192, 32
+WIDTH = STRIDE + 2 * MARGIN
 #: Windows the tagger is trained on at most, and how.
-SAMPLE, ROUNDS, BATCH, RATE, HIDDEN, SEED = 1200, 10, 64, 0.02, 12, 11
+SAMPLE, ROUNDS, BATCH, RATE, HIDDEN, SEED = 1200, 20, 64, 0.03, 12, 11
 #: Windows scored at once, and positions decoded at once.
 SCORED, DECODED = 1024, 1 << 17
 
@@ -43,6 +47,9 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TRIGGER = re.compile(r"[0-9@]")
+CARD_DIGITS = 14, 19
+#: An address in any notation: words, an at sign or word, and two labels or more, with dots or the word.
+ADDRESS = re.compile(r"[\w%+-]++(?:(?:\.|\s+dot\s+)[\w%+-]++)*\s*(?:@|[(\[]at[)\]]|\bat\b)\s*[\w-]++(?:(?:\.|\s+dot\s+)[\w-]++)+")
 
 
 def luhn(digits: str) -> bool:
@@ -63,7 +70,7 @@ def _is_ip(text: str) -> bool:
 
 def _is_card(text: str) -> bool:
     digits = _digits(text)
-    return 14 <= len(digits) <= 19 and luhn(digits)
+    return CARD_DIGITS[0] <= len(digits) <= CARD_DIGITS[1] and luhn(digits)
 
 
 def _is_phone(text: str) -> bool:
@@ -81,8 +88,11 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", free)
 
 
-def base_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]]]:
-    """Spans (start, end, kind) that match and pass, by start and kind; and where a match failed its check."""
+def base_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """Spans (start, end, kind) that match and pass, by start and kind; and those whose match failed its check.
+
+    Numbers with fewer digits than a card are no failed cards: the card pattern matches every number.
+    """
     found, failed = [], []
     if not TRIGGER.search(text):
         return found, failed
@@ -93,8 +103,8 @@ def base_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, i
         for m in pattern.finditer(text):
             if passes(m[0]):
                 found.append((m.start(), m.end(), kind))
-            else:
-                failed.append(m.span())
+            elif kind != 2 or len(_digits(m[0])) >= CARD_DIGITS[0]:
+                failed.append((*m.span(), kind))
     return sorted(found, key=lambda s: (s[0], s[2])), failed
 
 
@@ -121,16 +131,15 @@ def codes_of(text: str) -> np.ndarray:
 
 def windows_of(codes: np.ndarray) -> np.ndarray:
     """All windows of a text (n, WIDTH), padded at its end; window k covers WIDTH characters from k STRIDE."""
-    n = -(-len(codes) // STRIDE)
-    blocks = np.full((n + 1, STRIDE), PADDING, np.uint8)
-    blocks.reshape(-1)[: len(codes)] = codes
-    return np.concatenate([blocks[:-1], blocks[1:]], axis=1)
+    n = max(1, -(-(len(codes) - MARGIN) // STRIDE))
+    padded = np.full(n * STRIDE + 2 * MARGIN, PADDING, np.uint8)
+    padded[: len(codes)] = codes
+    return np.lib.stride_tricks.sliding_window_view(padded, WIDTH)[::STRIDE]
 
 
-def _window(codes: np.ndarray, k: int) -> np.ndarray:
-    out = np.full(WIDTH, PADDING, np.uint8)
-    part = codes[k * STRIDE : k * STRIDE + WIDTH]
-    out[: len(part)] = part
+def _part(codes: np.ndarray) -> np.ndarray:
+    out = np.full(PART, PADDING, np.uint8)
+    out[: len(codes)] = codes[:PART]
     return out
 
 
@@ -146,6 +155,27 @@ def _tags(spans: list[tuple[int, int, int]], start: int, length: int) -> np.ndar
     return tags
 
 
+def _grouped(digits: str, least: int, mark: str, rng: np.random.Generator) -> str:
+    """Digits in groups of four, or of ``least`` to four."""
+    out = []
+    while digits:
+        size = int(rng.integers(least, 5))
+        out.append(digits[:size])
+        digits = digits[size:]
+    return mark.join(out)
+
+
+def _other_address(rng: np.random.Generator) -> str:
+    """An address of other words, so that the tagger learns the form and not the words."""
+
+    def word(low: int, high: int) -> str:
+        return "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), int(rng.integers(low, high))))
+
+    name = word(2, 10) + str(rng.choice(["", "", ".", "_", "-"])) + str(rng.choice(["", word(2, 8), str(rng.integers(1, 1000))]))
+    hosts = [word(3, 10) + str(rng.choice(["", "", str(rng.integers(1, 10))])) for _ in range(int(rng.integers(1, 3)))]
+    return ".".join([f"{name.strip('._-')}@{hosts[0]}", *hosts[1:], str(rng.choice(["com", "org", "net", word(2, 4)]))])
+
+
 def _variants(text: str, spans: list[tuple[int, int, int]], rng: np.random.Generator) -> tuple[str, list[tuple[int, int, int]]]:
     """The text with its spans written as the patterns do not match them."""
     out, moved, done = [], [], 0
@@ -157,16 +187,19 @@ def _variants(text: str, spans: list[tuple[int, int, int]], rng: np.random.Gener
         size += a - done
         value = text[a:b]
         if kind == 0:
+            if rng.random() < 0.5:
+                value = _other_address(rng)
             value = value.replace("@", str(rng.choice([" at ", "(at)", " (at) ", " @ "])))
             if rng.random() < 0.5:
                 value = value.replace(".", " dot ")
         elif kind == 3:
             value = value.removeprefix("+")
             if rng.random() < 0.5:
+                value = _grouped(_digits(value), 3, str(rng.choice([" ", "-", "/"])), rng)
+            elif rng.random() < 0.5:
                 value = value.replace(" ", "/")
         elif kind == 2:
-            digits, mark = _digits(value), str(rng.choice([".", "/", "_", "  "]))
-            value = mark.join(digits[i : i + 4] for i in range(0, len(digits), 4))
+            value = _grouped(_digits(value), 4, str(rng.choice([".", "/", "_", "  "])), rng)
         else:
             value = value.replace(".", str(rng.choice([" . ", ",", "[.]"])))
         out.append(value)
@@ -193,9 +226,9 @@ def _sampled(sample: int):
         for batch in batches:
             for text in text_of(batch).to_pylist():
                 spans = base_spans(text)[0]
-                for at in range(0, len(text), STRIDE):
-                    part = text[at : at + WIDTH]
-                    own = [(a - at, b - at, k) for a, b, k in spans if a < at + WIDTH and b > at] if spans else []
+                for at in range(0, len(text), STEP):
+                    part = text[at : at + PART]
+                    own = [(a - at, b - at, k) for a, b, k in spans if a < at + PART and b > at] if spans else []
                     order = xxhash.xxh64_intdigest(part.encode("utf-8", "surrogatepass"), SEED) >> 1
                     for k in {k for _, _, k in own} or {len(KINDS) + (TRIGGER.search(part) is None)}:
                         least[k][(order, part, str(own))] = own
@@ -241,90 +274,133 @@ def fit(df: DataFrame, text: str = "text", sample: int = SAMPLE) -> Tagger | Non
         return None
     rng = np.random.default_rng(SEED)
     whole = [(t, x) for t, x in some if all(0 <= a and b <= len(t) for a, b, _ in x)]
-    cases = some + none + [_variants(*x, rng) for x in whole[::3]]
-    codes = np.stack([_window(codes_of(t), 0) for t, _ in cases])
-    tags = np.stack([_tags(spans, 0, WIDTH) for _, spans in cases])
+    cases = some + none + [_variants(*x, rng) for x in whole]
+    codes = np.stack([_part(codes_of(t)) for t, _ in cases])
+    tags = np.stack([_tags(spans, 0, PART) for _, spans in cases])
     tagger = Tagger(SYMBOLS, 2 * len(KINDS) + 1, HIDDEN, bio_transitions(len(KINDS)), SEED)
     return tagger.train(codes, tags, ROUNDS, BATCH, RATE, SEED).narrowed()
 
 
-def _joined(scores: np.ndarray, length: int) -> np.ndarray:
-    """The scores of a text from those of its windows, each weighted by the distance from its window's edge."""
-    weights = np.minimum(np.arange(1, WIDTH + 1), np.arange(WIDTH, 0, -1)).astype(np.float32)
-    total = np.zeros((len(scores) + 1, STRIDE, scores.shape[2]), np.float32)
-    weight = np.zeros((len(scores) + 1, STRIDE, 1), np.float32)
-    total[:-1] += scores[:, :STRIDE] * weights[:STRIDE, None]
-    weight[:-1] += weights[:STRIDE, None]
-    total[1:] += scores[:, STRIDE:] * weights[STRIDE:, None]
-    weight[1:] += weights[STRIDE:, None]
-    return (total / weight).reshape(-1, scores.shape[2])[:length]
+def _gains(tagger: Tagger) -> tuple[float, float]:
+    """What a marked stretch gains by transitions over staying outside, at most: once, and for each character behind its first."""
+    trans = np.where(tagger.mask < 0, -np.inf, tagger.p["trans"].astype(np.float64))
+    start = tagger.p["start"].astype(np.float64)
+    begin, inside = np.arange(1, len(start), 2), np.arange(2, len(start), 2)
+    # Entered from any tag or at the start of the text, left for outside, another beginning, or at its end.
+    entered = max((trans[:, begin] - trans[:, :1]).max(), (start[1:] - start[0]).max())
+    left = max(0.0, (trans[1:, [0, *begin]] - trans[0, [0, *begin]]).max())
+    going_on = max(trans[begin, inside].max(), trans[inside, inside].max()) - trans[0, 0]
+    return float(entered + left), float(going_on)
+
+
+def _free(margins: np.ndarray, once: float, each: float) -> np.ndarray:
+    """Which characters a best path may mark, from the margins of their best tag over outside.
+
+    The gain of a stretch is the sum of its margins and transitions at most. A character is free if the best of all
+    stretches around it gains something; the best one ends at the highest sum to come and begins behind the lowest before.
+    """
+    sums = np.cumsum(margins, dtype=np.float64)
+    sums += each * np.arange(1, len(sums) + 1)
+    best = np.maximum.accumulate(sums[::-1])[::-1].copy()
+    sums[1:] = sums[:-1].copy()
+    sums[:1] = 0
+    best -= np.minimum(np.minimum.accumulate(sums), 0)
+    return best >= each - once - 1e-3
+
+
+class Scores:
+    """Scores of neighbouring windows: (rows, tags, windows), the rows of a window being its first STRIDE + MARGIN characters."""
 
+    def __init__(self, tagger: Tagger, windows: np.ndarray):
+        self.each = tagger.scores(windows.T, STRIDE + MARGIN)
 
-def _slack(tagger: Tagger) -> float:
-    """What transitions and start can gain a path, at most, by marking one character instead of leaving it outside."""
-    trans = np.where(tagger.mask < 0, np.nan, tagger.p["trans"])
-    start = tagger.p["start"]
-    # An inside tag behind the character becomes the beginning of its kind.
-    begun = np.array([t - (t > 0 and t % 2 == 0) for t in range(len(start))])
-    here = max(float(np.nanmax(trans[:, 1:] - trans[:, :1])), float((start[1:] - start[0]).max()))
-    after = float(np.nanmax(trans[1:] - trans[0, begun]))
-    behind = float(np.nanmax(trans - trans[begun]))
-    return here + max(after, 0.0) + max(behind, 0.0)
+    def margins(self) -> np.ndarray:
+        """The margin of the best tag over outside, (windows, rows)."""
+        return np.ascontiguousarray((self.each[:, 1:].max(axis=1) - self.each[:, 0]).T)
 
+    def of(self, first: int, low: int, high: int) -> np.ndarray:
+        """(characters, tags) from ``low`` to ``high`` of a text whose first window is ``first``."""
+        at = np.arange(low, high)
+        k = np.maximum((at - MARGIN) // STRIDE, 0)
+        return self.each[at - k * STRIDE, :, first + k]
 
-def _free(tagger: Tagger, slack: float, scores: np.ndarray) -> np.ndarray:
-    """Which characters a best path may mark; it leaves all others outside, whatever stands around them."""
-    behind = np.zeros(len(scores), np.float32)
-    behind[:-1] = np.maximum(scores[1:, 2::2] - scores[1:, 1::2], 0).max(axis=1)
-    return scores[:, 0] - scores[:, 1:].max(axis=1) <= slack + behind + 1e-3
+
+def _whole(margins: np.ndarray, length: int) -> np.ndarray:
+    """Margins of a text from those of its windows: each character's from the window that decides on it."""
+    return np.concatenate([margins[0, :MARGIN], margins[:, MARGIN:].reshape(-1)])[:length]
 
 
 def _tagged(tagger: Tagger, texts: list[str]) -> list[list[tuple[int, int, int]]]:
     """What the tagger marks in each text."""
     found: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-    slack = _slack(tagger)
-    pieces, places, windows, held = [], [], [], 0
-    for i, text in enumerate([*texts, None]):
-        if text:
-            codes = codes_of(text)
-            places.append((i, len(codes)))
-            windows.append(windows_of(codes))
-            held += len(windows[-1])
-        if windows and (text is None or held >= SCORED):
-            for j, scores in _scored(tagger, places, windows):
-                pieces += _pieces(tagger, slack, j, scores)
-            places, windows, held = [], [], 0
-            if sum(len(p[2]) for p in pieces) >= DECODED:
-                _decode(tagger, pieces, found)
-                pieces = []
+    once, each = _gains(tagger)
+    pieces: list[tuple[int, int, np.ndarray]] = []
+    group, held = [], 0
+    for i, text in enumerate(texts):
+        if not text:
+            continue
+        codes = codes_of(text)
+        windows = windows_of(codes)
+        if group and held + len(windows) > SCORED:
+            pieces += _scored(tagger, group, once, each)
+            group, held = [], 0
+        if len(windows) > SCORED:
+            pieces += _scored_long(tagger, i, windows, len(codes), once, each)
+        else:
+            group.append((i, len(codes), windows))
+            held += len(windows)
+        if sum(len(p[2]) for p in pieces) >= DECODED:
+            _decode(tagger, pieces, found)
+            pieces = []
+    if group:
+        pieces += _scored(tagger, group, once, each)
     _decode(tagger, pieces, found)
     return found
 
 
-def _scored(tagger: Tagger, places, windows) -> Iterator[tuple[int, np.ndarray]]:
-    """The texts of some windows with their joined scores."""
-    each = np.concatenate(windows)
-    scores = np.concatenate([tagger.emissions(each[i : i + SCORED]) for i in range(0, len(each), SCORED)])
+def _scored(tagger: Tagger, group, once: float, each: float) -> Iterator[tuple[int, int, np.ndarray]]:
+    """The open pieces of some texts."""
+    scores = Scores(tagger, np.concatenate([w for _, _, w in group]))
+    margins = scores.margins()
     at = 0
-    for (i, length), own in zip(places, windows, strict=True):
-        yield i, _joined(scores[at : at + len(own)], length)
-        at += len(own)
+    for i, length, windows in group:
+        free = _free(_whole(margins[at : at + len(windows)], length), once, each)
+        yield from _pieces(i, free, lambda low, high, first=at: scores.of(first, low, high))
+        at += len(windows)
+
 
+def _scored_long(tagger: Tagger, i: int, windows: np.ndarray, length: int, once: float, each: float) -> Iterator[tuple[int, int, np.ndarray]]:
+    """The open pieces of a text too long for its scores to be held: its margins are, and open parts are scored again."""
+    margins = np.concatenate([Scores(tagger, windows[k : k + SCORED]).margins() for k in range(0, len(windows), SCORED)])
+    free = _free(_whole(margins, length), once, each)
+    del margins
 
-def _pieces(tagger: Tagger, slack: float, i: int, scores: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
+    def scores(low: int, high: int) -> np.ndarray:
+        out = []
+        while low < high:
+            first = max((low - MARGIN) // STRIDE, 0)
+            to = min(high, (first + SCORED) * STRIDE + MARGIN)
+            own = Scores(tagger, windows[first : first + SCORED][: -(-(to - first * STRIDE) // STRIDE)])
+            # Positions count from the first window read; past its margin they are decided alike.
+            out.append(own.of(0, low - first * STRIDE, to - first * STRIDE))
+            low = to
+        return np.concatenate(out)
+
+    yield from _pieces(i, free, scores)
+
+
+def _pieces(i: int, free: np.ndarray, scores) -> Iterator[tuple[int, int, np.ndarray]]:
     """(text, first, scores) of the parts whose path is open, each with the outside characters at its ends."""
-    free = np.concatenate([[False], _free(tagger, slack, scores), [False]])
-    edges = np.flatnonzero(free[1:] != free[:-1])
-    out = []
+    marks = np.concatenate([[False], free, [False]])
+    edges = np.flatnonzero(marks[1:] != marks[:-1])
     for a, b in edges.reshape(-1, 2).tolist():
-        low, high = max(a - 1, 0), min(b + 1, len(scores))
-        part = scores[low:high].copy()
+        low, high = max(a - 1, 0), min(b + 1, len(free))
+        part = scores(low, high)
         for k, edge in ((0, low < a), (-1, high > b)):
             if edge:
                 part[k] = -NEVER_MARKED
                 part[k, 0] = 0
-        out.append((i, low, part))
-    return out
+        yield i, low, part
 
 
 def _decode(tagger: Tagger, pieces, found) -> None:
@@ -357,34 +433,52 @@ def _spans(path: np.ndarray, start: int) -> Iterator[tuple[int, int, int]]:
         yield start + int(a), start + int(b) + 1, int(kind[a])
 
 
-def _plausible(value: str, kind: int) -> bool:
-    """The checks of a kind on what the tagger marks: notation is free, the value is not."""
-    digits = _digits(value)
+def _confirmed(text: str, a: int, b: int, kind: int) -> tuple[int, int] | None:
+    """What stands the checks of its kind in a marked span grown to whole words or numbers: notation is free, the value is not.
+
+    Of an address that is the part written as one, of the others the whole.
+    """
+    a, b = _whole_words(text, a, b, kind)
+    value = text[a:b]
     if kind == 0:
-        return bool(re.search(r"[^\W\d_].*(@|\bat\b).*[^\W\d_].*(\.|\bdot\b).*[^\W\d_]", value, re.S))
+        m = ADDRESS.search(value)
+        return (a + m.start(), a + m.end()) if m else None
     if kind == 1:
         parts = re.findall(r"[0-9]+", value)
-        return len(parts) == 4 and _is_ip(".".join(parts))
-    if kind == 2:
-        return _is_card(value)
-    return 10 <= len(digits) <= 15
+        fine = len(parts) == 4 and _is_ip(".".join(parts))
+    else:
+        fine = _is_card(value) if kind == 2 else _is_phone(value)
+    return (a, b) if fine else None
+
+
+def _whole_words(text: str, a: int, b: int, kind: int) -> tuple[int, int]:
+    """The span grown to whole numbers, or for an address to whole words."""
+    part = str.isalnum if kind == 0 else str.isdigit
+    while a > 0 and part(text[a]) and part(text[a - 1]):
+        a -= 1
+    while b < len(text) and part(text[b - 1]) and part(text[b]):
+        b += 1
+    return a, b
 
 
 def find(texts: list[str], tagger: Tagger | None) -> list[tuple[list, list]]:
     """For each text its base spans, and all spans: base ones and what the tagger adds beside them.
 
-    An addition touches no base span and no match that failed its check, and passes the checks of its kind.
+    An addition passes the checks of its kind (``_confirmed``), touches no base span and no other addition, and holds no
+    match of its own kind that failed its check.
     """
     out = []
     marked = _tagged(tagger, texts) if tagger is not None else [[] for _ in texts]
     for text, more in zip(texts, marked, strict=True):
         base, failed = base_spans(text)
-        taken = [(a, b) for a, b, _ in base] + failed
-        added = [
-            (a, b, kind)
-            for a, b, kind in more
-            if _plausible(text[a:b], kind) and not any(a < y and x < b for x, y in taken)
-        ] if more else []
+        taken = [(a, b) for a, b, _ in base]
+        added = []
+        for a, b, kind in more:
+            own = _confirmed(text, a, b, kind)
+            against = taken + [(x, y) for x, y, k in failed if k == kind]
+            if own and not any(own[0] < y and x < own[1] for x, y in against):
+                added.append((*own, kind))
+                taken.append(own)
         out.append((base, sorted(base + added, key=lambda s: (s[0], s[2]))))
     return out
 
@@ -411,7 +505,7 @@ def redacted(text: str, spans: list[tuple[int, int, int]]) -> str:
 def find_pii(df: DataFrame, tagger: Tagger | None, text: str = "text") -> DataFrame:
     """``df`` with ``base`` and ``spans``, arrays of (kind, start, end) in code points, for each whole text.
 
-    Null and empty texts have none. Repeated rows get equal spans, an empty table gives no rows,
+    Null and empty texts have none; a very long text is read in blocks of windows. Repeated rows get equal spans, an empty table gives no rows,
     taken column names make the new ones end in an underscore. Without a tagger all spans are base spans.
     """
     base_name, spans_name = fresh(df, "base", "spans")
@@ -432,7 +526,11 @@ def find_pii(df: DataFrame, tagger: Tagger | None, text: str = "text") -> DataFr
 
 
 def redact(df: DataFrame, tagger: Tagger | None, text: str = "text") -> DataFrame:
-    """``df`` with every span in ``text`` replaced by its kind in brackets; null texts stay null."""
+    """``df`` with every span in ``text`` replaced by its kind in brackets; null texts stay null, empty ones empty.
+
+    Whole texts are read, a very long one in blocks of windows. Of overlapping spans one mark of the first one's kind is left.
+    Repeated rows get equal texts, an empty table gives no rows, and other columns, whatever their names, stay as they are.
+    """
     shared = df.sparkSession.sparkContext.broadcast(tagger)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,6 +12,15 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
+def _softmax_loss(scores: np.ndarray, tags: np.ndarray) -> tuple[float, np.ndarray]:
+    """Negative log likelihood of the tags (length, n) by their own scores alone, and its gradient."""
+    shares = np.exp(scores - scores.max(axis=2, keepdims=True))
+    shares /= shares.sum(axis=2, keepdims=True)
+    picked = np.take_along_axis(shares, tags[:, :, None], axis=2)
+    np.put_along_axis(shares, tags[:, :, None], picked - 1, axis=2)
+    return -float(np.log(picked + 1e-300).sum()), shares
+
+
 def bio_transitions(kinds: int) -> np.ndarray:
     """0 where a tag may follow another, else ``NEVER``; tags are outside, then begin and inside of each kind."""
     allowed = np.zeros((2 * kinds + 1, 2 * kinds + 1))
@@ -44,7 +53,7 @@ class Tagger:
         self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
         return self
 
-    def _run(self, way: str, codes: np.ndarray, keep: bool):
+    def _run(self, way: str, codes: np.ndarray):
         """Hidden states (length, n, hidden) of one direction over codes (length, n), and what training needs."""
         h = self.hidden
         table = self.p[f"{way}_in"] + self.p[f"{way}_bias"]
@@ -64,25 +73,65 @@ class Tagger:
             bent = np.tanh(cell)
             state = o * bent
             states[t] = state
-            if keep:
-                trace.append((t, i, f, o, new, past, bent, before))
+            trace.append((t, i, f, o, new, past, bent, before))
         return states, trace
 
+    def _states(self, way: str, codes: np.ndarray) -> np.ndarray:
+        """Hidden states (length, hidden, n) of one direction over codes (length, n); windows lie side by side, so that
+        every step is a few operations on whole rows."""
+        h = self.hidden
+        dtype = self.p["out"].dtype
+        # A gate is half of a tanh of half its input, plus a half.
+        scale = np.concatenate([np.full(3 * h, 0.5), np.ones(h)]).astype(dtype)
+        table = np.ascontiguousarray(((self.p[f"{way}_in"] + self.p[f"{way}_bias"]) * scale).T)
+        rec = np.ascontiguousarray((self.p[f"{way}_rec"] * scale).T)
+        length, n = codes.shape
+        states = np.empty((length, h, n), dtype)
+        state, cell = np.zeros((h, n), dtype), np.zeros((h, n), dtype)
+        z, given, bent = np.empty((4 * h, n), dtype), np.empty((4 * h, n), dtype), np.empty((h, n), dtype)
+        gates, new = z[: 3 * h], z[3 * h :]
+        for t in range(length) if way == "f" else range(length - 1, -1, -1):
+            np.take(table, codes[t], axis=1, out=given, mode="clip")
+            np.matmul(rec, state, out=z)
+            z += given
+            np.tanh(z, out=z)
+            gates += 1
+            gates *= 0.5
+            cell *= z[h : 2 * h]
+            new *= z[:h]
+            cell += new
+            np.tanh(cell, out=bent)
+            state = np.multiply(z[2 * h : 3 * h], bent, out=states[t])
+        return states
+
+    def scores(self, codes: np.ndarray, rows: int) -> np.ndarray:
+        """Scores (rows, tags, n) of the first positions of windows of codes (length, n)."""
+        h = self.hidden
+        codes = np.ascontiguousarray(codes, np.intp)
+        out = np.matmul(np.ascontiguousarray(self.p["out"][:h].T), self._states("f", codes)[:rows])
+        out += np.matmul(np.ascontiguousarray(self.p["out"][h:].T), self._states("b", codes)[:rows])
+        out += self.p["out_bias"][:, None]
+        return out
+
     def emissions(self, codes: np.ndarray) -> np.ndarray:
         """Scores (n, length, tags) of windows of codes (n, length)."""
-        flipped = np.ascontiguousarray(codes.T)
-        both = np.concatenate([self._run("f", flipped, False)[0], self._run("b", flipped, False)[0]], axis=2)
-        return (both @ self.p["out"] + self.p["out_bias"]).transpose(1, 0, 2)
+        return self.scores(codes.T, codes.shape[1]).transpose(2, 0, 1)
 
     def gradients(self, codes: np.ndarray, tags: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Mean negative log likelihood per window and its gradients. ``codes``, ``tags``: (n, length)."""
+        """Mean loss per window and its gradients. ``codes``, ``tags``: (n, length).
+
+        The loss is the negative log likelihood of the path, and of every tag by its own scores. Without the second part the scores
+        of inside tags would mean nothing outside, where a path cannot reach them.
+        """
         codes, tags = np.ascontiguousarray(codes.T), np.ascontiguousarray(tags.T)
         length, n = codes.shape
-        forward, f_trace = self._run("f", codes, True)
-        backward, b_trace = self._run("b", codes, True)
+        forward, f_trace = self._run("f", codes)
+        backward, b_trace = self._run("b", codes)
         both = np.concatenate([forward, backward], axis=2)
         scores = both @ self.p["out"] + self.p["out_bias"]
         loss, d_scores, d_trans, d_start = self._crf(scores, tags)
+        alone, d_alone = _softmax_loss(scores, tags)
+        loss, d_scores = loss + alone, d_scores + d_alone
         g = {"trans": d_trans / n, "start": d_start / n}
         d_scores /= n
         g["out"] = np.einsum("lnh,lnt->ht", both, d_scores)
@@ -143,7 +192,8 @@ class Tagger:
         return float((total - gold).sum()), grad, d_trans, d_start
 
     def train(self, codes: np.ndarray, tags: np.ndarray, rounds: int, batch: int, rate: float, seed: int) -> Tagger:
-        """Adam over shuffled batches."""
+        """Adam over shuffled batches; the rate falls to nothing by the end."""
+        steps = rounds * -(-len(codes) // batch)
         rng = np.random.default_rng(seed)
         first = {k: np.zeros_like(v) for k, v in self.p.items()}
         second = {k: np.zeros_like(v) for k, v in self.p.items()}
@@ -159,7 +209,7 @@ class Tagger:
                     v = v * min(1.0, 5.0 / (size + 1e-12))
                     first[k] = 0.9 * first[k] + 0.1 * v
                     second[k] = 0.999 * second[k] + 0.001 * v * v
-                    self.p[k] -= rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
+                    self.p[k] -= rate * (1 - (step - 1) / steps) * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
         return self
 
     def best_path(self, scores: np.ndarray) -> np.ndarray:
