@@ -50,6 +50,8 @@ TRIGGER = re.compile(r"[0-9@]")
 CARD_DIGITS = 14, 19
 #: An address in any notation: words, an at sign or word, and two labels or more, with dots or the word.
 ADDRESS = re.compile(r"[\w%+-]++(?:(?:\.|\s+dot\s+)[\w%+-]++)*\s*(?:@|[(\[]at[)\]]|\bat\b)\s*[\w-]++(?:(?:\.|\s+dot\s+)[\w-]++)+")
+#: What is not taken for free of personal data because the base patterns match nothing in it.
+DOUBTFUL = re.compile(ADDRESS.pattern + r"|(?:[0-9][^\w\n]{0,2}){9}[0-9]|[0-9]+(?:[^\w\n]{1,3}[0-9]+){3}")
 
 
 def luhn(digits: str) -> bool:
@@ -214,14 +216,19 @@ def _sampled(sample: int):
     """Of each class the ``sample`` windows of least hash in a partition, (class, order, part, spans).
 
     The class is a kind the window holds a span of, or beyond them whether it has a digit or an at sign at all. Windows are
-    labelled by the spans of the whole text, so that one cut by a window's border is labelled too.
+    labelled by the spans of the whole text, so that one cut by a window's border is labelled too. What may be personal data in
+    another notation, there or just beside, is no example of what is none.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least: list[dict] = [{} for _ in range(len(KINDS) + 2)]
+        # The largest order that can still be among the least.
+        limits = [1 << 63] * len(least)
 
         def narrowed(k: int) -> None:
             least[k] = dict(sorted(least[k].items())[:sample])
+            if len(least[k]) == sample:
+                limits[k] = max(least[k])[0]
 
         for batch in batches:
             for text in text_of(batch).to_pylist():
@@ -230,7 +237,11 @@ def _sampled(sample: int):
                     part = text[at : at + PART]
                     own = [(a - at, b - at, k) for a, b, k in spans if a < at + PART and b > at] if spans else []
                     order = xxhash.xxh64_intdigest(part.encode("utf-8", "surrogatepass"), SEED) >> 1
+                    if not own and (order > max(limits[len(KINDS) :]) or DOUBTFUL.search(text, max(0, at - STEP), at + PART + STEP)):
+                        continue
                     for k in {k for _, _, k in own} or {len(KINDS) + (TRIGGER.search(part) is None)}:
+                        if order > limits[k]:
+                            continue
                         least[k][(order, part, str(own))] = own
                         if len(least[k]) > 4 * sample:
                             narrowed(k)
