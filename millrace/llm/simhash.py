@@ -202,19 +202,27 @@ def simhash_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wo
     and rows are compared by each row's own text. An empty table gives no rows; other columns are not
     read. Fingerprints are computed once and written to the checkpoint folder with the ids.
     """
-    rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = rows.withColumn("text_hash", F.xxhash64("text"))
-    rows = cut_lineage(with_fingerprints(rows, ["doc_id", "text_hash"], "text", words, seed))
-    prints = rows.dropna(subset=["doc_id"]).groupBy("fingerprint").agg(F.min("doc_id").alias("node"))
-    # A document with several texts may be the smallest of several fingerprints, which this joins.
-    grouped = components(near_fingerprints(prints, radius))
-    named = prints.join(grouped, "node", "left")
-    named = named.select("fingerprint", F.coalesce("component", "node").alias("component_id"))
+    rows, prints = _labelled(df, doc_id, text, words, radius, seed)
+    named = prints.join(prints.groupBy("label").agg(F.min("least").alias("component_id")), "label").select("fingerprint", "component_id")
     named = rows.join(named, "fingerprint", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.col("component_id"))
     return named.select("doc_id", "text_hash", "fingerprint", component.alias("component_id"))
 
 
+def _labelled(df: DataFrame, doc_id: str, text: str, words: int, radius: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, text_hash, fingerprint), and for each fingerprint of a row with an id its group's ``label`` and ``least`` id.
+
+    The nodes that are linked are fingerprints, not ids, so that two texts under one id do not bring their groups together.
+    """
+    rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = rows.withColumn("text_hash", F.xxhash64("text"))
+    rows = cut_lineage(with_fingerprints(rows, ["doc_id", "text_hash"], "text", words, seed))
+    prints = rows.dropna(subset=["doc_id"]).groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
+    links = near_fingerprints(prints.select("fingerprint", F.col("fingerprint").alias("node")), radius)
+    grouped = components(links).withColumnRenamed("node", "fingerprint")
+    return rows, prints.join(grouped, "fingerprint", "left").select("fingerprint", F.coalesce("component", "fingerprint").alias("label"), "least")
+
+
 def hex_digits(fingerprint: str):
     """16 lower-case hexadecimal digits of a long."""
     return F.lower(F.lpad(F.hex(fingerprint), 16, "0"))
@@ -223,11 +231,15 @@ def hex_digits(fingerprint: str):
 def drop_near_copies(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **rules) -> DataFrame:
     """The rows of ``df`` that open their group: smallest id, then smallest text hash, one of equal rows.
 
-    Rows without an id stay. ``rules`` are those of ``simhash_groups``.
+    Rows without an id stay, and different texts under one id are kept apart. Null, empty and blank texts are near copies of each
+    other. Very long texts count as a whole. ``rules`` are those of ``simhash_groups``; an empty table gives no rows, and
+    other columns, whatever their names, stay as they are.
     """
     own, id_, first = fresh(df, "text_hash", "kept_id", "kept_hash")
-    groups = simhash_groups(df, doc_id, text, **rules).filter("doc_id = component_id")
-    kept = groups.groupBy(F.col("doc_id").alias(id_)).agg(F.min("text_hash").alias(first))
+    rows, prints = _labelled(df, doc_id, text, **{"words": 4, "radius": 4, "seed": 42, **rules})
+    opening = F.min(F.struct("doc_id", "text_hash")).alias("opening")
+    kept = rows.dropna(subset=["doc_id"]).join(prints.select("fingerprint", "label"), "fingerprint").groupBy("label").agg(opening)
+    kept = kept.select(F.col("opening.doc_id").alias(id_), F.col("opening.text_hash").alias(first))
     rows = df.withColumn(own, F.xxhash64(F.col(text)))
     opening = rows.join(kept, (F.col(doc_id).cast("long") == F.col(id_)) & (F.col(own) == F.col(first)))
     opening = opening.dropDuplicates([doc_id, own]).select(*df.columns)

@@ -85,10 +85,38 @@ def test_run_and_registration(sp, stages):
     rows = sorted((r.doc_id, r.ids_sha256) for r in entry.queries()["pipeline"](sp, FOLDER).collect())
     assert rows == sorted((r.doc_id, r.ids_sha256) for r in stages[5].collect())
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
 
 
 def test_stages_take_nulls_and_empty_tables(sp, docs, no_docs):
-    for _, stage in corpus_pipeline.STAGES:
-        assert stage(sp, docs, FOLDER).count() >= 0
+    """What each stage makes of nulls, blanks, repeated rows and ids, and a very long text."""
+    texts = lambda found: sorted((r.doc_id or -1, r.text, r.lang or "", r.source) for r in found if r.text)
+    result = {}
+    for name, stage in corpus_pipeline.STAGES:
+        result[name] = stage(sp, docs, FOLDER).collect()
         assert stage(sp, no_docs, FOLDER).collect() == []
+    assert {r.doc_id for r in result["quality classifier"]} <= {r.doc_id for r in docs.collect()}
+    singles = sorted((r.doc_id is None, r.doc_id, r.text or "") for r in result["SimHash near-dedup"] if r.doc_id is not None)
+    assert [(i, t[:9]) for _, i, t in singles] == [(1, "The first"), (2, ""), (5, "The long "), (6, "Über die "), (7, "one id"), (7, "two texts"), (9, "xxxxxxxxx")]
+    assert sum(r.doc_id is None for r in result["SimHash near-dedup"]) == 2
+    for name in ("benchmark decontamination", "PII"):
+        assert texts(result[name]) == texts(docs.collect())
+        assert sorted(map(str, (r.text for r in result[name] if not r.text))) == ["", "None"]
+    tokens = {(r.doc_id, r.text): r.n_tokens for r in result["BPE encoding and decoding"]}
+    assert len(result["BPE encoding and decoding"]) == 12 and tokens[2, None] == tokens[3, ""] == 0 and all(tokens[k] for k in tokens if k[1])
+
+
+def test_a_stage_is_written_before_the_next(sp, monkeypatch):
+    """Every stage reads files, not the plans of the stages before."""
+    seen = []
+
+    def counting(name, stage):
+        def run(spark, docs, sf_dir):
+            seen.append((name, [f.rsplit("/", 2)[-2] for f in docs.inputFiles()][:1]))
+            return stage(spark, docs, sf_dir)
+
+        return name, run
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [counting(*s) for s in corpus_pipeline.STAGES])
+    corpus_pipeline.run(sp, FOLDER)
+    assert [at for _, at in seen[1:]] == [["0"], ["1"], ["2"], ["3"]]

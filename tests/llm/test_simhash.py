@@ -99,6 +99,23 @@ def test_edges(sp, docs, no_docs):
     assert {(r.fingerprint, r.component_id) for r in blank} == {(0, 2)}
     assert [r.component_id for r in rows if r.doc_id is None] == [None, None]
     kept = drop_near_copies(docs.withColumnRenamed("source", "text_hash")).collect()
-    assert sorted((r.doc_id for r in kept if r.doc_id is not None)) == [1, 2, 5, 6, 7, 9]
+    assert sorted((r.doc_id for r in kept if r.doc_id is not None)) == [1, 2, 5, 6, 7, 7, 9]
     assert sum(r.doc_id is None for r in kept) == 2
     assert op10_simhash(no_docs).collect() == [] and drop_near_copies(no_docs).collect() == []
+
+
+def test_texts_under_one_id_stay_apart(sp):
+    """Two texts under one id neither drop one another nor bring their groups together."""
+    words = "the quick brown fox jumps over the lazy dog while many small birds sing in tall trees near our old house".split()
+    a, b = " ".join(words), " ".join(words[::-1])
+    rows = [(7, a, "x"), (7, b, "y"), (8, a, "x"), (9, b, "y"), (5, "something else entirely, of no relation to either of them", "z"), (7, a, "x")]
+    df = sp.createDataFrame(rows, "doc_id long, text string, LABEL string")
+    assert sorted((r.doc_id, r.LABEL) for r in drop_near_copies(df).collect()) == [(5, "z"), (7, "x"), (7, "y")]
+    assert {(r.doc_id, r.component_id) for r in op10_simhash(df).collect()} == {(5, 5), (7, 7), (8, 7), (9, 7)}
+
+
+def test_clashing_names(sp):
+    names = "doc_id long, text string, Text_Hash string, kept_id int, kept_hash int, fingerprint int, label int, least int"
+    df = sp.createDataFrame([(1, "a b c d e", "h", 1, 2, 3, 4, 5), (2, "a b c d e", "i", 6, 7, 8, 9, 10)], names)
+    kept = drop_near_copies(df)
+    assert kept.columns == df.columns and [tuple(r) for r in kept.collect()] == [(1, "a b c d e", "h", 1, 2, 3, 4, 5)]
