@@ -213,7 +213,7 @@ def _variants(text: str, spans: list[tuple[int, int, int]], rng: np.random.Gener
 
 
 def _sampled(sample: int):
-    """Of each class the ``sample`` windows of least hash in a partition, (class, order, part, spans).
+    """Of each class the ``sample`` windows of least hash in a partition (of those without a span an eighth), (class, order, part, spans).
 
     The class is a kind the window holds a span of, or beyond them whether it has a digit or an at sign at all. Windows are
     labelled by the spans of the whole text, so that one cut by a window's border is labelled too. What may be personal data in
@@ -222,13 +222,14 @@ def _sampled(sample: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least: list[dict] = [{} for _ in range(len(KINDS) + 2)]
+        rooms = [sample if k < len(KINDS) else sample // 8 for k in range(len(least))]
         # The largest order that can still be among the least.
         limits = [1 << 63] * len(least)
 
         def narrowed(k: int) -> None:
-            least[k] = dict(sorted(least[k].items())[:sample])
-            if len(least[k]) == sample:
-                limits[k] = max(least[k])[0]
+            least[k] = dict(sorted(least[k].items())[: rooms[k]])
+            if len(least[k]) == rooms[k]:
+                limits[k] = max(least[k], default=(0,))[0]
 
         for batch in batches:
             for text in text_of(batch).to_pylist():
@@ -237,13 +238,11 @@ def _sampled(sample: int):
                     part = text[at : at + PART]
                     own = [(a - at, b - at, k) for a, b, k in spans if a < at + PART and b > at] if spans else []
                     order = xxhash.xxh64_intdigest(part.encode("utf-8", "surrogatepass"), SEED) >> 1
-                    if not own and (order > max(limits[len(KINDS) :]) or DOUBTFUL.search(text, max(0, at - STEP), at + PART + STEP)):
-                        continue
                     for k in {k for _, _, k in own} or {len(KINDS) + (TRIGGER.search(part) is None)}:
-                        if order > limits[k]:
+                        if order > limits[k] or not own and DOUBTFUL.search(text, max(0, at - STEP), at + PART + STEP):
                             continue
                         least[k][(order, part, str(own))] = own
-                        if len(least[k]) > 4 * sample:
+                        if len(least[k]) > 2 * rooms[k]:
                             narrowed(k)
         rows = []
         for k in range(len(least)):
