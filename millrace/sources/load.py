@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +13,8 @@ from millrace.functions import newer_than
 from millrace.operators.merge import merge_upsert
 from millrace.session import cut_lineage
 from millrace.operators.rows import require
+from millrace.sources.snapshots import merge_buckets as merge_versions
+from millrace.sources.snapshots import read_table
 from millrace.sources.schemas import TABLES, cast_to, schema_of
 
 
@@ -163,76 +165,9 @@ def merge_bucketed(
     return len(touched)
 
 
-def _manifests(spark: SparkSession, root: str) -> list[int]:
-    fs, path = _filesystem(spark, f"{root}/manifest")
-    if not fs.exists(path):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(path)]
-    return sorted(int(n) for n in names if n.isdigit())
-
-
-def _manifest(spark: SparkSession, root: str, number: int) -> dict[int, str]:
-    """Folder of every bucket as of a manifest; at most one line per bucket."""
-    rows = spark.read.schema("bucket int, folder string").json(f"{root}/manifest/{number}").collect()
-    return {r.bucket: r.folder for r in rows}
-
-
 def read_versions(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     """The table ``merge_versions`` keeps, as of its last complete merge."""
-    manifests = _manifests(spark, root)
-    folders = sorted(_manifest(spark, root, manifests[-1]).values()) if manifests else []
-    if not folders:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*[f"{root}/{f}" for f in folders])
-
-
-def merge_versions(
-    spark: SparkSession,
-    root: str,
-    schema: T.StructType,
-    batch: DataFrame,
-    bucket: Column,
-    combine: Callable[[DataFrame], DataFrame],
-    keep: int = 2,
-) -> int:
-    """Merge a batch into a table of versioned buckets: only the buckets it touches are written anew.
-
-    ``combine`` makes the new rows of a bucket from its old ones and the batch's. Buckets go to a new
-    folder, and a manifest, renamed into place last, says where each bucket's rows are: readers see all of
-    a merge or nothing, and a merge that fails changes nothing. A batch without rows writes nothing.
-    Folders no manifest of the last ``keep`` names are removed. Returns the number of buckets written.
-    """
-    tagged = batch.withColumn("_bucket", bucket)
-    touched = sorted(r[0] for r in tagged.select("_bucket").distinct().collect())  # at most one per bucket
-    if not touched:
-        return 0
-    manifests = _manifests(spark, root)
-    current = _manifest(spark, root, manifests[-1]) if manifests else {}
-    old = [f"{root}/{current[b]}" for b in touched if b in current]
-    rows = batch.unionByName(spark.read.schema(schema).parquet(*old)) if old else batch
-    number = _claim(spark, root, "merge", manifests[-1] if manifests else 0)
-    merged = combine(rows).withColumn("_bucket", bucket).repartition("_bucket")
-    merged.write.mode("overwrite").partitionBy("_bucket").parquet(f"{root}/merge_{number:06d}")
-    current |= {b: f"merge_{number:06d}/_bucket={b}" for b in touched}
-    lines = spark.createDataFrame(sorted(current.items()), "bucket int, folder string").coalesce(1)
-    lines.write.mode("overwrite").json(f"{root}/_next_{number}")
-    fs, there = _filesystem(spark, f"{root}/manifest")
-    fs.mkdirs(there)
-    fs.rename(_filesystem(spark, f"{root}/_next_{number}")[1], _filesystem(spark, f"{root}/manifest/{number}")[1])
-    _remove_unnamed(spark, root, keep)
-    return len(touched)
-
-
-def _remove_unnamed(spark: SparkSession, root: str, keep: int) -> None:
-    manifests = _manifests(spark, root)
-    named = {f.split("/")[0] for n in manifests[-keep:] for f in _manifest(spark, root, n).values()}
-    fs, folder = _filesystem(spark, root)
-    for status in fs.listStatus(folder):
-        name = status.getPath().getName()
-        if name.startswith("merge_") and name not in named and int(name[6:]) < manifests[-1]:
-            fs.delete(status.getPath(), True)
-    for n in manifests[:-keep]:
-        fs.delete(_filesystem(spark, f"{root}/manifest/{n}")[1], True)
+    return read_table(spark, root, schema=schema)
 
 
 @dataclass(frozen=True)
