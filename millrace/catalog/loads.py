@@ -11,7 +11,7 @@ from millrace.catalog import mapping as m
 from millrace.functions import document
 from millrace.operators import rows
 from millrace.session import ensure_checkpoint_dir
-from millrace.sources import load, outbox, schemas
+from millrace.sources import load, outbox, schemas, snapshots
 
 
 def _scratch(t, name: str) -> str:
@@ -85,6 +85,71 @@ def refresh(t):
     return load.read_current(t.spark, f"{root}/punch_clock", schemas.schema_of(load.DECLARED["punch_clock"]))
 
 
+@query(
+    "lookback_files",
+    "SELECT o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_orderdate > TIMESTAMP '2001-08-01' - INTERVAL 1 MONTH",
+)
+def lookback_files(t):
+    """The look-back extract over a table cut into ranges of its date: other files are not opened."""
+    root = _scratch(t, "clustered")
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    snapshots.replace_table(orders, root, snapshots.Layout(cluster=("o_orderdate",)), files=32)
+    return snapshots.lookback_files(t.spark, root, "o_orderdate", m.ORDERS_AS_OF)
+
+
+#: Orders in two loads: the first holds all but every seventh customer's, the second brings those and some of the first again.
+SECOND_LOAD = "o_custkey % 7 = 0 OR o_orderkey % 50 = 0"
+
+
+@query(
+    "insert_missing_files",
+    """SELECT o_orderkey, o_custkey, CASE WHEN o_custkey % 7 = 0 THEN 'second' ELSE o_orderpriority END AS o_orderpriority
+    FROM orders""",
+)
+def insert_missing_files(t):
+    """Insert into a keyed table whose Bloom filters say which files may hold a key."""
+    root = _scratch(t, "keyed")
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderpriority")
+    snapshots.replace_table(orders.filter("o_custkey % 7 <> 0"), root, snapshots.Layout(("o_orderkey",), 32))
+    source = orders.filter(SECOND_LOAD).withColumn("o_orderpriority", F.lit("second"))
+    snapshots.insert_missing_files(t.spark, root, source)
+    return snapshots.read_table(t.spark, root)
+
+
+@query(
+    "merge_files",
+    f"""SELECT o_orderkey, o_custkey, CASE WHEN {SECOND_LOAD} THEN 'second' ELSE o_orderpriority END AS o_orderpriority
+    FROM orders""",
+)
+def merge_files(t):
+    """Two upserts into a keyed table: each replaces the files that hold its keys and appends what is new."""
+    root = _scratch(t, "keyed")
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderpriority")
+    snapshots.replace_table(orders.filter("o_custkey % 7 <> 0"), root, snapshots.Layout(("o_orderkey",), 32))
+    source = orders.filter(SECOND_LOAD).withColumn("o_orderpriority", F.lit("second"))
+    for part in ("o_orderkey % 3 = 0", "o_orderkey % 3 <> 0"):
+        snapshots.merge_files(t.spark, root, source.filter(part), ["o_orderpriority"])
+    return snapshots.read_table(t.spark, root)
+
+
+@query(
+    "schema_history",
+    """SELECT s_suppkey, CAST(s_nationkey AS BIGINT) AS s_nationkey, CASE WHEN s_suppkey % 3 > 0 THEN s_name END AS s_name FROM supplier""",
+)
+def schema_history(t):
+    """Files of three schemas read as one: a name was added, the nation widened, the balance dropped."""
+    root, layout = _scratch(t, "history"), snapshots.Layout(cluster=("s_suppkey",))
+    part = lambda k: t.supplier.filter(F.col("s_suppkey") % 3 == k)
+    snapshots.replace_table(part(0).select("s_suppkey", "s_nationkey", "s_acctbal"), root, layout)
+    second = part(1).select("s_suppkey", "s_nationkey", "s_acctbal", "s_name")
+    snapshots.evolve_table(t.spark, root, second.schema)
+    snapshots.append_rows(second, root, layout)
+    third = part(2).select("s_suppkey", F.col("s_nationkey").cast("long").alias("s_nationkey"), "s_name")
+    snapshots.evolve_table(t.spark, root, third.schema)
+    snapshots.append_rows(third, root, layout)
+    return snapshots.read_table(t.spark, root)
+
+
 @query(
     "merge_bucketed",
     """WITH t AS (SELECT p_partkey, p_name, p_size FROM part),
