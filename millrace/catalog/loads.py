@@ -11,7 +11,7 @@ from millrace.catalog import mapping as m
 from millrace.functions import document
 from millrace.operators import rows
 from millrace.session import ensure_checkpoint_dir
-from millrace.sources import load, outbox, schemas, snapshots
+from millrace.sources import checked, claims, load, outbox, schemas, snapshots
 
 
 def _scratch(t, name: str) -> str:
@@ -250,6 +250,52 @@ def check_domain_rejects(t):
     return _checked(t)[1].select("c_custkey", "sort", "reasons")
 
 
+_RULES = {"quantity": "l_quantity < 45", "discount": "l_discount <= 0.09", "flag": "l_returnflag <> 'R' OR l_tax < 0.07"}
+
+
+def _load_checked(t):
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_returnflag")
+    return checked.load_checked(lines, {name: F.expr(rule) for name, rule in _RULES.items()}, _scratch(t, "checked"))
+
+
+@query(
+    "load_checked",
+    f"""SELECT l_orderkey, l_linenumber, concat_ws(',', CASE WHEN NOT ({_RULES["quantity"]}) THEN 'quantity' END,
+      CASE WHEN NOT ({_RULES["discount"]}) THEN 'discount' END, CASE WHEN NOT ({_RULES["flag"]}) THEN 'flag' END) AS reasons
+    FROM lineitem""",
+)
+def load_checked(t):
+    """Clean rows and rejects, as one pass wrote them."""
+    parts = _load_checked(t)
+    both = parts.clean.withColumn("reasons", F.lit("")).unionByName(parts.rejects)
+    return both.select("l_orderkey", "l_linenumber", "reasons")
+
+
+@query(
+    "load_checked_counts",
+    "WITH "
+    + ", ".join(f"r_{name} AS (SELECT '{name}' AS rule, count(*) FILTER (NOT ({rule})) AS n FROM lineitem)" for name, rule in _RULES.items())
+    + f""" SELECT 'rows' AS rule, count(*) AS n FROM lineitem UNION ALL SELECT 'rejected', count(*) FILTER (NOT ({") OR NOT (".join(_RULES.values())}))
+    FROM lineitem UNION ALL FROM r_quantity UNION ALL FROM r_discount UNION ALL FROM r_flag""",
+)
+def load_checked_counts(t):
+    """The counts observed while the rows were written."""
+    return t.spark.createDataFrame(sorted(_load_checked(t).counts.items()), "rule string, n long")
+
+
+@query(
+    "claim_ids",
+    """SELECT o_orderkey, 1000 + row_number() OVER (ORDER BY o_orderstatus <> 'F', o_orderkey) - 1 AS id
+    FROM orders WHERE o_orderstatus IN ('F', 'O')""",
+)
+def claim_ids(t):
+    """Two runs number their rows out of one sequence: neither reads the other's."""
+    root = _scratch(t, "claims")
+    runs = [t.orders.filter(F.col("o_orderstatus") == s).select("o_orderkey") for s in ("F", "O")]
+    first, second = (claims.number_claimed(r, ["o_orderkey"], "id", root, "orders", 1000) for r in runs)
+    return first.unionByName(second)
+
+
 @query(
     "export_documents",
     """SELECT CAST(to_json({'key': s_suppkey, 'document': CAST(to_json({'name': s_name, 'nation': s_nationkey})

@@ -81,3 +81,44 @@ def children_of(t):
 )
 def dangling_parents(t):
     return tree.dangling_parents(_nodes(t)).select("id", "parent_id")
+
+
+#: Rings of up to nine rows among the customers of each hundred, ways into them, and the tree for all others.
+_RINGS = """, ringed AS (SELECT c_custkey AS id, CASE
+      WHEN c_custkey % 100 < 9 THEN c_custkey - c_custkey % 100 + (c_custkey % 100 + 1) % (1 + c_custkey // 100 % 9)
+      WHEN c_custkey % 100 < 30 THEN c_custkey - 7
+      WHEN c_custkey % 100 < 90 THEN c_custkey - c_custkey % 100 + 95 END AS parent_id FROM customer)"""
+
+
+def _ringed(t):
+    k = F.col("c_custkey")
+    within, ring = k % 100, F.lit(1) + F.floor(k / 100).cast("long") % 9
+    up = F.when(within < 9, k - within + (within + 1) % ring).when(within < 30, k - 7).when(within < 90, k - within + 95)
+    return t.customer.select(k.alias("id"), up.alias("parent_id"))
+
+
+@query(
+    "cycle_members",
+    "WITH RECURSIVE x AS (SELECT 1)"
+    + _RINGS
+    + """, walk AS (SELECT id, parent_id AS at, 1 AS step, least(id, parent_id) AS least FROM ringed WHERE parent_id IS NOT NULL
+      UNION ALL SELECT w.id, r.parent_id, w.step + 1, least(w.least, r.parent_id) FROM walk w JOIN ringed r ON r.id = w.at
+      WHERE r.parent_id IS NOT NULL AND w.step < 10 AND w.at <> w.id)
+    SELECT r.id, r.parent_id, w.least AS cycle FROM ringed r LEFT JOIN walk w ON w.id = r.id AND w.at = r.id""",
+)
+def cycle_members(t):
+    """Which rows lie on a cycle, and the smallest row of it."""
+    return tree.cycle_members(_ringed(t))
+
+
+@query("update_paths", ctes("depart") + """, changed AS (SELECT * REPLACE (
+      CASE WHEN dd_id % 90 = 11 THEN dd_name || ' moved' ELSE dd_name END AS dd_name,
+      CASE WHEN dd_id % 70 = 33 THEN dd_id % 7 + 1 ELSE dd_parent_id END AS dd_parent_id)
+      FROM depart WHERE dd_id % 120 <> 55)""" + _PATHS.format("changed"))
+def update_paths(t):
+    """Paths of a changed snapshot from those of the last: some rows were renamed, some moved, some went."""
+    old = _nodes(t)
+    name = F.when(F.col("id") % 90 == 11, F.concat("name", F.lit(" moved"))).otherwise(F.col("name"))
+    up = F.when(F.col("id") % 70 == 33, F.col("id") % 7 + 1).otherwise(F.col("parent_id"))
+    new = old.withColumns({"name": name, "parent_id": up}).filter("id % 120 <> 55")
+    return tree.update_paths(tree.tree_paths(old), new).select("id", "complete_name", "parent_path")

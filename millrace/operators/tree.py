@@ -126,6 +126,89 @@ def inherit_from_ancestor(
     return joined.withColumn(column, F.coalesce(column, "_value")).select(*df.columns)
 
 
+def cycle_members(df: DataFrame, id_column: str = "id", parent: str = "parent_id", out: str = "cycle") -> DataFrame:
+    """``df`` with ``out``: for a row that lies on a cycle of parents the smallest id of that cycle, else null.
+
+    Rows below a cycle, rows under a root or a missing parent, and rows with a null id are on none; a row that is its own parent is
+    a cycle of one. Ids are unique. Only rows that are someone's parent can lie on a cycle; from these, pointers double their
+    distance each round and rows no pointer reaches any more are dropped, so that trees vanish in about log2(depth) rounds and a
+    table without cycles ends there.
+    """
+    edges = df.select(F.col(id_column).alias("node"), F.col(parent).alias("up")).filter("node IS NOT NULL AND up IS NOT NULL")
+    state = edges.join(edges.select(F.col("up").alias("node")).distinct(), "node", "left_semi")
+    state = cut_lineage(state.withColumn("least", F.least("node", "up")))
+    # After a distance of all rows, what is still pointed at lies on a cycle, and the least id of the way is that of the cycle.
+    for _ in range(_rounds(state)):
+        ahead = state.select(F.col("node").alias("up"), F.col("up").alias("a_up"), F.col("least").alias("a_least"))
+        moved = state.join(ahead, "up").select("node", F.col("a_up").alias("up"), F.least("least", "a_least").alias("least"))
+        moved = cut_lineage(moved)
+        state = cut_lineage(moved.join(moved.select(F.col("up").alias("node")).distinct(), "node", "left_semi"))
+        if state.isEmpty():
+            break
+    found = state.select(F.col("node").alias("_node"), F.col("least").alias("_least"))
+    joined = df.withColumn("_spread", null_spread(df, [id_column])).join(
+        found.withColumn("_zero", spread_zero(["_node"])), (F.col(id_column) == F.col("_node")) & (F.col("_spread") == F.col("_zero")), "left"
+    )
+    return joined.select(*[c for c in df.columns if c != out], F.col("_least").alias(out))
+
+
+def update_paths(
+    old: DataFrame,
+    new: DataFrame,
+    id_column: str = "id",
+    parent: str = "parent_id",
+    name: str = "name",
+    name_path: str = "complete_name",
+    id_path: str = "parent_path",
+    separator: str = " / ",
+) -> DataFrame:
+    """The paths of a changed snapshot from those of the last one: what ``tree_paths(new)`` gives.
+
+    ``old`` has the columns and paths of the last snapshot, ``new`` the rows of this one. Rows that came or whose name or parent
+    changed, and children whose parent went, begin the parts to do; from them the change goes down, a level a round, to all rows below.
+    Only these are walked again, hung under the paths above them that still hold; all other rows keep theirs.
+    """
+    before = old.select(
+        F.col(id_column).alias("_id"), F.col(parent).alias("_up"), F.col(name).alias("_name"),
+        F.col(name_path).alias(name_path), F.col(id_path).alias(id_path), F.lit(True).alias("_was"),
+    )
+    kept = [c for c in new.columns if c not in (name_path, id_path)]
+    state = new.select(*kept).join(before, F.col(id_column) == F.col("_id"), "left")
+    same = F.col("_was").isNotNull() & F.col("_up").eqNullSafe(F.col(parent)) & F.col("_name").eqNullSafe(F.col(name))
+    state = cut_lineage(state.withColumn("_changed", ~same).select(*kept, name_path, id_path, "_changed"))
+    edges = state.select(F.col(id_column).alias("node"), F.col(parent).alias("up"))
+    went = old.select(F.col(id_column).alias("up")).join(edges.select(F.col("node").alias("up")), "up", "left_anti")
+    below = edges.join(small(went), "up", "left_semi").select("node")
+    todo = cut_lineage(state.filter("_changed").select(F.col(id_column).alias("node")).unionByName(below).distinct())
+    front = todo
+    while not front.isEmpty():
+        reached = edges.join(small(front.select(F.col("node").alias("up"))), "up", "left_semi").select("node")
+        front = cut_lineage(reached.join(todo, "node", "left_anti"))
+        todo = cut_lineage(todo.unionByName(front))
+    again = state.join(todo, F.col(id_column) == F.col("node"), "left_semi")
+    # A row whose parent is not walked again is the top of its part.
+    top = todo.select(F.col("node").alias("_todo"))
+    inner = again.select(id_column, parent, name).join(top, F.col(parent) == F.col("_todo"), "left")
+    cut = F.when(F.col("_todo").isNotNull(), F.col(parent))
+    parts = tree_paths(inner.select(id_column, F.col(parent).alias("_real"), cut.alias(parent), name), id_column, parent, name, name_path, id_path, separator)
+    parts = cut_lineage(parts.withColumn("_top", F.split_part(F.col(id_path), F.lit("/"), F.lit(1))))
+    # Paths above the tops: those of rows that hold, looked up by the tops' parents.
+    tops = parts.filter(F.col(parent).isNull()).select(F.col(id_column).cast("string").alias("_t"), F.col("_real").alias("_above"))
+    above = state.join(todo, F.col(id_column) == F.col("node"), "left_anti").select(
+        F.col(id_column).alias("_a"), F.col(name_path).alias("_names"), F.col(id_path).alias("_ids"))
+    hung = tops.join(above, F.col("_above") == F.col("_a"), "left")
+    # A root hangs under nothing; a top whose parent is missing or has no path gives none to its part.
+    hung = hung.select(
+        "_t", F.when(F.col("_above").isNull(), F.lit("")).otherwise(F.concat("_names", F.lit(separator))).alias("_names"),
+        F.when(F.col("_above").isNull(), F.lit("")).otherwise(F.col("_ids")).alias("_ids"),
+    )
+    walked = parts.join(hung, F.col("_top") == F.col("_t"), "left").select(
+        F.col(id_column).alias("_id"), F.concat("_names", name_path).alias(name_path), F.concat("_ids", id_path).alias(id_path))
+    rest = state.select(*kept).join(walked, F.col(id_column) == F.col("_id"))
+    holding = state.join(todo, F.col(id_column) == F.col("node"), "left_anti")
+    return holding.select(*kept, name_path, id_path).unionByName(rest.select(*kept, name_path, id_path))
+
+
 def leaf_flag(
     df: DataFrame, id_column: str = "id", parent: str = "parent_id", out: str = "is_leaf"
 ) -> DataFrame:
