@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from millrace.catalog import query
@@ -9,6 +11,8 @@ from millrace.catalog import mapping as m
 from millrace.catalog.mapping import ctes
 from millrace.functions import document
 from millrace.operators import keys, nesting, numbering
+from millrace.session import ensure_checkpoint_dir
+from millrace.sources import counts
 
 #: Part a child falls in, as SQL over a window.
 _PART = "CAST((row_number() OVER ({}) - 1) // " + str(nesting.MAX_ITEMS) + " + 1 AS BIGINT)"
@@ -36,6 +40,33 @@ def unambiguous_keys(t):
     return keys.unambiguous_rows(rows, ["s_material_name", "s_fabric_composition", "s_weight"])
 
 
+def _followed(t, keys, values):
+    """Counts of a table that came in one load and two batches of changes, each followed by the counts alone."""
+    root = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/counts-{uuid.uuid4().hex}"
+    part = t.part.select("p_partkey", "p_name", "p_brand", "p_size")
+    early, late = part.filter("p_partkey % 3 <> 0"), part.filter("p_partkey % 3 = 0")
+    passing = part.filter("p_partkey % 5 = 0")
+    counts.update_counts(t.spark, root, keys, values, added=early.unionByName(passing))
+    counts.update_counts(t.spark, root, keys, values, added=late.filter("p_size < 25"), removed=passing)
+    counts.update_counts(t.spark, root, keys, values, added=late.filter("p_size >= 25"))
+    return root
+
+
+@query("duplicate_keys_followed", "SELECT p_name, p_brand, count(*) AS n FROM part GROUP BY ALL HAVING count(*) > 1")
+def duplicate_keys_followed(t):
+    """Duplicates out of counts that follow the table."""
+    return counts.duplicate_keys(t.spark, _followed(t, ["p_name", "p_brand"], []), ["p_name", "p_brand"])
+
+
+@query(
+    "unambiguous_keys_followed",
+    "SELECT p_name, p_size, min(p_brand) AS p_brand FROM (SELECT DISTINCT p_name, p_size, p_brand FROM part) GROUP BY ALL HAVING count(*) = 1",
+)
+def unambiguous_keys_followed(t):
+    keys = ["p_name", "p_size"]
+    return counts.unambiguous_rows(t.spark, _followed(t, keys, ["p_brand"]), keys)
+
+
 @query(
     "singleton_groups",
     """SELECT l_orderkey, l_linenumber, l_suppkey FROM lineitem WHERE l_orderkey IN

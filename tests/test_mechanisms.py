@@ -1,4 +1,4 @@
-"""Cycles, incremental trees, claimed ids and checked loads."""
+"""Cycles, incremental trees, claimed ids, checked loads, maintained counts and co-bucketed tables."""
 
 import random
 
@@ -7,7 +7,9 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from millrace.operators import tree
-from millrace.sources import checked, claims, snapshots
+from millrace.operators.keys import duplicate_keys, singleton_groups, unambiguous_rows
+from millrace.operators.merge import merge_upsert
+from millrace.sources import bucketed, checked, claims, counts, snapshots
 
 EDGES = "id long, parent_id long"
 
@@ -148,3 +150,74 @@ def test_commits_name_their_base(spark, tmp_path):
         snapshots.append_rows(spark.range(i, i + 1), root, layout)
     assert snapshots.numbers(spark, root) == [1, 2, 3] and snapshots.snapshot(spark, root, 2).number == 2
     assert rows(snapshots.read_table(spark, root)) == [(0,), (1,), (2,)]
+
+
+COUNTED = "k int, g string, v string"
+
+
+def random_rows(rng, n):
+    return [(rng.choice([None, *range(12)]), rng.choice(["a", "b", None]), rng.choice(["x", "y", "z"])) for _ in range(n)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_maintained_counts_equal_a_full_run(spark, tmp_path, seed):
+    """After every batch of added and removed rows the answers are those of the whole table."""
+    rng, root, keys = random.Random(seed), str(tmp_path / "c"), ["k", "g"]
+    held: list[tuple] = []
+    for step in range(4):
+        gone = rng.sample(held, len(held) // 3)
+        new = random_rows(rng, 25 if step else 60)
+        for r in gone:
+            held.remove(r)
+        held += new
+        frames = {"added": spark.createDataFrame(new, COUNTED), "removed": spark.createDataFrame(gone, COUNTED) if gone else None}
+        counts.update_counts(spark, root, keys, ["v"], **frames, layout=snapshots.Layout((counts.GROUP,), 8, 6))
+        whole = spark.createDataFrame(held, COUNTED)
+        assert rows(counts.read_counts(spark, root), "k", "g", "v", "n") == rows(whole.groupBy("k", "g", "v").agg(F.count("*").alias("n")))
+        assert rows(counts.unambiguous_rows(spark, root, keys), *keys, "v") == rows(unambiguous_rows(whole, keys), *keys, "v")
+        assert rows(counts.duplicate_keys(spark, root, keys)) == rows(duplicate_keys(whole, keys))
+        assert rows(counts.singleton_groups(spark, root, keys)) == rows(singleton_groups(whole.select(*keys), keys))
+
+
+def test_counts_touch_few_files_and_fail_whole(spark, tmp_path):
+    root = str(tmp_path / "c")
+    base = spark.range(5000).selectExpr("cast(id as int) as k")
+    assert counts.update_counts(spark, root, ["k"], added=base) == 0
+    assert counts.update_counts(spark, root, ["k"], added=spark.createDataFrame([(7,), (7,)], "k int")) == 1
+    assert rows(counts.duplicate_keys(spark, root, ["k"])) == [(7, 3)]
+    before = snapshots.numbers(spark, root)
+    with pytest.raises(Exception, match="removed a row that is not there"):
+        counts.update_counts(spark, root, ["k"], removed=spark.createDataFrame([(7,), (90000,)], "k int"))
+    assert snapshots.numbers(spark, root) == before and rows(counts.duplicate_keys(spark, root, ["k"])) == [(7, 3)]
+    one = spark.createDataFrame([(9,)], "k int")
+    assert counts.update_counts(spark, root, ["k"], added=one, removed=one) == 0 and snapshots.numbers(spark, root) == before
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_merge_of_cobucketed_tables_has_no_exchange(spark, tmp_path):
+    import uuid
+
+    names = [f"t_{uuid.uuid4().hex}" for _ in range(3)]
+    old = [(k, f"t{k}", k) for k in range(0, 500, 2)] + [(None, "kept", 1)]
+    new = [(k, f"s{k}") for k in range(0, 500, 3)] + [(None, "x"), (None, "y")]
+    target, source = spark.createDataFrame(old, "k long, v string, n long"), spark.createDataFrame(new, "k long, v string")
+    a = bucketed.write_cobucketed(target, names[0], str(tmp_path / "a"), ["k"], 8)
+    b = bucketed.write_cobucketed(source, names[1], str(tmp_path / "b"), ["k"], 8)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        merged = bucketed.merge_cobucketed(a, b, ["k"])
+        assert "Exchange" not in plan_of(merged) and "Exchange" in plan_of(merge_upsert(target, source, ["k"]))
+        assert rows(merged) == rows(merge_upsert(target, source, ["k"]))
+        again = bucketed.attach_cobucketed(spark, names[2], str(tmp_path / "a"), "k long, v string, n long", ["k"], 8)
+        assert rows(bucketed.merge_cobucketed(again, b, ["k"], ["n"])) == rows(merge_upsert(target, source, ["k"], ["n"]))
+        assert "Exchange" not in plan_of(again.join(b, "k"))
+        twice = bucketed.write_cobucketed(source.union(source), names[1], str(tmp_path / "c"), ["k"], 8)
+        with pytest.raises(Exception, match="not unique"):
+            bucketed.merge_cobucketed(a, twice, ["k"]).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
