@@ -132,6 +132,22 @@ def visible_rows_strict(t):
     return visible.select("dd_id", "dd_name", "dd_parent_id")
 
 
+@query(
+    "visible_rows_orphans",
+    ctes("depart")
+    + """, held AS (SELECT * FROM depart WHERE dd_id % 50 <> 3)
+    SELECT c.dd_id, c.dd_parent_id, c.dd_parent_id IS NULL OR p.dd_id IS NOT NULL AS has_parent FROM held c
+    LEFT JOIN held p ON p.dd_id = c.dd_parent_id
+    WHERE c.dd_deleted_time IS NULL AND (c.dd_parent_id IS NULL OR p.dd_deleted_time IS NULL)""",
+)
+def visible_rows_orphans(t):
+    """Where parents are missing, the plain form keeps their children and the strict form drops them."""
+    held = m.depart(t).filter("dd_id % 50 <> 3")
+    plain, strict = (tree.visible_rows(held, "dd_id", "dd_parent_id", "dd_deleted_time", strict=s) for s in (False, True))
+    strict = strict.select(F.col("dd_id").alias("_id"))
+    return plain.join(strict, F.col("dd_id") == F.col("_id"), "left").select("dd_id", "dd_parent_id", F.col("_id").isNotNull().alias("has_parent"))
+
+
 @query("live_rows", ctes("depart") + " SELECT dd_id, dd_name, sort FROM depart WHERE dd_deleted_time IS NULL")
 def live_rows(t):
     return m.depart(t).filter(F.col("dd_deleted_time").isNull()).select("dd_id", "dd_name", "sort")

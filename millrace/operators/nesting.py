@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from millrace.functions import bracket_list, document
 from millrace.operators.numbering import _number_ranges, number_rows
 from millrace.operators.skew import hot_keys
+from millrace.session import cut_lineage
 
 #: Children per array.
 MAX_ITEMS = 100_000
@@ -95,6 +96,7 @@ def collect_lists(
     hot: DataFrame | None,
     max_items: int = MAX_ITEMS,
     whole: str | None = None,
+    whole_limit: int | None = None,
 ) -> DataFrame:
     """``nested_collect`` of several child tables, attached to their heads, by part.
 
@@ -102,7 +104,8 @@ def collect_lists(
     known to have too many children in any of them. All other lists are joined whole
     by key, on the partitioning they were collected in, and cut into parts at the end.
     The list named ``whole`` also comes uncut in every part, as ``<name>_whole``: for what
-    must be combined with all of it, and hence must fit one cell.
+    must be combined with all of it, and hence must fit one cell. A key with more than ``whole_limit`` rows of it fails
+    the job by name; they are counted before any are gathered.
     """
     on = list(keys)
     shaped = {
@@ -125,11 +128,24 @@ def collect_lists(
     large = attach_parts(heads.join(hot, on, "left_semi"), on, parts)
     if whole is not None:
         name = f"{whole}_whole"
-        uncut = shaped[whole].join(hot, on, "left_semi").groupBy(*on).agg(_in_order().alias(name))
+        gathered = shaped[whole].join(hot, on, "left_semi")
+        if whole_limit is not None:
+            gathered = gathered.join(_within(gathered, on, whole_limit), on, "left_semi")
+        uncut = gathered.groupBy(*on).agg(_in_order().alias(name))
         large = large.join(uncut, on, "left").withColumn(name, F.coalesce(name, F.array()))
     return out.unionByName(large.select(*out.columns))
 
 
+def _within(rows: DataFrame, keys: list[str], limit: int) -> DataFrame:
+    """The keys of ``rows``; one with more than ``limit`` of them fails. They are counted map-side, not gathered."""
+    counted = cut_lineage(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")))
+    largest = counted.orderBy(F.desc("_n")).limit(1).collect()
+    if largest and largest[0]["_n"] > limit:
+        named = ", ".join(f"{k} {largest[0][k]}" for k in keys)
+        raise ValueError(f"{named}: {largest[0]['_n']} are too many entries for one cell")
+    return counted.select(*keys)
+
+
 def _cut_parts(df: DataFrame, names: list[str], max_items: int) -> DataFrame:
     """One row per part of the longest list; a shorter list is empty in the later ones."""
     filled = df.withColumns({n: F.coalesce(n, F.array()) for n in names})

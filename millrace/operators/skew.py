@@ -63,17 +63,15 @@ def key_side(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Keys that hold about ``hot_rows`` rows or more, or None if there are none.
+    """Keys that hold ``hot_rows`` rows or more, or None if there are none.
 
-    Large inputs are judged on a sample that shows some 200 rows of such a key. The
-    callers give the same result whatever is reported here; only the plan differs.
+    Every row counts: a table with fewer rows in all has none, and else keys are counted map-side, so that no hot key is
+    missed and none is gathered to be found.
     """
-    fraction = min(1.0, 200.0 / hot_rows)
     rows = df.select(*keys)
-    if fraction < 1.0:
-        rows = rows.sample(fraction=fraction, seed=17)
-    enough = max(2.0, hot_rows * fraction * 0.5) if fraction < 1.0 else hot_rows
-    found = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= enough)
-    found = found.drop("_n")
+    if rows.count() < hot_rows:
+        return None
+    found = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= hot_rows).drop("_n")
     # Both branches of a caller must see the same keys, so found keys are pinned.
-    return None if found.isEmpty() else cut_lineage(found)
+    found = cut_lineage(found)
+    return None if found.isEmpty() else found

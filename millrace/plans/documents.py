@@ -301,7 +301,7 @@ def bom_materials(
     members = size_rows.select("bom_id").unionByName(colour_rows.select("bom_id"))
     hot = hot_keys(members, ["bom_id"], max_items)
     is_item = form == "item"
-    full = nesting.collect_lists(headed, ["bom_id"], lists, hot, max_items, "size_list" if is_item else None)
+    full = nesting.collect_lists(headed, ["bom_id"], lists, hot, max_items, "size_list" if is_item else None, CELL_ITEMS)
 
     def amount(c: Column) -> Column:
         return c.cast("string") if is_item else c.cast("double")

@@ -180,6 +180,23 @@ def test_a_bill_too_large_for_a_cell_is_named(frame, monkeypatch):
         documents.bom_materials(**tables, form="item")[1].collect()
 
 
+def test_a_hot_list_is_counted_before_it_is_gathered(frame, monkeypatch):
+    tables, _ = bom_fixture(frame)
+    found = [frame("bom_id long", (1,), (3,))]
+    monkeypatch.setattr(documents, "hot_keys", lambda *a: found[0])
+    monkeypatch.setattr(documents, "CELL_ITEMS", 0)
+    with pytest.raises(ValueError, match="bom_id [13]: [0-9]+ are too many entries"):
+        documents.bom_materials(**tables, form="item")
+
+
+def test_every_row_counts_for_a_hot_key(spark):
+    from millrace.operators.skew import hot_keys
+
+    df = spark.range(1000).selectExpr("CASE WHEN id < 300 THEN 7 WHEN id < 599 THEN NULL ELSE id END AS k")
+    assert hot_keys(df, ["k"], 1001) is None and hot_keys(df, ["k"], 301) is None
+    assert rows(hot_keys(df, ["k"], 300)) == [(7,)] and rows(hot_keys(df, ["k"], 299)) == [(None,), (7,)]
+
+
 def test_bills_only_of_wanted_products(frame):
     tables, _ = bom_fixture(frame)
     wanted = frame("product_id long", (101,), (101,))
