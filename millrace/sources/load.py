@@ -238,7 +238,7 @@ LOADS = {
 }
 
 
-# Columns and types of the small targets.
+# Columns and types of targets. Those of the widest come from the source's own column list (``declared_columns``).
 DECLARED = {
     "area": {
         "id": "serial", "pid": "integer", "citycode": "varchar(4)", "adcode": "varchar(6)", "name": "varchar(100)",
@@ -258,6 +258,69 @@ DECLARED = {
         "s_supplier": "varchar(255)", "s_manager_id": "integer", "s_maintenance_worker_id": "integer",
         "s_yarn_store_id": "integer", "s_create_time": "timestamp", "s_update_time": "timestamp", "is_delete": "integer",
     },
+    "fabric_supplier_contact": {
+        "id": "serial", "s_supplier_id": "integer", "s_contact_name": "varchar(255)", "s_contact_phone": "varchar(255)",
+        "is_delete": "integer",
+    },
+    "fabric_supplier_transfer": {
+        "s_id": "serial", "s_company_id": "integer", "s_transfer_way_name": "varchar(255)", "s_receiving_unit": "varchar(255)",
+        "s_opening_bank": "varchar(255)", "s_bank_account": "varchar(255)", "is_delete": "integer",
+        "s_company_name": "varchar(255)", "s_default_flag": "boolean", "s_transfer_way": "boolean",
+    },
+    "material_price_tree": {
+        "s_tree_id": "serial", "s_tree_pid": "integer", "s_name": "varchar(255)", "s_en_name": "varchar(255)",
+        "s_code": "varchar(255)", "s_remark": "varchar(255)", "s_sort": "integer", "is_delete": "integer",
+    },
+    "yarn_store_tree": {
+        "s_tree_id": "serial", "s_tree_pid": "integer", "s_name": "varchar(255)", "s_en_name": "varchar(255)",
+        "s_code": "varchar(255)", "s_remark": "varchar(255)", "s_sort": "integer", "is_delete": "integer",
+        "s_tips": "varchar(255)", "created_at": "timestamp", "updated_at": "timestamp",
+    },
+    "yarn_store": {
+        "s_yarn_store_id": "serial", "s_yarn_code": "varchar(255)", "s_yarn_type_id": "integer", "s_yarn_color_id": "integer",
+        "s_green_components_id": "integer", "s_functional_materials_id": "integer", "s_yarn_functionality_id": "varchar(255)",
+        "s_fiber_brand": "varchar(255)", "s_fiber_supplier": "varchar(255)", "s_remark": "varchar(255)",
+        "s_filament_fiber_structure": "varchar(255)", "s_filament_staple_processing_method_id": "integer",
+        "s_filament_lustre_id": "integer", "s_filament_cross_sectional_shape_id": "integer", "s_staple_special_fiber_id": "integer",
+        "s_staple_yarn_quality_id": "integer", "s_staple_spinning_method_id": "integer", "s_staple_twist_id": "integer",
+        "s_staple_twist_direction_id": "integer", "s_fancy_special_fiber_id": "integer", "s_fancy_yarn_name_id": "integer",
+        "s_blended_special_fiber_id": "integer", "s_blended_method_id": "integer", "s_blended_yarn_count": "varchar(255)",
+        "s_create_time": "timestamp", "s_update_time": "timestamp", "is_delete": "integer", "s_manager_id": "integer",
+        "s_yarn_count_value": "varchar(255)", "s_yarn_count_unit_id": "integer", "s_yarn_count_unit_f": "varchar(255)",
+        "s_yarn_count_count": "integer", "s_num_prefix": "varchar(255)", "s_num_suffix": "varchar(6)",
+        "s_yarn_count_text": "varchar(255)",
+    },
+    "attendance_record": {
+        "dd_id": "bigserial", "s_attendance_uer_record_id": "integer", "s_attendance_id": "integer", "s_manager_id": "integer",
+        "s_open_time": "timestamp", "s_state": "smallint", "s_created_time": "timestamp", "s_updated_time": "timestamp",
+        "s_deleted_time": "timestamp", "is_delete": "smallint", "s_count": "smallint", "s_type": "smallint",
+        "s_attendance_wifi_mac_id": "integer", "s_classes_id": "integer", "s_affiliation_time": "timestamp", "remark": "text",
+        "url": "text", "s_label_list": "text", "s_longitude": "varchar(255)", "s_latitude": "varchar(255)", "s_add": "varchar(500)",
+        "s_oa_user_approval_id": "integer", "s_record_id": "integer", "s_operator_id": "integer", "reason": "varchar(500)",
+    },
+    "talent_archives": {
+        "s_talent_archives_id": "serial", "s_name": "varchar(50)", "s_subcompany": "varchar(255)", "s_subcompany_id": "integer",
+        "s_depart": "varchar(50)", "s_depart_id": "bigint", "s_talent_position": "varchar(50)", "s_talent_position_id": "integer",
+        "s_employee_num": "varchar(255)", "s_email": "varchar(50)", "is_lead": "integer",
+    },
+    "talent_position": {
+        "s_talent_position_id": "serial", "s_position": "varchar(50)", "s_en_position": "varchar(50)", "gmt_create": "timestamp",
+        "gmt_modified": "timestamp", "is_delete": "smallint", "sort": "integer", "s_manager_id": "integer",
+    },
+    "depart": {
+        "dd_id": "bigserial", "dd_create_dept_group": "varchar(20)", "dd_name": "varchar(255)", "code": "varchar(32)",
+        "s_en_name": "varchar(500)", "s_jp_name": "varchar(255)", "dd_parent_id": "bigint", "dd_next_manager_id": "varchar(50)",
+        "dd_created_time": "timestamp", "dd_updated_time": "timestamp", "dd_deleted_time": "timestamp",
+        "dd_select_status": "char(255)", "s_lark_depart_id": "char(255)", "s_lark_parent_department_id": "char(255)",
+        "sort": "int", "s_dictionary_id": "int",
+    },
+    "manager": {
+        "s_manager_id": "serial", "s_creater": "int", "s_account": "varchar(64)", "s_account_pinyin": "varchar(255)",
+        "s_account_pinyin_first": "varchar(255)", "s_cellphone": "varchar(20)", "s_email": "varchar(64)", "s_activate_flag": "int",
+        "s_unionid": "varchar(255)", "s_openid": "varchar(255)", "dd_depart_ids": "text", "s_created_time": "timestamp",
+        "s_updated_time": "timestamp", "s_deleted_time": "timestamp", "s_lead_flag": "smallint", "s_talent_id": "int",
+        "s_mail_nickname": "varchar(255)", "s_sys_language": "varchar(10)", "s_time_zone": "int",
+    },
     "punch_clock": {
         "s_id": "serial", "id": "integer", "user_id": "integer", "ext_id": "integer", "terminal_id": "varchar(255)",
         "check_type": "varchar(50)", "check_time": "timestamp", "check_data": "text", "s_created_time": "timestamp",
@@ -266,13 +329,31 @@ DECLARED = {
 }
 
 
+def declared_columns(columns: DataFrame, name: str, credentials: Sequence[str] = ("s_password",)) -> dict[str, str]:
+    """Columns and types of one table out of a database's column list, as its information schema gives it.
+
+    ``columns`` has table_name, column_name, ordinal_position and column_type (a type with its lengths). A load's casts and dropped
+    columns hold: cast columns have the cast's type, credential columns are left out. A table that is not listed fails.
+    """
+    load = LOADS[name]
+    listed = columns.filter(F.col("table_name") == load.source).orderBy("ordinal_position")
+    found = {r[0]: r[1] for r in listed.select("column_name", "column_type").collect()}  # one per column of a table
+    if not found:
+        raise ValueError(f"no columns listed for {load.source}")
+    kept = load.columns or [c for c in found if c not in (*load.drop, *credentials)]
+    absent = sorted(set(kept) - set(found))
+    if absent:
+        raise ValueError(f"missing columns: {', '.join(absent)}")
+    return {c: load.casts.get(c, found[c]) for c in kept}
+
+
 def refresh(
     name: str, source: DataFrame, root: str, as_of: str | None = None, declared: Mapping[str, str] | None = None
 ) -> str:
     """Run the declared load ``name``: extract from ``source`` and replace ``root/name``.
 
-    ``declared`` gives the target's columns and database types; ``DECLARED`` has the small targets, and a wide
-    table's come as a parameter, from its DDL. The table is written in exactly these columns and types, and a
+    ``declared`` gives the target's columns and database types; ``DECLARED`` has those of most targets, and a wide
+    table's come from the database's column list (``declared_columns``). The table is written in exactly these columns and types, and a
     source column that is missing fails the load by name. Without a declaration the extract is written as it is.
     """
     declared = DECLARED.get(name) if declared is None else declared

@@ -146,3 +146,49 @@ def test_checkpoint_dir_comes_from_the_session(spark):
     assert session.ensure_checkpoint_dir(spark)
     df = session.cut_lineage(spark.range(3))
     assert df.count() == 3 and "Range" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(load.DECLARED))
+def test_declared_targets_are_written_as_declared(spark, tmp_path, name):
+    schema = load.schema_of(load.DECLARED[name])
+    wide = T.StructType([*schema.fields, T.StructField("s_password", T.StringType()), T.StructField("other", T.IntegerType())])
+    values = {"s_activate_flag": 1, "s_employee_num": "7", "is_delete": None, "s_created_time": dt.datetime(2024, 1, 20)}
+    row = tuple(values.get(f.name) if f.name != "is_delete" else (False if isinstance(f.dataType, T.BooleanType) else 0) for f in wide.fields)
+    root = str(tmp_path)
+    load.refresh(name, spark.createDataFrame([row], wide), root, "2024-02-01 00:00:00")
+    got = load.read_current(spark, f"{root}/{name}", schema)
+    assert got.count() == 1 and spark.read.parquet(load.current_path(spark, f"{root}/{name}")).schema == schema
+    gone = next(c for c in load.DECLARED[name] if c not in values and c not in ("is_delete", "s_lead_flag", "dd_id"))
+    with pytest.raises(Exception, match=gone):
+        load.refresh(name, spark.createDataFrame([row], wide).drop(gone), root, "2024-02-01 00:00:00")
+
+
+def test_columns_from_the_source_database(spark, frame, tmp_path):
+    """A wide table's target is declared by the database's own column list."""
+    columns = [(f"s_value_{i:03d}", "decimal(10,2)" if i % 3 else "bigint(20) unsigned") for i in range(110)]
+    columns += [("s_price_type", "tinyint(1)"), ("is_delete", "int(11)"), ("s_password", "varchar(64)")]
+    listed = frame(
+        "table_name string, column_name string, ordinal_position int, column_type string",
+        *[("erp_auxiliary_material_price", c, i, t) for i, (c, t) in reversed(list(enumerate(columns)))], ("other", "x", 1, "int"),
+    )
+    declared = load.declared_columns(listed, "auxiliary_material_price")
+    assert list(declared) == [c for c, _ in columns[:-1]] and declared["s_price_type"] == "int"
+    row = tuple([1.5 if t.startswith("dec") else 7 for _, t in columns[:110]] + [True, 0, "secret"])
+    kinds = ", ".join(f"{c} {'double' if t.startswith('dec') else 'long'}" for c, t in columns[:110])
+    source = frame(f"{kinds}, s_price_type boolean, is_delete int, s_password string", row, row[:-2] + (1, "deleted"))
+    load.refresh("auxiliary_material_price", source, str(tmp_path), declared=declared)
+    got = load.read_current(spark, f"{tmp_path}/auxiliary_material_price", load.schema_of(declared))
+    assert got.count() == 1 and got.first().s_price_type == 1 and "s_password" not in got.columns
+    assert got.schema["s_value_001"].dataType == T.DecimalType(10, 2)
+    with pytest.raises(ValueError, match="no columns listed"):
+        load.declared_columns(listed, "area")
+
+
+def test_every_load_is_declared(frame):
+    """Fifteen by their targets, five by the column list of their source."""
+    wide = set(load.LOADS) - set(load.DECLARED)
+    listed = frame(
+        "table_name string, column_name string, ordinal_position int, column_type string",
+        *[(load.LOADS[n].source, c, i, "int") for n in wide for i, c in enumerate(["id", "is_delete", "s_price_type", "is_hidden"])],
+    )
+    assert len(load.DECLARED) == 15 and all(load.declared_columns(listed, n) for n in wide)
