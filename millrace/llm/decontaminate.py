@@ -65,10 +65,19 @@ def _without(words: Column, marks: str) -> Column:
     return words
 
 
+def _window(words: Column, start: Column, size: int) -> Column:
+    """Hash of the window that begins at ``start`` (1 for the first): that of an array of its words.
+
+    Words are picked one by one: ``slice`` would copy the whole array for each window. Places behind the last word are null and
+    count for nothing.
+    """
+    return F.xxhash64(*[F.get(words, start + (k - 1)) for k in range(size)])
+
+
 def windows(words: Column, size: int) -> Column:
     """Hashes of all windows of an array of template words, in order; fewer words make one window."""
     starts = F.sequence(F.lit(1), F.greatest(F.size(words) - size + 1, F.lit(1)))
-    return F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, size)))
+    return F.transform(starts, lambda i: _window(words, i, size))
 
 
 def other_windows(words: Column, base: Column, size: int) -> Column:
@@ -76,7 +85,7 @@ def other_windows(words: Column, base: Column, size: int) -> Column:
     unlike = F.array_compact(F.transform(words, lambda w, i: F.when(w != F.get(base, i), i + 1)))
     last = F.greatest(F.size(words) - size + 1, F.lit(1))
     starts = F.transform(unlike, lambda i: F.sequence(F.greatest(i - size + 1, F.lit(1)), F.least(i, last)))
-    return F.transform(F.array_distinct(F.flatten(starts)), lambda i: F.xxhash64(F.slice(words, i, size)))
+    return F.transform(F.array_distinct(F.flatten(starts)), lambda i: _window(words, i, size))
 
 
 def literal(words: Column) -> Column:

@@ -122,3 +122,17 @@ def test_a_clash_costs_its_own_windows(sp):
     altered = item.replace("12", "77", 1)
     apart = item.replace("12 pears", "5 pears").replace("12 days", "6 days")
     assert run(sp, [item, clash, altered, apart], [(1, item)]) == {(0, 1), (1, 1), (2, 1), (3, 1)}
+
+
+def test_windows_hash_like_arrays(sp):
+    """A window's hash is that of the array of its words, also where a text has fewer words than a window."""
+    from pyspark.sql import functions as F
+
+    from millrace.llm.decontaminate import windows
+
+    texts = ["", "a", "a b c", "a b c d e", "one two three four five six seven"]
+    df = sp.createDataFrame([(t.split(" "),) for t in texts], "w array<string>")
+    for r in df.select("w", windows(F.col("w"), 5).alias("h")).collect():
+        parts = [r.w[i : i + 5] for i in range(max(1, len(r.w) - 4))]
+        want = sp.createDataFrame([(i, p) for i, p in enumerate(parts)], "i int, p array<string>").orderBy("i").select(F.xxhash64("p").alias("h")).collect()
+        assert r.h == [x.h for x in want]
