@@ -148,7 +148,9 @@ def contaminated(
     count as plain words or all as names. ``keys`` tell documents apart; rows with equal keys
     and texts are one document. A null key counts as a value. Null and empty texts hold nothing, null items and items
     without a word are not searched, and repeated items are searched once. Empty tables give no rows. Whole texts are read.
-    Counts are those by template where these suffice.
+    Counts are those by template where these suffice. Other columns of ``df`` are not read; keys named like a column of the
+    result make that column end in an underscore. An item of one or two words counts as held wherever these words stand, so
+    a benchmark should not list such items, or apart.
     """
     items = _items(benchmark, item_id, item_text, size)
     n_items = items.count()

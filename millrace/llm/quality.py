@@ -238,7 +238,10 @@ def resample(df: DataFrame, fitted: Fitted) -> DataFrame:
 
 
 def keep_quality(df: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """``fit`` and ``resample`` on the same documents."""
+    """``fit`` and ``resample`` on the same documents: nulls, ties, repeats, empty tables and taken names as stated there.
+
+    Texts of any length are scored as a whole; a batch ends at a number of bytes, and a longer text makes one of its own.
+    """
     return resample(df, fit(df, labels, sample))
 
 

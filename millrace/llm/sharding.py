@@ -77,7 +77,7 @@ def uniform_shards(df: DataFrame, shards: int, seed: int = 7, block_rows: int =
     partitions; a task run again draws the same numbers. A shard is permuted in blocks: each row
     draws a block, and blocks follow one another, so no task holds a shard. All rows stay, repeated
     and null ones too; rows need no key. An empty table gives no rows. With fewer rows than shards
-    some shards are empty. Taken column names make the new ones end in an underscore.
+    some shards are empty. Values of any length travel with their row and decide nothing. Taken column names make the new ones end in an underscore.
     """
     shard, slot, block, place, before, own_shard, own_block = fresh(df, "shard", "slot", "block", "place", "before", "of_shard", "of_block")
     fixed = cut_lineage(df)

@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 
 from millrace.llm import language
-from millrace.llm.language import op7_language, score_texts, train
+from millrace.llm.language import identify, op7_language, score_texts, train
 
 
 def brute(text: str, weights: np.ndarray) -> np.ndarray:
@@ -60,3 +60,13 @@ def test_edges(sp, docs, no_docs):
     assert op7_language(no_docs).collect() == []
     untaught = op7_language(docs.selectExpr("doc_id", "text", "cast(null as string) as lang")).collect()
     assert {r.lang_pred for r in untaught} == {"und"}
+
+
+def test_clashing_names(sp):
+    """Columns named like those the operator adds stay as they are."""
+    df = sp.createDataFrame([(1, "the cat", "en", "mine", 7.0), (2, None, "de", "yours", 8.0)], "doc_id long, text string, lang string, Lang_Pred string, score double")
+    labels, logs = train(df, "text", "lang")
+    found = identify(df, labels, logs)
+    assert found.columns == [*df.columns, "lang_pred_", "score_"]
+    assert sorted((r.doc_id, r.Lang_Pred, r.score) for r in found.collect()) == [(1, "mine", 7.0), (2, "yours", 8.0)]
+    assert {r.doc_id: r["lang_pred_"] for r in found.collect()} == {1: "en", 2: "und"}
