@@ -8,22 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from millrace.operators.skew import hot_keys, HOT_ROWS
+from millrace.operators.skew import hot_keys, HOT_ROWS, split_hot
 from millrace.session import cut_lineage
 
 
-def _partition_count(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _ranged(df: DataFrame, order: Sequence[str], partitions: int | None) -> DataFrame:
     """``df`` in order: range-partitioned, sorted, each row with its range ``_pid`` and place ``_at`` in it.
 
     Range and place are only true for one run of the range sampler, so the rows are
     checkpointed with them before anything is counted.
     """
-    n = partitions or _partition_count(df)
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # Without a number of their own, neighbouring ranges of few rows are read and written as one.
+    ranged = df.repartitionByRange(*([partitions] if partitions else []), *order).sortWithinPartitions(*order)
     # The id counts rows inside a partition in its lower 33 bits.
     placed = cut_lineage(ranged.withColumn("_row", F.monotonically_increasing_id()))
     at = F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
@@ -40,7 +36,7 @@ def number_rows(
     """Number all rows 1..n in ``order_by`` order (a unique key), after a maximum.
 
     ``after`` is (table, id column): numbering goes on after its maximum, or starts
-    at 1 when it is empty. ``partitions`` is the number of ranges, by default that of shuffle
+    at 1 when it is empty. ``partitions`` is the number of ranges, by default at most that of shuffle
     partitions: one shuffle, after which no row moves again.
     """
     ranged = _ranged(df, order_by, partitions)
@@ -79,8 +75,8 @@ def number_in_group(
     hot = hot_keys(df if sizes is None else sizes, group, hot_rows)
     if hot is None:
         return df.withColumn(out, plain)
-    cold = df.join(hot, list(group), "left_anti").withColumn(out, plain)
-    large = df.join(hot, list(group), "left_semi")
+    rest, large = split_hot(df, hot, group)
+    cold = rest.withColumn(out, plain)
     return cold.select(*df.columns, out).unionByName(_number_ranges(large, group, order_by, out))
 
 
@@ -100,11 +96,13 @@ def number_runs(
     hot = hot_keys(df if sizes is None else sizes, group, hot_rows)
     if hot is None:
         return df.withColumn(out, rank)
-    cold = df.join(hot, list(group), "left_anti").withColumn(out, rank)
-    large = df.join(hot, list(group), "left_semi")
+    rest, large = split_hot(df, hot, group)
+    cold = rest.withColumn(out, rank)
     runs = large.select(*group, *run).distinct()
     numbered = number_in_group(runs, group, run, out, hot_rows)
-    joined = large.join(numbered, [*group, *run])
+    named = [*group, *run]
+    numbered = numbered.select(*[F.col(c).alias(f"_r_{c}") for c in named], out)
+    joined = large.join(numbered, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in named])
     return cold.select(*df.columns, out).unionByName(joined.select(*df.columns, out))
 
 

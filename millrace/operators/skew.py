@@ -66,11 +66,19 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
     """Keys that hold ``hot_rows`` rows or more, or None if there are none.
 
     Every row counts: a table with fewer rows in all has none, and else keys are counted map-side, so that no hot key is
-    missed and none is gathered to be found.
+    missed and none is gathered to be found. The keys come marked for broadcast, unless very many: dealt out by key to meet
+    them, all rows of a hot key would be read by one task.
     """
     rows = df.select(*keys)
     if rows.count() < hot_rows:
         return None
     found = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= hot_rows).drop("_n")
     # Both branches of a caller must see the same keys, so found keys are pinned.
-    return None if found.isEmpty() else cut_lineage(found)
+    return None if found.isEmpty() else small(cut_lineage(found))
+
+
+def split_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``df`` outside the ``hot`` keys, and those of them; a null is a key like any other."""
+    side = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys])
+    return df.join(side, same, "left_anti"), df.join(side, same, "left_semi")
