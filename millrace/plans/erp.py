@@ -11,6 +11,7 @@ from millrace.functions import bracket_ids, code_map, digits_to_long, json_field
 from millrace.operators import merge, tree
 from millrace.operators.lookup import lookup, missing_from, resolve_places
 from millrace.operators.rows import require
+from millrace.session import cut_lineage
 
 # Constants of mandatory target columns.
 TIME_ZONE = "Asia/Shanghai"
@@ -55,16 +56,13 @@ def departments(target: DataFrame, depart: DataFrame, company: Column, as_of: Co
     merged = merge.reconcile(
         target, source, ["origin_id"], ["name", "origin_parent_id"], stamp=("write_date", as_of)
     )
-    linked = merge.backfill_parent(merged)
-    named = linked.select(
-        "id", "parent_id", json_field("name", "zh_CN").alias("name")
-    )
-    paths = tree.tree_paths(named, name_path="new_name", id_path="new_path")
+    # Both sides of the join by parent, and the walk and its rows, read these from files.
+    linked = cut_lineage(merge.backfill_parent(cut_lineage(merged)))
+    named = linked.withColumn("_name", json_field("name", "zh_CN"))
+    paths = tree.tree_paths(named, name="_name", name_path="new_name", id_path="new_path")
     # Rows that no root reaches keep their old paths.
-    paths = paths.select(F.col("id"), "new_name", "new_path")
-    joined = linked.join(paths, "id", "left")
     return (
-        joined.withColumn("complete_name", F.coalesce("new_name", "complete_name"))
+        paths.withColumn("complete_name", F.coalesce("new_name", "complete_name"))
         .withColumn("parent_path", F.coalesce("new_path", "parent_path"))
         .select(*target.columns)
     )
@@ -111,7 +109,8 @@ def employees(
     )
     people = lookup(people, department, {"_depart": "origin_id"}, {"department_id": "id"})
     people = lookup(people, job, {"_position": "origin_id"}, {"job_id": "id"})
-    people = people.withColumn("company_id", company).withColumn("create_date", as_of)
+    # Read by both merges, each of which looks for new rows and for known ones.
+    people = cut_lineage(people.withColumn("company_id", company).withColumn("create_date", as_of))
 
     users = F.col("resource_type") == "user"
     source = people.withColumn("resource_type", F.lit("user")).withColumn("tz", F.lit(TIME_ZONE))
@@ -122,6 +121,7 @@ def employees(
         ["name", "active"],
         ids_in=resources,
     )
+    typed = cut_lineage(typed)
     # Rows of another type are renamed with their origin, but never added.
     others = resources.filter(~F.coalesce(users, F.lit(False)))
     others = merge.update_changed(others, people, ["origin_id"], ["name", "active"])
@@ -130,7 +130,7 @@ def employees(
     ids = typed.filter(F.col("origin_id").isNotNull()).select(
         F.col("origin_id"), F.col("id").alias("resource_id")
     )
-    linked = people.join(ids, "origin_id").withColumn("employee_type", F.lit("employee"))
+    linked = cut_lineage(people.join(ids, "origin_id").withColumn("employee_type", F.lit("employee")))
     own = F.col("employee_type") == "employee"
     merged = merge.upsert_numbered(
         staff.filter(own), linked, ["origin_id"], ["name", "active", "department_id", "job_id"], ids_in=staff

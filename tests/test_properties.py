@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from millrace.operators import keys, lookup, merge, nesting, numbering, tree
+from millrace.plans import erp
 
 
 def random_state(seed, n, keep):
@@ -78,6 +79,24 @@ def test_hot_runs_are_numbered_the_same(frame):
     assert rows(plain) == rows(numbering.number_runs(data, ["g"], ["v"], "n", hot_rows=50))
 
 
+def test_rows_are_not_dealt_by_hot_group(frame):
+    data = frame("g int, o int, v int", *hot_rows(frame))
+    ranged = numbering.number_in_group(data, ["g"], ["o"], "n", hot_rows=50)
+    plan = ranged._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "LeftAnti" in line or "LeftSemi" in line]
+    assert joins and all("BroadcastHashJoin" in line for line in joins)
+
+
+def test_null_is_a_hot_group_too(frame, monkeypatch):
+    data = frame("g int, o int, v int", *[(g or None, o, v or None) for g, o, v in hot_rows(frame)])
+    seen, real = [], numbering._number_ranges
+    monkeypatch.setattr(numbering, "_number_ranges", lambda df, *a: seen.append(df.filter("g IS NULL").count()) or real(df, *a))
+    for number, order in ((numbering.number_in_group, "o"), (numbering.number_runs, "v")):
+        plain = number(data, ["g"], [order], "n", hot_rows=10_000_000)
+        assert rows(number(data, ["g"], [order], "n", hot_rows=50)) == rows(plain)
+    assert seen[0] == data.filter("g IS NULL").count()
+
+
 @pytest.mark.parametrize("max_items", [7, 50, 1000])
 def test_parts_hold_every_child_in_order(frame, max_items):
     data = hot_rows(frame)
@@ -221,3 +240,48 @@ def test_only_new_rows_are_numbered(spark):
     assert got["a"] == (1, "x") and got["b"] == (5, "z") and {got["c"], got[None]} == {(6, "m"), (7, "n")}
     again = merge.upsert_numbered(merged.dropna(subset=["k"]), source.dropna(), ["k"], ["v"])
     assert {r.k: r.id for r in again.collect()} == {"a": 1, "b": 5, "c": got["c"][0]}
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def _departments(frame):
+    target = frame(
+        "id long, origin_id long, name string, origin_parent_id long, parent_id long, complete_name string, parent_path string, "
+        "active boolean, company_id int, write_date timestamp_ntz",
+        (5, 1, '{"zh_CN":"a"}', None, None, None, None, True, None, None), (6, None, '{"zh_CN":"l"}', 1, None, "kept", "kept", True, None, None),
+    )
+    depart = frame(
+        "dd_id long, dd_name string, s_en_name string, s_jp_name string, dd_parent_id long",
+        (1, "a", None, None, None), (2, "b", None, None, 1), (3, "c", None, None, 2), (4, "lost", None, None, 99), (None, "n", None, None, 77),
+    )
+    return erp.departments(target, depart, F.lit(1), F.lit("2024-01-01").cast("timestamp_ntz"))
+
+
+def test_departments_are_reconciled_once(frame):
+    found = _departments(frame)
+    assert rows(found.filter("origin_id < 4"), "origin_id", "id", "complete_name", "parent_path") == [
+        (1, 5, "a", "5/"), (2, 7 + 1, "a / b", "5/8/"), (3, 7 + 2, "a / b / c", "5/8/9/")]
+    # What is left is the walk's join with files: neither the source nor the join with the target is read again.
+    assert "dd_id" not in _plan(found) and _plan(found).count("Join") == 1
+
+
+def test_people_are_joined_once_for_resources_and_employees(frame):
+    resources = frame("id long, origin_id long, name string, resource_type string, active boolean", (50, 1, "Old", "user", True))
+    staff = frame(
+        "id long, resource_id long, origin_id long, name string, employee_type string, active boolean, barcode string, "
+        "department_id long, job_id long", (7, None, 2, "old", "employee", True, None, None, None),
+    )
+    manager = frame(
+        "s_manager_id long, s_account string, s_cellphone string, s_email string, s_activate_flag int, dd_depart_ids string, s_talent_id long",
+        (1, "a", None, None, 1, "3", 1), (2, "b", None, None, 0, "", 2), (3, "c", None, None, 1, None, 3),
+    )
+    archive = frame("s_talent_archives_id long, s_employee_num string, s_talent_position_id long", (1, "E1", 4), (2, None, 4), (3, "E3", None))
+    job = frame("id long, origin_id long", (40, 4))
+    people = erp.employees(resources, staff, manager, archive, _departments(frame), job, F.lit(1), F.lit("2024-01-01").cast("timestamp_ntz"))
+    assert rows(people[0], "id", "origin_id", "name", "active") == [(50, 1, "a", True), (51, 2, "b", False), (52, 3, "c", True)]
+    assert rows(people[1], "id", "origin_id", "resource_id", "department_id", "job_id", "barcode") == [
+        (7, 2, None, None, 40, None), (8, 1, 50, 9, 40, "E1"), (9, 3, 52, None, None, "E3")]
+    for out in people:
+        assert "s_talent_archives_id" not in _plan(out) and "dd_depart_ids" not in _plan(out)
