@@ -319,10 +319,13 @@ def _free(margins: np.ndarray, once: float, each: float) -> np.ndarray:
 
 
 class Scores:
-    """Scores of neighbouring windows: (rows, tags, windows), the rows of a window being its first STRIDE + MARGIN characters."""
+    """Scores of neighbouring windows: (rows, tags, windows), the rows of a window being its first STRIDE + MARGIN characters.
 
-    def __init__(self, tagger: Tagger, windows: np.ndarray):
-        self.each = tagger.scores(windows.T, STRIDE + MARGIN)
+    Only the windows in ``first``, which begin a text, decide on their first MARGIN characters; the others are not scored there.
+    """
+
+    def __init__(self, tagger: Tagger, windows: np.ndarray, first: list[int]):
+        self.each = tagger.scores(windows.T, STRIDE + MARGIN, MARGIN, np.array(first, np.intp))
 
     def margins(self) -> np.ndarray:
         """The margin of the best tag over outside, (windows, rows)."""
@@ -345,7 +348,7 @@ def _tagged(tagger: Tagger, texts: list[str]) -> list[list[tuple[int, int, int]]
     found: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     once, each = _gains(tagger)
     pieces: list[tuple[int, int, np.ndarray]] = []
-    group, held = [], 0
+    group, held, open_size, counted = [], 0, 0, 0
     for i, text in enumerate(texts):
         if not text:
             continue
@@ -359,9 +362,11 @@ def _tagged(tagger: Tagger, texts: list[str]) -> list[list[tuple[int, int, int]]
         else:
             group.append((i, len(codes), windows))
             held += len(windows)
-        if sum(len(p[2]) for p in pieces) >= DECODED:
+        open_size += sum(len(p[2]) for p in pieces[counted:])
+        counted = len(pieces)
+        if open_size >= DECODED:
             _decode(tagger, pieces, found)
-            pieces = []
+            pieces, open_size, counted = [], 0, 0
     if group:
         pieces += _scored(tagger, group, once, each)
     _decode(tagger, pieces, found)
@@ -370,7 +375,8 @@ def _tagged(tagger: Tagger, texts: list[str]) -> list[list[tuple[int, int, int]]
 
 def _scored(tagger: Tagger, group, once: float, each: float) -> Iterator[tuple[int, int, np.ndarray]]:
     """The open pieces of some texts."""
-    scores = Scores(tagger, np.concatenate([w for _, _, w in group]))
+    begins = np.cumsum([0, *(len(w) for _, _, w in group[:-1])]).tolist()
+    scores = Scores(tagger, np.concatenate([w for _, _, w in group]), begins)
     margins = scores.margins()
     at = 0
     for i, length, windows in group:
@@ -381,7 +387,7 @@ def _scored(tagger: Tagger, group, once: float, each: float) -> Iterator[tuple[i
 
 def _scored_long(tagger: Tagger, i: int, windows: np.ndarray, length: int, once: float, each: float) -> Iterator[tuple[int, int, np.ndarray]]:
     """The open pieces of a text too long for its scores to be held: its margins are, and open parts are scored again."""
-    margins = np.concatenate([Scores(tagger, windows[k : k + SCORED]).margins() for k in range(0, len(windows), SCORED)])
+    margins = np.concatenate([Scores(tagger, windows[k : k + SCORED], [0]).margins() for k in range(0, len(windows), SCORED)])
     free = _free(_whole(margins, length), once, each)
     del margins
 
@@ -390,7 +396,7 @@ def _scored_long(tagger: Tagger, i: int, windows: np.ndarray, length: int, once:
         while low < high:
             first = max((low - MARGIN) // STRIDE, 0)
             to = min(high, (first + SCORED) * STRIDE + MARGIN)
-            own = Scores(tagger, windows[first : first + SCORED][: -(-(to - first * STRIDE) // STRIDE)])
+            own = Scores(tagger, windows[first : first + SCORED][: -(-(to - first * STRIDE) // STRIDE)], [0])
             # Positions count from the first window read; past its margin they are decided alike.
             out.append(own.of(0, low - first * STRIDE, to - first * STRIDE))
             low = to

@@ -76,9 +76,13 @@ class Tagger:
             trace.append((t, i, f, o, new, past, bent, before))
         return states, trace
 
-    def _states(self, way: str, codes: np.ndarray) -> np.ndarray:
+    def _states(self, way: str, codes: np.ndarray, to: int, whole: np.ndarray | None = None) -> np.ndarray:
         """Hidden states (length, hidden, n) of one direction over codes (length, n); windows lie side by side, so that
-        every step is a few operations on whole rows."""
+        every step is a few operations on whole rows.
+
+        Forward steps end before position ``to``. Backward ones end at it, and go on to the beginning only in the ``whole``
+        windows (all, if not given). States of positions not reached are zero.
+        """
         h = self.hidden
         dtype = self.p["out"].dtype
         # A gate is half of a tanh of half its input, plus a half.
@@ -86,11 +90,11 @@ class Tagger:
         table = np.ascontiguousarray(((self.p[f"{way}_in"] + self.p[f"{way}_bias"]) * scale).T)
         rec = np.ascontiguousarray((self.p[f"{way}_rec"] * scale).T)
         length, n = codes.shape
-        states = np.empty((length, h, n), dtype)
+        states = np.empty((to if way == "f" else length, h, n), dtype)
         state, cell = np.zeros((h, n), dtype), np.zeros((h, n), dtype)
         z, given, bent = np.empty((4 * h, n), dtype), np.empty((4 * h, n), dtype), np.empty((h, n), dtype)
         gates, new = z[: 3 * h], z[3 * h :]
-        for t in range(length) if way == "f" else range(length - 1, -1, -1):
+        for t in range(to) if way == "f" else range(length - 1, -1 if whole is None else to - 1, -1):
             np.take(table, codes[t], axis=1, out=given, mode="clip")
             np.matmul(rec, state, out=z)
             z += given
@@ -102,14 +106,25 @@ class Tagger:
             cell += new
             np.tanh(cell, out=bent)
             state = np.multiply(z[2 * h : 3 * h], bent, out=states[t])
+        if way == "b" and whole is not None:
+            states[:to] = 0
+            state, cell = state[:, whole], cell[:, whole]
+            for t in range(to - 1, -1, -1):
+                z = np.tanh(rec @ state + table[:, codes[t, whole]])
+                cell = cell * ((z[h : 2 * h] + 1) * 0.5) + z[3 * h :] * ((z[:h] + 1) * 0.5)
+                state = (z[2 * h : 3 * h] + 1) * 0.5 * np.tanh(cell)
+                states[t][:, whole] = state
         return states
 
-    def scores(self, codes: np.ndarray, rows: int) -> np.ndarray:
-        """Scores (rows, tags, n) of the first positions of windows of codes (length, n)."""
+    def scores(self, codes: np.ndarray, rows: int, first: int = 0, whole: np.ndarray | None = None) -> np.ndarray:
+        """Scores (rows, tags, n) of the first positions of windows of codes (length, n).
+
+        With ``whole``, indices of windows, those of the positions before ``first`` are only true for these windows.
+        """
         h = self.hidden
         codes = np.ascontiguousarray(codes, np.intp)
-        out = np.matmul(np.ascontiguousarray(self.p["out"][:h].T), self._states("f", codes)[:rows])
-        out += np.matmul(np.ascontiguousarray(self.p["out"][h:].T), self._states("b", codes)[:rows])
+        out = np.matmul(np.ascontiguousarray(self.p["out"][:h].T), self._states("f", codes, rows))
+        out += np.matmul(np.ascontiguousarray(self.p["out"][h:].T), self._states("b", codes, first, whole)[:rows])
         out += self.p["out_bias"][:, None]
         return out
 
