@@ -42,10 +42,14 @@ def marked(text: Column) -> Column:
     """
     text = F.regexp_replace(text, r"\p{N}+(?:[.,]\p{N}+)*", f" {NUMBER}$0 ")
     text = F.regexp_replace(text, rf"\p{{Lu}}(?<=[\p{{L}}\p{{M}},;:] .)\p{{Ll}}[\p{{L}}\p{{M}}]*", f"{NAME}$0")
-    text = F.regexp_replace(text, rf"(?<![\p{{L}}\p{{M}}{NAME}])\p{{Lu}}\p{{Ll}}[\p{{L}}\p{{M}}]*", f"{OPENER}$0")
+    # A glance at the next character alone turns most places down; what stands before it is looked at after that.
+    text = F.regexp_replace(text, rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{M}}{NAME}])\p{{Lu}}\p{{Ll}}[\p{{L}}\p{{M}}]*", f"{OPENER}$0")
     text = F.regexp_replace(text, rf"({NUMBER}[\p{{N}}.,]+ {{1,2}})((?:{UNITS})(?!\p{{L}}))", f"$1{UNIT}$2 ")
-    kept = rf"\p{{L}}\p{{M}}\p{{N}}{NUMBER}-{OPENER}%€£°"
-    text = F.regexp_replace(F.lower(text), rf"(?:[^{kept}.,]|(?<!\p{{N}})[.,]|[.,](?!\p{{N}})|(?<!{UNIT})[%€£°])+", " ")
+    word = rf"a-z\p{{L}}\p{{M}}\p{{N}}{NUMBER}-{OPENER}"
+    kept = rf"{word}%€£°"
+    # A blank right before a word is what would be written for it.
+    left = rf"(?![a-z])(?! [{word}])"
+    text = F.regexp_replace(F.lower(text), rf"{left}(?:[^{kept}.,]|(?<!\p{{N}})[.,]|[.,](?!\p{{N}})|(?<!{UNIT})[%€£°])+", " ")
     return F.trim(text)
 
 

@@ -136,3 +136,15 @@ def test_windows_hash_like_arrays(sp):
         parts = [r.w[i : i + 5] for i in range(max(1, len(r.w) - 4))]
         want = sp.createDataFrame([(i, p) for i, p in enumerate(parts)], "i int, p array<string>").orderBy("i").select(F.xxhash64("p").alias("h")).collect()
         assert r.h == [x.h for x in want]
+
+
+def test_marks_of_odd_texts(spark):
+    texts = {
+        "One  two.  Three": "one two three", "a Bob, c Eve": "a bob c eve", " 5 km % 7% x": "5 km 7 % x",
+        "a , b . 1.5,c": "a b 1.5 c", "a\nb\tc - d": "a b c d", "aB Cd €9 é Éa \U00010400\U00010428": "ab cd 9 é éa \U00010428\U00010428",
+    }
+    data = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in data.select(marked(F.col("t"))).collect()] == list(texts.values())
+    # Most places of a text are turned down by the next character, before what precedes them is looked at.
+    plan = data.select(marked(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "(?![a-z])" in plan
