@@ -119,7 +119,7 @@ def collect_lists(
         out = out.join(gathered, on, "left")
     if whole is not None:
         out = out.withColumn(f"{whole}_whole", F.coalesce(whole, F.array()))
-    out = _cut_parts(out, list(lists), max_items)
+    out = cut_parts(out, list(lists), max_items)
     if hot is None:
         return out
     parts = {
@@ -146,7 +146,7 @@ def _within(rows: DataFrame, keys: list[str], limit: int) -> DataFrame:
     return counted.select(*keys)
 
 
-def _cut_parts(df: DataFrame, names: list[str], max_items: int) -> DataFrame:
+def cut_parts(df: DataFrame, names: list[str], max_items: int) -> DataFrame:
     """One row per part of the longest list; a shorter list is empty in the later ones."""
     filled = df.withColumns({n: F.coalesce(n, F.array()) for n in names})
     longest = F.greatest(*[F.size(n) for n in names], F.lit(1))

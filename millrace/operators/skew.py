@@ -62,19 +62,23 @@ def key_side(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
     return df.select(*names, spread_zero(keys).alias("_zero")).distinct()
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, weight: str | None = None
+) -> DataFrame | None:
     """Keys that hold ``hot_rows`` rows or more, or None if there are none.
 
-    Every row counts: a table with fewer rows in all has none, and else keys are counted map-side, so that no hot key is
-    missed and none is gathered to be found. The keys come marked for broadcast, unless very many: dealt out by key to meet
-    them, all rows of a hot key would be read by one task.
+    Every row counts, as many times as its column ``weight`` says if one is named: a table with fewer rows in all has none,
+    and else keys are counted map-side, so that no hot key is missed and none is gathered to be found. The keys come marked
+    for broadcast, unless very many: dealt out by key to meet them, all rows of a hot key would be read by one task.
     """
-    rows = df.select(*keys)
-    if rows.count() < hot_rows:
+    rows = df.select(*keys, (F.lit(1) if weight is None else F.col(weight)).cast("long").alias("_w"))
+    held = rows.count() if weight is None else rows.agg(F.sum("_w").alias("n")).first()["n"] or 0
+    if held < hot_rows:
         return None
-    found = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= hot_rows).drop("_n")
+    found = rows.groupBy(*keys).agg(F.sum("_w").alias("_n")).filter(F.col("_n") >= hot_rows).drop("_n")
     # Both branches of a caller must see the same keys, so found keys are pinned.
-    return None if found.isEmpty() else small(cut_lineage(found))
+    found = cut_lineage(found)
+    return None if found.isEmpty() else small(found)
 
 
 def split_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:

@@ -7,7 +7,7 @@ list is too long for one document.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +17,8 @@ from millrace.functions import (
 )
 from millrace.operators import keys, nesting, numbering
 from millrace.operators.lookup import lookup
-from millrace.operators.skew import hot_keys
-from millrace.session import cut_lineage
+from millrace.operators.skew import hot_keys, small, split_hot
+from millrace.session import cut_lineage, release
 
 # Codes of the exchange format. The keys of every document object below (the arguments
 # of ``_item``) are fixed by that format too, odd spellings included.
@@ -28,6 +28,11 @@ SOURCES = {"M1": 1, "M2": 3, "M3": 2, "M4": 2}
 #: Entries (colours x sizes) one material of a bill may repeat in one cell.
 CELL_ITEMS = 1_000_000
 
+#: Sizes, colours and overrides up to which a bill's lists are made of its product's in place: each entry looks for its override.
+LIST_ITEMS = 256
+#: Entries of one product up to which its rows meet in one task.
+PRODUCT_ITEMS = 100_000
+
 
 def _named(df: DataFrame, prefix: str, *columns: str) -> DataFrame:
     """(prefix_id, prefix_<column>...) of a small master table."""
@@ -181,69 +186,249 @@ def item_documents(
 # --- bills of materials -------------------------------------------------------
 
 
-def bom_rows(bom: DataFrame, product: DataFrame, material: DataFrame, types: DataFrame, cap: int | None = None):
-    """Active fabric and accessory rows per product, ordered by type, sequence, id.
+def bom_rows(
+    bom: DataFrame, product: DataFrame, material: DataFrame, types: DataFrame, cap: int | None = None,
+    extra: Sequence[str] = (),
+):
+    """Active fabric and accessory rows per product, ordered by type, sequence, id, and what they were cut from, to be
+    released with them.
 
-    ``cap`` limits the rows per product; only a report that lists so many asks for it.
+    ``cap`` limits the rows per product; only a report that lists so many asks for it. ``extra`` names more
+    columns of the material to take along.
     """
-    live = product.filter(F.col("active")).select(F.col("id").alias("product_id"), "design_no")
-    rows = bom.filter(F.col("active")).join(live, "product_id")
+    live = product.filter(F.col("active")).select(F.col("id").alias("product_id"))
+    # Written before the materials are joined: by then the shuffles of all rows are gone.
+    own = cut_lineage(bom.filter(F.col("active")).join(live, "product_id").drop("active"))
     listed = types.filter(F.col("code").isin(FABRIC, ACCESSORY))
     listed = listed.select(F.col("id").alias("type_id"), F.col("code").alias("type_code"))
     m = material.join(listed, "type_id").select(
         F.col("id").alias("material_id"), "type_id", "type_code",
-        F.col("code").alias("m_code"), F.col("name").alias("m_name"), "composition", "weight", "price",
-        "unit_id", "min_package_unit_id", "supplier_id",
+        F.col("code").alias("m_code"), F.col("name").alias("m_name"), "composition", "weight", "price", *extra,
     )
-    rows = rows.join(m, "material_id").withColumnRenamed("id", "bom_id")
-    if cap is None:
-        return rows
-    order = ["type_id", "sequence", "bom_id"]
-    return keys.top_n_per_group(rows, ["product_id"], order, cap).drop("rank")
+    rows = own.join(m, "material_id").withColumnRenamed("id", "bom_id")
+    if cap is not None:
+        order = ["type_id", "sequence", "bom_id"]
+        rows = keys.top_n_per_group(rows, ["product_id"], order, cap).drop("rank")
+    return rows, own
+
+
+def _own_sizes(rows: DataFrame, product_sizes: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(product_id, sid, sequence, size name) of the products of ``rows``."""
+    own = product_sizes.join(rows, "product_id", "left_semi").withColumn("sid", F.col("size_id"))
+    own = _inner(own, _named(sizes, "s", "name", "sequence"), "size_id", "s")
+    return own.select("product_id", "sid", "s_sequence", "s_name")
+
 
+def _own_colours(rows: DataFrame, product_colours: DataFrame, colours: DataFrame) -> DataFrame:
+    """(product_id, cid, name and code of the product colour) of the products of ``rows``."""
+    own = product_colours.join(rows, "product_id", "left_semi").withColumn("cid", F.col("color_id"))
+    own = _inner(own, _named(colours, "b", "name", "code"), "color_id", "b")
+    return own.select("product_id", "cid", "b_name", "b_code")
 
-def bom_sizes(rows: DataFrame, product_sizes: DataFrame, overrides: DataFrame, sizes: DataFrame) -> DataFrame:
+
+def bom_sizes(rows: DataFrame, own_sizes: DataFrame, overrides: DataFrame) -> DataFrame:
     """(bom_id, sequence, size name, spec): the override of the size, else the common spec."""
-    own = rows.select("bom_id", "product_id", "common_spec").join(product_sizes, "product_id")
-    given = overrides.select(F.col("parent_id").alias("bom_id"), "size_id", F.col("value").alias("given"))
-    merged = own.join(given, ["bom_id", "size_id"], "left")
-    merged = merged.withColumn("spec", F.coalesce("given", "common_spec")).withColumn("sid", F.col("size_id"))
-    return _inner(merged, _named(sizes, "s", "name", "sequence"), "size_id", "s").select(
-        "bom_id", "sid", "s_sequence", "s_name", "spec"
-    )
+    own = rows.select("bom_id", "product_id", "common_spec").join(own_sizes, "product_id")
+    given = overrides.select(F.col("parent_id").alias("bom_id"), F.col("size_id").alias("sid"), F.col("value").alias("given"))
+    merged = own.join(given, ["bom_id", "sid"], "left")
+    merged = merged.withColumn("spec", F.coalesce("given", "common_spec"))
+    return merged.select("bom_id", "sid", "s_sequence", "s_name", "spec")
 
 
-def bom_colours(rows: DataFrame, product_colours: DataFrame, overrides: DataFrame, colours: DataFrame) -> DataFrame:
+def bom_colours(rows: DataFrame, own_colours: DataFrame, overrides: DataFrame, colours: DataFrame) -> DataFrame:
     """(bom_id, product colour, material colour): the override of that colour, else the common one."""
-    own = rows.select("bom_id", "product_id", "material_id", "common_color").join(product_colours, "product_id")
-    given = overrides.select(F.col("parent_id").alias("bom_id"), "color_id", F.col("value").alias("given"))
-    merged = own.join(given, ["bom_id", "color_id"], "left")
-    merged = merged.withColumn("mate_color", F.coalesce("given", "common_color")).withColumn("cid", F.col("color_id"))
-    merged = _inner(merged, _named(colours, "b", "name", "code"), "color_id", "b")
+    own = rows.select("bom_id", "product_id", "material_id", "common_color").join(own_colours, "product_id")
+    given = overrides.select(F.col("parent_id").alias("bom_id"), F.col("color_id").alias("cid"), F.col("value").alias("given"))
+    merged = own.join(given, ["bom_id", "cid"], "left")
+    merged = merged.withColumn("mate_color", F.coalesce("given", "common_color"))
     merged = merged.withColumn("mid", F.col("mate_color"))
     return _inner(merged, _named(colours, "c", "name", "code"), "mate_color", "c").select(
         "bom_id", "material_id", "cid", "mid", "b_name", "b_code", "c_name", "c_code"
     )
 
 
-def bom_prices(colours: DataFrame, sizes: DataFrame, details: DataFrame) -> DataFrame:
-    """Cheapest detail per BOM colour among the specs of the BOM row."""
-    offers = (
+def _offers(details: DataFrame) -> DataFrame:
+    """Lowest price per (material_id, mid, spec)."""
+    return (
         details.groupBy(F.col("material_id"), F.col("color_id").alias("mid"), F.col("name").alias("spec"))
         .agg(F.min("price").alias("price"))
         .filter(F.col("spec").isNotNull())
     )
+
+
+def _cheapest() -> Column:
+    return F.min(F.struct(F.col("price").isNull(), "price", "spec")).alias("b")  # without a price last
+
+
+def bom_prices(colours: DataFrame, sizes: DataFrame, details: DataFrame) -> DataFrame:
+    """Cheapest detail per BOM colour among the specs of the BOM row."""
     wanted = sizes.select("bom_id", "spec").distinct()
     hits = colours.select("bom_id", "material_id", "cid", "mid", "c_name", "c_code").join(
-        offers, ["material_id", "mid"]
+        _offers(details), ["material_id", "mid"]
     )
     hits = hits.join(wanted, ["bom_id", "spec"], "left_semi")
-    best = hits.groupBy("bom_id", "cid", "c_name", "c_code").agg(
-        F.min(F.struct(F.col("price").isNull(), "price", "spec")).alias("b")  # without a price last
-    )
+    best = hits.groupBy("bom_id", "cid", "c_name", "c_code").agg(_cheapest())
     return best.select("bom_id", "cid", "c_name", "c_code", F.col("b.price").alias("price"), F.col("b.spec").alias("spec"))
 
 
+def _lists_by_rows(
+    rows: DataFrame, own_sizes: DataFrame, own_colours: DataFrame, size_overrides: DataFrame, colour_overrides: DataFrame,
+    colours: DataFrame, details: DataFrame, hot: DataFrame | None, max_items: int, whole: str | None,
+) -> DataFrame:
+    """BOM rows with their lists, each list collected from rows of its own: for bills of any size and repeated ids."""
+    size_rows = cut_lineage(bom_sizes(rows, own_sizes, size_overrides))
+    colour_rows = cut_lineage(bom_colours(rows, own_colours, colour_overrides, colours))
+    price_rows = bom_prices(colour_rows, size_rows, details)
+    size_rank = F.struct("s_sequence", "sid")
+    first_spec = size_rows.filter(F.col("spec") != "").groupBy("bom_id").agg(
+        F.min_by("spec", size_rank).alias("model")
+    )
+    headed = rows.join(first_spec, "bom_id", "left")
+    lists = {
+        "size_list": (size_rows, ["s_sequence", "sid"], F.struct("s_name", "spec")),
+        "colour_list": (colour_rows, ["cid"], F.struct("b_code", "b_name", "c_code", "c_name")),
+        "price_list": (price_rows, ["cid"], F.struct("c_code", "c_name", "spec", "price")),
+    }
+    return nesting.collect_lists(headed, ["bom_id"], lists, hot, max_items, whole, CELL_ITEMS)
+
+
+def _gathered(rows: DataFrame, extras: Mapping[str, tuple[DataFrame, Sequence[str]]], own: Mapping[str, tuple[DataFrame, Sequence[str]]]):
+    """``rows`` with arrays of what belongs to each (``extras``: tables by product_id and bom_id) and to its product
+    (``own``: tables by product_id), an empty one where there is nothing; dealt by product_id, in one shuffle of each table.
+
+    A bom_id stands for one row here.
+    """
+    pair = ["product_id", "bom_id"]
+    fields = [c for c in rows.columns if c not in pair]
+    shape = {"_row": (rows, fields), **extras}
+    tagged = None
+    for name, (table, columns) in shape.items():
+        kind = F.struct(*columns)
+        one = table.select(*pair, kind.alias(name))
+        tagged = one if tagged is None else tagged.unionByName(one, allowMissingColumns=True)
+    # Only a record's own field is filled, and collecting leaves out nulls.
+    met = tagged.repartition("product_id").groupBy(*pair).agg(*[F.collect_list(n).alias(n) for n in shape])
+    met = met.filter(F.size("_row") > 0).select(*pair, F.col("_row")[0].alias("_row"), *extras)
+    for name, (table, columns) in own.items():
+        each = table.select("product_id", F.struct(*columns).alias(name)).repartition("product_id")
+        met = met.join(each.groupBy("product_id").agg(F.collect_list(name).alias(name)), "product_id", "left")
+        met = met.withColumn(name, F.coalesce(name, F.array()))
+    return met.select(*pair, *[F.col("_row")[c].alias(c) for c in fields], *extras, *own)
+
+
+def _specs(size: Column) -> Column:
+    """Specs of a product size (with ``sid``): what overrides it in ``given_sizes``, else the common spec."""
+    given = F.filter("given_sizes", lambda g: g["sid"] == size["sid"])
+    return F.when(F.size(given) == 0, F.array("common_spec")).otherwise(
+        F.transform(given, lambda g: F.coalesce(g["given"], F.col("common_spec")))
+    )
+
+
+def _mates(colour: Column) -> Column:
+    """(mid, entries) of a product colour (with ``cid``), as ``_specs``: ``given_colours``, else the common colour."""
+    common = F.struct(F.col("common_color").alias("mid"), F.col("common_entries").alias("entries"))
+    given = F.filter("given_colours", lambda g: g["cid"] == colour["cid"])
+    return F.when(F.size(given) == 0, F.array(common)).otherwise(
+        F.transform(given, lambda g: F.when(g["mid"].isNull(), common).otherwise(F.struct(g["mid"], g["entries"])))
+    )
+
+
+def _lists_by_product(
+    rows: DataFrame, own_sizes: DataFrame, own_colours: DataFrame, given_sizes: DataFrame, given_colours: DataFrame,
+    details: DataFrame, max_items: int, whole: str | None,
+) -> DataFrame:
+    """``_lists_by_rows`` for bills of up to ``LIST_ITEMS`` entries whose bom_id is theirs alone, dealt by product_id.
+
+    Sizes and colours travel once per product, overrides and prices as they are, and meet in the product's task: the
+    products of rows with sizes and colours are never written.
+    """
+    given = {"given_sizes": (given_sizes, ["sid", "given"]), "given_colours": (given_colours, ["cid", "mid", "entries"])}
+    # Prices first: each material colour of a row once, with the specs it may have.
+    slim = _gathered(
+        rows.select("product_id", "bom_id", "material_id", "common_spec", "common_color", F.lit(None).cast("int").alias("common_entries")),
+        {**given, "given_colours": (given_colours.withColumn("entries", F.lit(None).cast("int")), ["cid", "mid", "entries"])},
+        {"sizes": (own_sizes, ["sid"]), "colours": (own_colours, ["cid"])},
+    )
+    mids = F.transform(F.flatten(F.transform("colours", _mates)), lambda m: m["mid"])
+    asked = slim.select(
+        "product_id", "bom_id", "material_id", F.array_distinct(F.flatten(F.transform("sizes", _specs))).alias("specs"),
+        F.explode(F.array_distinct(mids)).alias("mid"),
+    ).filter(F.size("specs") > 0)
+    asked = cut_lineage(asked.filter(F.col("mid").isNotNull()))
+    hits = asked.join(_offers(details), ["material_id", "mid"]).filter(F.array_contains("specs", F.col("spec")))
+    best = cut_lineage(hits.groupBy("product_id", "bom_id", "mid").agg(_cheapest()))
+    release(asked)
+
+    met = _gathered(
+        rows.drop("material_id"), {**given, "best": (best, ["mid", "b"])},
+        {"sizes": (own_sizes, ["s_sequence", "sid", "s_name"]), "colours": (own_colours, ["cid", "b_code", "b_name"])},
+    )
+    fits = F.transform(
+        "sizes",
+        lambda s: F.transform(_specs(s), lambda v: F.struct(s["s_sequence"], s["sid"], s["s_name"], v.alias("spec"))),
+    )
+    shades = F.transform(
+        "colours",
+        lambda c: F.flatten(F.transform(_mates(c), lambda m: F.transform(
+            F.coalesce(m["entries"], F.array()),
+            lambda e: F.struct(c["cid"], c["b_code"], c["b_name"], e["c_code"], e["c_name"], m["mid"]),
+        ))),
+    )
+    met = met.withColumns({"fits": F.sort_array(F.flatten(fits)), "shades": F.sort_array(F.flatten(shades))})
+    priced = F.transform(
+        "shades",
+        lambda c: F.transform(
+            F.filter("best", lambda x: x["mid"] == c["mid"]),
+            lambda x: F.struct(F.struct(c["cid"], c["c_code"], c["c_name"]).alias("of"), x["b"].alias("b")),
+        ),
+    )
+    met = met.withColumn("priced", F.sort_array(F.flatten(priced)))
+
+    def leads(x: Column, i: Column) -> Column:
+        """Whether a colour's cheapest offer, which is sorted first, stands here."""
+        return (i == 0) | ~F.get("priced", i - 1)["of"].eqNullSafe(x["of"])
+
+    met = met.withColumns({
+        "model": F.get(F.filter("fits", lambda s: s["spec"] != ""), F.lit(0))["spec"],
+        "size_list": F.transform("fits", lambda s: F.struct(s["s_name"], s["spec"])),
+        "colour_list": F.transform("shades", lambda c: F.struct(c["b_code"], c["b_name"], c["c_code"], c["c_name"])),
+        "price_list": F.transform(
+            F.filter("priced", leads),
+            lambda p: F.struct(p["of"]["c_code"], p["of"]["c_name"], p["b"]["spec"], p["b"]["price"]),
+        ),
+    })
+    met = met.drop("fits", "shades", "priced", "sizes", "colours", "best", "common_spec", "common_color", "common_entries", *given)
+    if whole is not None:
+        met = met.withColumn(f"{whole}_whole", F.col(whole))
+    return nesting.cut_parts(met, ["size_list", "colour_list", "price_list"], max_items)
+
+
+def _apart(rows: DataFrame, entries: DataFrame, overrides: Sequence[DataFrame], max_items: int):
+    """(bom_ids, null among them, that need lists collected by rows, those with ``max_items`` entries, products with many); all None if there are none.
+
+    ``entries`` holds a row (product_id) for each size and colour. Counts are sums over keys, so no group is gathered.
+    """
+    per_product = entries.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
+    counted = rows.select("product_id", "bom_id").join(per_product, "product_id", "left")
+    counted = cut_lineage(counted.select("product_id", "bom_id", F.coalesce("n", F.lit(0)).alias("n"), F.lit(1).alias("rows")))
+    members = counted.drop("product_id")
+    for given in overrides:
+        members = members.unionByName(given.select("bom_id", F.lit(1).alias("n"), F.lit(0).alias("rows")))
+    hot = hot_keys(members, ["bom_id"], max_items, "n")
+    held = members.groupBy("bom_id").agg(F.sum("n").alias("n"), F.sum("rows").alias("rows"))
+    found = held.filter((F.col("n") > LIST_ITEMS) | (F.col("rows") > 1) | F.col("bom_id").isNull()).select("bom_id")
+    # A product's rows meet in one task, so a product with many is not dealt by product either.
+    crowded = counted.groupBy("product_id").agg(F.sum(F.col("n") + 1).alias("n")).filter(F.col("n") > PRODUCT_ITEMS)
+    found = found.unionByName(counted.join(crowded.select("product_id"), "product_id", "left_semi").select("bom_id"))
+    if hot is not None:
+        found = found.unionByName(hot)
+    found = cut_lineage(found.distinct())
+    release(counted)
+    if found.isEmpty():
+        return None, None, None
+    return small(found), hot, small(cut_lineage(per_product.filter(F.col("n") > LIST_ITEMS).select("product_id")))
+
+
 def bom_materials(
     bom: DataFrame,
     product: DataFrame,
@@ -272,36 +457,51 @@ def bom_materials(
     colour carries all sizes in whichever part it stands; a row whose colours and sizes do not fit
     one cell fails by name.
     ``form`` is "item" or "order": the two consumers name and type some fields differently.
-    Rows, sizes and colours feed several lists each, so they are written once.
+    Rows, sizes and colours of the products and overrides feed several lists each, so they are written once. They meet
+    where the documents are made; only bills too long for that, and repeated ids, are collected from rows of their own.
     """
     if wanted is not None:
         bom = bom.join(wanted.select("product_id").distinct(), "product_id", "left_semi")
-    rows = bom_rows(bom, product, material, types, cap)
-    rows = lookup(rows, units, {"unit_id": "id"}, {"mate_unit": "name"})
-    rows = lookup(rows, units, {"min_package_unit_id": "id"}, {"pack_unit": "name"})
-    rows = lookup(rows, partners, {"supplier_id": "id"}, {"provider_code": "code", "provider_name": "name"})
+    # Looked up per material, of which there are fewer than rows.
+    named = lookup(material, units, {"unit_id": "id"}, {"mate_unit": "name"})
+    named = lookup(named, units, {"min_package_unit_id": "id"}, {"pack_unit": "name"})
+    named = lookup(named, partners, {"supplier_id": "id"}, {"provider_code": "code", "provider_name": "name"})
+    extra = ["mate_unit", "pack_unit", "provider_code", "provider_name"]
+    rows, own = bom_rows(bom, product, named, types, cap, extra)
     rows = lookup(rows, supplier_types, {"supplier_type_id": "id"}, {"source_code": "code"})
-    rows = cut_lineage(lookup(rows, part_names, {"parts_id": "id"}, {"part_name": "name"}))
+    rows = lookup(rows, part_names, {"parts_id": "id"}, {"part_name": "name"})
+    shade = _named(colours, "c", "name", "code").groupBy("c_id").agg(F.collect_list(F.struct("c_code", "c_name")).alias("entries"))
+    rows = lookup(rows, shade, {"common_color": "c_id"}, {"common_entries": "entries"})
+    rows = cut_lineage(rows.drop("supplier_type_id", "parts_id"))
+    release(own)
+
+    ids = rows.select("product_id", "bom_id")
+    own_sizes = cut_lineage(_own_sizes(ids, product_sizes, sizes))
+    own_colours = cut_lineage(_own_colours(ids, product_colours, colours))
+    given_sizes = size_overrides.select(F.col("parent_id").alias("bom_id"), F.col("size_id").alias("sid"), F.col("value").alias("given"))
+    given_sizes = cut_lineage(given_sizes.join(ids, "bom_id"))
+    given_colours = colour_overrides.select(F.col("parent_id").alias("bom_id"), F.col("color_id").alias("cid"), F.col("value").alias("mid"))
+    given_colours = cut_lineage(lookup(given_colours.join(ids, "bom_id"), shade, {"mid": "c_id"}, {"entries": "entries"}))
+
+    entries = own_sizes.select("product_id").unionByName(own_colours.select("product_id"))
+    apart, hot, wide = _apart(rows, entries, [given_sizes, given_colours], max_items)
+    is_item = form == "item"
+    whole = "size_list" if is_item else None
 
-    size_rows = cut_lineage(bom_sizes(rows, product_sizes, size_overrides, sizes))
-    colour_rows = cut_lineage(bom_colours(rows, product_colours, colour_overrides, colours))
-    price_rows = bom_prices(colour_rows, size_rows, details)
-    size_rank = F.struct("s_sequence", "sid")
-    first_spec = size_rows.filter(F.col("spec") != "").groupBy("bom_id").agg(
-        F.min_by("spec", size_rank).alias("model")
-    )
-    headed = rows.join(first_spec, "bom_id", "left")
+    def narrow(df: DataFrame) -> DataFrame:
+        return df if wide is None else df.join(wide, "product_id", "left_anti")
 
-    lists = {
-        "size_list": (size_rows, ["s_sequence", "sid"], F.struct("s_name", "spec")),
-        "colour_list": (colour_rows, ["cid"], F.struct("b_code", "b_name", "c_code", "c_name")),
-        "price_list": (price_rows, ["cid"], F.struct("c_code", "c_name", "spec", "price")),
-    }
-    # A row has at most one price per colour, so sizes and colours tell which are large.
-    members = size_rows.select("bom_id").unionByName(colour_rows.select("bom_id"))
-    hot = hot_keys(members, ["bom_id"], max_items)
-    is_item = form == "item"
-    full = nesting.collect_lists(headed, ["bom_id"], lists, hot, max_items, "size_list" if is_item else None, CELL_ITEMS)
+    def alone(df: DataFrame) -> DataFrame:
+        return df if apart is None else split_hot(df, apart, ["bom_id"])[0]
+
+    full = _lists_by_product(
+        alone(rows), narrow(own_sizes), narrow(own_colours), alone(given_sizes), alone(given_colours), details, max_items, whole
+    )
+    if apart is not None:
+        large = _lists_by_rows(
+            split_hot(rows, apart, ["bom_id"])[1], own_sizes, own_colours, size_overrides, colour_overrides, colours, details, hot, max_items, whole
+        )
+        full = full.unionByName(large.select(*full.columns))
 
     def amount(c: Column) -> Column:
         return c.cast("string") if is_item else c.cast("double")

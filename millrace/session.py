@@ -17,6 +17,9 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+#: Whether a plan's shuffle files go with its end; taken over when the plan is made.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
@@ -64,6 +67,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and continue from the files."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the checkpoint folder and continue from the files.
+
+    The shuffles it took go at once: left to the cleaner, they stay on disk until the driver collects garbage.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        # Selected anew: the plan is run here only, so no other action looks for its shuffles.
+        return df.select("*").checkpoint(eager=True)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
+def release(df: DataFrame) -> None:
+    """Delete the files of a frame from ``cut_lineage`` of which nothing is read any more.
+
+    The cleaner would keep them until the driver collects garbage.
+    """
+    path = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+    if path.isDefined():
+        jvm = df.sparkSession._jvm
+        place = jvm.org.apache.hadoop.fs.Path(path.get())
+        place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(place, True)

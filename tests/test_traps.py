@@ -13,6 +13,7 @@ from millrace.functions import (
 from millrace.operators import keys, lookup, merge, nesting, numbering, tree
 from millrace.operators import rows as row_ops
 from millrace.plans import audit, documents, erp, materials, org, punches, yarn
+from millrace.session import cut_lineage, release
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -173,6 +174,105 @@ def test_every_colour_keeps_all_sizes(frame, monkeypatch, form, hot):
         assert all([s["sizeCode"] for s in c["mateSizeList"]] == ["S1", "S2", "S3", "S4", "S5"] for c in small[1]["shades"])
 
 
+def mixed_bills(frame):
+    """Bills with repeated and null ids, shared by products, overrides given twice, with nulls or of unknown colours."""
+    tables, _ = bom_fixture(frame)
+    tables["bom"] = frame(
+        "id long, product_id long, material_id long, quantity decimal(8,2), memo string, parts_id int, "
+        "supplier_type_id int, sequence int, common_spec string, common_color int, active boolean",
+        (1, 100, 10, D(2), "m", 1, 1, 2, "std", 7, True), (2, 100, 11, D(1), None, None, None, 1, None, 7, True),
+        (3, 101, 10, D(1), None, None, None, 1, "std", 8, True), (3, 101, 10, D(4), None, None, None, 1, "wide", 7, True),
+        (4, 100, 10, D(1), None, None, None, 3, "std", 9, True), (4, 101, 11, D(1), None, None, None, 3, "std", 7, True),
+        (None, 100, 10, D(1), None, None, None, 4, "std", 7, True), (None, 100, 11, D(1), None, None, None, 4, "std", 7, True),
+        (5, 103, 10, D(1), "none", None, None, 1, "std", 7, True), (6, 101, 11, D(1), None, None, None, 1, "", None, True),
+        (7, 104, 10, D(1), None, None, None, 1, "std", 7, True), (8, 104, 10, D(1), None, None, None, 2, "std", 8, True),
+    )
+    tables["product"] = frame("id long, design_no string, active boolean", *[(p, f"D{p}", True) for p in (100, 101, 103, 104)])
+    tables["product_sizes"] = frame(
+        "product_id long, size_id int", *[(p, s) for p in (100, 101) for s in (3, 1, 2, 9)], (100, 2), *[(104, s) for s in range(10, 40)]
+    )
+    tables["product_colours"] = frame(
+        "product_id long, color_id int", *[(p, c) for p in (100, 101) for c in (6, 5, 77)], (101, 5), *[(104, c) for c in range(10, 30)]
+    )
+    tables["size_overrides"] = frame(
+        "parent_id long, size_id int, value string", (1, 1, ""), (1, 2, "wide"), (1, 2, "std"), (2, 1, None), (3, 3, "wide"),
+        (None, 1, "std"), (7, 12, "wide"), (9, 1, "std"),
+    )
+    tables["colour_overrides"] = frame(
+        "parent_id long, color_id int, value int", (1, 6, 8), (1, 6, 7), (1, 5, None), (2, 5, 99), (4, 6, 8), (6, 5, 8), (7, 11, 8),
+    )
+    tables["sizes"] = frame("id int, name string, sequence int", (1, "S", 2), (2, "M", 2), (3, "L", None), *[(s, f"s{s}", -s) for s in range(10, 40)])
+    tables["colours"] = frame(
+        "id int, name string, code string", (5, "red", "R"), (6, "blue", "B"), (7, "raw", "W"), (8, "navy", "N"), (8, "navy two", "N"),
+        *[(c, f"c{c}", None) for c in range(10, 30)],
+    )
+    tables["details"] = frame(
+        "material_id long, color_id int, name string, price decimal(8,2)", (10, 7, "std", D(4)), (10, 7, "std", D(3)),
+        (10, 7, "wide", D(3)), (10, 8, "std", None), (10, 8, "wide", D(1)), (11, 7, "std", D(2)), (11, 7, None, D(1)), (11, 8, "", D(7)),
+    )
+    return tables
+
+
+@pytest.mark.parametrize("form", ["item", "order"])
+def test_lists_by_product_are_those_by_rows(frame, monkeypatch, form):
+    """Made in the product's task or collected from rows of their own, bills hold the same; parts stay where they were."""
+    tables = mixed_bills(frame)
+
+    def entries(max_items=documents.nesting.MAX_ITEMS, **bounds):
+        for name, bound in bounds.items():
+            monkeypatch.setattr(documents, name, bound)
+        found = documents.bom_materials(**tables, form=form, max_items=max_items)[1].collect()
+        return sorted(repr((r.product_id, r.type_code, r.type_id, r.sequence, r.bom_id, r.piece, r.entry)) for r in found)
+
+    made = entries(LIST_ITEMS=1000)
+    assert len(made) == 12
+    assert made == entries(LIST_ITEMS=1000, PRODUCT_ITEMS=100) == entries(LIST_ITEMS=-1)
+    if form == "item":
+        assert entries(3, LIST_ITEMS=-1) == entries(3, LIST_ITEMS=1000, PRODUCT_ITEMS=1000)
+
+
+def test_sizes_and_colours_of_bills_are_not_written_per_row(frame, monkeypatch):
+    """30 rows of a product with 40 sizes and 40 colours: nothing of 1,200 rows is written or dealt."""
+    tables, _ = bom_fixture(frame)
+    row = (D(1), "m", 1, 1, 1, "std", 7, True)
+    tables["bom"] = frame(tables["bom"].schema, *[(i, 100, 10, *row) for i in range(30)])
+    tables["product_sizes"] = frame("product_id long, size_id int", *[(100, s) for s in range(40)])
+    tables["product_colours"] = frame("product_id long, color_id int", *[(100, c) for c in range(40)])
+    tables["sizes"] = frame("id int, name string, sequence int", *[(s, f"S{s}", s) for s in range(40)])
+    tables["colours"] = frame("id int, name string, code string", *[(c, f"c{c}", f"C{c}") for c in range(40)])
+    written = []
+
+    def counted(df):
+        cut = cut_lineage(df)
+        written.append(cut.count())
+        return cut
+
+    monkeypatch.setattr(documents, "cut_lineage", counted)
+    found = documents.bom_materials(**tables, form="order")[1].select("entry.mateSizeList", "entry.mateColorList").collect()
+    assert [(len(r[0]), len(r[1])) for r in found] == [(40, 40)] * 30
+    assert max(written) == 40
+
+
+def test_a_cut_leaves_no_shuffle_files(spark):
+    import time
+
+    def blocks():
+        held = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ")
+        return {b for b in held.split() if b.startswith("shuffle_")}
+
+    before = blocks()
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    cut = cut_lineage(df)
+    until = time.time() + 20
+    while blocks() - before and time.time() < until:  # they go in the background
+        time.sleep(0.1)
+    assert not blocks() - before
+    assert cut.count() == 7 == df.count()
+    release(cut)
+    with pytest.raises(Exception):
+        cut.collect()
+
+
 def test_a_bill_too_large_for_a_cell_is_named(frame, monkeypatch):
     tables, _ = bom_fixture(frame)
     monkeypatch.setattr(documents, "CELL_ITEMS", 3)
